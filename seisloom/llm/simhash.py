@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked = connected_components(links(classes.select("fp"), distance)).withColumnRenamed("node", "fp")
     linked = linked.join(classes, "fp")
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = (
+    of_class = cut(  # a plain side, so that Spark can split the join of a hot fingerprint
         classes.join(linked.select("fp", "root").join(lowest, "root"), "fp", "left")
         .select("fp", F.coalesce("component_id", "first").alias("component_id"))
     )
