@@ -26,6 +26,7 @@ recipes, not in chunks; null ids come first; the empty table gives empty tables.
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,8 +40,9 @@ from .common import as_bytes, fresh_path, partitions, read
 
 END = 1
 WINDOW, BITS, LEAST, MOST = 8, 8, 64, 1024  # ids: of the rolling hash, 2^BITS between cuts, of a chunk
-CACHE, SENT = 1_000_000, 500_000
+CACHE, SENT = 800_000, 500_000
 MARK = "\x01"  # stands between strings encoded together
+PLAIN_ENDS = ",.;:!?*#$%&"  # after letters these are one more word of the tokenizer's pattern
 
 
 def default_vocabulary() -> str:
@@ -62,42 +64,99 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {"": b""}
+        size = self.library.get_vocab_size()
+        self.kind = "<u2" if size <= 1 << 16 else "<u4"
+        self.known = _Known({"": b""})
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(size, bool)
+        if suffix:
+            for token, i in self.library.get_vocab().items():
+                self.ends_word[i] = token.endswith(suffix)
+        self.known_ends = bool(self.ends_word.any())
+        self.parts: dict[str, bytes] = {}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_plain(self, words: list[str], ends: list[int], out: dict[str, bytes]) -> None:
+        """Words of which the number of word ends is known, encoded together."""
+        for at in range(0, len(words), 200):
+            group = words[at : at + 200]
+            (ids,) = self._encode([" ".join(group)])
+            last = np.flatnonzero(self.ends_word[ids])[np.cumsum(ends[at : at + 200]) - 1] + 1
+            data, size = ids.tobytes(), ids.itemsize
+            stops = (last * size).tolist()
+            out.update((w, data[a:b]) for w, a, b in zip(group, [0, *stops], stops, strict=False))
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
-        out = {}
-        alone = [w for w in words if self.mark is None or MARK in w]
-        for w, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            out[w] = np.array(e.ids, self.kind).tobytes()
-        words = [w for w in words if w not in out] if alone else words
-        groups = [words[i : i + 200] for i in range(0, len(words), 200)]
-        between = f" {MARK} "
-        found = self.library.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, found, strict=True):
-            ids = np.array(e.ids, self.kind)
+        out: dict[str, bytes] = {}
+        plain, ends, others = [], [], []
+        tokenize, pack, parts = self.library.model.tokenize, self.pack, self.parts
+        for w in words:
+            core = w.rstrip(PLAIN_ENDS)
+            if core.isalpha() and core.isascii():
+                # ASCII letters are one word of the pattern, and stand for themselves in the byte alphabet
+                core, tail = core.lower(), w[len(core) :]
+                ids = parts.get(core)
+                if ids is None:
+                    ids = pack([t.id for t in tokenize(core)])
+                    if len(parts) < CACHE:
+                        parts[core] = ids
+                if tail:
+                    if tail not in parts:
+                        parts[tail] = self._encode([tail])[0].tobytes()
+                    ids += parts[tail]
+                out[w] = ids
+            elif self.known_ends and core.isalpha() and core.lower().isalpha():
+                plain.append(w)
+                ends.append(1 + (len(core) < len(w)))
+            else:
+                others.append(w)
+        self._encode_plain(plain, ends, out)
+        alone = [w for w in others if self.mark is None or MARK in w]
+        for w, ids in zip(alone, self._encode(alone), strict=True):
+            out[w] = ids.tobytes()
+        others = [w for w in others if w not in out] if alone else others
+        groups = [others[i : i + 200] for i in range(0, len(others), 200)]
+        for group, ids in zip(groups, self._encode([f" {MARK} ".join(g) for g in groups]), strict=True):
             data, size = ids.tobytes(), ids.itemsize
-            ends = (np.flatnonzero(ids == self.mark) * size).tolist()
-            for w, a, b in zip(group, [0, *(x + size for x in ends)], [*ends, len(data)], strict=True):
+            stops = (np.flatnonzero(ids == self.mark) * size).tolist()
+            for w, a, b in zip(group, [0, *(x + size for x in stops)], [*stops, len(data)], strict=True):
                 out[w] = data[a:b]
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        got = [list(map(self.known.get, words)) for words in split]
-        new = list({w for words, ids in zip(split, got, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None})
+        look = self.known.__getitem__
+        got = [list(map(look, words)) for words in split]
+        new, self.known.asked = self.known.asked, set()
         if new:
-            found = self.encode_words(new)
+            found = self.encode_words(list(new))
             for words, ids in zip(split, got, strict=True):
-                if None in ids:
-                    ids[:] = [found[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+                for i in range(ids.count(None)):
+                    at = ids.index(None, at + 1 if i else 0)
+                    ids[at] = found[words[at]]
             if len(self.known) < CACHE:
                 self.known.update(found)
         return [b"".join(ids) for ids in got]
 
 
+class _Known(dict):
+    """Ids by string; notes the strings that were asked for in vain."""
+
+    def __init__(self, *items):
+        super().__init__(*items)
+        self.asked: set[str] = set()
+
+    def __missing__(self, word: str) -> None:
+        self.asked.add(word)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
