@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import catalog
+
+QUERIES: dict = {**catalog.QUERIES}
+ORACLES: dict[str, str] = {**catalog.ORACLES}
