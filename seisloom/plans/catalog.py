@@ -467,10 +467,10 @@ def wn14_merge(v):
     return windows.merge_intervals(rows, "day_us", "start_us", "end_us")
 
 
-@query("SELECT idx, round(avg(v), 5) AS value FROM (SELECT vec_id * 32 + i - 1 AS idx, samples[i] AS v FROM (SELECT vec_id, samples, unnest(generate_series(1, len(samples))) AS i FROM v_traces)) GROUP BY idx")
+@query("SELECT idx, round(avg(v), 5) + 0.0e0 AS value FROM (SELECT vec_id * 32 + i - 1 AS idx, samples[i] AS v FROM (SELECT vec_id, samples, unnest(generate_series(1, len(samples))) AS i FROM v_traces)) GROUP BY idx")
 def wn15_overlap_mean(v):
     rows = v.traces().select(F.lit(1).alias("key"), (F.col("vec_id") * 32).alias("s"), F.transform("samples", lambda x: x.cast("double")).alias("samples"))
-    return windows.overlap_mean(rows, "key", "s", "samples").select("idx", F.round("value", 5).alias("value"))
+    return windows.overlap_mean(rows, "key", "s", "samples").select("idx", (F.round("value", 5) + 0.0).alias("value"))
 
 
 @query("SELECT coalesce(keeper, a.event_id) AS event_id, station, phase, min(a.t_us) AS t_us FROM v_assignments a JOIN (SELECT event_id, first_value(event_id) OVER (PARTITION BY day ORDER BY event_id) AS keeper FROM v_catalog) g ON g.event_id = a.event_id GROUP BY ALL".replace("min(a.t_us) AS t_us", "arg_min(a.t_us, CASE WHEN a.event_id = keeper THEN a.t_us ELSE a.t_us + 10000000000000000 END) AS t_us"))

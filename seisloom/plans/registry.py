@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog
+from . import catalog, jobs
 
-QUERIES: dict = {**catalog.QUERIES}
-ORACLES: dict[str, str] = {**catalog.ORACLES}
+QUERIES: dict = {**catalog.QUERIES, **jobs.QUERIES}
+ORACLES: dict[str, str] = {**catalog.ORACLES, **jobs.ORACLES}
