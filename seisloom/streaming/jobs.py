@@ -20,8 +20,8 @@ def sliding_counts(picks: DataFrame, width: str = "30 seconds", step: str = "20
 
 
 def pick_sessions(picks: DataFrame, gap: str = "60 seconds", least: int = 3, late: str = "1 hour") -> DataFrame:
-    s = picks.withWatermark("time", late).groupBy(F.session_window("time", gap).alias("w")).agg(F.count("*").alias("n"), F.collect_set("station").alias("stations"))
-    return s.where(F.col("n") >= least).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", F.size("stations").alias("stations"))
+    s = picks.withWatermark("time", late).groupBy("network", F.session_window("time", gap).alias("w")).agg(F.count("*").alias("n"), F.collect_set("station").alias("stations"))
+    return s.where(F.col("n") >= least).select("network", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", F.size("stations").alias("stations"))
 
 
 def corroborate(secondary: DataFrame, primary: DataFrame, tolerance: str = "1 second", late: str = "10 minutes") -> DataFrame:
@@ -75,7 +75,7 @@ class SeamDedup(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("held", "t_us long, probability double")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         picks = pd.concat(list(rows)).sort_values(["t_us", "probability"])
         held, out = self.held.get() if self.held.exists() else None, []
         for t, p in zip(picks["t_us"].tolist(), picks["probability"].tolist(), strict=True):
@@ -91,7 +91,7 @@ class SeamDedup(StatefulProcessor):
         self.handle.registerTimer((held[0] + self.gap_us) // 1000 + 1)
         yield self._frame(key, out)
 
-    def handleExpiredTimer(self, key, timers, info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = self.held.get() if self.held.exists() else None
         self.held.clear()
         yield self._frame(key, [held] if held is not None else [])
