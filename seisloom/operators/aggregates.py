@@ -252,3 +252,28 @@ def network_centre(stations: DataFrame) -> DataFrame:
 def earliest_origin(catalog: DataFrame, days: DataFrame) -> DataFrame:
     day = days.select(F.unix_micros(F.col("day").cast("timestamp")).alias("t_us"))
     return catalog.select("t_us").unionByName(day).agg(F.min("t_us").alias("t_us"))
+
+
+def station_detail(stations: DataFrame, files: DataFrame, segments: DataFrame, now: str, days: int = 14) -> DataFrame:
+    """State of health of every station: files of each of the last ``days`` days (raw ones, else processed ones), days covered,
+    and where the data of the newest covered day end. ``files(station, stage, day)``, ``segments(station, day, end_us)``."""
+    today = F.lit(now).cast("timestamp")
+    first = F.date_sub(F.to_date(today), days - 1)
+    due = stations.select("station", F.explode(F.sequence(first, F.to_date(today), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    n = files.where(F.col("day") >= first).groupBy("station", "day").agg(F.count_if(F.col("stage") == "raw").alias("raw_"), F.count_if(F.col("stage") == "processed").alias("done_"))
+    rows = due.join(n, ["station", "day"], "left").withColumn("files", F.coalesce(F.when(F.col("raw_") > 0, F.col("raw_")), "done_", F.lit(0)))
+    ends = segments.where(F.col("day") >= first).groupBy("station", "day").agg(F.max("end_us").alias("end_"))
+    rows = rows.join(ends, ["station", "day"], "left")
+    out = rows.groupBy("station").agg(
+        F.array_sort(F.collect_list(F.struct("day", "files"))).alias("days"), F.count_if(F.col("files") > 0).alias("days_covered"),
+        F.max_by("end_", F.when(F.col("files") > 0, F.col("day"))).alias("last_data_us"),
+    )
+    return out.withColumn("latency_hours", F.round((F.unix_micros(today) - F.col("last_data_us")) / 3.6e9, 1))
+
+
+def template_manifest(traces: DataFrame) -> DataFrame:
+    """Traces, stations and channels of each template."""
+    return traces.groupBy("template_id").agg(
+        F.count("*").alias("n_traces"), F.array_sort(F.collect_set("station")).alias("stations"),
+        F.array_sort(F.collect_set(F.concat_ws(".", "station", "channel"))).alias("channels"),
+    )

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import thin_peaks
+
 LIMIT = 1 << 23
 
 
@@ -64,6 +66,31 @@ def align_span(segments: DataFrame, start_us: int, end_us: int, fill: float = 0.
     return segments.withColumns({"samples": samples, "start_us": F.lit(start_us)})
 
 
+def merge_segments(segments: DataFrame, keys: Sequence[str], bridge: bool = False) -> DataFrame:
+    """Segments of equal ``keys`` (which hold a channel and its day, so that a group is bounded) and rate as one grid: on
+    overlap the later start wins; gaps split the result, or with ``bridge`` are filled on the line between their neighbours."""
+    out = segments.select(*keys, "start_us", "rate", F.col("samples").cast("array<double>").alias("samples"))
+    names = out.columns
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("start_us")
+        rate, origin = group["rate"].iloc[0], group["start_us"].iloc[0]
+        at = [round((s - origin) * rate / 1e6) for s in group["start_us"]]
+        grid = np.full(max((a + len(x) for a, x in zip(at, group["samples"], strict=True)), default=0), np.nan)
+        for a, x in zip(at, group["samples"], strict=True):
+            grid[a : a + len(x)] = x
+        have = np.flatnonzero(~np.isnan(grid))
+        if bridge and len(have):
+            grid = np.interp(np.arange(have[-1] + 1), have, grid[have])
+            have = np.arange(len(grid))
+        runs = [r for r in np.split(have, np.flatnonzero(np.diff(have) > 1) + 1) if len(r)]
+        rows = {k: [group[k].iloc[0]] * len(runs) for k in keys}
+        rows |= {"start_us": [int(origin + round(r[0] * 1e6 / rate)) for r in runs], "rate": [rate] * len(runs), "samples": [grid[r[0] : r[-1] + 1].tolist() for r in runs]}
+        return pd.DataFrame(rows, columns=names)
+
+    return out.where("samples is not null").groupBy(*keys, "rate").applyInPandas(merge, out.schema)
+
+
 def drop_short(segments: DataFrame, least: int = 10) -> DataFrame:
     return segments.where(F.size("samples") >= least)
 
@@ -270,3 +297,12 @@ def score_windows(windows: DataFrame, predict_fn, column: str = "window", batch:
 
     score = predict_batch_udf(predict_fn, return_type=ArrayType(FloatType()), batch_size=batch)
     return windows.withColumn("score", score(F.col(column)))
+
+
+def extract_picks(scores: DataFrame, keys: Sequence[str], threshold: float, least_us: int) -> DataFrame:
+    """Picks of probability traces ``(keys, start_us, rate, prob)``: maxima of ``threshold`` at least, the higher of those at most ``least_us`` apart."""
+    p = F.col("prob")
+    at = F.filter(F.sequence(F.lit(1), F.size(p) - 2), lambda i: (p[i] >= threshold) & (p[i] > p[i - 1]) & (p[i] >= p[i + 1]))
+    rows = scores.where(F.size(p) > 2).select(*keys, "start_us", "rate", "prob", F.explode(at).alias("idx"))
+    rows = rows.select(*keys, sample_time(F.col("start_us"), F.col("rate"), F.col("idx")).alias("t_us"), p[F.col("idx")].alias("probability"))
+    return thin_peaks(rows, list(keys), "t_us", "probability", least_us)

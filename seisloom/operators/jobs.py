@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import scalars
+from ..functions import geo, scalars
 from . import aggregates as agg
-from . import joins, windows
+from . import arrays, joins, location, windows
 from .timejoin import components
 
 
@@ -39,18 +40,32 @@ def dedup_catalog(catalog: DataFrame, assignments: DataFrame, seconds: float = 2
     return catalog.join(dropped, "event_id", "left_anti"), windows.fold_picks(assignments, kept), dropped
 
 
-def filter_candidates(detections: DataFrame, catalog: DataFrame, least: float = 0.5, templates: int = 2, single: float = 0.65, width_s: float = 5.0, exclude_s: float = 15.0) -> DataFrame:
-    """Strong detections in anchored clusters: two templates or one very strong, none near a confirmed event."""
+def _clusters(detections: DataFrame, least: float, templates: int, single: float, width_s: float) -> tuple[DataFrame, DataFrame]:
+    """Strong detections, and their anchored clusters that two templates or one very strong detection carry."""
     strong = detections.withColumn("per_chan", scalars.per_channel(F.col("correlation"), F.col("n_chans"))).where(F.col("per_chan") >= least)
     c = windows.anchored_clusters(strong.select("det_id", "t_us", "template_id", "per_chan"), "t_us", int(width_s * scalars.SECOND), ["det_id"])
     out = c.groupBy("anchor").agg(
         F.countDistinct("template_id").alias("n_templates"), F.max("per_chan").alias("best_per_chan"),
         F.max_by("template_id", F.struct(F.col("per_chan"), -F.col("t_us"), -F.col("det_id"))).alias("best_template"),
     ).withColumnRenamed("anchor", "t_us")
-    out = out.where((F.col("n_templates") >= templates) | (F.col("best_per_chan") >= single))
+    return strong, out.where((F.col("n_templates") >= templates) | (F.col("best_per_chan") >= single))
+
+
+def filter_candidates(detections: DataFrame, catalog: DataFrame, least: float = 0.5, templates: int = 2, single: float = 0.65, width_s: float = 5.0, exclude_s: float = 15.0) -> DataFrame:
+    """Strong detections in anchored clusters: two templates or one very strong, none near a confirmed event."""
+    out = _clusters(detections, least, templates, single, width_s)[1]
     return joins.exclude_known(out, catalog, exclude_s).withColumn("hr_utc", F.hour(F.timestamp_micros("t_us")))
 
 
+def candidate_funnel(detections: DataFrame, catalog: DataFrame, least: float = 0.5, templates: int = 2, single: float = 0.65, width_s: float = 5.0, exclude_s: float = 15.0) -> DataFrame:
+    """``(step, n)`` of every step from detections to candidates."""
+    strong, clusters = _clusters(detections, least, templates, single, width_s)
+    clusters = clusters.checkpoint()
+    steps = {"raw": detections, "strong": strong, "clustered": clusters, "kept": joins.exclude_known(clusters, catalog, exclude_s)}
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "n") for name, df in steps.items()]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
+
+
 def promote(candidates: DataFrame, catalog: DataFrame, seconds: float = 5.0) -> DataFrame:
     """Candidates not close to a catalog event as unreviewed ``tm`` events, placed by their best template's event."""
     free = joins.blocking_event(candidates.withColumn("key_", F.col("t_us")), catalog, "key_", seconds).where("blocked_by is null")
@@ -97,3 +112,100 @@ def retry_plan(partial: DataFrame, summary: DataFrame, today: Column, days: int
     """Partial days young enough whose last fetch stored more."""
     rows = partial.where(F.datediff(today, "day") <= days)
     return rows.join(summary.where("improved > 0").select("day"), "day", "left_semi")
+
+
+def condition(segments: DataFrame, epochs: DataFrame, sensitivity: DataFrame, limit: float = arrays.LIMIT, share: float = 0.05, least: int = 10) -> DataFrame:
+    """Segments ``(key, day, start_us, rate, samples)`` in velocity: impossible samples masked, gaps of a day bridged, short ones dropped, trend
+    removed, ends tapered, trimmed to metadata epochs, divided by ``sensitivity(key, sensitivity)``."""
+    clean = arrays.merge_segments(arrays.mask_impossible(segments, limit), ["key", "day"], bridge=True)
+
+    def flat(x: np.ndarray, rate: float) -> np.ndarray:
+        i = np.arange(len(x))
+        x = x - np.polyval(np.polyfit(i, x, 1), i) if len(x) > 1 else x - x
+        n = int(len(x) * share)
+        ramp = 0.5 - 0.5 * np.cos(np.pi * np.arange(n) / max(n, 1))
+        x[:n] *= ramp
+        x[len(x) - n :] *= ramp[::-1]
+        return x
+
+    flat_rows = arrays.grouped_signal(arrays.drop_short(clean, least), ["key"], flat)
+    out = arrays.to_velocity(joins.trim_to_epoch(flat_rows, epochs, least), sensitivity, "key")
+    return out.withColumn("samples", F.col("samples").cast("array<float>"))
+
+
+def import_segments(raw: DataFrame, keys: list[str], target: float | None = None) -> DataFrame:
+    """Campaign segments ``(keys, file, start_us, rate, samples)`` as day segments: windows that an earlier file brought are
+    skipped, near-nominal rates snapped, decimated to ``target`` Hz, cut at midnight, merged by channel and day."""
+    rows = raw.withColumn("rate", scalars.snap_rate(F.col("rate")))
+    rows = rows.withColumn("end_us", F.col("start_us") + F.round((F.size("samples") - 1) * 1e6 / F.col("rate")).cast("long"))
+    rows = windows.skip_dup_windows(rows, keys, "file").select(*keys, "start_us", "rate", "samples")
+    if target:
+        rows = arrays.decimate(rows, keys, target)
+    days = arrays.split_by_day(rows).withColumn("day", F.to_date(F.timestamp_micros("start_us")))
+    return arrays.merge_segments(days, [*keys, "day"])
+
+
+def format_events(located: DataFrame, assignments: DataFrame, stations: DataFrame) -> DataFrame:
+    """``located(event_id, t_us, x, y, z, sigma_time)`` as catalog rows: coordinates, magnitude and counts, rounded as stored."""
+    lat, lon = geo.stere_inverse(F.col("x"), F.col("y"))
+    rows = located.withColumns({"latitude": lat, "longitude": lon, "depth_km": F.col("z")})
+    ml = agg.network_ml(assignments, rows, stations)
+    n = assignments.groupBy("event_id").agg(F.count("*").alias("num_picks"))
+    rows = rows.join(ml, "event_id", "left").join(n, "event_id", "left")
+    return rows.select(
+        "event_id", "t_us", F.timestamp_micros("t_us").alias("time"), F.round("ml", 2).alias("magnitude"), F.when(F.col("ml").isNotNull(), "ML").alias("magnitude_type"),
+        F.round("ml_err", 2).alias("ml_err"), F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), F.round("depth_km", 2).alias("depth_km"),
+        F.round("sigma_time", 4).alias("sigma_time"), F.coalesce("num_picks", F.lit(0)).alias("num_picks"), F.coalesce("num_ml_sta", F.lit(0)).alias("num_ml_sta"),
+    )
+
+
+#: Standard deviation of a pick's time in s.
+SIGMA_P, SIGMA_S = 0.10, 0.20
+
+
+def relocate(picks: DataFrame, stations: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, least: int = 4, **grid) -> tuple[DataFrame, DataFrame]:
+    """Events of ``picks(event_id, network, station, phase, t_us, amplitude)`` located again, as catalog rows with depth sigma and
+    ellipse, and a residual for each pick. Events of fewer than ``least`` picks at known stations are left out."""
+    rows = joins.with_station(picks, stations)
+    sx, sy = geo.stere_forward(F.col("latitude"), F.col("longitude"))
+    first = rows.groupBy("event_id").agg(F.min("t_us").alias("first_us"), F.count("*").alias("n_")).where(F.col("n_") >= least)
+    rows = rows.join(first.drop("n_"), "event_id").select(
+        "event_id", "network", "station", "phase", "t_us", "amplitude", "first_us", sx.alias("sx"), sy.alias("sy"),
+        ((F.col("t_us") - F.col("first_us")) / scalars.SECOND).alias("t_s"), F.when(F.col("phase") == "S", SIGMA_S).otherwise(SIGMA_P).alias("sigma"),
+    ).checkpoint()
+    best = location.locate(rows.select("event_id", "phase", "sx", "sy", "t_s", "sigma"), tt, depth_step, distance_step, **grid)
+    step = grid.get("passes", location.PASSES)[-1][0]
+    around = location.grid_nodes(best.select("event_id", F.col("x").alias("cx"), F.col("y").alias("cy")), 2 * step, step / 2, 0.0, grid.get("depth_max", 20.0), depth_step)
+    spread = location.uncertainty(location.score_nodes(rows, around, tt, depth_step, distance_step))
+    left = location.residuals(rows, best, tt, depth_step, distance_step).select("event_id", "station", "phase", (F.col("t_s") - F.col("t0")).alias("observed_s"), "residual_s")
+    rms = left.groupBy("event_id").agg(F.sqrt(F.avg(F.col("residual_s") * F.col("residual_s"))).alias("sigma_time"))
+    origin = F.col("first_us") + F.round(F.col("t0") * scalars.SECOND).cast("long")
+    located = best.join(first, "event_id").join(rms, "event_id").select("event_id", origin.alias("t_us"), "x", "y", "z", "sigma_time")
+    return format_events(located, rows, stations).join(spread.select("event_id", "sigma_z", "h_major", "h_minor", "h_azimuth"), "event_id", "left"), left
+
+
+def plan_event_ids(catalog: DataFrame) -> DataFrame:
+    """``(old, new)`` for every positional id, in time order; ids that occur twice are an error."""
+    twice = catalog.groupBy("event_id").agg(F.count("*").alias("n")).where("n > 1").select("event_id").first()
+    if twice:
+        raise ValueError(f"event id {twice['event_id']} occurs twice")
+    legacy = scalars.is_legacy_id(F.col("event_id"))
+    old = catalog.where(legacy).select(F.col("event_id").alias("old"), "time")
+    return windows.mint_ids(old, F.substring("old", 1, 2), ["time", "old"], catalog.where(~legacy).select("event_id")).select("old", F.col("event_id").alias("new"))
+
+
+def build_quarries(mines: DataFrame, osm: DataFrame) -> DataFrame:
+    """Registered mines, and map features that no mine is beside."""
+    return mines.unionByName(joins.geo_dedup(mines, osm))
+
+
+def event_detail(wanted: DataFrame, catalog: DataFrame, assignments: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Each of ``wanted(event_id)``, old ids resolved, with its picks, counts by station and phase, and old id."""
+    ids = joins.resolve_ids(wanted, aliases).select(F.col("event_id").alias("event_id")).distinct()
+    events = catalog.join(ids, "event_id", "left_semi")
+    mine = assignments.join(ids, "event_id", "left_semi")
+    picks = mine.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("t_us", "network", "station", "phase", "probability", "amplitude"))).alias("picks"))
+    counts = mine.groupBy("event_id", "station").agg(F.count_if(F.col("phase") == "P").alias("p"), F.count_if(F.col("phase") == "S").alias("s"))
+    counts = counts.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("station", "p", "s"))).alias("contributions"))
+    legacy = aliases.groupBy(F.col("event_id")).agg(F.min("legacy_id").alias("legacy_id"))
+    return events.join(picks, "event_id", "left").join(counts, "event_id", "left").join(legacy, "event_id", "left")

@@ -245,3 +245,13 @@ def restore_reviewed(catalog: DataFrame, assignments: DataFrame, snapshot: DataF
     events = catalog.join(gone, "event_id", "left_anti").unionByName(rows, allowMissingColumns=True)
     picks = snapshot_picks.join(plan.select(F.col("old_id").alias("event_id"), "out_id"), "event_id").withColumn("event_id", F.col("out_id")).drop("out_id")
     return events, assignments.join(gone, "event_id", "left_anti").unionByName(picks, allowMissingColumns=True)
+
+
+def near_duplicates(saved: DataFrame, catalog: DataFrame, seconds: float = 2.0, km: float = 5.0) -> DataFrame:
+    """``(event_id, other_id)``: for each of ``saved`` the other catalog events within both limits."""
+    w = int(seconds * SECOND)
+    a = saved.select("event_id", F.col("t_us").alias("a_us"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"))
+    b = catalog.select(F.col("event_id").alias("other_id"), F.col("t_us").alias("b_us"), "latitude", "longitude")
+    near = geo.local_km(F.col("a_lat"), F.col("a_lon"), F.col("latitude"), F.col("longitude")) <= km
+    pairs = range_join(a, b, "a_us", "b_us", -w, w, condition=near & (F.col("event_id") != F.col("other_id")))
+    return pairs.select("event_id", "other_id")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.geo import LAYERS
 
 SLOWNESSES, SAFETY = 800, 0.9999
+#: Horizontal and depth step in km of each pass of the search.
+PASSES = ((8.0, 4.0), (2.0, 2.0), (0.5, 0.5))
 
 
 def build_tt(depths: DataFrame, distances: DataFrame, receiver_km: float = 0.0, layers=LAYERS, samples: int = SLOWNESSES) -> DataFrame:
@@ -81,7 +83,7 @@ def score_nodes(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: f
     return sums.where(F.col("n") >= max(min_picks, 4)).select("event_id", "x", "y", "z", (F.col("wr") / F.col("w")).alias("t0"), chi2.alias("chi2"), "n")
 
 
-def locate(picks: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, half_km: float = 40.0, passes=((8.0, 4.0), (2.0, 2.0), (0.5, 0.5)), depth_max: float = 20.0) -> DataFrame:
+def locate(picks: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, half_km: float = 40.0, passes=PASSES, depth_max: float = 20.0) -> DataFrame:
     """Coarse to fine: each pass searches around the best node of the one before, from the mean
     of the picking stations. Returns the best node with ``rms`` of its residuals."""
     centre = picks.groupBy("event_id").agg(F.avg("sx").alias("cx"), F.avg("sy").alias("cy"))

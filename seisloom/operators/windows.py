@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import event_id_base
 
 
-def mint_ids(df: DataFrame, prefix: str, order: Sequence[str], taken: DataFrame | None = None) -> DataFrame:
+def mint_ids(df: DataFrame, prefix: str | Column, order: Sequence[str], taken: DataFrame | None = None) -> DataFrame:
     """``event_id`` from the time's second; ``-2``, ``-3``... past those that ``taken(event_id)`` has."""
-    rows = df.withColumn("base_", event_id_base(F.col("time"), F.lit(prefix)))
+    rows = df.withColumn("base_", event_id_base(F.col("time"), prefix if isinstance(prefix, Column) else F.lit(prefix)))
     n = F.row_number().over(Window.partitionBy("base_").orderBy(*order))
     if taken is not None:
         parts = F.regexp_extract("event_id", r"^(.+?)(?:-(\d+))?$", 1), F.regexp_extract("event_id", r"^(.+?)(?:-(\d+))?$", 2)
@@ -66,19 +66,19 @@ def _greedy(at: np.ndarray, height: np.ndarray, least: float) -> np.ndarray:
 
 def thin_peaks(peaks: DataFrame, keys: Sequence[str], at: str, height: str, least: float) -> DataFrame:
     """Of peaks at most ``least`` apart the higher stays. Peaks are first cut into islands at larger
-    gaps, so a group holds a chain of close peaks; chains of one need no Python."""
+    gaps, so a group holds a chain of close peaks; chains of one or two need no Python."""
     w = Window.partitionBy(*keys).orderBy(at)
     far = F.coalesce((F.col(at) - F.lag(at).over(w) > least).cast("int"), F.lit(1))
     rows = peaks.withColumn("new_", far).withColumn("island_", F.sum("new_").over(w)).drop("new_")
-    size = F.count("*").over(Window.partitionBy(*keys, "island_"))
-    rows = rows.withColumn("size_", size)
+    island = Window.partitionBy(*keys, "island_")
+    rows = rows.withColumns({"size_": F.count("*").over(island), "rank_": F.row_number().over(island.orderBy(F.desc(height), at))})
     schema = rows.schema
 
     def pick(group: pd.DataFrame) -> pd.DataFrame:
         return group[_greedy(group[at].to_numpy(), group[height].to_numpy(), least)]
 
-    many = rows.where("size_ > 1").groupBy(*keys, "island_").applyInPandas(pick, schema)
-    return rows.where("size_ = 1").unionAll(many).drop("island_", "size_")
+    many = rows.where("size_ > 2").groupBy(*keys, "island_").applyInPandas(pick, schema)
+    return rows.where("size_ <= 2 and rank_ = 1").unionAll(many).drop("island_", "size_", "rank_")
 
 
 def pick_amplitude(picks: DataFrame, samples: DataFrame, key: str, window: int) -> DataFrame:
@@ -206,3 +206,95 @@ def fold_picks(assignments: DataFrame, groups: DataFrame) -> DataFrame:
     order = Window.partitionBy("target_", "network", "station", "phase").orderBy((F.col("event_id") == F.col("target_")).desc(), "t_us", "event_id")
     rows = rows.withColumn("rn_", F.row_number().over(order)).where("rn_ = 1")
     return rows.withColumn("event_id", F.col("target_")).drop("target_", "rn_", "keeper")
+
+
+def dedup_seams(picks: DataFrame, gap_us: int = 1_000_000) -> DataFrame:
+    """Of picks of a station and phase at most ``gap_us`` apart the more probable stays, then the earlier; in time order."""
+    return thin_peaks(picks, ["station", "phase"], "t_us", "probability", gap_us).orderBy("t_us", "station", "phase")
+
+
+def detrigger(detections: DataFrame, gap_us: int) -> DataFrame:
+    """Of a template's detections at most ``gap_us`` apart the best correlated stays."""
+    return thin_peaks(detections, ["template_id"], "t_us", "correlation", gap_us)
+
+
+def skip_dup_windows(segments: DataFrame, keys: Sequence[str], order: str, tolerance_us: int = 1_000_000) -> DataFrame:
+    """Segments in ``order``, without those whose start and end are both less than ``tolerance_us`` from those of a
+    kept one of the same keys.
+
+    Exact copies of a window share its fate but for the first, so only distinct windows are compared, and only
+    within chains of starts closer than the tolerance; samples take no part. Rows with a null key, start or end
+    are compared with nothing and dropped.
+    """
+    names = [*keys, "start_us", "end_us"]
+    first = segments.dropna(subset=names).groupBy(*names).agg(F.min(order).alias("order_"))
+    w = Window.partitionBy(*keys).orderBy("start_us", "end_us")
+    far = F.coalesce((F.col("start_us") - F.lag("start_us").over(w) >= tolerance_us).cast("int"), F.lit(1))
+    rows = first.withColumn("new_", far).withColumn("chain_", F.sum("new_").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("new_")
+    rows = rows.withColumn("size_", F.count("*").over(Window.partitionBy(*keys, "chain_")))
+
+    def keep(group: pd.DataFrame) -> pd.DataFrame:
+        group, kept = group.sort_values(["order_", "start_us", "end_us"]), []
+        a, b = group["start_us"].to_numpy(), group["end_us"].to_numpy()
+        for i in range(len(group)):
+            if not any(abs(a[i] - a[j]) < tolerance_us and abs(b[i] - b[j]) < tolerance_us for j in kept):
+                kept.append(i)
+        return group.iloc[kept]
+
+    many = rows.where("size_ > 1").groupBy(*keys, "chain_").applyInPandas(keep, rows.schema)
+    kept = rows.where("size_ = 1").unionAll(many).select(*names, F.col("order_").alias(order))
+    return segments.join(kept, [*names, order], "left_semi").dropDuplicates([*names, order])
+
+
+def sliding_normalise(df: DataFrame, key: str, channel: str, idx: str, value: str, window: int = 3000) -> DataFrame:
+    """``normalised``: each sample less a sliding mean, over a sliding deviation.
+
+    Mean and deviation are taken at knots every half window over the window around them (the end reflected, the
+    first and last knot those of their neighbours) and lie on lines between knots; a deviation of zero counts as one. A key with
+    ``n`` of three channels alive is raised by ``3 / n``. A channel of half a window or less stays as it is.
+    """
+    if window % 2:
+        raise ValueError("an even window is needed")
+    shift = window // 2
+    rows = df.withColumn("n_", F.max(idx).over(Window.partitionBy(key, channel)) + 1)
+    rows = rows.withColumn("last_", F.ceil(F.col("n_") / shift) - 1)
+    mirrored = 2 * (F.col("n_") - 1) - F.col(idx)
+    at = F.array_distinct(F.array(F.col(idx), F.when(mirrored < (F.col("last_") + 1) * shift, mirrored).otherwise(F.col(idx))))
+    parts = rows.select(key, channel, "last_", F.col(value).alias("v_"), F.explode(at).alias("p_"))
+    parts = parts.withColumn("knot_", F.explode(F.array(F.floor(F.col("p_") / shift), F.floor(F.col("p_") / shift) + 1))).where("knot_ between 1 and last_")
+    knots = parts.groupBy(key, channel, "knot_").agg(F.avg("v_").alias("mean_"), F.stddev_pop("v_").alias("std_"))
+    alive = knots.where("std_ > 0").groupBy(key).agg(F.countDistinct(channel).alias("alive_"))
+    span = lambda x: F.least(F.greatest(x, F.lit(1)), F.col("last_"))
+    b = F.floor(F.col(idx) / shift)
+    rows = rows.withColumns({"b_": b, "lo_": span(b), "hi_": span(b + 1)})
+    for side in ("lo", "hi"):
+        rows = rows.join(knots.select(key, channel, F.col("knot_").alias(f"{side}_"), F.col("mean_").alias(f"{side}_mean_"), F.col("std_").alias(f"{side}_std_")), [key, channel, f"{side}_"], "left")
+    f = (F.col(idx) - F.col("b_") * shift) / (F.least((F.col("b_") + 1) * shift, "n_") - F.col("b_") * shift)
+    mean, std = (F.coalesce(F.col(f"lo_{c}_") + (F.col(f"hi_{c}_") - F.col(f"lo_{c}_")) * f, F.lit(0.0)) for c in ("mean", "std"))
+    gain = F.when(F.col("alive_").between(1, 2), 3.0 / F.col("alive_")).otherwise(1.0)
+    out = (F.col(value) - mean) / F.when(std > 0, std).otherwise(1.0) * gain
+    return rows.join(alive, key, "left").select(*df.columns, out.alias("normalised"))
+
+
+def pick_windows(picks: DataFrame, segments: DataFrame, keys: Sequence[str], before_us: int, after_us: int, longest_us: int) -> DataFrame:
+    """``samples`` of ``[t_us - before_us, t_us + after_us)`` for each of ``picks(pick_id, keys, t_us)``, zero where no segment has
+    one; ``full`` tells that none is. A later segment wins. A pick without a segment has no row; ``longest_us`` bounds a segment."""
+    from .timejoin import range_join
+
+    rows = range_join(picks.select("pick_id", *keys, "t_us"), segments.select(*keys, "start_us", "rate", F.col("samples").cast("array<float>").alias("samples")), "t_us", "start_us", -before_us - longest_us, after_us, keys)
+    n = F.round(F.lit(before_us + after_us) * F.col("rate") / 1e6).cast("int")
+    first = F.round((F.col("t_us") - before_us - F.col("start_us")) * F.col("rate") / 1e6).cast("int")
+    rows = rows.withColumns({"first_": first, "n_": n}).where((F.col("first_") < F.size("samples")) & (F.col("first_") + F.col("n_") > 0))
+    cut = F.transform(F.sequence(F.lit(0), F.col("n_") - 1), lambda i: F.get("samples", F.when(i + F.col("first_") >= 0, i + F.col("first_"))))
+    parts = rows.groupBy("pick_id", *keys, "t_us").agg(F.sort_array(F.collect_list(F.struct(-F.col("start_us"), cut.alias("cut")))).alias("parts_"))
+    blank = F.transform(F.col("parts_")[0]["cut"], lambda x: F.lit(None).cast("float"))
+    whole = F.aggregate("parts_", blank, lambda done, p: F.zip_with(done, p["cut"], lambda a, b: F.coalesce(a, b)))
+    parts = parts.withColumn("whole_", whole)
+    return parts.select("pick_id", *keys, "t_us", F.transform("whole_", lambda x: F.coalesce(x, F.lit(0).cast("float"))).alias("samples"), F.forall("whole_", lambda x: x.isNotNull()).alias("full"))
+
+
+def usable_templates(traces: DataFrame, length: int, least: int = 4) -> DataFrame:
+    """Traces of full length, of the templates that have ``least`` of them."""
+    kept = traces.where(F.size("samples") == length)
+    n = kept.groupBy("template_id").agg(F.count("*").alias("n_")).where(F.col("n_") >= least)
+    return kept.join(n, "template_id", "left_semi")

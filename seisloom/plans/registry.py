@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, jobs
+from . import catalog, jobs, more
 
-QUERIES: dict = {**catalog.QUERIES, **jobs.QUERIES}
-ORACLES: dict[str, str] = {**catalog.ORACLES, **jobs.ORACLES}
+QUERIES: dict = {**catalog.QUERIES, **jobs.QUERIES, **more.QUERIES}
+ORACLES: dict[str, str] = {**catalog.ORACLES, **jobs.ORACLES, **more.ORACLES}

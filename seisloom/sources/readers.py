@@ -15,6 +15,11 @@ def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(**_CSV).option("recursiveFileLookup", "true").option("enforceSchema", "false").csv(path)
 
 
+def _codes(df: DataFrame) -> DataFrame:
+    """The CSV reader gives null for an empty field; in codes it means the empty code."""
+    return df.withColumns({c: F.coalesce(c, F.lit("")) for c in ("network", "station", "location", "channel") if c in df.columns})
+
+
 def _day_of_file(df: DataFrame) -> DataFrame:
     """``day`` from file names ``{year}.{jday}.*``; other files are left out."""
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4})\.(\d{3})\.", 0)
@@ -23,7 +28,7 @@ def _day_of_file(df: DataFrame) -> DataFrame:
 
 
 def read_picks(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    df = _day_of_file(_csv(spark, root, schemas.PICKS))
+    df = _codes(_day_of_file(_csv(spark, root, schemas.PICKS)))
     if start:
         df = df.where(F.col("day") >= F.lit(start).cast("date"))
     if end:
@@ -37,7 +42,7 @@ def read_day_events(spark: SparkSession, root: str, source: str) -> DataFrame:
 
 
 def read_assignments(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, schemas.ASSIGNMENTS.replace("event_index int", "event_id string"))
+    return _codes(_csv(spark, path, schemas.ASSIGNMENTS.replace("event_index int", "event_id string")))
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -120,3 +125,59 @@ def read_archive_inventory(spark: SparkSession, root: str) -> DataFrame:
 def read_day_times(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("multiLine", "true").schema("day_times array<struct<day:string,total:double,steps:map<string,double>>>").json(path)
     return rows.select(F.explode("day_times").alias("d")).select("d.day", "d.total", F.explode_outer("d.steps").alias("step", "seconds"))
+
+
+#: The registry's statuses of mines that may blast, and the study box (latitude, longitude).
+ACTIVE_STATUSES = ("Active", "Intermittent", "NonProducing Active")
+MINE_BOX = (30.5, 32.5, -107.0, -104.0)
+MEXICO_SOUTH_OF = 31.78
+
+
+def read_mines(spark: SparkSession, path: str, box: tuple[float, float, float, float] = MINE_BOX) -> DataFrame:
+    """Active mines other than coal inside ``box`` from the pipe-delimited registry; rows without coordinates are left out."""
+    raw = spark.read.options(header="true", sep="|", encoding="ISO-8859-1", inferSchema="false").csv(path)
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    number = {"latitude": F.expr("try_cast(LATITUDE AS double)"), "longitude": F.expr("try_cast(LONGITUDE AS double)")}
+    fields = {
+        "mine_id": text("MINE_ID"), "name": F.trim(F.coalesce("CURRENT_MINE_NAME", F.lit("Unknown"))), "operator": text("CURRENT_OPERATOR_NAME"), "type": text("CURRENT_MINE_TYPE"),
+        "status": text("CURRENT_MINE_STATUS"), "commodity": F.when(text("PRIMARY_CANVASS") != "", text("PRIMARY_CANVASS")).otherwise("Unknown"),
+        "state": text("STATE"), "county": text("FIPS_CNTY_NM"), "source": F.lit("MSHA"),
+    }
+    rows = raw.where(text("COAL_METAL_IND") != "C").select(*[c.alias(n) for n, c in (number | fields).items()])
+    return rows.where(F.col("latitude").between(*box[:2]) & F.col("longitude").between(*box[2:]) & F.col("status").isin(*ACTIVE_STATUSES))
+
+
+def read_osm(spark: SparkSession, path: str) -> DataFrame:
+    """Quarries and mines of map elements: a node's place or the centre of a way, with the commodity its tags name."""
+    schema = "elements array<struct<type:string,id:long,lat:double,lon:double,center:struct<lat:double,lon:double>,tags:map<string,string>>>"
+    rows = spark.read.schema(schema).option("multiLine", "true").json(path).select(F.explode("elements").alias("e")).select("e.*")
+    node = F.col("type") == "node"
+    tag = lambda k: F.when(F.col("tags")[k] != "", F.col("tags")[k])
+    resource = F.coalesce(tag("resource"), tag("mineral"), tag("rock"), F.lit(""))
+    named = F.concat(F.upper(F.substring(resource, 1, 1)), F.lower(F.substring(resource, 2, 1 << 20)))
+    commodity = (
+        F.when(F.lower(resource).contains("stone") | (F.coalesce(tag("landuse"), F.lit("")) == "quarry"), "Stone")
+        .when(F.lower(resource).contains("sand") | F.lower(resource).contains("gravel"), "SandAndGravel")
+        .when(tag("industrial") == "mine", "Mine").when(resource != "", named).otherwise("Unknown")
+    )
+    latitude, longitude = F.when(node, F.col("lat")).otherwise(F.col("center.lat")), F.when(node, F.col("lon")).otherwise(F.col("center.lon"))
+    out = rows.select(
+        latitude.alias("latitude"), longitude.alias("longitude"), F.concat(F.lit("osm"), F.substring("type", 1, 1), F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("mine_id"),
+        F.coalesce(tag("name"), tag("operator"), F.lit("Unnamed (OSM)")).alias("name"), F.coalesce(tag("operator"), F.lit("")).alias("operator"),
+        F.coalesce(tag("landuse"), tag("industrial"), F.lit("")).alias("type"), F.lit("OSM-tagged").alias("status"), commodity.alias("commodity"),
+        F.when(latitude < MEXICO_SOUTH_OF, "Chihuahua").otherwise("").alias("state"), F.coalesce(tag("addr:state"), F.lit("")).alias("county"), F.lit("OSM").alias("source"),
+    )
+    return out.where("latitude is not null and longitude is not null")
+
+
+def read_campaign_stations(spark: SparkSession, path: str) -> DataFrame:
+    """Stations ``NET.STA.LOC.BAND`` with component lists; the sensitivity is the median of the listed responses."""
+    raw = spark.read.options(header="true", inferSchema="false").csv(path)
+    code = F.split("station", r"\.")
+    response = F.array_sort(F.transform(F.split("response", ","), lambda x: F.trim(x).cast("double")))
+    n = F.size("response_")
+    median = (F.get("response_", F.floor((n - 1) / 2).cast("int")) + F.get("response_", F.floor(n / 2).cast("int"))) / 2
+    return raw.withColumn("response_", response).select(
+        *[code[i].alias(c) for i, c in enumerate(("network", "station", "location", "band"))], F.col("lat").cast("double").alias("latitude"), F.col("lon").cast("double").alias("longitude"),
+        F.col("`elv(m)`").cast("double").alias("elevation_m"), F.trim("unit").alias("unit"), F.transform(F.split("componet", ","), lambda x: F.trim(x)).alias("components"), median.alias("sensitivity"),
+    )

@@ -89,3 +89,53 @@ def to_geojson(features: DataFrame, longitude: str, latitude: str) -> DataFrame:
     rest = [c for c in features.columns if c not in (longitude, latitude)]
     point = F.struct(F.lit("Point").alias("type"), F.array(longitude, latitude).alias("coordinates"))
     return features.select(F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*rest).alias("properties"))).alias("feature"))
+
+
+def envelope(samples, bins: int):
+    """``[min, max]`` of each of ``bins`` stretches, over the largest absolute sample, to 4 decimals; zeros where a stretch is empty."""
+    n = F.size(samples)
+    peak = F.greatest(F.abs(F.array_max(samples)), F.abs(F.array_min(samples)))
+    peak = F.when(peak > 0, peak).otherwise(1.0)
+    edge = lambda i: F.floor(i * n / bins).cast("int")
+
+    def pair(i):
+        part = F.slice(samples, edge(i) + 1, edge(i + 1) - edge(i))
+        return F.when(F.size(part) > 0, F.array(F.round(F.array_min(part) / peak, 4), F.round(F.array_max(part) / peak, 4))).otherwise(F.array(F.lit(0.0), F.lit(0.0)))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), pair)
+
+
+def export_public(catalog: DataFrame, assignments: DataFrame, stations: DataFrame, segments: DataFrame, bins: int = 700, before_s: float = 2.0, longest_us: int = 86_400_000_000) -> DataFrame:
+    """A row for each confirmed event, newest first: picks as offsets from the origin, and envelopes of the picked stations' vertical segments
+    ``(station, start_us, rate, samples)``, nearest station first. A later segment of a window wins whole."""
+    from ..functions import geo, scalars
+    from ..operators.joins import picks_of, with_station
+    from ..operators.timejoin import range_join
+
+    events = catalog.where("review_status = 'confirmed'")
+    place = events.select("event_id", F.col("t_us").alias("origin_us"), F.col("latitude").alias("e_lat"), F.col("longitude").alias("e_lon"))
+    rows = with_station(picks_of(assignments, events), stations).join(place, "event_id").withColumn("km_", geo.haversine_km(F.col("e_lat"), F.col("e_lon"), F.col("latitude"), F.col("longitude")))
+    offset = F.round((F.col("t_us") - F.col("origin_us")) / scalars.SECOND, 3)
+    picks = rows.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("station", offset.alias("t"), "phase"))).alias("picks"))
+    want = rows.select("event_id", "network", "station", "origin_us", "km_", scalars.post_window(F.col("km_")).alias("post_")).distinct()
+    w = int(before_s * scalars.SECOND)
+    cut = range_join(want, segments.select("station", "start_us", "rate", "samples"), "origin_us", "start_us", -w - longest_us, 45 * scalars.SECOND, ("station",))
+    first = F.greatest(F.ceil((F.col("origin_us") - w - F.col("start_us")) * F.col("rate") / 1e6), F.lit(0)).cast("int")
+    stop = F.least(F.floor((F.col("origin_us") + F.col("post_") * scalars.SECOND - F.col("start_us")) * F.col("rate") / 1e6) + 1, F.size("samples").cast("long")).cast("int")
+    cut = cut.withColumns({"first_": first, "stop_": stop}).where("stop_ > first_")
+    cut = cut.withColumn("samples", F.slice("samples", F.col("first_") + 1, F.col("stop_") - F.col("first_")))
+    cut = cut.groupBy("event_id", "network", "station", "km_", "post_").agg(F.max_by("samples", "start_us").alias("samples"))
+    trace = F.struct(
+        F.round("km_", 1).alias("distance_km"), "station", "network", F.lit(-before_s).alias("t0"), F.round((F.col("post_") + before_s) / bins, 5).alias("dt"), envelope(F.col("samples"), bins).alias("minmax"),
+    )
+    traces = cut.groupBy("event_id").agg(F.array_sort(F.collect_list(trace)).alias("traces"))
+    out = events.join(picks, "event_id", "left").join(traces, "event_id", "left")
+    return out.select(
+        "event_id", "t_us", F.round("latitude", 5).alias("latitude"), F.round("longitude", 5).alias("longitude"), F.round("depth_km", 2).alias("depth_km"), F.round("magnitude", 2).alias("magnitude"),
+        "event_type", F.coalesce(F.col("num_picks").cast("long"), F.size("picks").cast("long")).alias("num_picks"), "picks", "traces",
+    ).orderBy(F.desc("t_us"), "event_id")
+
+
+def public_summary(exported: DataFrame, stations: DataFrame) -> DataFrame:
+    counts = exported.agg(F.count("*").alias("n_events"), F.count_if(F.col("event_type") == "quarry_blast").alias("n_quarry_blasts"), F.count_if(F.col("event_type") == "earthquake").alias("n_earthquakes"))
+    return counts.crossJoin(stations.agg(F.count("*").alias("n_stations")))
