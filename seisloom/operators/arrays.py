@@ -63,7 +63,7 @@ def align_span(segments: DataFrame, start_us: int, end_us: int, fill: float = 0.
     n = F.ceil(F.lit(end_us - start_us) * F.col("rate") / 1e6).cast("int")
     shift = F.ceil((F.lit(start_us) - F.col("start_us")) * F.col("rate") / 1e6).cast("int")
     samples = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.get("samples", F.when(i + shift >= 0, i + shift)), F.lit(fill).cast("float")))
-    return segments.withColumns({"samples": samples, "start_us": F.lit(start_us)})
+    return segments.withColumn("samples", samples).withColumn("start_us", F.lit(start_us))
 
 
 def merge_segments(segments: DataFrame, keys: Sequence[str], bridge: bool = False) -> DataFrame:
@@ -152,7 +152,8 @@ def resample_linear(segments: DataFrame, hz: float = 100.0) -> DataFrame:
 
     same = F.col("rate") == hz
     new = F.when(same, F.col("samples")).otherwise(F.transform(F.sequence(F.lit(0), n), at))
-    return segments.withColumns({"samples": new, "rate": F.lit(hz)})
+    # in two steps: within one, ``rate`` in the lambda would be the new one
+    return segments.withColumn("samples", new).withColumn("rate", F.lit(hz))
 
 
 def thin(segments: DataFrame, most: int) -> DataFrame:

@@ -184,6 +184,13 @@ def arr09_chunk_grid(v):
     return out.select(F.col("day").cast("string").alias("day"), "hour", "start_us", "padded_start_us")
 
 
+@query("SELECT vec_id AS key, 100 AS n, round(coalesce(list_sum(list_transform(samples[greatest(1 - vec_id * 64 + 32, 1):greatest(132 - vec_id * 64, 0)], lambda x: x::DOUBLE)), 0), 4) AS total FROM v_traces")
+def arr04_align_span(v):
+    a = 1704067200320000
+    out = arrays.align_span(segments(v), a, a + 1_000_000)
+    return out.select("key", F.size("samples").alias("n"), F.round(F.aggregate("samples", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
+
+
 @query()
 def arr13_decimate(v):
     return arrays.decimate(segments(v), ["key"], 50.0).select("key", "rate", F.size("samples").alias("n"), F.round(F.array_max("samples"), 6).alias("peak"))

@@ -209,3 +209,16 @@ def test_public_export(spark):
     assert [list(p) for p in a.traces[1].minmax] == [[0.0, 0.25], [-1.0, 0.5]]
     s = sinks.public_summary(out, st).collect()[0]
     assert (s.n_events, s.n_quarry_blasts, s.n_earthquakes, s.n_stations) == (2, 1, 1, 2)
+
+
+def test_grids(spark):
+    seg = spark.createDataFrame([("k", 2 * S, 1.0, [1.0, 3.0, 7.0])], SEG).withColumn("samples", F.col("samples").cast("array<float>"))
+    assert [(r.start_us, list(r.samples)) for r in arrays.align_span(seg, S, 4 * S).collect()] == [(S, [0.0, 1.0, 3.0])]
+    assert [(r.rate, list(r.samples)) for r in arrays.resample_linear(seg, 2.0).collect()] == [(2.0, [1.0, 2.0, 3.0, 5.0, 7.0])]
+    assert [list(r.samples) for r in arrays.sanitise(spark.createDataFrame([("k", 0, 1.0, [1.0, float("nan"), float("inf"), None])], SEG)).collect()] == [[1.0, 0.0, 0.0, 0.0]]
+
+
+def test_extract_picks(spark):
+    rows = spark.createDataFrame([("k", 0, 10.0, [0.0, 0.6, 0.2, 0.9, 0.9, 0.1, 0.0, 0.0, 0.7, 0.3])], "key string, start_us long, rate double, prob array<double>")
+    out = arrays.extract_picks(rows, ["key"], 0.5, 300_000)
+    assert sorted((r.t_us, r.probability) for r in out.collect()) == [(300_000, 0.9), (800_000, 0.7)]
