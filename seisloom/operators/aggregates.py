@@ -25,7 +25,7 @@ def qc_phases(events: DataFrame, assignments: DataFrame, least_p: int = 3, least
 def network_ml(assignments: DataFrame, events: DataFrame, stations: DataFrame) -> DataFrame:
     """``(event_id, ml, ml_err, num_ml_sta)``: median, sample deviation and number of station magnitudes."""
     place = events.select("event_id", F.col("latitude").alias("e_lat"), F.col("longitude").alias("e_lon"), "depth_km")
-    rows = with_station(assignments, F.broadcast(stations)).join(place, "event_id")
+    rows = with_station(assignments, stations).join(place, "event_id")
     d = geo.haversine_km(F.col("e_lat"), F.col("e_lon"), F.col("latitude"), F.col("longitude"))
     ml = geo.ml_station(F.col("amplitude"), geo.hypo_km(d, F.col("depth_km")))
     return rows.withColumn("ml_", ml).where("ml_ is not null").groupBy("event_id").agg(

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .timejoin import small
 from .windows import thin_peaks
 
 LIMIT = 1 << 23
@@ -96,7 +97,7 @@ def drop_short(segments: DataFrame, least: int = 10) -> DataFrame:
 
 
 def to_velocity(segments: DataFrame, sensitivity: DataFrame, key: str) -> DataFrame:
-    rows = segments.join(F.broadcast(sensitivity.select(key, "sensitivity")), key)
+    rows = segments.join(sensitivity.select(key, "sensitivity"), key)
     return rows.withColumn("samples", F.transform("samples", lambda x: x / F.col("sensitivity")))
 
 
@@ -267,7 +268,7 @@ def match_templates(segments: DataFrame, templates: DataFrame, threshold: float
     ``segments(chunk, channel, samples)``, ``templates(template_id, channel, offset, samples)``.
     """
     pairs = segments.select("chunk", "channel", F.col("samples").alias("x")).join(
-        F.broadcast(templates.select("template_id", "channel", "offset", F.col("samples").alias("t"))), "channel"
+        small(templates.select("template_id", "channel", "offset", F.col("samples").alias("t")), 2_000), "channel"
     )
 
     def correlate(batches):

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import LAYERS
+from .timejoin import small
 
 SLOWNESSES, SAFETY = 800, 0.9999
+#: Rows of a travel-time table up to which it is broadcast.
+TABLE_ROWS = 500_000
 #: Horizontal and depth step in km of each pass of the search.
 PASSES = ((8.0, 4.0), (2.0, 2.0), (0.5, 0.5))
 
@@ -53,9 +56,10 @@ def tt_lookup(df: DataFrame, tt: DataFrame, depth_step: float, distance_step: fl
     z = F.greatest(F.least(F.col("depth_km") / depth_step, F.col("z1").cast("double")), F.col("z0").cast("double"))
     rows = df.join(ends).withColumns({"z_": z, "x_": F.col("distance_km") / distance_step})
     rows = rows.withColumns({"iz_": F.least(F.floor("z_"), F.col("z1") - 1).cast("int"), "ix_": F.floor("x_").cast("int")})
+    hinted = F.broadcast if table.limit(TABLE_ROWS + 1).count() <= TABLE_ROWS else lambda df: df
     for a in (0, 1):
         for b in (0, 1):
-            corner = F.broadcast(table.select(F.col("phase").alias("ph_"), F.col("iz").alias("cz_"), F.col("ix").alias("cx_"), F.col("t").alias(f"t{a}{b}")))
+            corner = hinted(table.select(F.col("phase").alias("ph_"), F.col("iz").alias("cz_"), F.col("ix").alias("cx_"), F.col("t").alias(f"t{a}{b}")))
             on = (F.col("phase") == F.col("ph_")) & (F.col("iz_") + a == F.col("cz_")) & (F.col("ix_") + b == F.col("cx_"))
             rows = rows.join(corner, on, "left").drop("ph_", "cz_", "cx_")
     fz, fx = F.col("z_") - F.col("iz_"), F.col("x_") - F.col("ix_")
@@ -138,8 +142,7 @@ def associate(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: flo
     Every pick votes at every node (``x, y, z``) for the origin time ``t_s - t``, in two half-shifted bins; the node and bin with
     most stations wins over all that overlap it in time, its picks are taken and the rest vote again.
     """
-    grid = F.broadcast(nodes)
-    pairs = picks.join(grid)
+    pairs = picks.join(small(nodes))
     d = F.hypot(F.col("x") - F.col("sx"), F.col("y") - F.col("sy"))
     votes = tt_lookup(pairs.withColumns({"distance_km": d, "depth_km": F.col("z")}), tt, depth_step, distance_step).where("t is not null")
     votes = votes.select("pick_id", "station", "phase", "x", "y", "z", (F.col("t_s") - F.col("t")).alias("origin")).checkpoint()

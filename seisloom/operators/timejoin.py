@@ -11,6 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has ``most`` rows at most; beyond that Spark picks another join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def range_join(
     left: DataFrame, right: DataFrame, left_time: str, right_time: str, low: int, high: int,
     keys: Sequence[str] = (), how: str = "inner", condition: Column | None = None,

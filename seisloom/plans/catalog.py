@@ -133,7 +133,7 @@ def flt18_confirmed(v):
 # joins
 @query("SELECT pick_id, station, latitude, longitude, elevation_m FROM v_picks JOIN v_stations USING (network, station)")
 def jn01_station(v):
-    return joins.with_station(v.picks(), F.broadcast(v.stations())).select("pick_id", "station", "latitude", "longitude", "elevation_m")
+    return joins.with_station(v.picks(), v.stations()).select("pick_id", "station", "latitude", "longitude", "elevation_m")
 
 
 @query("SELECT a.event_id AS owner, a.station, c.event_id FROM v_assignments a JOIN v_catalog x USING (event_id) LEFT JOIN (SELECT event_id, day, k FROM v_catalog WHERE n % 5 <> 0 AND n % 2 = 0) c ON c.day = x.day AND c.event_id = a.event_id")
