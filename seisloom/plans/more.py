@@ -41,10 +41,10 @@ def ag17_station_detail(v):
     return out.select("station", "days_covered", F.aggregate("days", F.lit(0).cast("long"), lambda n, x: n + x["files"]).alias("files"), "last_data_us", "latency_hours")
 
 
-@query(""", d AS (SELECT 'detect' AS stage, day FROM v_picks WHERE k % 2 = 0 UNION ALL SELECT 'catalog', day FROM v_catalog)
+@query(""", d AS (SELECT 'detect' AS stage, day FROM v_picks UNION ALL SELECT 'catalog', day FROM v_catalog)
 SELECT stage, count(DISTINCT day) AS days, strftime(max(day), '%Y-%m-%d') AS last_day, round(100.0e0 * least(count(DISTINCT day), 28) / 28, 6) AS percent FROM d GROUP BY 1""")
 def ag18_progress(v):
-    days = v.picks().where("k % 2 = 0").select(F.lit("detect").alias("stage"), "day").unionAll(v.catalog().select(F.lit("catalog"), "day"))
+    days = v.picks().select(F.lit("detect").alias("stage"), "day").unionAll(v.catalog().select(F.lit("catalog"), "day"))
     out = agg.progress(days, 28)
     return out.select("stage", "days", F.col("last_day").cast("string").alias("last_day"), F.round("percent", 6).alias("percent"))
 
@@ -101,7 +101,7 @@ def jn22_expected_channels(v):
 
 @query()
 def jn21_template_names(v):
-    t = v.catalog().where("k % 3 = 0").select(F.concat(F.lit("ep_t"), F.col("n").cast("string")).alias("template_id"), (F.col("t_us") + 4_000_000).alias("t_us"))
+    t = v.catalog().where("event_type = 'quarry_blast'").select(F.concat(F.lit("ep_t"), F.col("n").cast("string")).alias("template_id"), (F.col("t_us") + 4_000_000).alias("t_us"))
     return joins.plan_template_names(t, v.catalog()).select("template_id", "event_id", "name")
 
 
@@ -114,9 +114,9 @@ def jn23_event_day(v):
 
 
 @query("""SELECT a.event_id, b.event_id AS other_id FROM v_catalog a JOIN v_catalog b ON a.event_id <> b.event_id AND b.t_us BETWEEN a.t_us - 7200000000 AND a.t_us + 7200000000
-WHERE a.k % 4 = 0 AND sqrt(((b.longitude - a.longitude) * 111.19e0 * cos(radians((a.latitude + b.latitude) / 2))) ** 2 + ((b.latitude - a.latitude) * 111.19e0) ** 2) <= 50.0e0""")
+WHERE a.review_status = 'confirmed' AND sqrt(((b.longitude - a.longitude) * 111.19e0 * cos(radians((a.latitude + b.latitude) / 2))) ** 2 + ((b.latitude - a.latitude) * 111.19e0) ** 2) <= 50.0e0""")
 def jn26_near_duplicates(v):
-    return joins.near_duplicates(v.catalog().where("k % 4 = 0"), v.catalog(), 7200, 50)
+    return joins.near_duplicates(v.catalog().where("review_status = 'confirmed'"), v.catalog(), 7200, 50)
 
 
 @query()
@@ -150,11 +150,11 @@ def wn19_skip_duplicates(v):
     return windows.skip_dup_windows(rows, ["station", "phase"], "file")
 
 
-@query(""", s AS (SELECT vec_id // 50 AS chunk, vec_id * 64 + i AS g, samples[i + 1]::DOUBLE AS v FROM (SELECT *, unnest(range(64)) AS i FROM v_traces)), p AS (SELECT vec_id, vec_id // 50 AS chunk, vec_id * 64 + 10 AS g FROM v_traces WHERE vec_id % 5 = 0)
+@query(""", s AS (SELECT vec_id // 50 AS chunk, vec_id * 64 + i AS g, samples[i + 1]::DOUBLE AS v FROM (SELECT *, unnest(range(64)) AS i FROM v_traces)), p AS (SELECT vec_id, vec_id // 50 AS chunk, vec_id * 64 + 10 AS g FROM v_traces)
 SELECT p.vec_id AS pick_id, count(*) = 60 AS "full", round(CASE WHEN count(*) = 60 THEN max(v) ELSE greatest(max(v), 0.0e0) END, 6) AS peak FROM p JOIN s ON s.chunk = p.chunk AND s.g BETWEEN p.g AND p.g + 59 GROUP BY 1""")
 def wn22_pick_windows(v):
     t = segments(v).withColumn("chunk", F.floor(F.col("key") / 50))
-    p = t.where("key % 5 = 0").select(F.col("key").alias("pick_id"), "chunk", (F.col("start_us") + 300_000).alias("t_us"))
+    p = t.select(F.col("key").alias("pick_id"), "chunk", (F.col("start_us") + 300_000).alias("t_us"))
     out = windows.pick_windows(p, t, ["chunk"], 200_000, 400_000, 640_000)
     return out.select("pick_id", "full", F.round(F.array_max("samples").cast("double"), 6).alias("peak"))
 
@@ -165,9 +165,10 @@ def wn23_usable_templates(v):
     return windows.usable_templates(t, 64).select("template_id", "vec_id")
 
 
-@query("SELECT vec_id // 10 AS chunk, min(start_us) AS start_us, count(*) * 64 AS n FROM (SELECT *, vec_id - row_number() OVER (PARTITION BY vec_id // 10 ORDER BY vec_id) AS run FROM v_traces WHERE vec_id % 10 <> 4) GROUP BY vec_id // 10, run")
+@query("SELECT vec_id // 10 AS chunk, min(start_us) + CASE WHEN vec_id % 10 > 4 THEN 320000 ELSE 0 END AS start_us, count(*) * 64 AS n FROM v_traces GROUP BY vec_id // 10, vec_id % 10 > 4")
 def wn14_merge_segments(v):
-    rows = segments(v).where("key % 10 <> 4").withColumn("chunk", F.floor(F.col("key") / 10))
+    gap = F.when(F.col("key") % 10 > 4, 320_000).otherwise(0)
+    rows = segments(v).withColumns({"chunk": F.floor(F.col("key") / 10), "start_us": F.col("start_us") + gap})
     return arrays.merge_segments(rows, ["chunk"]).select("chunk", "start_us", F.size("samples").cast("long").alias("n"))
 
 
@@ -299,3 +300,60 @@ def job25_detail(v):
 def snk07_public(v):
     out = sinks.export_public(v.catalog(), v.assignments(), v.stations(), segments(v), 20, longest_us=640_000)
     return out.select("event_id", "latitude", "depth_km", "num_picks", F.coalesce(F.when(F.col("picks").isNotNull(), F.size("picks")), F.lit(0)).cast("long").alias("n"))
+
+
+@query("""SELECT station, hour, round(least(n / 2.0e0, 1.0e0), 4) AS coverage, CASE WHEN n IS NULL OR n < 2 THEN true ELSE false END AS short
+FROM (SELECT s.station, h.hour, coalesce(p.n, 0) AS n FROM v_stations s CROSS JOIN (SELECT DISTINCT t_us // 3600000000 AS hour FROM v_picks) h
+LEFT JOIN (SELECT station, t_us // 3600000000 AS hour, count(*) AS n FROM v_picks GROUP BY 1, 2) p ON p.station = s.station AND p.hour = h.hour)""")
+def job01_coverage(v):
+    hour = F.floor(F.col("t_us") / 3_600_000_000)
+    got = v.picks().groupBy("station", hour.alias("chunk")).agg(F.count("*").alias("n")).withColumn("channel", F.lit("EHZ"))
+    hours = got.select("chunk").distinct()
+    due = v.stations().select("station").crossJoin(hours).withColumns({"channel": F.lit("EHZ"), "want": F.lit(2.0)})
+    tracker = got.where("n >= 2").select("station", "chunk", F.lit("success").alias("status"), F.lit(1.0).alias("coverage"), F.lit(True).alias("in_window"))
+    out = jobs.coverage_report(due, got, tracker)
+    return out.select("station", F.col("chunk").alias("hour"), "coverage", "short")
+
+
+@query("SELECT strftime(day, '%Y-%m-%d') AS day FROM v_catalog WHERE day >= DATE '2024-01-23' GROUP BY day HAVING sum(k) % 2 = 0")
+def job23_retry(v):
+    days = v.catalog().groupBy("day").agg((F.sum("k") % 2).alias("odd"))
+    out = jobs.retry_plan(days, days.select("day", (1 - F.col("odd")).alias("improved")), F.lit("2024-01-30").cast("date"))
+    return out.select(F.col("day").cast("string").alias("day"))
+
+
+@query("""SELECT vec_id AS key, start_us + CASE vec_id % 3 WHEN 1 THEN 100000 ELSE 0 END AS start_us, 64 - CASE vec_id % 3 WHEN 1 THEN 10 ELSE 0 END AS n FROM v_traces WHERE vec_id % 3 <> 2""")
+def jn18_trim_to_epoch(v):
+    s = segments(v)
+    shift = F.when(F.col("key") % 3 == 0, -1_000_000).when(F.col("key") % 3 == 1, 100_000).otherwise(90_000_000_000)
+    epochs = s.select("key", (F.col("start_us") + shift).alias("epoch_us"), F.lit(None).cast("long").alias("end_us"))
+    return joins.trim_to_epoch(s, epochs).select("key", "start_us", F.size("samples").alias("n"))
+
+
+@query("SELECT DISTINCT strftime(day, '%Y-%m-%d') AS day FROM (SELECT day FROM v_picks UNION ALL SELECT day FROM v_catalog)")
+def set02_days(v):
+    days = v.picks().select("day").union(v.catalog().select("day"))
+    return days.distinct().select(F.col("day").cast("string").alias("day"))
+
+
+@query("SELECT event_id, 'ep' AS source FROM v_primary UNION ALL SELECT event_id, 'po' FROM v_secondary")
+def set07_sources(v):
+    return v.primary().select("event_id", F.lit("ep").alias("source")).unionByName(v.secondary().select("event_id", F.lit("po").alias("source")))
+
+
+@query("""SELECT vec_id // 3 AS chunk, round(coalesce(max(CASE WHEN vec_id % 3 = 0 AND vec_id % 12 <> 3 THEN samples[1] END), max(CASE vec_id % 3 WHEN 2 THEN samples[1] END))::DOUBLE, 6) AS east, round(max(CASE vec_id % 3 WHEN 2 THEN samples[1] END)::DOUBLE, 6) AS up, 64 AS valid
+FROM v_traces GROUP BY 1 HAVING count(*) FILTER (vec_id % 3 = 2) = 1""")
+def arr07_components(v):
+    """One station in four has a pressure channel in place of its east component."""
+    names = F.array(*[F.lit(c) for c in "ENZ"])
+    component = F.when(F.col("key") % 12 == 3, "H").otherwise(names[(F.col("key") % 3).cast("int")])
+    s = segments(v).select(F.floor(F.col("key") / 3).alias("chunk"), component.alias("component"), "samples")
+    s = s.join(s.where("component = 'Z'").select("chunk"), "chunk", "left_semi")
+    out = arrays.assemble_components(s, ["chunk"])
+    at = lambda i: F.round(F.col("components")[i][0].cast("double"), 6)
+    return out.select("chunk", at(0).alias("east"), at(2).alias("up"), F.size(F.filter("valid", lambda x: x)).alias("valid"))
+
+
+@query()
+def arr11_highpass(v):
+    return arrays.highpass(segments(v), ["key"], 2.0).select("key", F.round(F.array_max("samples"), 6).alias("peak"))
