@@ -182,7 +182,7 @@ def arr06_velocity(v):
 @query("SELECT strftime(d.day, '%Y-%m-%d') AS day, h.hour, epoch_us(d.day::TIMESTAMP) + h.hour * 3600000000 AS start_us, greatest(epoch_us(d.day::TIMESTAMP) + h.hour * 3600000000 - 40000000, epoch_us(d.day::TIMESTAMP)) AS padded_start_us FROM (SELECT DISTINCT day FROM v_picks) d, (SELECT unnest(range(24)) AS hour) h")
 def arr09_chunk_grid(v):
     out = arrays.chunk_grid(v.picks().select("day").distinct())
-    return out.select(F.col("day").cast("string").alias("day"), "hour", "start_us", "padded_start_us")
+    return out.select(F.col("day").cast("string").alias("day"), F.col("hour").cast("long").alias("hour"), "start_us", "padded_start_us")
 
 
 @query("SELECT vec_id AS key, 100 AS n, round(coalesce(list_sum(list_transform(samples[greatest(1 - vec_id * 64 + 32, 1):greatest(132 - vec_id * 64, 0)], lambda x: x::DOUBLE)), 0), 4) AS total FROM v_traces")
