@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, read, unused
 
-RULES = {"net/": "allow", "example.net/en/": "block", "example.com/de/": "block", "org/fr/": "allow"}
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 SEED_WORDS = ("casino", "pills", "adult", "bets", "spam", "ads", "porn", "viagra", "loan", "torrent")
 SAMPLE, TREES, DEPTH, PRIOR = 20_000, 10, 3, 10.0
 FEATURES = (

@@ -38,3 +38,15 @@ def test_trees_learn_held_out_urls(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge_urls(df).count() == 0
+
+
+def test_fixed_rules_decide(spark):
+    """Verdicts are written out: the rules are not asked for what they should say."""
+    want = {
+        "http://example.net/fr/1": "block", "http://other.net/": "block", "https://a.example.net/en/1": "allow", "http://example.com/de/1": "block",
+        "http://x.org/fr/2": "allow", "http://badexample.net/en/": "block",
+    }
+    df = spark.createDataFrame([(u,) for u in want], "url string")
+    for label in (0, 1):  # whatever the trees would say
+        labelled = spark.createDataFrame([("http://a.com/", label)], "url string, label int")
+        assert {r.url: r.verdict for r in url_filter.judge_urls(df, labelled).collect()} == want
