@@ -11,10 +11,10 @@ Training: labelled URLs, of which ``SAMPLE`` are expected to be drawn by a hash.
 none are given, URLs of the table are labelled by seed words in their hosts;
 the trees see shape and suffixes, never the words.
 
-Scale: judging is one pass without a shuffle, over the URL column only. Rules stand
-in the plan as a map from host to paths and are looked up by the host's suffixes.
-Suffix statistics are at most as many as the sample has URLs, so the side that
-is broadcast is bounded by ``SAMPLE``.
+Scale: rules stand in the plan as a map from host to paths and are looked up by the
+host's suffixes. Suffix statistics are of all labelled URLs (partial sums, one
+shuffle); only the trees see a sample. Up to ``SAMPLE`` suffixes are broadcast, so
+that judging is one pass without a shuffle; more are joined as Spark sees fit.
 
 Cases: null URL or none with ``://``: host and path empty, no rule, judged by the trees
 like others; a host that is a rule's word but not a suffix at a dot does not fit;
@@ -86,16 +86,22 @@ def lexical_features(rows: DataFrame, url: str, host: str, path: str) -> DataFra
     def number(text: Column, what: str) -> Column:
         return F.regexp_count(text, F.lit(what)).cast("double")
 
-    labels = F.split(h, r"\.", -1)
+    labels = F.size(F.split(h, r"\.", -1))
     values = {
-        "url_length": n, "host_length": F.length(h), "path_length": F.length(p), "depth": number(p, "/"), "labels": F.size(labels),
+        "url_length": n, "host_length": F.length(h), "path_length": F.length(p), "depth": number(p, "/"), "labels": labels,
         "digit_ratio": number(u, "[0-9]") / F.greatest(n, F.lit(1)), "entropy": entropy,
         "parameters": F.when(query == "", 0.0).otherwise(number(query, "&") + 1), "hyphens": number(u, "-"), "dots": number(u, r"\."),
-        "host_hyphens": number(h, "-"), "longest_label": F.array_max(F.transform(labels, F.length)),
+        "host_hyphens": number(h, "-"), "longest_label": F.array_max(F.transform(F.split(h, r"\.", -1), F.length)),
         "fragment": u.contains("#").cast("double"), "secure": u.startswith("https").cast("double"),
     }
     lexical = F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items()])
-    return rows.withColumns({"lexical": lexical, "suffix": F.element_at(labels, -1), "site": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")})
+    return rows.withColumns({"lexical": lexical} | suffixes(h))
+
+
+def suffixes(host: Column) -> dict[str, Column]:
+    """The host's last label, and its last two."""
+    labels = F.split(host, r"\.", -1)
+    return {"suffix": F.element_at(labels, -1), "site": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")}
 
 
 def seed_labels(pages: DataFrame, url: str = "url", words=SEED_WORDS) -> DataFrame:
@@ -104,14 +110,20 @@ def seed_labels(pages: DataFrame, url: str = "url", words=SEED_WORDS) -> DataFra
     return pages.where(F.col(url).contains("://")).select(F.col(url).alias("url"), F.when(F.size(named) > 0, 1).otherwise(0).alias("label"))
 
 
+def _hinted(side: DataFrame, most: int = SAMPLE) -> DataFrame:
+    return F.broadcast(side) if side.limit(most + 1).count() <= most else side
+
+
 class UrlModel:
     """Trees and suffix statistics, or a constant verdict where labels are of one kind."""
 
     def __init__(self, trees, suffixes: DataFrame | None, sites: DataFrame | None, base: float):
         self.trees, self.suffixes, self.sites, self.base = trees, suffixes, sites, base
+        self.sides = [(by, _hinted(side)) for by, side in (("suffix", suffixes), ("site", sites)) if side is not None]
 
     def vectors(self, rows: DataFrame) -> DataFrame:
-        rows = rows.join(F.broadcast(self.suffixes), "suffix", "left").join(F.broadcast(self.sites), "site", "left")
+        for by, side in self.sides:
+            rows = rows.join(side, by, "left")
         flat = rows.withColumns(
             {f"f_{x}": F.col(f"lexical.{x}") for x in FEATURES[:-2]}
             | {"f_suffix_rate": F.coalesce("suffix_rate", F.lit(self.base)), "f_site_rate": F.coalesce("site_rate", F.lit(self.base))}
@@ -122,23 +134,25 @@ class UrlModel:
 def train(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH) -> UrlModel:
     """From ``labelled(url, label)``: 1 block, 0 allow; nulls are left out."""
     rows = labelled.where("url is not null and label is not null").select("url", F.col("label").cast("double").alias("label"))
-    n = rows.count()
-    draw = F.pmod(F.xxhash64("url", F.lit("urls")), F.lit(1 << 30)) < F.lit(int(min(1.0, sample / max(n, 1)) * (1 << 30)))
-    drawn = lexical_features(
-        rows.where(draw).withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))}), "url", "host", "path"
-    )
-    drawn = cut(drawn.select("label", "lexical", "suffix", "site"))
-    blocked, every = drawn.agg(F.coalesce(F.sum("label"), F.lit(0.0)), F.count("*")).first()
-    base = blocked / every if every else 0.0
+    rows = rows.withColumn("host", url_host(F.col("url")))
+    counts = [F.sum("label").alias("blocked"), F.count("*").alias("n")]
+    by_site = cut(rows.withColumns(suffixes(F.col("host"))).groupBy("suffix", "site").agg(*counts))
+    blocked, n = by_site.agg(F.coalesce(F.sum("blocked"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    base = blocked / n if n else 0.0
     if base in (0.0, 1.0):
         return UrlModel(None, None, None, base)
 
-    def rate(by: str, name: str) -> DataFrame:
-        return cut(drawn.groupBy(by).agg(((F.sum("label") + PRIOR * base) / (F.count("*") + PRIOR)).alias(name)))
+    def rate(by: str) -> DataFrame:
+        return cut(by_site.groupBy(by).agg(((F.sum("blocked") + PRIOR * base) / (F.sum("n") + PRIOR)).alias(f"{by}_rate")))
 
-    model = UrlModel(None, rate("suffix", "suffix_rate"), rate("site", "site_rate"), base)
+    model = UrlModel(None, rate("suffix"), rate("site"), base)
+    draw = F.pmod(F.xxhash64("url", F.lit("urls")), F.lit(1 << 30)) < F.lit(int(min(1.0, sample / n) * (1 << 30)))
+    drawn = lexical_features(rows.where(draw).withColumn("path", url_path(F.col("url"))), "url", "host", "path")
+    fit = cut(model.vectors(drawn).select("label", "features"))
+    if fit.isEmpty():  # few different URLs, none drawn
+        return UrlModel(None, None, None, float(base >= 0.5))
     classifier = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, seed=7, cacheNodeIds=False, checkpointInterval=-1)
-    model.trees = classifier.fit(cut(model.vectors(drawn).select("label", "features")))
+    model.trees = classifier.fit(fit)
     return model
 
 

@@ -50,3 +50,14 @@ def test_fixed_rules_decide(spark):
     for label in (0, 1):  # whatever the trees would say
         labelled = spark.createDataFrame([("http://a.com/", label)], "url string, label int")
         assert {r.url: r.verdict for r in url_filter.judge_urls(df, labelled).collect()} == want
+
+
+def test_suffix_rates_cover_all_labelled_urls(spark):
+    """400 sites, 20 URLs drawn: every site has its rate, over all of its URLs."""
+    rows = [(f"http://h{j}.s{i}.t{i % 2}/p{j}", int(i % 4 == 0)) for i in range(400) for j in range(2)]
+    model = url_filter.train(spark.createDataFrame(rows, "url string, label int"), sample=20)
+    base, prior = 0.25, url_filter.PRIOR
+    assert {r.site: round(r.site_rate, 9) for r in model.sites.collect()} == {
+        f"s{i}.t{i % 2}": round((2 * (i % 4 == 0) + prior * base) / (2 + prior), 9) for i in range(400)}
+    assert {r.suffix: round(r.suffix_rate, 9) for r in model.suffixes.collect()} == {
+        "t0": round((200 + prior * base) / (400 + prior), 9), "t1": round(prior * base / (400 + prior), 9)}
