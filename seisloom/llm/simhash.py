@@ -193,13 +193,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents without near duplicates: of each component the one of the
-    smallest id, once; all columns stay."""
-    found = near_duplicates(docs, doc_id, text, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    key, n = unused(docs, "kept_"), unused(docs, "row_")
-    kept = found.select(F.col("doc_id").alias(key)).distinct()
-    rows = docs.join(kept, F.col(doc_id).eqNullSafe(F.col(key)), "left_semi")
-    once = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
+    """The documents without near duplicates: of each component of fingerprints the one of the
+    smallest id, then of the smallest hash of its text, once; null ids come last, and
+    all columns stay. Ids need not be unique: documents are told apart by id and text."""
+    h, key, n = (unused(docs, x) for x in ("hash_", "kept_", "row_"))
+    hashed = F.xxhash64(as_bytes(F.col(text)))
+    named = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), hashed.alias("hash"))
+    found = near_duplicates(docs.select(named.alias("doc_id"), F.col(text).alias("text")), **options)
+    kept = found.select(F.col("component_id.id").alias(key), F.col("component_id.hash").alias(h)).distinct()
+    rows = docs.join(kept, (hashed == F.col(h)) & F.col(doc_id).eqNullSafe(F.col(key)), "left_semi")
+    rest = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    once = Window.partitionBy(doc_id, hashed).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in rest]))  # equal documents only
     return rows.withColumn(n, F.row_number().over(once)).where(F.col(n) == 1).drop(n)
 
 

@@ -98,3 +98,18 @@ def test_components(spark, docs, empty):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == docs.columns and ids.count(2) == 0 and ids.count(1) == 1 and ids.count(3) == 1 and 4 not in ids
     assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_keep_one_tells_documents_apart_by_id_and_text(spark):
+    def prose(seed):
+        draw = random.Random(seed)
+        return " ".join(f"w{draw.randrange(10_000)}" for _ in range(200))
+
+    unlike = [(None, prose(i), i) for i in range(60)]  # no ids, nothing alike
+    one_id = [(7, prose(100), 100), (7, prose(101), 101)]  # two documents of one id
+    near = [(None, prose(200), 200), (9, prose(200), 201), (8, prose(200), 202), (8, prose(200), 203)]  # copies: the smallest id, once
+    no_ids = [(None, prose(300), 300), (None, prose(300), 301)]
+    out = simhash.keep_one(spark.createDataFrame(unlike + one_id + near + no_ids, "doc_id long, text string, n int"))
+    kept = sorted(r.n for r in out.collect())
+    assert kept[:62] == [*range(60), 100, 101] and len(kept) == 64
+    assert kept[62] in (202, 203) and kept[63] in (300, 301)
