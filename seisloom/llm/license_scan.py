@@ -1,25 +1,27 @@
 """License scans by conditional compression (operator 4).
 
-Blocks (lines, and runs of up to ``SPAN`` lines around one) that hold a cue word
-are compressed with zstandard alone and with each template as a raw dictionary.
-Templates rank by the share of the block that the dictionary saves; the best
-``TOP`` are confirmed by the exact wording: a block is a template's if at most
+Around each cue word a block of words, as many on each side as the longest template
+has, is compressed with zstandard alone and with each template as a raw dictionary.
+Every template whose dictionary saves ``LEAST_GAIN`` of the template's own compressed size,
+and every one of fewer than ``SHORT`` words, where a few bytes tell nothing,
+is confirmed by the exact wording: a stretch of the block is the template's if at most
 ``ALLOWED`` of the template's words differ, and the differences are reported.
 
 Scale: cue words are sought by Spark in the whole text, so only documents with one
-reach Python; the work for each is its cue lines times the templates, and a task
+reach Python; the work for each is its cue words times the templates, and a task
 holds an Arrow batch. No shuffle.
 
-Cases: null and empty texts have no blocks; upper case and white space do not
-matter; a line without cue words is in no block of its own; of overlapping blocks with
-one template the closest wording wins, then the earliest; repeated rows repeat.
+Cases: null and empty texts have no blocks; upper case and white space, line breaks
+too, do not matter; the line is that of the match's first cue word; of overlapping
+matches the one with most words less twice the differences wins, then the
+earliest, and all that do not overlap are reported; repeated rows repeat.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from functools import lru_cache
 
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, read
 
-SPAN, TOP, ALLOWED, LEAST_GAIN = 3, 3, 0.2, 0.15
+ALLOWED, LEAST_GAIN, SHORT = 0.2, 0.1, 10
 CUES = r"(?i)licen[sc]e|copyright|permission is hereby|redistribut|public domain|all rights reserved|without warrant"
 #: Wordings by which public licenses are declared.
 TEMPLATES = {
@@ -61,8 +63,10 @@ class Scanner:
     def __init__(self, templates: dict[str, str]):
         import zstandard
 
-        self.words = {name: words(t) for name, t in templates.items()}
+        self.words = {name: w for name, t in templates.items() if (w := words(t))}
+        self.reach = max(map(len, self.words.values()), default=0)
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
+        self.size = {name: len(self.plain.compress(" ".join(w).encode())) for name, w in self.words.items()}
         self.with_template = {
             name: zstandard.ZstdCompressor(
                 level=3, write_content_size=False,
@@ -71,59 +75,86 @@ class Scanner:
             for name, w in self.words.items()
         }
 
-    def rank(self, block: list[str]) -> list[tuple[float, str]]:
-        """(share saved, template), the best first."""
+    def gains(self, block: list[str]) -> list[tuple[float, str]]:
+        """(bytes saved as a share of the template's size, template)."""
         data = " ".join(block).encode()
         alone = len(self.plain.compress(data))
-        gains = [(1 - len(c.compress(data)) / alone, name) for name, c in self.with_template.items()]
-        return sorted(gains, key=lambda g: (-g[0], g[1]))
+        return [((alone - len(c.compress(data))) / self.size[name], name) for name, c in self.with_template.items()]
 
-    def differences(self, block: list[str], name: str) -> tuple[int, list[str]]:
-        """Words that differ within the part of the block that faces the template."""
+    def stretches(self, block: list[str], name: str) -> list[tuple[int, int, int]]:
+        """(words that differ, first, end) of the closest stretch of the block for each end that is close enough."""
         want = self.words[name]
-        steps = SequenceMatcher(None, want, block, autojunk=False).get_opcodes()
-        while steps and steps[0][0] == "insert":
-            steps = steps[1:]
-        while steps and steps[-1][0] == "insert":
-            steps = steps[:-1]
-        n, told = 0, []
-        for kind, a, b, c, d in steps:
-            if kind != "equal":
-                n += max(b - a, d - c)
-                told.append(f"{' '.join(want[a:b])} > {' '.join(block[c:d])}")
-        return n, told
+        cost, first, out = list(range(len(want) + 1)), [0] * (len(want) + 1), []
+        for j, word in enumerate(block):
+            below, at = [0], [j + 1]
+            for i, w in enumerate(want):
+                n, k = min((cost[i] + (w != word), -first[i]), (cost[i + 1] + 1, -first[i + 1]), (below[i] + 1, -at[i]))
+                below.append(n)
+                at.append(-k)
+            cost, first = below, at
+            if cost[-1] <= ALLOWED * len(want):
+                out.append((cost[-1], first[-1], j + 1))
+        return out
+
+    def differences(self, got: list[str], name: str) -> list[str]:
+        """What differs between the template and a stretch, by a least number of changed words."""
+        want = self.words[name]
+        left = [[0] * (len(got) + 1) for _ in range(len(want) + 1)]  # of what is still to come
+        for i in range(len(want), -1, -1):
+            for j in range(len(got), -1, -1):
+                if i < len(want) and j < len(got):
+                    left[i][j] = min(left[i + 1][j + 1] + (want[i] != got[j]), left[i + 1][j] + 1, left[i][j + 1] + 1)
+                else:
+                    left[i][j] = len(want) - i + len(got) - j
+        i = j = a = c = 0
+        told = []
+        while True:
+            over = i == len(want) and j == len(got)
+            if over or (i < len(want) and j < len(got) and want[i] == got[j] and left[i][j] == left[i + 1][j + 1]):
+                if (a, c) != (i, j):
+                    told.append(f"{' '.join(want[a:i])} > {' '.join(got[c:j])}")
+                if over:
+                    return told
+                i, j = i + 1, j + 1
+                a, c = i, j
+            elif i < len(want) and j < len(got) and left[i][j] == left[i + 1][j + 1] + 1:
+                i, j = i + 1, j + 1
+            elif i < len(want) and left[i][j] == left[i + 1][j] + 1:
+                i += 1
+            else:
+                j += 1
 
     def scan(self, text: str) -> list[tuple]:
-        """(line, template, gain, words that differ, the differences) of confirmed blocks."""
-        lines, best = text.split("\n"), {}
-        cue = [i for i, line in enumerate(lines) if _CUES.search(line)]
-        for i in cue:
-            for first, last in {(i, i + 1), (i, i + SPAN), (max(0, i - SPAN + 1), i + 1)}:
-                block = words("\n".join(lines[first:last]))
-                if not block:
+        """(line, template, gain, words that differ, the differences) of confirmed matches."""
+        text = text.lower()
+        at = [m.start() for m in _WORDS.finditer(text)]
+        every = words(text)
+        cues = sorted({max(0, bisect_right(at, m.start()) - 1) for m in _CUES.finditer(text)}) if at else []
+        found: dict[tuple, float] = {}
+        for cue in cues:
+            first = max(0, cue - self.reach)
+            block = every[first : cue + self.reach + 1]
+            held = set(block)
+            for gain, name in self.gains(block):
+                want = self.words[name]
+                if gain < LEAST_GAIN and len(want) >= SHORT:
+                    continue
+                if sum(w not in held for w in want) > ALLOWED * len(want):  # each differs
                     continue
-                around = [w for w in self._near(block)]
-                for gain, name in self.rank(around)[:TOP]:
-                    if gain < LEAST_GAIN:
-                        break
-                    n, told = self.differences(around, name)
-                    if n <= ALLOWED * len(self.words[name]):
-                        found = (n, i, -gain, name, told)
-                        best[i, name] = min(best.get((i, name), found), found)
-        out, seen = [], set()
-        for n, i, gain, name, told in sorted(best.values()):
-            if i not in seen:  # the closest wording of the line
-                seen.add(i)
-                out.append((i, name, -gain, n, told))
-        return sorted(out)
-
-    def _near(self, block: list[str]) -> list[str]:
-        """Words of the block around its cue words, where templates can lie."""
-        reach = max(map(len, self.words.values()))
-        at = [i for i, w in enumerate(block) if _CUES.search(w) or w in ("permission", "public", "rights", "warranty")]
-        if not at:
-            return block
-        return block[max(0, at[0] - reach) : at[-1] + reach]
+                for n, a, b in self.stretches(block, name):
+                    key = (2 * n - len(self.words[name]), first + a, first + b, name, n)
+                    found[key] = max(found.get(key, gain), gain)
+        out, taken = [], []  # taken: sorted (first, end) without overlaps
+        for key in sorted(found):
+            _, a, b, name, n = key
+            k = bisect_left(taken, (a, b))
+            if (k and taken[k - 1][1] > a) or (k < len(taken) and taken[k][0] < b):
+                continue
+            taken.insert(k, (a, b))
+            cue = bisect_left(cues, a)
+            start = cues[cue] if cue < len(cues) and cues[cue] < b else a
+            out.append((a, text.count("\n", 0, at[start]), name, found[key], n, self.differences(every[a:b], name)))
+        return [row[1:] for row in sorted(out)]
 
 
 @lru_cache(maxsize=4)
@@ -132,7 +163,7 @@ def _scanner(templates: tuple) -> Scanner:
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``(doc_id, line, license, gain, n_differences, differences)`` for each confirmed block."""
+    """``(doc_id, line, license, gain, n_differences, differences)`` for each confirmed match."""
     key = tuple((templates or TEMPLATES).items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

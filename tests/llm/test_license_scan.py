@@ -1,3 +1,5 @@
+import random
+
 from seisloom.llm import license_scan
 
 
@@ -24,3 +26,36 @@ def test_wording_differences_decide(spark):
 
 def test_cases(docs, empty):
     assert license_scan.scan_licenses(docs).count() == 0 and license_scan.scan_licenses(empty).count() == 0
+
+
+def prose(seed, n):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices("abcdefghilmnoprstu", k=draw.randrange(2, 10))) for _ in range(n))
+
+
+def test_exact_wordings_inside_long_lines(spark):
+    """Each template with 40 words on each side and far cue-like words in the same line."""
+    names = list(license_scan.TEMPLATES)
+    rows = [(i, f"public rights {prose(i, 40)} {t} {prose(i + 50, 40)} permission license") for i, t in enumerate(license_scan.TEMPLATES.values())]
+    out = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license for r in out if r.n_differences == 0} == dict(enumerate(names))
+
+
+def test_all_licenses_of_a_line(spark):
+    t = license_scan.TEMPLATES
+    rows = [(1, f"{t['MIT']} {t['GPL-3.0']} {prose(1, 90)} {t['MIT']}"), (2, t["MIT text"].replace(" ", "\n"))]
+    out = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.license for r in out if r.doc_id == 1] == ["MIT", "GPL-3.0", "MIT"]
+
+
+def test_the_bound_on_bytes_loses_no_allowed_wording():
+    scanner, draw = license_scan.Scanner(license_scan.TEMPLATES), random.Random(3)
+    for name, want in scanner.words.items():
+        for trial in range(60):
+            got = list(want)
+            for i in draw.sample(range(len(want)), int(license_scan.ALLOWED * len(want))):
+                got[i] = prose(trial * 100 + i, 1)
+            block = prose(trial, 29).split() + got + prose(trial + 900, 29).split()
+            gain = dict((n, g) for g, n in scanner.gains(block))[name]
+            assert gain >= license_scan.LEAST_GAIN or len(want) < license_scan.SHORT, (name, got)
+            assert any(29 <= a < b <= 29 + len(want) for _, a, b in scanner.stretches(block, name))
