@@ -136,23 +136,25 @@ def compare_locations(a: DataFrame, b: DataFrame) -> DataFrame:
     return rows.select("event_id", F.hypot(dx, dy).alias("offset_km"), (F.col("depth_km_b") - F.col("depth_km_a")).alias("depth_offset_km"))
 
 
-def associate(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, window_s: float = 1.5, least_stations: int = 3, least_p: int = 3, least_s: int = 1, rounds: int = 5) -> DataFrame:
+def associate(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, window_s: float = 1.5, least_stations: int = 3, least_p: int = 3, least_s: int = 1) -> DataFrame:
     """``(event, t0, x, y, z, pick_id)``: back-projection votes in place of a mixture model.
 
     Every pick votes at every node (``x, y, z``) for the origin time ``t_s - t``, in two half-shifted bins; the node and bin with
-    most stations wins over all that overlap it in time, its picks are taken and the rest vote again.
+    most stations wins over all that overlap it in time, its picks are taken and the rest vote again, until no
+    node and bin has votes enough. Votes only go, so a bin that falls short once is left out of later rounds.
     """
     pairs = picks.join(small(nodes))
     d = F.hypot(F.col("x") - F.col("sx"), F.col("y") - F.col("sy"))
     votes = tt_lookup(pairs.withColumns({"distance_km": d, "depth_km": F.col("z")}), tt, depth_step, distance_step).where("t is not null")
     votes = votes.select("pick_id", "station", "phase", "x", "y", "z", (F.col("t_s") - F.col("t")).alias("origin")).checkpoint()
-    found = None
-    for round_ in range(rounds):
-        binned = votes.withColumn("half", F.explode(F.array(F.lit(0.0), F.lit(0.5)))).withColumn("bin", F.floor(F.col("origin") / window_s + F.col("half")))
+    half = F.explode(F.array(F.lit(0.0), F.lit(0.5)))
+    binned = votes.withColumn("half", half).withColumn("bin", F.floor(F.col("origin") / window_s + F.col("half")))
+    found, round_, where = None, 0, ["x", "y", "z", "half", "bin"]
+    while True:
         score = binned.groupBy("x", "y", "z", "half", "bin").agg(
             F.countDistinct("station").alias("stations"), F.countDistinct(F.when(F.col("phase") == "P", F.col("pick_id"))).alias("p"),
             F.countDistinct(F.when(F.col("phase") == "S", F.col("pick_id"))).alias("s"), F.avg("origin").alias("t0"), F.stddev_pop("origin").alias("spread"),
-        ).where((F.col("stations") >= least_stations) & (F.col("p") >= least_p) & (F.col("s") >= least_s))
+        ).where((F.col("stations") >= least_stations) & (F.col("p") >= least_p) & (F.col("s") >= least_s)).checkpoint()
         # the best of every stretch of time, and only if no better one is in a stretch beside it
         stretch = F.floor(F.col("t0") / 30.0)
         rank = F.struct(-(F.col("p") + F.col("s")), F.col("spread"), F.col("t0"), F.col("x"), F.col("y"), F.col("z"))
@@ -162,11 +164,12 @@ def associate(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: flo
         won = best.join(beaten, "st", "left_anti").select("st", "b.v.*").checkpoint()
         if won.isEmpty():
             break
-        members = binned.join(won.select("x", "y", "z", "half", "bin", "t0", "st"), ["x", "y", "z", "half", "bin"])
+        members = binned.join(won.select(*where, "t0", "st"), where)
         taken = members.select(F.concat(F.lit(f"{round_}:"), F.col("st").cast("string")).alias("event"), "t0", "x", "y", "z", "pick_id")
         taken = taken.dropDuplicates(["pick_id"]).checkpoint()
         found = taken if found is None else found.unionAll(taken)
-        votes = votes.join(taken.select("pick_id"), "pick_id", "left_anti").checkpoint()
+        binned = binned.join(score.select(*where), where, "left_semi").join(taken.select("pick_id"), "pick_id", "left_anti").checkpoint()
+        round_ += 1
     if found is None:
         return votes.select(F.lit("").alias("event"), F.col("origin").alias("t0"), "x", "y", "z", "pick_id").where("false")
     return found

@@ -241,9 +241,10 @@ def table(v, depth_step: int = 5, distance_step: int = 5):
 @query()
 def job04_associate(v):
     picks = v.picks().join(placed(v), ["network", "station"]).select("pick_id", "station", "phase", "sx", "sy", (F.col("t_us") / 1e6).alias("t_s"))
-    side = F.explode(F.sequence(F.lit(-40), F.lit(40), F.lit(20)))
-    nodes = v.spark.range(1).withColumn("x", side).withColumn("y", side).select(F.col("x").cast("double"), F.col("y").cast("double"), F.lit(5.0).alias("z"))
-    return location.associate(picks, nodes, table(v), 5, 5, 30.0, 3, 2, 1, 2).select("event", "pick_id", F.round("t0", 3).alias("t0"))
+    side = F.explode(F.sequence(F.lit(-40), F.lit(40), F.lit(10)))
+    nodes = v.spark.range(1).withColumn("x", side).withColumn("y", side).withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(20), F.lit(10))))
+    nodes = nodes.select(*[F.col(c).cast("double") for c in "xyz"])
+    return location.associate(picks, nodes, table(v), 5, 5, 30.0, 3, 2, 1).select("event", "pick_id", F.round("t0", 3).alias("t0"))
 
 
 @query()

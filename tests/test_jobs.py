@@ -222,3 +222,15 @@ def test_extract_picks(spark):
     rows = spark.createDataFrame([("k", 0, 10.0, [0.0, 0.6, 0.2, 0.9, 0.9, 0.1, 0.0, 0.0, 0.7, 0.3])], "key string, start_us long, rate double, prob array<double>")
     out = arrays.extract_picks(rows, ["key"], 0.5, 300_000)
     assert sorted((r.t_us, r.probability) for r in out.collect()) == [(300_000, 0.9), (800_000, 0.7)]
+
+
+def test_associate_runs_until_no_votes_qualify(spark):
+    """Nine events 3 s apart at one node: one a round is found in a stretch of 30 s, and none is dropped."""
+    tt = location.build_tt(spark.range(0, 21, 5).select(F.col("id").cast("double").alias("depth_km")), spark.range(0, 101, 5).select(F.col("id").cast("double").alias("distance_km"))).checkpoint()
+    rows = [(f"{e}{s}{p}", s, p, x, y, 300.0 + 3 * e) for e in range(9) for s, x, y in (("A", 10.0, 0.0), ("B", 0.0, 10.0), ("C", -10.0, 0.0), ("D", 0.0, -10.0)) for p in "PS"]
+    picks = spark.createDataFrame(rows, "pick_id string, station string, phase string, sx double, sy double, o double")
+    picks = location.tt_lookup(picks.withColumns({"distance_km": F.lit(10.0), "depth_km": F.lit(5.0)}), tt, 5, 5).withColumn("t_s", F.col("o") + F.col("t")).drop("o", "t", "distance_km", "depth_km")
+    nodes = spark.createDataFrame([(0.0, 0.0, 5.0)], "x double, y double, z double")
+    out = location.associate(picks, nodes, tt, 5, 5).collect()
+    assert len({r.event for r in out}) == 9 and len(out) == 72
+    assert all(abs(r.t0 - 300 - 3 * int(r.pick_id[0])) < 0.01 for r in out)
