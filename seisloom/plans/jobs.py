@@ -133,7 +133,7 @@ def arr16_spectrogram(v):
 def arr17_match(v):
     s = v.traces().select(F.floor(F.col("vec_id") / 50).alias("chunk"), F.lit("EHZ").alias("channel"), "vec_id", "samples")
     s = s.groupBy("chunk", "channel").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("vec_id", "samples"))), lambda x: x["samples"])).alias("samples"))
-    t = v.traces().where("vec_id % 97 = 0").select(F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("template_id"), F.lit("EHZ").alias("channel"), F.lit(0).alias("offset"), "samples")
+    t = v.traces().where("vec_id % 50 = 0").select(F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("template_id"), F.lit("EHZ").alias("channel"), F.lit(0).alias("offset"), "samples")
     return arrays.match_templates(s, t, 8.0).select("template_id", "chunk", "idx", F.round("cc", 4).alias("cc"))
 
 

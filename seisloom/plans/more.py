@@ -249,13 +249,13 @@ def job04_associate(v):
 
 @query()
 def job18_relocate(v):
-    out, _ = jobs.relocate(v.assignments(), v.stations(), table(v), 5, 5, passes=((16.0, 10.0), (8.0, 5.0)))
+    out, _ = jobs.relocate(v.assignments(), v.stations(), table(v), 5, 5)
     return out.select("event_id", "latitude", "longitude", "depth_km", "magnitude", "num_picks", "num_ml_sta")
 
 
 @query()
 def job17_residuals(v):
-    _, left = jobs.relocate(v.assignments(), v.stations(), table(v), 5, 5, passes=((16.0, 10.0), (8.0, 5.0)))
+    _, left = jobs.relocate(v.assignments(), v.stations(), table(v), 5, 5)
     return left.select("event_id", "station", "phase", F.round("residual_s", 4).alias("residual_s"))
 
 

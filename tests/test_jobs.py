@@ -234,3 +234,27 @@ def test_associate_runs_until_no_votes_qualify(spark):
     out = location.associate(picks, nodes, tt, 5, 5).collect()
     assert len({r.event for r in out}) == 9 and len(out) == 72
     assert all(abs(r.t0 - 300 - 3 * int(r.pick_id[0])) < 0.01 for r in out)
+
+
+def test_relocation_and_templates_are_registered_whole(spark, monkeypatch):
+    """The production passes, and every id divisible by 50 as a template."""
+    from seisloom.plans import registry
+
+    calls = {}
+
+    def relocate(*args, **grid):
+        calls["grid"] = grid
+        raise InterruptedError
+
+    def match(segments, templates, *args):
+        calls["templates"] = templates
+        raise InterruptedError
+
+    monkeypatch.setattr(jobs, "relocate", relocate)
+    monkeypatch.setattr("seisloom.operators.arrays.match_templates", match)
+    for name in ("job18_relocate", "job17_residuals", "arr17_match"):
+        with pytest.raises(InterruptedError):
+            registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert calls.get("grid") == {}
+    ids = {r.vec_id for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id").collect()}
+    assert {r.template_id for r in calls["templates"].collect()} == {f"t{i}" for i in ids if i % 50 == 0}
