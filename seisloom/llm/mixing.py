@@ -15,7 +15,8 @@ Only the table of sources (one row each, from the aggregate) is ordered as a who
 
 Cases: null text has size 0; null doc_id has the key of the empty text; rows
 with equal ids are told apart by size only, equal rows are interchangeable;
-sources without words get target 0 and give nothing; empty input, empty output.
+sources without words get target 0 and give nothing; columns of any other name
+stay as they are; empty input, empty output.
 """
 
 from __future__ import annotations
@@ -60,38 +61,32 @@ def mix_sources(
     those names are replaced."""
     spark = docs.sparkSession
     bits = max(4, (partitions(spark) - 1).bit_length())
-    names = {x: unused(docs, x + "_") for x in ("src", "null", "key", "bucket", "words", "tie")}
-    src, null, key, bucket, words, tie = names.values()
     number = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(seed))), 1, 15), 16, 10)
     new = ("size", "source_size", "target", "taken")
     carry = [c for c in (carry or docs.columns) if c.lower() not in new]
-    rows = docs.select(
-        *[F.col(f"`{c}`") for c in carry],
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias(src),
-        F.col(source).isNull().alias(null),
-        number.cast("long").alias(key),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias(words),
-        F.col(doc_id).alias(tie),
-    ).withColumn(bucket, F.shiftright(key, 60 - bits))
-    place = [src, null, bucket]
-    sums = cut(rows.groupBy(*place).agg(F.sum(words).alias("words")))
-    totals = sums.groupBy(F.col(src).alias("src"), F.col(null).alias("src_null")).agg(F.sum("words").alias("words"))
-    targets = source_targets(totals, weights, share, limit)
-    site = Window.partitionBy(src, null).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sums.withColumn("before", F.coalesce(F.sum("words").over(site), F.lit(0)))
-        .drop("words")
-        .join(targets.select(F.col("src").alias(src), F.col("src_null").alias(null), F.col("words").alias("source_size"), "target"), [src, null])
-    )
-    run = Window.partitionBy(*place).orderBy(key, tie, words).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(offsets, place).withColumn("end", F.col("before") + F.sum(words).over(run))
-    size, budget = F.col(words), F.floor("target")
+    rows = docs.select(  # the caller's columns in a struct, so that none clashes
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]).alias("held"),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"),
+        F.col(source).isNull().alias("src_null"),
+        number.cast("long").alias("key"),
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.col(doc_id).alias("tie"),
+    ).withColumn("bucket", F.shiftright("key", 60 - bits))
+    site, place = ["src", "src_null"], ["src", "src_null", "bucket"]
+    sums = cut(rows.groupBy(*place).agg(F.sum("size").alias("words")))
+    totals = sums.groupBy(*site).agg(F.sum("words").alias("words"))
+    targets = source_targets(totals, weights, share, limit).withColumnRenamed("words", "source_size")
+    earlier = Window.partitionBy(*site).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words").join(targets, site)
+    run = Window.partitionBy(*place).orderBy("key", "tie", "size").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(offsets, place).withColumn("end", F.col("before") + F.sum("size").over(run))
+    size, budget = F.col("size"), F.floor("target")
     passes = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - passes * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(size, rest - (F.col("end") - size)))
     return out.select(
-        *[F.col(f"`{c}`") for c in carry],
-        size.alias("size"), "source_size", "target", (passes * size + part).cast("long").alias("taken"),
+        *[F.col(f"held.c{i}").alias(c) for i, c in enumerate(carry)],
+        "size", "source_size", "target", (passes * size + part).cast("long").alias("taken"),
     )
 
 
@@ -106,7 +101,7 @@ def take_documents(mixed: DataFrame) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return mix_sources(docs, carry=["doc_id", "source"])
+    return mix_sources(docs, carry=["doc_id", "source"]).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 ORACLE = f"""
@@ -124,6 +119,6 @@ c AS (SELECT s.doc_id, s.source, s.size, g.words AS source_size, g.target,
   sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size ROWS UNBOUNDED PRECEDING) AS e
   FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(floor(target) / source_size)::BIGINT ELSE 0 END AS n FROM c)
-SELECT doc_id, source, size, source_size, target,
-  (n * size + greatest(0, least(size, floor(target)::BIGINT - n * source_size - (e - size))))::BIGINT AS taken FROM p
+SELECT doc_id, size, source_size, target,
+  (n * size + greatest(0, least(size, floor(target)::BIGINT - n * source_size - (e - size))))::BIGINT AS taken, source FROM p
 """

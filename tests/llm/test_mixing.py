@@ -61,3 +61,24 @@ def test_cases(docs, empty):
     assert whole.columns == docs.columns
     counted = whole.groupBy("doc_id").agg(F.count("*").alias("n")).collect()
     assert max(r.n for r in counted) <= 4 and mixing.mix_sources(empty).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    inside = ["held", "src", "src_null", "key", "tie", "bucket", "before", "end", "words", "level", "w", "cap", "END", "Key_"]
+    inside = [c for i, c in enumerate(inside) if c.lower() not in [x.lower() for x in inside[:i]]]
+    rows = [(i, f"s{i % 3}", "w " * (i % 11), *[f"{c}{i}" for c in inside]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, " + ", ".join(f"`{c}` string" for c in inside))
+    out = mixing.mix_sources(df)
+    assert out.columns == [*df.columns, "size", "source_size", "target", "taken"]
+    assert sorted(tuple(r)[: len(df.columns)] for r in out.collect()) == rows
+    check([r[:3] for r in rows], out.collect())
+
+
+def test_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    out = mixing.op3_mixing(spark, sf)
+    assert out.columns == ["doc_id", "size", "source_size", "target", "taken", "source"]
+    assert sorted(map(tuple, out.collect())) == sorted(duckdb.sql(mixing.ORACLE).fetchall())
