@@ -3,13 +3,16 @@
 The rank file is a local file of every machine (its path is a parameter). Texts
 are encoded whole: a text over ``PIECE`` characters is cut before a white-space
 character that follows another character, where no match of the pattern can
-reach across, so the pieces' ids joined are those of the whole text. Ids decode
+reach across, so the pieces' ids joined are those of the whole text. A run of
+``RUN`` white-space characters and more, for which the pattern's engine would need
+memory as its length, is found here: one match of the pattern is the run without its last
+character, or all of it at the end of the text, and goes to the merges as it is. Ids decode
 to raw bytes, which need not be whole characters.
 
 Scale: one pass without a shuffle; a task holds an Arrow batch and the ids of one text.
 
 Cases: null text is the empty text and gives no ids; a text without white space
-is one piece however long; strings of special tokens are ordinary text.
+is one piece however long, and a run of white space one match; strings of special tokens are ordinary text.
 """
 
 from __future__ import annotations
@@ -26,10 +29,13 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, read
 
-PIECE = 1 << 16
+PIECE, RUN = 1 << 16, 1 << 10
 #: A fixed value: the pre-splitting pattern of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _EDGE = re.compile(r"(?<=\S)[ \n]")
+#: A fixed value: the characters of Unicode's property White_Space, as ``\s`` of the pattern has them.
+_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG_RUN = re.compile(f"(?<![{_SPACE}])[{_SPACE}]{{{RUN},}}")
 
 
 def default_ranks() -> str:
@@ -56,8 +62,16 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
 
 
 def encode(text: str, ranks: str, size: int = PIECE) -> list[int]:
-    e = encoding(ranks)
-    return [i for p in pieces(text, size) for i in e.encode_ordinary(p)]
+    e, ids, start = encoding(ranks), [], 0
+    for run in _LONG_RUN.finditer(text) if len(text) >= RUN else ():
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        for p in pieces(text[start : run.start()], size):
+            ids += e.encode_ordinary(p)
+        ids += e._encode_single_piece(text[run.start() : stop])
+        start = stop
+    for p in pieces(text[start:] if start else text, size):
+        ids += e.encode_ordinary(p)
+    return ids
 
 
 def encode_documents(docs: DataFrame, ranks: str | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -87,8 +101,8 @@ def decode_documents(ids: DataFrame, ranks: str | None = None) -> DataFrame:
     return ids.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, bytes binary")
 
 
-def digests(docs: DataFrame, ranks: str | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Encode and decode in one pass, and keep digests of both."""
+def digests(docs: DataFrame, ranks: str | None = None, text: str = "text", doc_id: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Encode and decode in one pass, and keep digests of both, and the columns ``carry`` after them."""
     ranks = ranks or default_ranks()
 
     def run(batches):
@@ -101,13 +115,14 @@ def digests(docs: DataFrame, ranks: str | None = None, text: str = "text", doc_i
                 of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(e.decode_bytes(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string()), *batch.columns[2:]],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *carry],
             )
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(F.col(text)).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kinds = [docs.schema[c].dataType.simpleString() for c in (doc_id, *carry)]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(F.col(text)).alias("text"), *[F.col(f"`{c}`") for c in carry])
+    more = "".join(f", `{c}` {kind}" for c, kind in zip(carry, kinds[1:], strict=True))
+    return rows.mapInArrow(run, f"doc_id {kinds[0]}, n_tokens long, ids_sha256 string, decoded_sha256 string" + more)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,28 @@ def test_pieces_are_safe():
         assert "".join(cut) == text
         assert [i for p in cut for i in bpe.encoding(bpe.default_ranks()).encode_ordinary(p)] == bpe.encoding(bpe.default_ranks()).encode_ordinary(text)
     assert list(bpe.pieces("")) == [""] and re.sub(r"\S", "", "".join(bpe.pieces("a" * 200_000))) == ""
+
+
+def test_long_runs_of_white_space():
+    ranks = bpe.default_ranks()
+    e, draw = bpe.encoding(ranks), random.Random(7)
+    for _ in range(100):  # as the library has it where it can
+        text = "".join(draw.choice(["a", "bc'll", "9", ".", " ", "\n", "\t", "\x85", "\x1c", "\x0b"]) * draw.choice([1, 1, 2, 900, 1100, 1500]) for _ in range(8))
+        assert bpe.encode(text, ranks) == e.encode_ordinary(text)
+    space, line = e.encode_ordinary(" "), e.encode_ordinary("\n")
+    assert bpe.encode(" " * 1500, ranks) == e.encode_ordinary(" " * 1500)
+    n = 5_000_000  # what the library gives for short runs goes on: merges of equal characters repeat
+    for unit, one in ((" ", space), ("\n", line)):
+        period = 1 << 10
+        short = e.encode_ordinary(unit * period)
+        whole = bpe.encode(unit * (period * (n // period)), ranks)
+        assert whole == short * (n // period), unit
+        assert bpe.encode("x" + unit * n + "y", ranks)[:1] == e.encode_ordinary("x") and one
+    for text in ("\t \n" * 1_000_000 + "x", "\u3000" * 1_000_000, "a" * n):
+        assert e.decode_bytes(bpe.encode(text, ranks)) == text.encode()
+
+
+def test_digests_carry_columns(docs):
+    out = bpe.digests(docs, carry=("source", "words"))
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "source", "words"]
+    assert sorted(map(str, (r.source for r in out.collect()))) == sorted(map(str, (r.source for r in docs.collect())))
