@@ -9,12 +9,14 @@ Training: ``PER_CLASS`` labelled documents of each language are expected in the
 sample, chosen by a hash of the id, so the model is of bounded size; each machine
 is trained in a group of its own from sparse vectors.
 
-Scale: prediction is one pass without a shuffle; the model (classes squared by
-``SIZE`` floats) is broadcast. Vectors of long texts are summed over slices.
+Scale: prediction is one pass without a shuffle; the model (a machine of ``SIZE`` floats for
+each pair of families and each pair of a family's languages) is broadcast. More than ``MOST_LANGUAGES``
+labels are an error, since labels are then no languages. A machine's group holds the sparse
+vectors of two classes' sample, some ``2 * PER_CLASS`` by the trigrams of a text. Vectors of long texts are summed over slices.
 
 Cases: null text or no letter: ``und`` with score 0; without labels every text is
 ``und``; one label: that one; null ids are never trained on and not held out;
-extra columns do not matter; repeated rows repeat.
+extra columns of any name stay; equal votes go to the larger sum of margins, then to the first in order; repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -28,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, read, unused
 
-SIZE, SLICE, PER_CLASS, FOLDS, HELD_OUT = 4096, 1 << 20, 1000, 4, 2
+SIZE, SLICE, PER_CLASS, FOLDS, HELD_OUT, MOST_LANGUAGES = 4096, 1 << 20, 1000, 4, 2, 300
 PASSES, COST, SLOPE = 12, 10.0, 4.0
 UNKNOWN = "und"
 #: Families of language codes; any other code is a family of its own.
@@ -80,21 +82,22 @@ def features(text: str | None) -> np.ndarray | None:
     return x / np.linalg.norm(x)
 
 
-def train_machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+def train_machine(at: list[np.ndarray], value: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by dual coordinate descent (Hsieh et al.,
-    2008); the last column is the constant. ``y`` is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, a = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x * x).sum(1) + 0.5 / COST
+    2008) on sparse rows, ``value`` in the columns ``at``, and a constant one. ``y`` is 1 or -1."""
+    w, bias, a = np.zeros(SIZE), 0.0, np.zeros(len(y))
+    diagonal = [float(v @ v) + 1.0 + 0.5 / COST for v in value]
     order = np.random.default_rng(7)
     for _ in range(PASSES):
-        for i in order.permutation(len(x)):
-            step = y[i] * (w @ x[i]) - 1 + a[i] * 0.5 / COST
+        for i in order.permutation(len(y)):
+            step = y[i] * (w[at[i]] @ value[i] + bias) - 1 + a[i] * 0.5 / COST
             new = max(a[i] - step / diagonal[i], 0.0)
             if new != a[i]:
-                w += (new - a[i]) * y[i] * x[i]
+                by = (new - a[i]) * y[i]
+                w[at[i]] += by * value[i]
+                bias += by
                 a[i] = new
-    return w[:-1], float(w[-1])
+    return w, float(bias)
 
 
 class Model:
@@ -139,7 +142,10 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(label).alias("label")).where(
         F.col("label").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))
     )
-    number = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    found = rows.groupBy("label").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different labels: these are no languages")
+    number = {r["label"]: r["n"] for r in found}
     languages = sorted(number)
     if not languages:
         return Model([], {})
@@ -172,11 +178,8 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str
             )
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.assign(order=[(len(x), x.tobytes(), v.tobytes()) for x, v in zip(group["at"], group["value"], strict=True)]).sort_values("order")
-        x = np.zeros((len(group), SIZE))
-        for i, (at, value) in enumerate(zip(group["at"], group["value"], strict=True)):
-            x[i, at] = value
-        w, bias = train_machine(x, group["y"].to_numpy())
+        rows = sorted(zip(group["at"], group["value"], group["y"], strict=True), key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2]))
+        w, bias = train_machine([r[0] for r in rows], [r[1] for r in rows], np.array([r[2] for r in rows]))
         return pd.DataFrame({"level": group["level"].iloc[:1], "a": group["a"].iloc[:1], "b": group["b"].iloc[:1], "w": [w.tolist()], "bias": [bias]})
 
     sample = rows.where(draw < share).select("text", "label").mapInArrow(vectors, "level string, a string, b string, y int, at array<int>, value array<double>")
@@ -196,7 +199,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     found = judge(F.col(text).cast("string"))
-    return docs.select(*kept, found.alias("judged_")).select(*kept, "judged_.lang_pred", "judged_.score")
+    judged = unused(docs, "judged")
+    return docs.select(*kept, found.alias(judged)).select(*kept, f"{judged}.lang_pred", f"{judged}.score")
 
 
 def keep_known(docs: DataFrame, least_score: float = 0.25, **options) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,3 +35,29 @@ def test_cases(spark, docs, empty):
 def test_letters_decide_und():
     assert language.features("12 34 !?") is None and language.features("") is None
     assert language.features("7 é") is not None and language.features("日本") is not None
+
+
+def test_clashing_columns_and_ties(spark):
+    names = ["judged", "judged_", "level", "a", "id", "label", "SCORE"]
+    rows = [(i, t, lang, *[f"{c}{i}" for c in names]) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de"), ("same words", "en"), ("same words", "de")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"{c} string" for c in names))
+    model = language.train(df)
+    out = language.predict(df, model)
+    assert out.columns == [*df.columns[:-1], "lang_pred", "score"]
+    assert sorted(tuple(r)[:9] for r in out.collect()) == [r[:9] for r in rows]
+    assert out.orderBy("doc_id").collect() == language.predict(df, language.train(df.repartition(3))).orderBy("doc_id").collect()
+
+
+def test_too_many_labels(spark):
+    df = spark.range(2 * language.MOST_LANGUAGES).selectExpr("id AS doc_id", "'some text' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError):
+        language.train(df)
+
+
+def test_machine_separates():
+    draw = np.random.default_rng(1)
+    at = [np.sort(draw.choice(50, 9, replace=False)) + (0 if i % 2 else 30) for i in range(80)]
+    value = [np.full(9, 1 / 3) for _ in at]
+    y = np.array([1 if i % 2 else -1 for i in range(80)])
+    w, bias = language.train_machine(at, value, y)
+    assert np.mean([np.sign(w[a] @ v + bias) == s for a, v, s in zip(at, value, y, strict=True)]) > 0.9
