@@ -6,18 +6,24 @@ hash over ``WINDOW`` ids says so, and writes
 * ``objects/kind=chunk``: every distinct chunk once, under the SHA-256 of its bytes,
 * ``recipes``: documents in ascending ``doc_id`` order (``part`` numbers the
   ranges) with ``n_tokens``, the addresses of their chunks and their Merkle root,
-* ``manifest``: a Merkle root for each range of recipes.
+* ``manifest``: for each range its documents, tokens, width of an id in bytes and the
+  root of a Merkle tree over its recipes, ``FAN`` to a node.
 
 ``read_ids`` rebuilds the id streams; ``read_digests`` reads every chunk once,
 checks its address and gives each document's place and CRC, combined from the
-chunks' CRCs as the CRC of a concatenation.
+chunks' CRCs as the CRC of a concatenation. Both compare what they read with the
+documents' Merkle roots and these with the manifest, and fail on a difference.
 
 Scale: encoding, cutting and hashing are one pass; each task sends a chunk once,
 so a passage in a third of all documents arrives at its address once a task.
 Chunk bytes are shuffled once and never again: digests move 50 bytes a chunk.
 Places in the stream come from sums of the ranges. A task holds an Arrow batch, an
 id cache of ``CACHE`` strings and the addresses it has sent (``SENT`` at most; a
-forgotten one is sent again and dropped by the writer).
+forgotten one is sent again and dropped by the writer). A node of a Merkle tree is built
+from ``FAN`` nodes below it, level by level, so no range of recipes meets in a row.
+
+Words are encoded once each only for the normalizer and pattern that this was made for
+(``WORD_BY_WORD``); texts go whole to the library for any other vocabulary.
 
 Cases: null and empty texts are the end id alone; repeated documents repeat in
 recipes, not in chunks; null ids come first; the empty table gives empty tables.
@@ -26,6 +32,7 @@ recipes, not in chunks; null ids come first; the empty table gives empty tables.
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,11 +43,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fresh_path, partitions, read
+from .common import as_bytes, cut, fresh_path, partitions, read
 
 END = 1
 WINDOW, BITS, LEAST, MOST = 8, 8, 64, 1024  # ids: of the rolling hash, 2^BITS between cuts, of a chunk
-CACHE, SENT = 800_000, 500_000
+CACHE, SENT, FAN = 800_000, 500_000, 512
+#: A fixed value: the parts of a tokenizer file by which ids of a text are those of its words, in lower case.
+WORD_BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 MARK = "\x01"  # stands between strings encoded together
 PLAIN_ENDS = ",.;:!?*#$%&"  # after letters these are one more word of the tokenizer's pattern
 
@@ -55,15 +70,18 @@ class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct string between
     spaces once as long as the cache has room.
 
-    Only for tokenizers that drop white space before merging, as this one does:
+    Only for tokenizers that drop white space before merging (``WORD_BY_WORD``):
     what they give for a text is then what they give for its parts, joined. Each
-    string's ids are kept as little-endian bytes.
+    string's ids are kept as little-endian bytes. Others encode whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        self.by_words = all(parts.get(k) == v for k, v in WORD_BY_WORD.items())
         size = self.library.get_vocab_size()
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.known = _Known({"": b""})
@@ -131,6 +149,8 @@ class WordEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_words:
+            return [ids.tobytes() for ids in self._encode(texts)]
         split = [t.replace("\n", " ").split(" ") for t in texts]
         look = self.known.__getitem__
         got = [list(map(look, words)) for words in split]
@@ -248,13 +268,25 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, text:
     recipes = spark.read.schema(schema).parquet(objects).where("kind = 'recipe'").select("doc_id", "n_tokens", "parts", "root")
     ranges = recipes.repartitionByRange(partitions(spark), "doc_id", "root").sortWithinPartitions("doc_id", "root")
     ranges.withColumn("part", F.spark_partition_id()).write.parquet(f"{path}/recipes")
-    leaves = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "root"))), lambda x: F.hex(x["root"]))
-    read_recipes(spark, path).groupBy("part").agg(
-        F.count("*").alias("documents"), F.sum("n_tokens").alias("n_tokens"), F.sha2(F.array_join(leaves, ""), 256).alias("root")
-    ).write.parquet(f"{path}/manifest")
+    totals = read_recipes(spark, path).groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("n_tokens"))
+    width = F.lit(np.dtype(encoder(vocabulary).kind).itemsize).alias("width")
+    totals.join(range_roots(read_recipes(spark, path)), "part").select("part", "documents", "n_tokens", width, "root").write.parquet(f"{path}/manifest")
     return path
 
 
+def range_roots(recipes: DataFrame) -> DataFrame:
+    """``(part, root)``: the root of the Merkle tree over the recipes of each range, in order."""
+    place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "root")) - 1
+    leaf = F.sha2(F.concat(F.coalesce(F.to_json(F.struct("doc_id")), F.lit("")).cast("binary"), F.lit(b"\0"), "root"), 256)
+    level = recipes.select("part", place.alias("at"), leaf.alias("node"))
+    while True:  # as often as FAN goes into the largest range
+        nodes = F.transform(F.array_sort(F.collect_list(F.struct("at", "node"))), lambda x: x["node"])
+        joined = F.when(F.count("*") == 1, F.first("node")).otherwise(F.sha2(F.array_join(nodes, ""), 256))  # one alone goes up as it is
+        level = cut(level.groupBy("part", F.floor(F.col("at") / FAN).alias("at")).agg(joined.alias("node")))
+        if level.where("at > 0").isEmpty():
+            return level.select("part", F.col("node").alias("root"))
+
+
 def read_recipes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/recipes")
 
@@ -265,14 +297,30 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 def verify_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Ranges whose recipes do not give the manifest's root (none if all is well)."""
-    leaves = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "root"))), lambda x: F.hex(x["root"]))
-    now = read_recipes(spark, path).groupBy("part").agg(F.sha2(F.array_join(leaves, ""), 256).alias("found"))
+    now = range_roots(read_recipes(spark, path)).withColumnRenamed("root", "found")
     return spark.read.parquet(f"{path}/manifest").join(now, "part", "full").where(~F.col("root").eqNullSafe(F.col("found")))
 
 
+def id_kind(spark: SparkSession, path: str) -> str:
+    row = spark.read.parquet(f"{path}/manifest").select(F.max("width").alias("width")).first()
+    return f"<u{row['width'] or 2}"
+
+
 def _placed(spark: SparkSession, path: str) -> DataFrame:
-    """Recipes with ``start``: the sum of the ranges before and of the documents before in the range."""
+    """Recipes, checked against their roots and the manifest, with ``start``: the sum of
+    the ranges before and of the documents before in the range."""
+    if not (wrong := verify_manifest(spark, path)).isEmpty():
+        raise ValueError(f"the recipes of {wrong.count()} ranges are not what the manifest says")
+
+    def checked(batches):
+        for batch in batches:
+            for parts, root in zip(batch.column("parts").to_pylist(), batch.column("root").to_pylist(), strict=True):
+                if merkle_root(parts) != root:
+                    raise ValueError(f"a recipe does not have the root {root.hex()}")
+            yield batch
+
     rows = read_recipes(spark, path)
+    rows = rows.mapInArrow(checked, rows.schema)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     parts = spark.read.parquet(f"{path}/manifest").select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("part").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
@@ -323,8 +371,9 @@ def join_crcs(n: list[np.ndarray], crc: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def read_digests(spark: SparkSession, path: str, kind: str = "<u2") -> DataFrame:
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32, n_chunks)`` from the files of a store."""
+    kind = id_kind(spark, path)
 
     def chunk_digests(batches):
         for batch in batches:
@@ -358,8 +407,9 @@ def read_digests(spark: SparkSession, path: str, kind: str = "<u2") -> DataFrame
     return whole.mapInArrow(document_digests, f"doc_id {doc}, start long, n_tokens long, ids_crc32 long, n_chunks long")
 
 
-def read_ids(spark: SparkSession, path: str, kind: str = "<u2") -> DataFrame:
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, ids array<int>)``, rebuilt and checked."""
+    kind = id_kind(spark, path)
 
     def rebuild(batches):
         for batch in batches:

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seisloom.llm import bpe, token_store
 from seisloom.llm.common import fresh_path
@@ -37,6 +38,50 @@ def test_damaged_chunk_is_found(spark):
         token_store._check(hashlib.sha256(b"a").digest(), b"b")
 
 
+def test_permuted_and_exchanged_recipes_are_found(spark, docs):
+    def changed(how):
+        path = token_store.write_store(docs, fresh_path(spark, "store"))
+        rows = spark.createDataFrame(token_store.read_recipes(spark, path).collect(), token_store.read_recipes(spark, path).schema)
+        how(rows).write.mode("overwrite").parquet(f"{path}/recipes")
+        return path
+
+    with pytest.raises(Exception, match="does not have the root"):  # the chunks of each document backwards
+        token_store.read_digests(spark, changed(lambda r: r.withColumn("parts", F.reverse("parts")))).collect()
+    with pytest.raises(ValueError, match="not what the manifest says"):  # a document gone, another's ids in its place
+        token_store.read_digests(spark, changed(lambda r: r.where("doc_id <> 1").unionByName(r.where("doc_id = 7").withColumn("doc_id", F.lit(1).cast("long"))))).collect()
+
+
+def test_tree_of_many_recipes(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "FAN", 3)
+    rows = spark.range(100).selectExpr("id AS doc_id", "cast(cast(id AS string) AS binary) AS root", "cast(id >= 90 AS int) AS part")
+    got = {r.part: r.root for r in token_store.range_roots(rows).collect()}
+    for part, ids in ((0, sorted(range(90))), (1, range(90, 100))):
+        level = [hashlib.sha256(b'{"doc_id":%d}\0%d' % (i, i)).hexdigest() for i in ids]
+        while len(level) > 1:
+            groups = [level[i : i + 3] for i in range(0, len(level), 3)]
+            level = [hashlib.sha256("".join(g).encode()).hexdigest() if len(g) > 1 else g[0] for g in groups]
+        assert got[part] == level[0]
+
+
+@pytest.mark.parametrize("words,cased", [(300, True), (70_000, True), (300, False)])
+def test_other_vocabularies(spark, docs, tmp_path, words, cased):
+    """A cased one is not lower-cased, and more than 65,536 ids take four bytes."""
+    named = [f"W{i}" if cased else f"w{i}" for i in range(words)]
+    text = " ".join(named[:: max(1, words // 500)]) + " Other " + named[-1]
+    model = tokenizers.models.WordLevel({w: i + 2 for i, w in enumerate(["[UNK]", *named])}, unk_token="[UNK]")
+    made = tokenizers.Tokenizer(model)
+    made.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+    if not cased:
+        made.normalizer = tokenizers.normalizers.Lowercase()
+    file = str(tmp_path / "vocabulary.json")
+    made.save(file)
+    path = token_store.write_store(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"), fresh_path(spark, "store"), file)
+    got = {r.doc_id: r.ids for r in token_store.read_ids(spark, path).collect()}
+    assert got == {1: [*made.encode(text).ids, token_store.END], 2: [token_store.END]}
+    digest = {r.doc_id: r.ids_crc32 for r in token_store.read_digests(spark, path).collect()}
+    assert digest[1] == zlib.crc32(np.array(got[1], "<u4").tobytes())
+
+
 def test_empty_store(spark, empty):
     path = token_store.write_store(empty, fresh_path(spark, "store"))
     assert token_store.read_digests(spark, path).count() == 0
