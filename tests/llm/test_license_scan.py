@@ -24,6 +24,40 @@ def test_wording_differences_decide(spark):
     assert [r.license for r in out if r.doc_id == 2 and r.n_differences == 0] == ["MIT", "MIT"]
 
 
+def by_hand(scanner, text):
+    """Every template against every stretch of the whole text, without cues or compression."""
+    every = license_scan.words(text)
+    found = sorted((2 * n - len(want), a, b, name, n) for name, want in scanner.words.items() for n, a, b in scanner.stretches(every, name))
+    taken = []
+    for _, a, b, name, n in found:
+        if all(b <= x or y <= a for x, y, *_ in taken):
+            taken.append((a, b, name, n))
+    return [(name, n) for _, _, name, n in sorted(taken)]
+
+
+def test_all_that_brute_force_finds(spark):
+    scanner, draw, edited = license_scan.Scanner(license_scan.TEMPLATES), random.Random(11), 0
+    for trial in range(60):
+        parts = []
+        for name in draw.sample(sorted(scanner.words), draw.randrange(1, 5)):
+            got = list(scanner.words[name])
+            for _ in range(draw.randrange(0, int(license_scan.ALLOWED * len(got)) + 2)):  # one more than allowed at most
+                i, new = draw.randrange(len(got)), prose(draw.random(), 1)
+                got[i : i + 1] = draw.choice([[new], [], [got[i], new], [got[i].upper()]])
+                edited += 1
+            parts += ["\n".join(got[: len(got) // 2]), " ".join(got[len(got) // 2 :]), prose(trial, draw.randrange(0, 60))]
+        text = draw.choice([" ", "\n", ". "]).join(parts)
+        assert [(name, n) for _, name, _, n, _ in scanner.scan(text)] == by_hand(scanner, text), text
+    assert edited > 200
+
+
+def test_any_template_has_cues(spark):
+    df = spark.createDataFrame([(1, "x\nfree for all of you\ny"), (2, "use it as you may"), (3, "zz ZZ zz yy")], "doc_id long, text string")
+    out = license_scan.scan_licenses(df, {"A": "Free for all of you", "B": "zz zz zz xx", "none": "...", "C": "it"}).collect()
+    assert sorted((r.doc_id, r.license, r.line, r.n_differences) for r in out) == [(1, "A", 1, 0), (2, "C", 0, 0)]
+    assert license_scan.scan_licenses(df, {"none": ""}).count() == 0
+
+
 def test_cases(docs, empty):
     assert license_scan.scan_licenses(docs).count() == 0 and license_scan.scan_licenses(empty).count() == 0
 
@@ -56,6 +90,6 @@ def test_the_bound_on_bytes_loses_no_allowed_wording():
             for i in draw.sample(range(len(want)), int(license_scan.ALLOWED * len(want))):
                 got[i] = prose(trial * 100 + i, 1)
             block = prose(trial, 29).split() + got + prose(trial + 900, 29).split()
-            gain = dict((n, g) for g, n in scanner.gains(block))[name]
+            gain = scanner.gain(block, name)
             assert gain >= license_scan.LEAST_GAIN or len(want) < license_scan.SHORT, (name, got)
             assert any(29 <= a < b <= 29 + len(want) for _, a, b in scanner.stretches(block, name))
