@@ -10,6 +10,11 @@ and to its one-bit neighbours (1 or 6 of 4096); segments that differ in 2 bits o
 fewer share one. A key is a pair of segments with an index of each, so linked
 fingerprints share a key, and each pair that shares one is verified.
 
+Near copies by similarity (``by_words``): fingerprints of shingles drift fast, since a changed word changes
+``width`` of them: at a Jaccard similarity of 0.8 some 10 bits, beyond what the keys find. The keys
+are then of the fingerprint of a text's distinct words, which drifts slowly, and a link needs
+``WORDS_DISTANCE`` differing bits of those at most and ``distance`` of the shingles'.
+
 Scale: only distinct fingerprints are hashed, so exact copies weigh as one. The
 keys are shuffled once (about 84 small rows a fingerprint, whose buckets hold few of
 2^24); a bucket is searched in numpy from one member outwards over those not
@@ -38,6 +43,7 @@ from . import golay
 from .common import as_bytes, connected_components, cut, read, unused
 
 WIDTH, DISTANCE, SEED = 4, 4, 42
+WORDS_DISTANCE = 6
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and length
 PAIRS = ((0, 1), (0, 2), (1, 2))
 SLICE = 1 << 16  # shingles counted at a time
@@ -65,16 +71,30 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """``(doc_id, fp)`` of every document, fp as a signed long."""
+def word_fingerprint(text: bytes) -> int:
+    """As ``fingerprint``, of the distinct words."""
+    from xxhash import xxh64_intdigest
+
+    words = list(set(text.lower().split()))
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(words), SLICE):
+        h = np.array([xxh64_intdigest(w, SEED) for w in words[at : at + SLICE]], "<u8")
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(words), bitorder="little").view("<u8")[0])
+
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, by_words: bool = False) -> DataFrame:
+    """``(doc_id, fp)`` of every document, fp as a signed long; with ``by_words`` also ``words``, that of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), width) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            texts = [t.as_py() for t in batch.column(1)]
+            kinds = [lambda t: fingerprint(t, width), *([word_fingerprint] if by_words else [])]
+            found = [pa.array(np.fromiter(map(of, texts), np.uint64, len(texts)).view(np.int64)) for of in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["doc_id", "fp", "words"][: 1 + len(found)])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(F.col(text)).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long" + (", words long" if by_words else ""))
 
 
 def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,9 +132,14 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return out
 
 
-def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect, within each bucket of sorted ``key``, what is connected
-    by pairs of ``distance`` bits or fewer."""
+    by pairs of ``distance`` bits or fewer, and of ``WORDS_DISTANCE`` in ``words`` if given."""
+
+    def near(a, b):
+        hit = np.bitwise_count(fp[a] ^ fp[b]) <= distance
+        return hit if words is None else hit & (np.bitwise_count(words[a] ^ words[b]) <= WORDS_DISTANCE)
+
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.concatenate([first, [len(key)]]))
     left = np.repeat(np.where(size <= SMALL, first + size, first), size) - np.arange(len(key)) - 1  # members after it
@@ -123,66 +148,70 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE) -> t
         at = at[left[at] >= k]
         if not len(at):
             break
-        hit = at[np.bitwise_count(fp[at] ^ fp[at + k]) <= distance]
-        found.append((fp[hit], fp[hit + k]))
+        hit = at[near(at, at + k)]
+        found.append((hit, hit + k))
     for a, n in zip(first[size > SMALL], size[size > SMALL], strict=True):
-        rest, queue = fp[a : a + n], []
+        rest, queue = np.arange(a, a + n), []
         while len(rest):
             if not queue:
                 queue, rest = [rest[0]], rest[1:]
             x = queue.pop()
-            hit = np.bitwise_count(rest ^ x) <= distance
+            hit = near(rest, x)
             if hit.any():
                 found.append((np.full(hit.sum(), x), rest[hit]))
                 queue.extend(rest[hit])
                 rest = rest[~hit]
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+    return fp[np.concatenate([x[0] for x in found])], fp[np.concatenate([x[1] for x in found])]
 
 
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``(a, b)`` links of distinct fingerprints ``fps(fp)``: a spanning forest, and
-    maybe more, of the graph that joins those at ``distance`` (4 at most)."""
-    if distance > 4:
+    """``(a, b)`` links of fingerprints, distinct rows ``fps(fp)`` or ``fps(fp, words)``: a spanning forest, and
+    maybe more, of the graph that joins those at ``distance``. Without ``words`` every link is found, up to a
+    distance of 4; with them every link of 4 differing bits of the words' fingerprints or fewer, and most up to 6."""
+    names = fps.columns  # the last one gives the keys
+    if len(names) == 1 and distance > 4:
         raise ValueError("the keys find pairs at 4 differing bits or fewer")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = batch.column(0).to_numpy().view(np.uint64)
-            for at in range(0, len(every), 2048):
-                fp = every[at : at + 2048]
-                row, key = fuzzy_keys(fp)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row].view(np.int64))], ["key", "fp"])
+            every = [c.to_numpy().view(np.uint64) for c in batch.columns]
+            for at in range(0, batch.num_rows, 2048):
+                part = [c[at : at + 2048] for c in every]
+                row, key = fuzzy_keys(part[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[row].view(np.int64)) for c in part)], ["key", *names])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(key, fp):
-            a, b = bucket_links(key, fp.view(np.uint64), distance)
+        def linked(key, fp, words=None):
+            a, b = bucket_links(key, fp.view(np.uint64), distance, None if words is None else words.view(np.uint64))
             a, b = _forest(a.view(np.int64), b.view(np.int64))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         held, n = [], 0
         for batch in batches:
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            held.append([c.to_numpy() for c in batch.columns])
             n += batch.num_rows
             if n >= ROWS:
-                key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-                whole = int(np.searchsorted(key, key[-1]))  # the last bucket may go on
+                every = [np.concatenate(x) for x in zip(*held, strict=True)]
+                whole = int(np.searchsorted(every[0], every[0][-1]))  # the last bucket may go on
                 if whole:
-                    yield linked(key[:whole], fp[:whole])
-                held, n = [(key[whole:], fp[whole:])], 0
+                    yield linked(*(c[:whole] for c in every))
+                held, n = [[c[whole:] for c in every]], 0
         if held:
             yield linked(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    keyed = fps.mapInArrow(keys, "key int, fp long")
+    keyed = fps.mapInArrow(keys, "key int, " + ", ".join(f"{c} long" for c in names))
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, distance: int = DISTANCE, by_words: bool = False
+) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every document."""
-    rows = cut(fingerprints(docs, doc_id, text, width))
+    rows = cut(fingerprints(docs, doc_id, text, width, by_words))
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    linked = connected_components(links(classes.select("fp"), distance)).withColumnRenamed("node", "fp")
+    linked = connected_components(links(rows.select("fp", "words").distinct() if by_words else classes.select("fp"), distance)).withColumnRenamed("node", "fp")
     linked = linked.join(classes, "fp")
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = cut(  # a plain side, so that Spark can split the join of a hot fingerprint

@@ -113,3 +113,56 @@ def test_keep_one_tells_documents_apart_by_id_and_text(spark):
     kept = sorted(r.n for r in out.collect())
     assert kept[:62] == [*range(60), 100, 101] and len(kept) == 64
     assert kept[62] in (202, 203) and kept[63] in (300, 301)
+
+
+def test_near_copies_by_words(spark):
+    """Copies of 300 words with 1 to 6 changed: whole groups go to one document, unlike texts of the same words stay."""
+    draw, rows, origin = random.Random(9), [], {}
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for group in range(60):
+        text = draw.choices(vocabulary, k=300)
+        for copy in range(4):
+            other = list(text)
+            for _ in range(0 if not copy else draw.randrange(1, 7)):
+                other[draw.randrange(300)] = draw.choice(vocabulary)
+            origin[len(rows)] = group
+            rows.append((len(rows), " ".join(other)))
+    for _ in range(200):
+        rows.append((len(rows), " ".join(draw.choices(vocabulary, k=300))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(df, width=5, distance=12, by_words=True).collect()}
+    assert kept >= set(range(240, 440)) and {origin[i] for i in kept if i in origin} == set(range(60))
+
+    def shingles(i):
+        words = rows[i][1].split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    near = [i for i in range(240) if i % 4 and len(a := shingles(i) & shingles(i - i % 4)) / len(shingles(i) | shingles(i - i % 4)) >= 0.8 and a]
+    assert len(near) > 100 and sum(i not in kept for i in near) >= 0.9 * len(near)
+
+
+def test_words_in_buckets_of_any_size():
+    draw = random.Random(4)
+    for n in (5, 200):
+        fp = np.array([draw.getrandbits(64) if i % 3 else 7 << (i % 5) for i in range(n)], np.uint64)
+        words = np.array([1 << (i % 9) for i in range(n)], np.uint64)
+        words[: n // 2] = np.uint64(2**63 - 1)
+        a, b = simhash.bucket_links(np.zeros(n, int), fp, 12, words)
+        want = {(int(fp[i]), int(fp[j])) for i in range(n) for j in range(n) if (fp[i] ^ fp[j]).item().bit_count() <= 12 and (words[i] ^ words[j]).item().bit_count() <= 6}
+        got = set(zip(a.tolist(), b.tolist()))
+        assert got <= want
+        assert components(got) == components(want)
+
+
+def components(edges):
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for x, y in sorted(edges):
+        p, q = find(x), find(y)
+        top[max(p, q)] = min(p, q)
+    return {x: find(x) for x in top if any(x in e and e[0] != e[1] for e in edges)}
