@@ -15,14 +15,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it in
-    ``spark.checkpoint.dir``. Only where that is unset (tests on one machine)
-    a folder of our own is made and set."""
+    ``spark.checkpoint.dir``. Only where that is unset and all runs on one machine
+    (tests) a folder of our own is made and set; on a cluster it is an error."""
     set_here = spark.conf.get("spark.checkpoint.dir", None)
     if set_here:
         return set_here.rstrip("/")
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
     made = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
     spark.sparkContext.setCheckpointDir(made)
     return made

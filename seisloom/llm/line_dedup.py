@@ -9,7 +9,8 @@ by (host, line), combined before the shuffle, so a host with a third of all
 pages meets in no task. At most ``mean lines of a page / ratio`` lines of a host
 can be boilerplate, however many pages it has; this list joins the pages by
 host, and texts are only shuffled if the lists are too large to broadcast
-(Spark decides by their measured size, and splits a hot host).
+(Spark decides by their measured size, and splits a hot host). A page's lines are
+looked up in its host's list by a hash table, not one by one.
 
 Cases: null text stays null and counts as a page without lines; null host is a
 host of its own; an empty line is a line like others; repeated rows count as
@@ -83,10 +84,13 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
         {h: F.coalesce(F.col(host).cast("string"), F.lit("")), z: F.col(host).isNull()}
     ).join(found, [h, z], "left")
     lines = _lines(F.col(text))
-    rows = rows.withColumn(
+    # the page's own hits, by a hash table over one half of the ids; most pages have few or none
+    hits = F.array_intersect(F.transform(lines, lambda x: F.xxhash64(x)), F.transform(F.col(drop), lambda x: x["a"]))
+    hit = unused(docs, "hit_")
+    rows = rows.withColumn(hit, hits).withColumn(
         kept,
-        F.when(F.col(drop).isNull(), lines).otherwise(
-            F.filter(lines, lambda x: ~F.array_contains(F.col(drop), _line_id(x)))
+        F.when(F.coalesce(F.size(hit), F.lit(0)) <= 0, lines).otherwise(
+            F.filter(lines, lambda x: ~(F.array_contains(F.col(hit), F.xxhash64(x)) & F.array_contains(F.col(drop), _line_id(x))))
         ),
     )
     keep_columns = [c for c in docs.columns if c.lower() != "lines_dropped"]
