@@ -8,21 +8,24 @@ both covering radii, and taken whole when even their farthest vectors are near
 enough; only what is between is opened, down to the vectors, whose cosine in
 double precision decides.
 
-Scale: equal vectors are one, with a weight. The top level has a bounded number of
-centres from a bounded sample and gives each vector a cell; a cell of any size is
-dealt into blocks of about ``BLOCK`` vectors. Blocks build their own subtrees, and
-pairs of blocks whose cells are near enough are traversed, one pair a group, so a task
-holds two blocks. A group sends link counts and a spanning forest of its links,
+Scale: equal vectors are one, with a weight, and travel in their own width. The top level's
+centres, from a bounded sample, give each vector a cell; their number grows with the vectors up to ``MOST_CENTRES``.
+Cells beside each other make a block of about ``BLOCK`` bytes, a larger cell is dealt into several. Blocks build their own subtrees, and
+pairs of blocks that hold cells near enough are traversed, one pair a group, so a task
+holds two blocks. A block goes to each of its pairs as a few rows of packed arrays: what is shuffled is the vectors
+times the blocks near theirs. A group sends link counts and a spanning forest of its links,
 never the pairs. Exact at every size; the work is quadratic in the blocks that the
 bounds cannot part, as for any exact search among vectors without structure.
 
 Cases: null or zero vectors, those with null or non-finite components, and those
 of another length than the others (the most frequent one counts) link with nothing and keep themselves; rows
-with a null id have a null component and are not kept unless linked; repeated rows are copies.
+with a null id have a null component and are not kept unless linked; repeated rows are copies, and
+so are vectors that differ in the sign of a zero.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,39 +33,51 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from .common import connected_components, cut, read
 
-COSINE, BLOCK, LEAST_BLOCKS = 0.9, 4096, 6
-SAMPLE, CENTRES, TOP_RADIUS = 2048, 32, 0.8
+COSINE, BLOCK, LEAST_BLOCKS = 0.9, 4 << 20, 6  # bytes of a block's vectors as doubles; blocks at least
+CENTRES, MOST_CENTRES, DRAWN, TOP_RADIUS = 32, 1024, 4, 0.8  # centres, and vectors drawn for each
 RADII = (0.4, 0.2, 0.1, 0.05)  # of the levels below the top, each half of the one above
 SLACK = 1e-9  # bounds decide only what is clear of rounding
-TILE = 1024
+TILE = 512
 
 
-def unit_vectors(rows: DataFrame, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
-    """``(vec_id, u binary)``: doubles of length 1, null if it links with nothing."""
+def width_of(rows: DataFrame, vector: str) -> str:
+    """In which a column's components travel: single precision stays single."""
+    return "<f4" if isinstance(rows.schema[vector].dataType.elementType, FloatType) else "<f8"
+
+
+def raw_vectors(rows: DataFrame, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
+    """``(vec_id, v binary)``: the components as stored, null if the vector links with nothing."""
+    width = width_of(rows, vector)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for v in batch.column(1).to_pylist():
-                u = None
-                if v and None not in v:
-                    x = np.array(v, np.float64)
-                    with np.errstate(all="ignore"):
-                        top = np.abs(x).max()
-                        if np.isfinite(top) and top > 0:
-                            x = x / top  # no overflow in the squares
-                            u = (x / np.sqrt(x @ x)).tobytes()
-                out.append(u)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "u"])
+            lists = batch.column(1)
+            edges = lists.offsets.to_numpy()
+            values = lists.values.to_numpy(zero_copy_only=False).astype(width, copy=False) + 0.0  # null is NaN, -0 is 0
+            good, some = (np.concatenate([[0], np.cumsum(x)]) for x in (np.isfinite(values), values != 0))
+            out = [
+                values[a:b].tobytes() if there and good[b] - good[a] == b - a and some[b] > some[a] else None
+                for a, b, there in zip(edges[:-1], edges[1:], lists.is_valid().to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "v"])
 
     kind = rows.schema[vec_id].dataType.simpleString()
-    return rows.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("v")).mapInArrow(run, f"vec_id {kind}, u binary")
+    element = "float" if width == "<f4" else "double"
+    return rows.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast(f"array<{element}>").alias("v")).mapInArrow(run, f"vec_id {kind}, v binary")
+
 
+def units(data: bytes, width: str, n: int) -> np.ndarray:
+    """``n`` packed vectors as rows of length 1, in double precision."""
+    x = np.frombuffer(data, width).reshape(n, -1).astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)  # no overflow in the squares
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
-def choose_centres(sample: np.ndarray, most: int = CENTRES, radius: float = TOP_RADIUS) -> np.ndarray:
+
+def choose_centres(sample: np.ndarray, most: int, radius: float = TOP_RADIUS) -> np.ndarray:
     """Greedy: each centre is the vector farthest from those before, while any is
     farther than ``radius``."""
     chosen, far = [0], np.linalg.norm(sample - sample[0], axis=1)
@@ -80,18 +95,21 @@ def build_levels(x: np.ndarray) -> np.ndarray:
         below = []
         for group in groups:
             own, free = x[group], np.ones(len(group), bool)
-            for i in range(len(group)):
-                if not free[i]:
-                    continue
-                near = free & (own @ own[i] >= 1 - radius * radius / 2)
-                near[i] = True
-                free &= ~near
-                members = group[near]
-                out[members, level] = group[i]
-                if len(members) > 1:
-                    below.append(np.concatenate([[group[i]], members[members != group[i]]]))
-                else:
-                    out[members, level:] = group[i]
+            for at in range(0, len(group), TILE):
+                rows = at + np.flatnonzero(free[at : at + TILE])
+                close = own[rows] @ own.T >= 1 - radius * radius / 2
+                for i, near in zip(rows.tolist(), close, strict=True):
+                    if not free[i]:
+                        continue
+                    near &= free
+                    near[i] = True
+                    free &= ~near
+                    members = group[near]
+                    out[members, level] = group[i]
+                    if len(members) > 1:
+                        below.append(np.concatenate([[group[i]], members[members != group[i]]]))
+                    else:
+                        out[members, level:] = group[i]
         groups = below
     return out
 
@@ -199,80 +217,113 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return out
 
 
+class Layout:
+    """Blocks of cells: groups of cells beside each other with ``slots`` blocks from ``first`` on, either several
+    cells in one block or one cell dealt into several. ``stats`` has each cell's number of vectors and radius."""
+
+    def __init__(self, centres: np.ndarray, stats: dict[int, tuple[int, float]], size: int, reach: float):
+        self.first, self.slots, self.cells, at, held = [], [], [], None, size
+        left = sorted(stats)
+        while left:
+            at = left[0] if at is None else min(left, key=lambda c: float(np.linalg.norm(centres[c] - centres[at])))
+            left.remove(at)
+            n = stats[at][0]
+            if held + n > size:
+                self.first.append(self.first[-1] + self.slots[-1] if self.first else 0)
+                self.slots.append(-(-n // size))
+                self.cells.append([at])
+                held = n if n <= size else size  # a dealt cell shares with none
+            else:
+                self.cells[-1].append(at)
+                held += n
+        names = sorted(stats)
+        c, r = centres[names], np.array([stats[x][1] for x in names])
+        apart = np.sqrt(np.maximum(0, (c * c).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * c @ c.T))
+        near = apart <= reach + r[:, None] + r[None, :] + 1e-6
+        holds = np.array([[x in cells for x in names] for cells in map(set, self.cells)], np.float32).reshape(len(self.cells), len(names))
+        self.near = [np.flatnonzero(row).tolist() for row in (holds @ near.astype(np.float32) @ holds.T) > 0]
+
+    def of_cells(self) -> dict[int, tuple[int, int]]:
+        """First block and number of blocks of each cell."""
+        return {c: (first, n) for first, n, cells in zip(self.first, self.slots, self.cells, strict=True) for c in cells}
+
+    def beside(self, block: int) -> Iterator[int]:
+        """The blocks whose vectors may be near those of ``block``."""
+        for g in self.near[bisect_right(self.first, block) - 1]:
+            yield from range(self.first[g], self.first[g] + self.slots[g])
+
+
 def similar_vectors(rows: DataFrame, cosine: float = COSINE, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row."""
-    spark = rows.sparkSession
-    vectors = cut(unit_vectors(rows, vector, vec_id))
-    widths = vectors.where("u is not null").groupBy(F.length("u").alias("bytes")).agg(F.count("*").alias("n"))
-    first = widths.orderBy(F.desc("n"), "bytes").first()
-    width = first["bytes"] if first else 0
+    width = width_of(rows, vector)
+    vectors = cut(raw_vectors(rows, vector, vec_id))
+    lengths = vectors.where("v is not null").groupBy(F.length("v").alias("bytes")).agg(F.count("*").alias("n"))
+    first = lengths.orderBy(F.desc("n"), "bytes").first()
+    length = first["bytes"] if first else 0
     # equal vectors are one class, numbered by a hash; should two classes get one number, by another hash
-    classes, seed = cut(vectors.where(F.length("u") == width).groupBy("u").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"))), 0
+    classes, seed = cut(vectors.where(F.length("v") == length).groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"))), 0
     while True:
-        number = F.xxhash64(F.lit(seed), "u")
+        number = F.xxhash64(F.lit(seed), "v")
         if classes.groupBy(number).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             break
         seed += 1
-    classes = classes.withColumn("class", number)
-    sample = [np.frombuffer(r["u"]) for r in classes.select("u").orderBy(F.hash("u"), "u").limit(SAMPLE).collect()]
-    centres = choose_centres(np.array(sample)) if sample else np.zeros((1, 1))
+    classes, total = classes.withColumn("class", number), classes.count()
+    size = max(64, BLOCK // max(8 * length // np.dtype(width).itemsize, 8))
+    size = min(size, max(64, -(-total // LEAST_BLOCKS)))
+    most = min(MOST_CENTRES, max(CENTRES, 2 * total // size))
+    sample = [bytes(r["v"]) for r in classes.select("v").orderBy(F.hash("v"), "v").limit(DRAWN * most).collect()]
+    centres = choose_centres(units(b"".join(sample), width, len(sample)), most) if sample else np.zeros((1, 1))
 
     def assign(batches):
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(batch.num_rows, -1)
+            x = units(b"".join(batch.column(1).to_pylist()), width, batch.num_rows)
             d = np.sqrt(np.maximum(0, 2 - 2 * (x @ centres.T)))
             cell = d.argmin(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(x)), cell])], ["class", "u", "weight", "cell", "apart"])
-
-    celled = cut(classes.select("class", "u", "weight").mapInArrow(assign, "class long, u binary, weight long, cell int, apart double"))
-    stats = {r["cell"]: (r["n"], r["radius"]) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("apart").alias("radius")).collect()}  # CENTRES rows
-    total = sum(n for n, _ in stats.values())
-    size = min(BLOCK, max(64, -(-total // LEAST_BLOCKS)))
-    blocks = {cell: -(-n // size) for cell, (n, _) in stats.items()}
-    reach = float(np.sqrt(2 - 2 * cosine))
-    near = {
-        c: [e for e in stats if np.linalg.norm(centres[c] - centres[e]) <= reach + stats[c][1] + stats[e][1] + SLACK] for c in stats
-    }
-    share = F.lit(1)
-    for cell, n in blocks.items():
-        share = F.when(F.col("cell") == cell, F.lit(n)).otherwise(share)
-    dealt = celled.withColumn("slot", F.pmod(F.xxhash64("class", F.lit(8)), share).cast("int"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(x)), cell])], ["class", "v", "weight", "cell", "apart"])
+
+    celled = cut(classes.select("class", "v", "weight").mapInArrow(assign, "class long, v binary, weight long, cell int, apart double"))
+    stats = {r["cell"]: (r["n"], r["radius"]) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("apart").alias("radius")).collect()}  # MOST_CENTRES rows at most
+    layout = Layout(centres, stats, size, float(np.sqrt(2 - 2 * cosine)))
+    blocks = layout.of_cells()
+    place = F.create_map(*[F.lit(x) for c, (b, n) in blocks.items() for x in (c, b)]) if blocks else F.create_map().cast("map<int,int>")
+    share = F.create_map(*[F.lit(x) for c, (b, n) in blocks.items() for x in (c, n)]) if blocks else F.create_map().cast("map<int,int>")
+    slot = F.pmod(F.xxhash64("class", F.lit(8)), share[F.col("cell")]).cast("int")
+    dealt = celled.select("class", "v", "weight", (place[F.col("cell")] + slot).alias("block"))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
-        x = np.frombuffer(b"".join(group["u"]), np.float64).reshape(len(group), -1)
-        return group.assign(levels=list(group["class"].to_numpy()[build_levels(x)]))
+        group = group.sort_values("class")
+        levels = build_levels(units(b"".join(group["v"]), width, len(group)))
+        return group.assign(levels=[x.tobytes() for x in levels])
 
-    grown = cut(
-        dealt.groupBy("cell", "slot").applyInPandas(
-            grow, "class long, u binary, weight long, cell int, apart double, slot int, levels array<long>"
-        )
-    )
+    grown = cut(dealt.groupBy("block").applyInPandas(grow, "class long, v binary, weight long, block int, levels binary"))
 
     def pair_up(batches):
-        """Each vector to every pair of blocks that its block is in."""
+        """The part of a block that a batch holds, packed, to every pair of blocks that the block is in."""
         for batch in batches:
-            cell, slot = (batch.column(i).to_numpy() for i in (3, 4))
-            for c, s in sorted(set(zip(cell.tolist(), slot.tolist(), strict=True))):
-                part = batch.filter(pa.array((cell == c) & (slot == s)))
-                for e in near[c]:
-                    for t in range(blocks[e]):
-                        low, high = sorted([(c, s), (e, t)])
-                        key = pa.array([f"{low[0]}.{low[1]}-{high[0]}.{high[1]}"] * part.num_rows)
-                        side = pa.array([(c, s) != low] * part.num_rows)
-                        yield pa.RecordBatch.from_arrays([key, side, *part.columns[:3], part.column(5)], ["pair", "side", "class", "u", "weight", "levels"])
+            block = batch.column(3).to_numpy()
+            for b in np.unique(block).tolist():
+                part = batch.filter(pa.array(block == b))
+                packed = [
+                    part.column(0).to_numpy().astype("<i8").tobytes(), b"".join(part.column(1).to_pylist()),
+                    part.column(2).to_numpy().astype("<i8").tobytes(), b"".join(part.column(4).to_pylist()),
+                ]
+                for other in layout.beside(b):
+                    row = [[min(b, other)], [max(b, other)], [b > other], *([x] for x in packed)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names)
+
+    kinds = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 4]
+    names = ["low", "high", "side", "classes", "vectors", "weights", "levels"]
 
     def traverse(group: pd.DataFrame) -> pd.DataFrame:
-        sides = []
+        sides, same = [], group["low"].iloc[0] == group["high"].iloc[0]
         for side in (False, True):
             g = group[group["side"] == side]
             if len(g):
-                g = g.sort_values("class")
-                ids = g["class"].to_numpy()
-                x = np.frombuffer(b"".join(g["u"]), np.float64).reshape(len(g), -1)
-                levels = np.searchsorted(ids, np.stack(g["levels"].to_list()))
-                sides.append((ids, x, tree(x, levels), g["weight"].to_numpy()))
-        low, high = group["pair"].iloc[0].split("-")
-        same = low == high
+                ids, weights = (np.concatenate([np.frombuffer(x, "<i8") for x in g[c]]) for c in ("classes", "weights"))
+                x = units(b"".join(g["vectors"]), width, len(ids))
+                levels = np.frombuffer(b"".join(g["levels"]), np.int32).reshape(len(ids), -1)
+                order = np.argsort(ids, kind="stable")  # in which the block's levels were numbered
+                sides.append((ids[order], x[order], tree(x[order], levels[order]), weights[order]))
         if same:
             sides = sides[:1] * 2
         out = pd.DataFrame({"class": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"), "other": pd.Series(dtype="Int64")})
@@ -291,10 +342,8 @@ def similar_vectors(rows: DataFrame, cosine: float = COSINE, vector: str = "embe
         ]
         return pd.concat(parts, ignore_index=True)
 
-    pairs = grown.select("class", "u", "weight", "cell", "slot", "levels").mapInArrow(
-        pair_up, "pair string, side boolean, class long, u binary, weight long, levels array<long>"
-    )
-    found = cut(pairs.groupBy("pair").applyInPandas(traverse, "class long, n long, other long"))
+    pairs = grown.mapInArrow(pair_up, "low int, high int, side boolean, classes binary, vectors binary, weights binary, levels binary")
+    found = cut(pairs.groupBy("low", "high").applyInPandas(traverse, "class long, n long, other long"))
     counts = found.where("other is null").groupBy("class").agg(F.sum("n").alias("n"))
     parts = connected_components(found.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     rooted = classes.select("class", "first", "weight").join(parts.withColumnRenamed("node", "class"), "class", "left")
@@ -303,7 +352,7 @@ def similar_vectors(rows: DataFrame, cosine: float = COSINE, vector: str = "embe
     of_class = rooted.join(lowest, "root").join(counts, "class", "left").select(
         "class", "component_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    out = vectors.withColumn("class", F.when(F.length("u") == width, number)).join(of_class, "class", "left")
+    out = vectors.withColumn("class", F.when(F.length("v") == length, number)).join(of_class, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
