@@ -1,14 +1,21 @@
-"""Structured Streaming jobs: rates, windows, sessions, corroboration, alerts, seam dedup."""
+"""Structured Streaming jobs: rates, windows, sessions, days, late chunks, corroboration, alerts, seam dedup."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators import joins
+
+
+def _text(values: list) -> pd.Series:
+    return pd.Series(values, dtype=object)
+
 
 def pick_rate(picks: DataFrame, width: str = "1 hour", late: str = "7 days") -> DataFrame:
     """Picks of each station in tumbling windows; data later than ``late`` is given up."""
@@ -16,7 +23,9 @@ def pick_rate(picks: DataFrame, width: str = "1 hour", late: str = "7 days") ->
 
 
 def sliding_counts(picks: DataFrame, width: str = "30 seconds", step: str = "20 seconds", late: str = "1 hour") -> DataFrame:
-    return picks.withWatermark("time", late).groupBy(F.window("time", width, step)).agg(F.count("*").alias("n"), F.approx_count_distinct("station").alias("stations")).select(F.col("window.start").alias("start"), "n", "stations")
+    """Picks and stations with picks of overlapping windows; a window's state holds each station once."""
+    counts = picks.withWatermark("time", late).groupBy(F.window("time", width, step)).agg(F.count("*").alias("n"), F.collect_set("station").alias("stations"))
+    return counts.select(F.col("window.start").alias("start"), "n", F.size("stations").cast("long").alias("stations"))
 
 
 def pick_sessions(picks: DataFrame, gap: str = "60 seconds", least: int = 3, late: str = "1 hour") -> DataFrame:
@@ -25,45 +34,205 @@ def pick_sessions(picks: DataFrame, gap: str = "60 seconds", least: int = 3, lat
 
 
 def corroborate(secondary: DataFrame, primary: DataFrame, tolerance: str = "1 second", late: str = "10 minutes") -> DataFrame:
-    """Stream to stream: picks of the second detector with a primary pick of the same station and phase near in time."""
+    """Stream to stream: picks of the second detector with a primary pick of the same station and phase near in time, each once.
+    State is given up with the watermark."""
     a = secondary.withWatermark("time", late).alias("a")
     b = primary.select(F.col("station").alias("b_station"), F.col("phase").alias("b_phase"), F.col("time").alias("b_time")).withWatermark("b_time", late)
     near = F.expr(f"station = b_station AND phase = b_phase AND b_time BETWEEN time - INTERVAL {tolerance} AND time + INTERVAL {tolerance}")
-    return a.join(b, near).dropDuplicates(["pick_id"]).drop("b_station", "b_phase", "b_time")
+    return a.join(b, near).drop("b_station", "b_phase", "b_time").dropDuplicatesWithinWatermark(["pick_id"])
+
+
+def separate(secondary: DataFrame, primary: DataFrame, seconds: int = 10, late: str = "10 minutes") -> DataFrame:
+    """Stream to stream: events of the second detector without a primary origin within ``seconds``, edges included; each comes
+    out when the watermark tells that none can come any more."""
+    bucket = lambda c: F.floor(F.unix_seconds(c) / seconds)
+    a = secondary.withWatermark("time", late).withColumn("bucket_", bucket(F.col("time")))
+    b = primary.select(F.col("time").alias("b_time")).withWatermark("b_time", late)
+    b = b.withColumn("near_", F.explode(F.array(*[bucket(F.col("b_time")) + i for i in (-1, 0, 1)])))
+    near = F.expr(f"bucket_ = near_ AND b_time BETWEEN time - INTERVAL {seconds} SECONDS AND time + INTERVAL {seconds} SECONDS")
+    return a.join(b, near, "left_outer").where("b_time is null").drop("b_time", "bucket_", "near_")
+
+
+def regional_tagger(regional: Callable[[], DataFrame], covered: Callable[[], DataFrame | None], write: Callable[[DataFrame, int], None], lag_min: float = 5, lag_max: float = 90):
+    """A ``foreachBatch`` function that tags each batch of events with the latest regional event before it, from the cache as
+    it is at that time, and hands it to ``write(tagged, batch number)``. Events outside the cache's span get no tag; triage of a later run has them."""
+
+    def tag(batch: DataFrame, number: int) -> None:
+        write(joins.asof_regional(batch, regional(), covered(), lag_min, lag_max), number)
 
+    return tag
 
-def significant_events(events: DataFrame, magnitude: float = 4.0) -> DataFrame:
-    return events.where(F.col("magnitude") >= magnitude)
+
+def significant_events(events: DataFrame, magnitude: float = 4.0, within: str = "24 hours") -> DataFrame:
+    """An alert for each event of ``magnitude`` at least that comes no later than ``within``, once."""
+    strong = events.where(F.col("magnitude") >= magnitude).withWatermark("time", within)
+    return strong.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def upsert_chunks(path: str, keys: list[str], order: str):
-    """A ``foreachBatch`` function that keeps the latest row of each key; versions are whole and published by a pointer."""
+    """A ``foreachBatch`` function that keeps the latest row of each key in a table by ``day``: only days that the batch
+    touches are read and written again, so a repeated batch changes nothing."""
+    from ..operators.timejoin import small
     from ..operators.windows import latest
     from ..sources import sinks
 
     def merge(batch: DataFrame, _: int) -> None:
-        root, _, name = path.rpartition("/")
-        try:
-            old = sinks.published(batch.sparkSession, root, name)
-            batch = old.unionByName(batch)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        sinks.publish(latest(batch, keys, [order]), root, name)
+        rows = batch.checkpoint()
+        if sinks.exists(rows.sparkSession, path):
+            old = rows.sparkSession.read.schema(rows.schema).parquet(path)
+            rows = old.join(small(rows.select("day").distinct()), "day", "left_semi").unionByName(rows)
+        kept = latest(rows, keys, [order]).checkpoint()  # read whole before its days are replaced
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
     return merge
 
 
-def process_days(stream: DataFrame, path: str, checkpoint: str):
-    """Complete days as they come, each written once and marked; the checkpoint is the resume point."""
-    from ..sources.sinks import write_day
+def process_days(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], datetime] | None = None, age_hours: int = 26):
+    """Each UTC ``day`` once it is ``age_hours`` old, whole: rows are staged by batch, and a day that is old enough is written
+    from all that is staged of it and then marked. Rows that come later have their day written again, whole. A repeated batch
+    replaces its own staging; the checkpoint is the resume point."""
+    from ..sources.sinks import done_days, exists, write_day
 
-    def batch(df: DataFrame, _: int) -> None:
-        write_day(df, path, df.select("day").distinct())
+    def batch(df: DataFrame, number: int) -> None:
+        spark, staged = df.sparkSession, f"{path}/staged"
+        df.write.mode("overwrite").partitionBy("day").parquet(f"{staged}/batch={number}")
+        rows = spark.read.schema(df.schema.add("batch", "long")).option("basePath", staged).parquet(staged)
+        at = F.lit(now()) if now else F.current_timestamp()
+        old_enough = F.col("day").cast("timestamp") + F.expr(f"INTERVAL {age_hours} HOURS") <= at
+        days = rows.where(old_enough).groupBy("day").agg(F.max(F.col("batch") == number).alias("touched"))
+        known = done_days(spark, path) if exists(spark, f"{path}/days_done") else days.select("day").where("false")
+        days = days.join(known.withColumn("done", F.lit(True)), "day", "left").where("touched or done is null").checkpoint()
+        write_day(rows.join(days.select("day"), "day", "left_semi").drop("batch"), path, days.where("done is null"))
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class SilenceAlert(StatefulProcessor):
+    """``silent`` once when a key has had nothing for ``gap_us`` after its last data, ``back`` once when it has data again. With
+    ``by_day`` data counts for its whole day, so the gap is of days without any. A key of the initial state is expected from its time on."""
+
+    def __init__(self, gap_us: int, by_day: bool):
+        self.gap_us, self.by_day = gap_us, by_day
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "last_us long, silent boolean")
+
+    def _due(self, last_us: int) -> int:
+        start = (last_us // DAY_US + 1) * DAY_US if self.by_day else last_us
+        return start + self.gap_us
+
+    def _keep(self, last_us: int, silent: bool) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.state.update((last_us, silent))
+        if not silent:
+            self.handle.registerTimer(self._due(last_us) // 1000)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self._keep(int(initialState["last_us"].iloc[0]), False)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        times = sorted(t for part in rows for t in part["t_us"].tolist())
+        last, silent = self.state.get() if self.state.exists() else (times[0], False)
+        out = []
+        for t in times:
+            if silent or t >= self._due(last):
+                out += [] if silent else [("silent", self._due(last))]
+                out.append(("back", t))
+                silent = False
+            last = max(last, t)
+        self._keep(last, silent)
+        yield self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, silent = self.state.get()
+        if silent or timerValues.getCurrentWatermarkInMs() * 1000 < self._due(last):
+            yield self._frame(key, [])
+        else:
+            self._keep(last, True)
+            yield self._frame(key, [("silent", self._due(last))])
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _frame(key, rows) -> pd.DataFrame:
+        return pd.DataFrame({"key": _text([str(key[0])] * len(rows)), "alert": _text([r[0] for r in rows]), "at_us": [int(r[1]) for r in rows]})
+
+
+DAY_US = 86_400_000_000
+ALERTS = "key string, alert string, at_us long"
+
+
+def dark_stations(data: DataFrame, days: int = 3, expected: DataFrame | None = None, late: str = "1 day") -> DataFrame:
+    """``(key, alert, at_us)`` of stations ``data(station, time, t_us)``: dark once after ``days`` whole days without data, back
+    once on return. Stations ``expected(station, last_us)`` that never send are dark from there on."""
+    keyed = data.select("station", "time", "t_us").withWatermark("time", late).groupBy("station")
+    first = expected.select("station", "last_us").groupBy("station") if expected is not None else None
+    return keyed.transformWithStateInPandas(
+        statefulProcessor=SilenceAlert(days * DAY_US, True), outputStructType=ALERTS, outputMode="Append", timeMode="EventTime", initialState=first
+    )
+
+
+def quiet_network(events: DataFrame, hours: int = 48, late: str = "1 hour") -> DataFrame:
+    """Alerts of a network ``events(network, time, t_us)`` that has had no event for ``hours``, and of its first one after."""
+    keyed = events.select("network", "time", "t_us").withWatermark("time", late).groupBy("network")
+    return keyed.transformWithStateInPandas(
+        statefulProcessor=SilenceAlert(hours * 3_600_000_000, False), outputStructType=ALERTS, outputMode="Append", timeMode="EventTime"
+    )
+
+
+class ChunkFollowUp(StatefulProcessor):
+    """``again`` for each answer that leaves a chunk short, ``complete`` for the one that fills it, ``accepted`` when a
+    short one is ``days`` old; one whose last attempt failed goes on being asked for (``again``)."""
+
+    def __init__(self, days: int, least: float):
+        self.window_us, self.least = days * DAY_US, least
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "end_us long, status string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        answers, out = pd.concat(list(rows)).sort_values("t_us"), []
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        last = None
+        for end, at, status, coverage in zip(*(answers[c].tolist() for c in ("end_us", "t_us", "status", "coverage")), strict=True):
+            full = status == "success" and (coverage != coverage or coverage is None or coverage >= self.least)
+            young = at <= end + self.window_us
+            last = None if full or not (young or status == "failed") else (int(end), status)
+            out.append("complete" if full else "again" if last else "accepted")
+        if last is None:
+            self.state.clear()
+        else:
+            self.state.update(last)
+            if last[1] != "failed":
+                self.handle.registerTimer((last[0] + self.window_us) // 1000)
+        yield self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield self._frame(key, ["accepted"])
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _frame(key, actions) -> pd.DataFrame:
+        return pd.DataFrame({"station": _text([key[0]] * len(actions)), "start_us": [int(key[1])] * len(actions), "action": _text(actions)})
+
+
+def follow_chunks(answers: DataFrame, days: int = 7, least: float = 0.99, late: str = "1 hour") -> DataFrame:
+    """``(station, start_us, action)`` for each of ``answers(station, start_us, end_us, time, t_us, status, coverage)``, ``time`` that of
+    the attempt: late data is asked for again for ``days`` after a chunk's end, then what there is is accepted."""
+    keyed = answers.withWatermark("time", late).groupBy("station", "start_us")
+    return keyed.transformWithStateInPandas(
+        statefulProcessor=ChunkFollowUp(days, least), outputStructType="station string, start_us long, action string", outputMode="Append", timeMode="EventTime"
+    )
+
+
 class SeamDedup(StatefulProcessor):
     """Of picks of one station and phase at most ``gap_us`` apart the more probable stays. A pick is held until
     event time has passed it by ``gap_us``."""
@@ -101,7 +270,7 @@ class SeamDedup(StatefulProcessor):
 
     @staticmethod
     def _frame(key, rows) -> pd.DataFrame:
-        return pd.DataFrame({"station": [key[0]] * len(rows), "phase": [key[1]] * len(rows), "t_us": [int(r[0]) for r in rows], "probability": [float(r[1]) for r in rows]})
+        return pd.DataFrame({"station": _text([key[0]] * len(rows)), "phase": _text([key[1]] * len(rows)), "t_us": [int(r[0]) for r in rows], "probability": [float(r[1]) for r in rows]})
 
 
 def seam_dedup(picks: DataFrame, gap_us: int = 1_000_000, late: str = "1 minute") -> DataFrame:

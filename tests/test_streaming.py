@@ -1,6 +1,7 @@
 """Streams against the batch result on the same input."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,12 @@ from seisloom.streaming import jobs
 DATA = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def checkpoints(spark, tmp_path):
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir("file://" + str(tmp_path / "checkpoints"))
+
+
 @pytest.fixture(scope="module")
 def picks(spark, tmp_path_factory):
     if not os.path.exists(DATA):
@@ -38,23 +45,162 @@ def test_hourly_rates(spark, picks):
     assert sorted(map(tuple, out.select("station", "start", "n").collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_sessions(spark, picks):
-    out = run(spark, jobs.pick_sessions(stream(spark, picks), "30 minutes", 2), "sessions", "append")
-    rows = sorted(r.t_us for r in spark.read.parquet(picks).collect())
-    n, sizes = 1, []
-    for a, b in zip(rows, rows[1:], strict=False):
-        if b - a <= 1_800_000_000:
-            n += 1
-        else:
-            sizes.append(n)
-            n = 1
-    want = sorted(s for s in sizes if s >= 2)  # the watermark closes all but the last hour's
-    got = sorted(r.n for r in out.collect())
-    assert len(want) - 3 <= len(got) <= len(want) + 1 and sum(got) <= len(rows)
-
-
-def test_seam_dedup(spark, picks):
-    out = run(spark, jobs.seam_dedup(stream(spark, picks), 1_000_000), "seams")
-    every = spark.read.parquet(picks)
-    assert 0 < out.count() <= every.count()
-    assert out.join(every, ["station", "phase", "t_us"], "left_anti").count() == 0
+def feed(spark, folder, batches, schema):
+    """Files read one a batch, in order."""
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        df.write.parquet(f"{folder}/part-{i:03d}")
+        time.sleep(0.02)  # files are taken by age
+    kind = spark.createDataFrame([], schema).schema
+    return spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(folder))
+
+
+def timed(df):
+    return df.withColumn("time", F.timestamp_micros("t_us"))
+
+
+HOUR, DAY = 3_600_000_000, 86_400_000_000
+FAR = 10_000 * DAY  # a last row that carries the watermark past all others
+
+
+def test_sessions(spark, picks, tmp_path):
+    every = spark.read.parquet(picks).select("network", "station", "t_us", "time")
+    last = spark.createDataFrame([("ZZ", "end", FAR)], "network string, station string, t_us long")
+    every.unionByName(timed(last)).coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = run(spark, jobs.pick_sessions(stream(spark, str(tmp_path / "in")), "30 minutes", 2), "sessions", "append")
+    rows = sorted((r.t_us, r.station) for r in every.collect())
+    groups, before = [], None
+    for t, s in rows:
+        if before is None or t - before > 1_800_000_000:
+            groups.append([])
+        groups[-1].append((t, s))
+        before = t
+    want = sorted((g[0][0], len(g), len({s for _, s in g})) for g in groups if len(g) >= 2)
+    got = out.where("network = 'AM'").select(F.unix_micros("start"), "n", "stations").collect()
+    assert sorted(map(tuple, got)) == want and want
+
+
+def test_sliding_counts(spark, picks):
+    out = run(spark, jobs.sliding_counts(stream(spark, picks), "2 hours", "1 hour"), "sliding", "complete")
+    want = {}
+    for r in spark.read.parquet(picks).collect():
+        for start in (r.t_us // HOUR * HOUR, r.t_us // HOUR * HOUR - HOUR):
+            want.setdefault(start, []).append(r.station)
+    got = {r.s: (r.n, r.stations) for r in out.select(F.unix_micros("start").alias("s"), "n", "stations").collect()}
+    assert got == {k: (len(v), len(set(v))) for k, v in want.items()}
+
+
+def test_corroboration_and_separation(spark, tmp_path):
+    S = 1_000_000
+    second = [[(1, "S1", "P", 100 * S), (2, "S1", "P", 300 * S)], [(3, "S2", "S", 400 * S), (3, "S2", "S", 400 * S), (4, "S2", "P", 500 * S)], [(9, "end", "P", FAR)]]
+    first = [[(0, "S1", "P", 101 * S), (0, "S1", "P", 99 * S), (0, "S1", "S", 300 * S)], [(0, "S2", "S", 400 * S), (0, "S2", "P", 501 * S + 1)], [(0, "end", "P", FAR)]]
+    schema = "pick_id long, station string, phase string, t_us long"
+    a, b = (timed(feed(spark, tmp_path / n, x, schema)) for n, x in (("a", second), ("b", first)))
+    out = run(spark, jobs.corroborate(a, b), "corroborated")
+    assert sorted(r.pick_id for r in out.where("station <> 'end'").collect()) == [1, 3]
+    events, origins = ([[(i, t * S) for i, t in x] for x in y] for y in ([[(1, 100), (2, 200)], [(3, 300), (4, 400)]], [[(0, 110), (0, 189)], [(0, 310.000001)]]))
+    events.append([(9, FAR)])
+    origins.append([(0, FAR)])
+    c, d = (timed(feed(spark, tmp_path / n, [[(i, int(t)) for i, t in y] for y in x], "event_id long, t_us long")) for n, x in (("c", events), ("d", origins)))
+    out = run(spark, jobs.separate(c, d), "separated")
+    assert sorted(r.event_id for r in out.collect() if r.event_id != 9) == [2, 3, 4]
+
+
+def test_days_are_written_whole(spark, tmp_path):
+    from datetime import UTC, datetime
+
+    schema = "day date, station string, n int"
+    d = lambda n: datetime(2024, 1, n).date()
+    batches = [[(d(1), "a", 1), (d(2), "a", 2)], [(d(1), "b", 3)], [(d(2), "b", 4), (d(3), "a", 5)]]
+    out = str(tmp_path / "out")
+    rows = lambda: sorted(tuple(r) for r in spark.read.parquet(f"{out}/data").select("day", "station", "n").collect())
+
+    def go(at, checkpoint="c"):
+        q = jobs.process_days(source, out, str(tmp_path / checkpoint), lambda: at)
+        q.awaitTermination()
+
+    source = feed(spark, tmp_path / "in", batches, schema)
+    go(datetime(2024, 1, 3, 2, 0, tzinfo=UTC))  # the first two days are 26 h old
+    assert rows() == [(d(1), "a", 1), (d(1), "b", 3), (d(2), "a", 2), (d(2), "b", 4)]
+    spark.createDataFrame([(d(1), "late", 6)], schema).write.parquet(str(tmp_path / "in" / "part-100"))
+    go(datetime(2024, 1, 4, 2, 0, tzinfo=UTC))
+    assert rows() == [(d(1), "a", 1), (d(1), "b", 3), (d(1), "late", 6), (d(2), "a", 2), (d(2), "b", 4), (d(3), "a", 5)]
+    from seisloom.sources.sinks import done_days
+
+    assert sorted(r.day for r in done_days(spark, out).collect()) == [d(1), d(2), d(3)]
+
+
+def test_chunks_are_upserted_by_day(spark, tmp_path):
+    path, schema = str(tmp_path / "chunks"), "day string, station string, start_us long, status string, at long"
+    merge = jobs.upsert_chunks(path, ["day", "station", "start_us"], "at")
+    first = [("1", "a", 0, "failed", 1), ("1", "b", 0, "short", 1), ("2", "a", 9, "success", 1)]
+    second = [("1", "a", 0, "success", 2), ("1", "b", 0, "older", 0), ("3", "c", 5, "success", 2)]
+    for n, rows in enumerate((first, second, second)):  # a repeated batch changes nothing
+        merge(spark.createDataFrame(rows, schema), n)
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("day", "station", "status").collect())
+    assert got == [("1", "a", "success"), ("1", "b", "short"), ("2", "a", "success"), ("3", "c", "success")]
+
+
+def test_dark_stations(spark, tmp_path):
+    data = {"a": [0, 1, 2, 7, 8], "b": list(range(12)), "c": [3]}
+    batches = [[(s, day * DAY + 5 * HOUR) for s, days in data.items() if day in days] or [("b", day * DAY)] for day in range(12)]
+    source = timed(feed(spark, tmp_path / "in", [*batches, [("b", 12 * DAY)]], "station string, t_us long"))
+    expected = spark.createDataFrame([("never", 0), ("c", 0)], "station string, last_us long")
+    out = run(spark, jobs.dark_stations(source, 3, expected, "1 hour"), "dark")
+    got = sorted((r.key, r.alert, r.at_us / DAY) for r in out.collect())
+    assert got == [("a", "back", 7 + 5 / 24), ("a", "silent", 6.0), ("c", "silent", 7.0), ("never", "silent", 4.0)]
+
+
+def test_quiet_network(spark, tmp_path):
+    hours = [0, 20, 60, 120, 121, 400]
+    source = timed(feed(spark, tmp_path / "in", [[("AM", h * HOUR)] for h in hours], "network string, t_us long"))
+    got = sorted((r.at_us / HOUR, r.alert) for r in run(spark, jobs.quiet_network(source), "quiet").collect())
+    want = []
+    for x, y in zip(hours, hours[1:], strict=False):
+        want += [(x + 48, "silent"), (y, "back")] if y - x >= 48 else []
+    assert got == want
+
+
+def test_significant_events_once(spark, tmp_path):
+    rows = [[("e1", 4.0, DAY), ("e2", 3.9, DAY)], [("e1", 4.1, DAY), ("e3", 5.0, DAY + HOUR)], [("e4", 4.0, 9 * DAY)], [("e6", 4.0, 9 * DAY)], [("e5", 6.0, DAY)]]
+    source = timed(feed(spark, tmp_path / "in", rows, "event_id string, magnitude double, t_us long"))
+    got = sorted(r.event_id for r in run(spark, jobs.significant_events(source), "strong").collect())
+    assert got == ["e1", "e3", "e4", "e6"]  # e5 is too old by then
+
+
+def test_regional_tags_by_batch(spark, tmp_path):
+    S = 1_000_000
+    source = feed(spark, tmp_path / "in", [[("ep1", 100 * S), ("ep2", 1000 * S)], [("ep3", 2000 * S)]], "event_id string, t_us long")
+    regional = spark.createDataFrame([("r1", 4.5, 232.0, "Mexico", 60 * S), ("r2", 5.0, 300.0, "", 1990 * S)], "id string, mag double, distance_km double, place string, t_us long")
+    tagged = []
+    write = lambda df, _: tagged.extend(df.collect())
+    source.writeStream.foreachBatch(jobs.regional_tagger(lambda: regional, lambda: None, write)).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.event_id, r.regional_id) for r in tagged) == [("ep1", "r1"), ("ep2", None), ("ep3", "r2")]
+
+
+def test_late_chunks_are_followed(spark, tmp_path):
+    end = HOUR
+    rows = [
+        [("a", 0, end, end, "success", 0.5), ("b", 0, end, end, "no_data", None), ("c", 0, end, end, "failed", None), ("d", 0, end, end, "success", 1.0)],
+        [("a", 0, end, end + DAY, "success", 1.0), ("c", 0, end, end + DAY, "failed", None)],
+        [("c", 0, end, end + 9 * DAY, "failed", None), ("e", 0, end, end + 9 * DAY, "success", 0.2)],
+        [("z", FAR, FAR, FAR, "success", 1.0)],
+    ]
+    source = timed(feed(spark, tmp_path / "in", rows, "station string, start_us long, end_us long, t_us long, status string, coverage double"))
+    got = sorted((r.station, r.action) for r in run(spark, jobs.follow_chunks(source), "chunks").collect())
+    assert got == [
+        ("a", "again"), ("a", "complete"), ("b", "accepted"), ("b", "again"), ("c", "again"), ("c", "again"), ("c", "again"), ("d", "complete"), ("e", "accepted"), ("z", "complete"),
+    ]
+
+
+def test_seam_dedup(spark, tmp_path):
+    """As the batch operator: of picks within a second of a station and phase the most probable stays."""
+    from seisloom.operators.windows import dedup_seams
+
+    S = 1_000_000
+    rows = [[("a", "P", 0, 0.5), ("a", "P", 700_000, 0.9), ("a", "S", 100_000, 0.4), ("b", "P", 5 * S, 0.7)], [("a", "P", 1_500_000, 0.6), ("a", "P", 9 * S, 0.3), ("b", "P", 5_500_000, 0.6)], [("z", "P", FAR, 0.1)]]
+    source = timed(feed(spark, tmp_path / "in", rows, "station string, phase string, t_us long, probability double"))
+    out = run(spark, jobs.seam_dedup(source, S), "seams")
+    every = spark.createDataFrame([r for b in rows for r in b], "station string, phase string, t_us long, probability double")
+    want = dedup_seams(every, S).where("station <> 'z'").collect()
+    assert sorted(map(tuple, out.where("station <> 'z'").collect())) == sorted((r.station, r.phase, r.t_us, r.probability) for r in want)
