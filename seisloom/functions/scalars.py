@@ -17,12 +17,23 @@ def jday_to_date(year: Column, jday: Column) -> Column:
 
 
 def parse_utc(text: Column) -> Column:
-    """ISO text, naive meaning UTC (of the session), with ``Z`` or an offset; bad text is null."""
-    return F.try_to_timestamp(text)
+    """ISO text with ``Z`` or an offset, or naive and then UTC, whatever the session's zone; bad text is null."""
+    day, zoned = text.rlike(r"^\s*\d{4}-\d{2}-\d{2}\s*$"), text.rlike(r"(?:[zZ]|[+-]\d{2}(?::?\d{2})?)\s*$")
+    trimmed = F.trim(text)
+    return F.try_to_timestamp(F.when(day, F.concat(trimmed, F.lit("T00:00:00Z"))).when(zoned, trimmed).otherwise(F.concat(trimmed, F.lit("Z"))))
+
+
+def utc(time: Column) -> Column:
+    """A time whose fields in the session's zone are those of UTC."""
+    return F.to_utc_timestamp(time, F.current_timezone())
+
+
+def utc_hour(t_us: Column) -> Column:
+    return F.floor(F.pmod(t_us, F.lit(86_400 * SECOND)) / (3600 * SECOND)).cast("int")
 
 
 def event_id_base(time: Column, prefix: Column) -> Column:
-    return F.concat(prefix, F.date_format(time, "yyyyMMdd'T'HHmmss"))
+    return F.concat(prefix, F.date_format(utc(time), "yyyyMMdd'T'HHmmss"))
 
 
 def day_of_id(event_id: Column) -> Column:

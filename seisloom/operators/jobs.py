@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,18 +14,42 @@ from . import arrays, joins, location, windows
 from .timejoin import components
 
 
-def apply_triage(catalog: DataFrame, assignments: DataFrame, core: list[str], regional: DataFrame | None = None, covered: DataFrame | None = None) -> DataFrame:
-    """Every row labelled; review_status is left alone."""
-    rows = agg.triage_features(catalog.drop("triage", "triage_reason"), assignments, core)
+def apply_triage(
+    catalog: DataFrame, assignments: DataFrame, core: list[str], regional: DataFrame | None = None, covered: DataFrame | None = None, enabled: bool = True
+) -> DataFrame:
+    """Every row labelled, with empty labels where triage is not ``enabled``; review_status is left alone."""
+    bare = catalog.drop("triage", "triage_reason")
+    if not enabled:
+        return bare.withColumns({"triage": F.lit(""), "triage_reason": F.lit("")})
+    rows = agg.triage_features(bare, assignments, core)
     reason: Column = F.lit(None).cast("string")
     if regional is not None:
         rows = joins.asof_regional(rows, regional, covered)
         lag = (F.col("t_us") - F.col("regional_us")) / scalars.SECOND
-        reason = F.when(F.col("regional_id").isNotNull(), scalars.regional_reason(lag, F.col("regional_mag"), F.lit(""), F.col("regional_km"), F.col("regional_id")))
+        place = F.coalesce("regional_place", F.lit(""))
+        reason = F.when(F.col("regional_id").isNotNull(), scalars.regional_reason(lag, F.col("regional_mag"), place, F.col("regional_km"), F.col("regional_id")))
     label, why = scalars.triage(F.col("magnitude"), F.col("n_picks"), F.col("n_stations"), F.col("n_core"), reason)
     return rows.withColumns({"triage": label, "triage_reason": why})
 
 
+def spans_to_fetch(covered: tuple[int, int] | None, want_start_us: int, now_us: int, refresh_days: int = 7) -> list[tuple[int, int]]:
+    """What of a regional catalog to ask for: what is not covered, and the last days of what is, since it is revised."""
+    if covered is None:
+        return [(want_start_us, now_us)]
+    start, end = covered
+    again = (max(min(end, now_us) - refresh_days * 86_400 * scalars.SECOND, want_start_us), now_us)
+    return ([(want_start_us, start)] if want_start_us < start else []) + [again]
+
+
+def merge_regional(
+    cached: DataFrame, fetched: DataFrame, spans: list[tuple[int, int]], covered: tuple[int, int] | None
+) -> tuple[DataFrame, tuple[int, int]]:
+    """The cache with the answers for ``spans`` in place of what it had there, the last row of an id counting, and the span that it now covers."""
+    span_rows = cached.sparkSession.createDataFrame(spans, "start_us long, end_us long")
+    ends = [*spans, *([covered] if covered else [])]
+    return windows.refresh_rows(cached, fetched, span_rows), (min(a for a, _ in ends), max(b for _, b in spans))
+
+
 def select_additions(secondary: DataFrame, secondary_picks: DataFrame, primary: DataFrame, primary_picks: DataFrame, separation: float = 10.0, tolerance: float = 1.0, least: int = 3) -> tuple[DataFrame, DataFrame]:
     """Second-detector events far enough from every primary origin with enough corroborated picks, and their picks."""
     n = agg.corroboration_counts(secondary_picks, primary_picks, tolerance)
@@ -31,19 +57,22 @@ def select_additions(secondary: DataFrame, secondary_picks: DataFrame, primary:
     return kept, joins.picks_of(secondary_picks, kept)
 
 
-def dedup_catalog(catalog: DataFrame, assignments: DataFrame, seconds: float = 2.0, km: float = 5.0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Duplicates in time and place folded into their keeper: the catalog, the picks, and an audit row for each event dropped."""
+def dedup_catalog(catalog: DataFrame, assignments: DataFrame, seconds: float = 2.0, km: float = 5.0, include_mixed: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Duplicates in time and place folded into their keeper: the catalog, the picks, and an audit row for each event other than
+    its group's keeper. Groups of ids of several detectors are only reported (``merged`` false) unless ``include_mixed``."""
     pairs = joins.dup_pairs(catalog, seconds, km)
     groups = components(pairs, "a", "b").withColumnRenamed("node", "event_id")
-    kept = windows.keepers(catalog.join(groups, "event_id")).select("event_id", "keeper").checkpoint()
-    dropped = kept.where("event_id <> keeper")
-    return catalog.join(dropped, "event_id", "left_anti"), windows.fold_picks(assignments, kept), dropped
+    kinds = groups.groupBy("root").agg(F.countDistinct(F.substring("event_id", 1, 2)).alias("kinds_"))
+    merged = F.lit(True) if include_mixed else F.col("kinds_") == 1
+    kept = windows.keepers(catalog.join(groups, "event_id")).select("event_id", "keeper", "root").join(kinds, "root").select("event_id", "keeper", merged.alias("merged")).checkpoint()
+    audit = kept.where("event_id <> keeper")
+    return catalog.join(audit.where("merged"), "event_id", "left_anti"), windows.fold_picks(assignments, kept.where("merged")), audit
 
 
 def _clusters(detections: DataFrame, least: float, templates: int, single: float, width_s: float) -> tuple[DataFrame, DataFrame]:
     """Strong detections, and their anchored clusters that two templates or one very strong detection carry."""
     strong = detections.withColumn("per_chan", scalars.per_channel(F.col("correlation"), F.col("n_chans"))).where(F.col("per_chan") >= least)
-    c = windows.anchored_clusters(strong.select("det_id", "t_us", "template_id", "per_chan"), "t_us", int(width_s * scalars.SECOND), ["det_id"])
+    c = windows.anchored_clusters(strong.select("det_id", "t_us", "template_id", "per_chan"), "t_us", int(width_s * scalars.SECOND))
     out = c.groupBy("anchor").agg(
         F.countDistinct("template_id").alias("n_templates"), F.max("per_chan").alias("best_per_chan"),
         F.max_by("template_id", F.struct(F.col("per_chan"), -F.col("t_us"), -F.col("det_id"))).alias("best_template"),
@@ -54,16 +83,18 @@ def _clusters(detections: DataFrame, least: float, templates: int, single: float
 def filter_candidates(detections: DataFrame, catalog: DataFrame, least: float = 0.5, templates: int = 2, single: float = 0.65, width_s: float = 5.0, exclude_s: float = 15.0) -> DataFrame:
     """Strong detections in anchored clusters: two templates or one very strong, none near a confirmed event."""
     out = _clusters(detections, least, templates, single, width_s)[1]
-    return joins.exclude_known(out, catalog, exclude_s).withColumn("hr_utc", F.hour(F.timestamp_micros("t_us")))
+    return joins.exclude_known(out, catalog, exclude_s).withColumn("hr_utc", scalars.utc_hour(F.col("t_us")))
 
 
 def candidate_funnel(detections: DataFrame, catalog: DataFrame, least: float = 0.5, templates: int = 2, single: float = 0.65, width_s: float = 5.0, exclude_s: float = 15.0) -> DataFrame:
-    """``(step, n)`` of every step from detections to candidates."""
+    """``(step, n, parameters)`` of every step from detections to candidates."""
     strong, clusters = _clusters(detections, least, templates, single, width_s)
     clusters = clusters.checkpoint()
     steps = {"raw": detections, "strong": strong, "clustered": clusters, "kept": joins.exclude_known(clusters, catalog, exclude_s)}
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "n") for name, df in steps.items()]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
+    limits = {"least": least, "templates": templates, "single": single, "width_s": width_s, "exclude_s": exclude_s}
+    parameters = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(float(v)))])
+    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3]).withColumn("parameters", parameters)
 
 
 def promote(candidates: DataFrame, catalog: DataFrame, seconds: float = 5.0) -> DataFrame:
@@ -74,14 +105,49 @@ def promote(candidates: DataFrame, catalog: DataFrame, seconds: float = 5.0) ->
     return named.join(place, "best_template", "left").drop("key_", "blocked_by")
 
 
-def merge_catalog(catalog: DataFrame, new_events: DataFrame, ledger: DataFrame, previous: DataFrame, prefix: str = "ep") -> DataFrame:
-    """New days of ``new_events(source, day, time, t_us, ...)`` minted, united with the catalog, old ids carried over, in time order."""
-    fresh = joins.new_days(new_events, ledger)
-    minted = windows.mint_ids(fresh, prefix, ["t_us"], catalog.select("event_id"))
-    both = catalog.unionByName(minted, allowMissingColumns=True).checkpoint()
-    kept = joins.carry_over_ids(minted, previous).select("event_id", "old_id")
-    out = both.join(kept, "event_id", "left").withColumn("event_id", F.coalesce("old_id", "event_id")).drop("old_id")
-    return out.orderBy("t_us", "event_id")
+class MergedCatalog(NamedTuple):
+    catalog: DataFrame
+    assignments: DataFrame
+    warnings: DataFrame
+    ledger: DataFrame
+
+
+def merge_catalog(
+    catalog: DataFrame, assignments: DataFrame, new_events: DataFrame, new_assignments: DataFrame, ledger: DataFrame, core: list[str],
+    previous: DataFrame | None = None, snapshot: tuple[DataFrame, DataFrame] | None = None,
+    regional: DataFrame | None = None, covered: DataFrame | None = None, triage: bool = True,
+) -> MergedCatalog:
+    """The days of ``new_events(source, day, event_index, time, t_us, ...)`` that the ledger does not have, added to the catalog.
+
+    New events get ids of their source's prefix and hand them to their assignments ``(source, day, event_index, ...)``.
+    On a rebuild the catalog is empty: ids of ``previous(event_id, t_us)`` are carried over, and the reviewed events
+    and picks of a ``snapshot`` are laid over the result. Then near duplicates are told, every row is labelled, and the
+    ledger has the days. Catalog and assignments are in time order.
+    """
+    fresh = joins.new_days(new_events, ledger).checkpoint()
+    minted = windows.mint_ids(fresh, F.col("source"), ["t_us", "event_index"], catalog.select("event_id")).checkpoint()
+    picks = joins.attach_event_id(joins.new_days(new_assignments, ledger), minted).where("event_id is not null")
+    if previous is not None:
+        kept = joins.carry_over_ids(minted, previous).select(F.col("event_id").alias("old"), F.col("old_id").alias("new")).checkpoint()
+        minted, picks = (joins.fold_ids(df, kept, "event_id").drop("renamed") for df in (minted, picks))
+    place = ["source", "day", "event_index"]
+    events = catalog.unionByName(minted.drop(*place), allowMissingColumns=True)
+    every = assignments.unionByName(picks.drop(*place), allowMissingColumns=True)
+    if snapshot is not None:
+        events, every = joins.restore_reviewed(events, every, *snapshot)
+    events, every = events.checkpoint(), every.checkpoint()
+    labelled = apply_triage(events, every, core, regional, covered, triage)
+    days = ledger.select("source", "day").unionAll(fresh.select("source", "day")).distinct()
+    return MergedCatalog(labelled.orderBy("t_us", "event_id"), every.orderBy("t_us", "event_id"), joins.near_duplicates(events, events).where("event_id < other_id"), days)
+
+
+def publish_merge(merged: MergedCatalog, root: str) -> None:
+    """Catalog, then assignments, then the ledger: a crash between them has days read again rather than lost."""
+    from ..sources import sinks
+
+    sinks.publish(merged.catalog, root, "catalog")
+    sinks.publish(merged.assignments, root, "assignments")
+    sinks.publish(merged.ledger, root, "ledger")
 
 
 def coverage_report(stations: DataFrame, got: DataFrame, tracker: DataFrame, least: float = 0.99) -> DataFrame:
@@ -95,7 +161,7 @@ def coverage_report(stations: DataFrame, got: DataFrame, tracker: DataFrame, lea
 
 
 def precluster(picks: DataFrame, eps_s: float = 60.0, least: int = 3) -> DataFrame:
-    """Picks of a station's day in sessions of gaps of ``eps_s`` at most, those of too few picks dropped."""
+    """Picks of the network's day in sessions of gaps of ``eps_s`` at most, those of too few picks dropped."""
     s = windows.sessions(picks, ["day"], "t_us", int(eps_s * scalars.SECOND))
     n = s.groupBy("day", "session").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return s.join(n, ["day", "session"])
@@ -108,6 +174,36 @@ def apply_reviews(catalog: DataFrame, decisions: DataFrame) -> DataFrame:
     return catalog.join(new, "event_id", "left").withColumns({"review_status": F.coalesce("s_", "review_status"), "event_type": F.coalesce("t_", "event_type")}).drop("s_", "t_")
 
 
+class Review(NamedTuple):
+    catalog: DataFrame
+    assignments: DataFrame
+    records: DataFrame
+    warnings: DataFrame
+
+
+#: What a saved review may change beside status and type.
+REVISED = ("t_us", "latitude", "longitude", "depth_km", "sigma_time", "magnitude", "magnitude_type", "ml_err", "num_picks", "num_ml_sta")
+
+
+def save_reviews(catalog: DataFrame, assignments: DataFrame, decisions: DataFrame, picks: DataFrame, source: str = "review") -> Review:
+    """The latest of ``decisions(event_id, timestamp, review_status, event_type, saved, ...)`` of each event: its row takes what the
+    decision has of ``REVISED``; where it is ``saved``, the event's picks give way to those of ``picks(event_id, timestamp, ...)`` with the
+    same time stamp. Decided events come as records with their picks, and with the other events near them as warnings."""
+    last = windows.latest(decisions, ["event_id"], ["timestamp"]).join(catalog.select("event_id"), "event_id", "left_semi").checkpoint()
+    fields = [c for c in REVISED if c in last.columns and c in catalog.columns]
+    new = last.select("event_id", *[F.col(c).alias(f"{c}_new_") for c in ("review_status", "event_type", *fields)])
+    rows = catalog.join(new, "event_id", "left").withColumns({c: F.coalesce(f"{c}_new_", c) for c in ("review_status", "event_type", *fields)})
+    rows = rows.select(*catalog.columns).checkpoint()
+    saved = last.where("saved").select("event_id", "timestamp")
+    theirs = picks.join(saved, ["event_id", "timestamp"], "left_semi").select(*[c for c in assignments.columns if c in picks.columns])
+    every = assignments.join(saved, "event_id", "left_anti").unionByName(theirs, allowMissingColumns=True).checkpoint()
+    decided = rows.join(last.select("event_id"), "event_id", "left_semi")
+    from ..sources import sinks
+
+    mine = joins.picks_of(every, decided).withColumn("time", F.timestamp_micros("t_us"))
+    return Review(rows, every, sinks.review_records(decided, mine, source), joins.near_duplicates(decided, rows))
+
+
 def retry_plan(partial: DataFrame, summary: DataFrame, today: Column, days: int = 7) -> DataFrame:
     """Partial days young enough whose last fetch stored more."""
     rows = partial.where(F.datediff(today, "day") <= days)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, scalars
 from ..functions.scalars import SECOND
+from . import windows
 from .timejoin import match_one_to_one, range_join
 
 
@@ -46,12 +47,15 @@ def asof_regional(catalog: DataFrame, regional: DataFrame, covered: DataFrame |
     if there is none). ``covered(start_us, end_us)``: events outside get none."""
     events = catalog
     if covered is not None:
-        inside = (F.col("t_us") >= F.col("start_us") + int(lag_max * SECOND)) & (F.col("t_us") <= F.col("end_us"))
-        events = catalog.join(F.broadcast(covered), inside, "left_semi")
+        spans = covered.select((F.col("start_us") + int(lag_max * SECOND)).alias("start_us"), "end_us")
+        events = windows.inside_spans(catalog, spans)
     events = events.select("event_id", F.col("t_us").alias("origin_us"))
-    near = range_join(events, regional.select("id", "mag", "distance_km", F.col("t_us").alias("r_us")), "origin_us", "r_us", -int(lag_max * SECOND), -int(lag_min * SECOND))
-    best = near.groupBy("event_id").agg(F.max_by(F.struct("id", "mag", "distance_km", F.col("r_us")), F.struct("r_us", "id")).alias("m"))
-    found = best.select("event_id", F.col("m.id").alias("regional_id"), F.col("m.mag").alias("regional_mag"), F.col("m.distance_km").alias("regional_km"), F.col("m.r_us").alias("regional_us"))
+    place = F.col("place") if "place" in regional.columns else F.lit(None).cast("string")
+    told = regional.select("id", "mag", "distance_km", place.alias("place"), F.col("t_us").alias("r_us"))
+    near = range_join(events, told, "origin_us", "r_us", -int(lag_max * SECOND), -int(lag_min * SECOND))
+    best = near.groupBy("event_id").agg(F.max_by(F.struct("id", "mag", "distance_km", "place", F.col("r_us")), F.struct("r_us", "id")).alias("m"))
+    fields = {"id": "id", "mag": "mag", "distance_km": "km", "place": "place", "r_us": "us"}
+    found = best.select("event_id", *[F.col(f"m.{c}").alias(f"regional_{n}") for c, n in fields.items()])
     return catalog.join(found, "event_id", "left")
 
 

@@ -54,31 +54,75 @@ def local_peaks(df: DataFrame, key: str, idx: str, value: str, height: float) ->
     return rows.where(peak).drop("v_", "before_", "after_")
 
 
-def _greedy(at: np.ndarray, height: np.ndarray, least: float) -> np.ndarray:
-    """Which peaks stay: the higher (then the earlier) first, none within ``least`` of one that stays."""
-    keep, left = np.zeros(len(at), bool), np.ones(len(at), bool)
-    for i in np.lexsort((at, -height)):
-        if left[i]:
-            keep[i] = True
-            left &= np.abs(at - at[i]) > least
-    return keep
+#: Blocks of a series are this many times as wide as the reach of their rows.
+SPAN = 64
+NONE = np.iinfo(np.int64).min
+
+
+def _decide(block: int, size: float, least: float):
+    """Decides the undecided rows of one block: kept if no row within ``least`` that is kept or may be comes before it."""
+
+    def run(group: pd.DataFrame, ranks: list[str], also: str | None) -> pd.DataFrame:
+        group = group.sort_values("at_", kind="stable")
+        at, state = group["at_"].to_numpy(), group["state_"].to_numpy().copy()
+        other = group[also].to_numpy() if also else None
+        place = np.empty(len(group), np.int64)
+        place[group.reset_index(drop=True).sort_values(ranks, kind="stable").index.to_numpy()] = np.arange(len(group))
+        own = np.floor(at / size) == block
+        low, high = np.searchsorted(at, at - least, "left"), np.searchsorted(at, at + least, "right")
+        for i in np.argsort(place):
+            if state[i] or not own[i]:
+                continue
+            near = np.arange(low[i], high[i])
+            if other is not None:
+                near = near[np.abs(other[near] - other[i]) <= least]
+            if (state[near] == 1).any():
+                state[i] = 2
+            elif not ((state[near] == 0) & (place[near] < place[i])).any():
+                state[i] = 1
+        return group.assign(state_=state)[own]
+
+    return run
+
+
+def greedy_apart(df: DataFrame, keys: Sequence[str], at: str, rank: Sequence[Column], least: float, also: str | None = None) -> DataFrame:
+    """The rows of each key taken in order of ``rank``, without those whose ``at`` (and ``also``) is within ``least`` of a taken row's.
+
+    A key is cut into blocks ``SPAN`` times as wide as ``least``, which see the rows just beyond their edges, and a block decides all
+    of its rows that no undecided row outside comes before; what is left goes into a further round. So no
+    key and no chain of close rows meets in one group, and a round takes a chain on by a block at least.
+    """
+    size = float(max(least, 1) * SPAN)
+    every = df.withColumn("row_", F.struct(*df.columns)).select(*keys, F.col(at).alias("at_"), *([F.col(also)] if also else []), *[r.alias(f"r{i}_") for i, r in enumerate(rank)], "row_")
+    every = every.withColumns({"tie_": F.xxhash64("row_"), "id_": F.monotonically_increasing_id()}).checkpoint()
+    ranks = [*[f"r{i}_" for i in range(len(rank))], "tie_", "id_"]
+    work = every.drop("row_").withColumn("state_", F.lit(0)).where("at_ is not null")
+    block = F.floor(F.col("at_") / size)
+    around = F.array_distinct(F.array(F.floor((F.col("at_") - least) / size), block, F.floor((F.col("at_") + least) / size)))
+    kept, schema = None, None
+    while True:
+        rows = work.withColumn("block_", F.explode(around))
+        schema = rows.schema
+
+        def decide(group: pd.DataFrame) -> pd.DataFrame:
+            return _decide(int(group["block_"].iloc[0]), size, least)(group, ranks, also)
+
+        done = rows.groupBy(*[F.col(k) for k in keys], "block_").applyInPandas(decide, schema).drop("block_").checkpoint()
+        new = done.where("state_ = 1")
+        kept = new.select("id_") if kept is None else kept.unionAll(new.select("id_"))
+        left = done.where("state_ = 0")
+        if left.isEmpty():
+            break
+        # kept rows matter to the rest only where they are within reach of it
+        edge = left.select(*keys, F.explode(around).alias("block_")).distinct()
+        beside = new.withColumn("block_", F.explode(around)).join(edge, [*keys, "block_"], "left_semi").drop("block_").distinct()
+        work = left.unionByName(beside).checkpoint()
+    return every.join(kept.distinct(), "id_", "left_semi").select("row_.*")
 
 
 def thin_peaks(peaks: DataFrame, keys: Sequence[str], at: str, height: str, least: float) -> DataFrame:
-    """Of peaks at most ``least`` apart the higher stays. Peaks are first cut into islands at larger
-    gaps, so a group holds a chain of close peaks; chains of one or two need no Python."""
-    w = Window.partitionBy(*keys).orderBy(at)
-    far = F.coalesce((F.col(at) - F.lag(at).over(w) > least).cast("int"), F.lit(1))
-    rows = peaks.withColumn("new_", far).withColumn("island_", F.sum("new_").over(w)).drop("new_")
-    island = Window.partitionBy(*keys, "island_")
-    rows = rows.withColumns({"size_": F.count("*").over(island), "rank_": F.row_number().over(island.orderBy(F.desc(height), at))})
-    schema = rows.schema
-
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        return group[_greedy(group[at].to_numpy(), group[height].to_numpy(), least)]
-
-    many = rows.where("size_ > 2").groupBy(*keys, "island_").applyInPandas(pick, schema)
-    return rows.where("size_ <= 2 and rank_ = 1").unionAll(many).drop("island_", "size_", "rank_")
+    """Of peaks at most ``least`` apart the higher (then the earlier) stays."""
+    return greedy_apart(peaks, keys, at, [-F.col(height), F.col(at)], least)
 
 
 def pick_amplitude(picks: DataFrame, samples: DataFrame, key: str, window: int) -> DataFrame:
@@ -116,41 +160,63 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap: int) -> DataFra
     return df.withColumn("session", F.last(first, ignorenulls=True).over(w))
 
 
-def anchored_clusters(df: DataFrame, time: str, width: int, order: Sequence[str]) -> DataFrame:
+def anchored_clusters(df: DataFrame, time: str, width: int, span: int = 4 * SPAN) -> DataFrame:
     """``anchor``: a cluster begins at its first row and holds all within ``width`` of that row.
 
-    Rows are dealt into days with the sessions that gaps over ``width`` cut; a session
-    that reaches over midnight is one with the part before it. Sessions are scanned in order.
+    The row after a cluster begins the next one, so each time has a link to the time that would follow it. Blocks of
+    ``span`` widths follow the links to their edge; from the starts that gaps prove, the blocks' entries are found by
+    joins that double their reach, and each block then walks from its entries. No session meets in one group.
     """
-    # a boundary is certain where the row before is farther than width; found per bucket with its neighbour's last row
-    bucket = F.floor(F.col(time) / (86_400 * 1_000_000))
-    rows = df.withColumn("day_", bucket)
-    ends = rows.groupBy("day_").agg(F.min(time).alias("lo_"), F.max(time).alias("hi_"))
-    over = Window.orderBy("day_")  # a row for each day
-    before = ends.select("day_", F.lag("hi_").over(over).alias("prev_"), "lo_").select("day_", "prev_")
-    rows = rows.join(F.broadcast(before), "day_")
-    w = Window.partitionBy("day_").orderBy(time, *order)
-    gap = F.col(time) - F.coalesce(F.lag(time).over(w), F.col("prev_"))
-    rows = rows.withColumn("start_", F.when(F.coalesce(gap > width, F.lit(True)), F.col(time)))
-    rows = rows.withColumn("session_", F.last("start_", ignorenulls=True).over(w))
-    last = rows.groupBy("day_").agg(F.max("session_").alias("s_"))
-    carried = last.select("day_", F.last("s_", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("carried_"))
-    rows = rows.join(F.broadcast(carried), "day_").withColumn("session_", F.coalesce("session_", "carried_"))
-    rows = rows.drop("day_", "prev_", "start_", "carried_")
-    alone = F.max(time).over(Window.partitionBy("session_")) - F.col("session_") <= width
-    rows = rows.withColumn("alone_", alone).withColumn("anchor", F.col("session_"))
-
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([time, *order])
-        anchor, out = None, []
-        for t in group[time]:
-            if anchor is None or t - anchor > width:
-                anchor = t
-            out.append(anchor)
-        return group.assign(anchor=out)
-
-    long = rows.where("not alone_").groupBy("session_").applyInPandas(scan, rows.schema)
-    return rows.where("alone_").unionAll(long).drop("session_", "alone_")
+    size = span * width
+    block = F.floor(F.col("t") / size)
+    times = df.select(F.col(time).alias("t")).where("t is not null").distinct().checkpoint()
+    beside = F.array(block, F.when(F.col("t") - block * size < 2 * width, block - 1), F.when((block + 1) * size - F.col("t") <= width, block + 1))
+
+    def follow(t: np.ndarray) -> np.ndarray:
+        """Place of the time that begins the next cluster, as many as there are if none is close enough to be of the session."""
+        after = np.searchsorted(t, t + width, "right")
+        far = np.append(t, np.iinfo(np.int64).max)[after] > t + 2 * width
+        return np.where(far, len(t), after)
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        number, t = int(group["block"].iloc[0]), np.sort(group["t"].to_numpy())
+        own, after = t // size == number, follow(t)
+        jump = np.full(len(t), NONE)
+        for i in range(len(t) - 1, -1, -1):
+            n = after[i]
+            if n < len(t):
+                jump[i] = jump[n] if own[n] else t[n]
+        start = np.concatenate([[True], np.diff(t) > width])
+        return pd.DataFrame({"t": t, "jump": pd.array(jump, dtype="Int64"), "start": start}).replace({"jump": {NONE: pd.NA}})[own]
+
+    links = times.withColumn("block", F.explode(F.filter(beside, lambda x: x.isNotNull()))).groupBy("block").applyInPandas(link, "t long, jump long, start boolean").checkpoint()
+    reached = links.where("start").select("t")
+    hop = links.where("jump is not null").select("t", "jump")
+    while True:
+        new = reached.join(hop, "t").select(F.col("jump").alias("t")).distinct().join(reached, "t", "left_anti").checkpoint()
+        if new.isEmpty():
+            break
+        reached = reached.unionAll(new).checkpoint()
+        hop = hop.join(hop.select(F.col("t").alias("jump"), F.col("jump").alias("far")), "jump").select("t", F.col("far").alias("jump")).checkpoint()
+    entries = reached.withColumn("entry", F.lit(True))
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("t")
+        t, after, seen = group["t"].to_numpy(), follow(group["t"].to_numpy()), set()
+        for i in np.flatnonzero(group["entry"].to_numpy()).tolist():
+            while i < len(t) and i not in seen:
+                seen.add(i)
+                i = int(after[i])
+        return pd.DataFrame({"anchor": t[sorted(seen)]})
+
+    anchors = times.join(entries, "t", "left").select("t", F.coalesce("entry", F.lit(False)).alias("entry"), block.alias("block")).groupBy("block").applyInPandas(walk, "anchor long")
+    first = F.floor(F.col("anchor") / size)
+    spread = anchors.withColumn("block_", F.explode(F.array_distinct(F.array(first, F.floor((F.col("anchor") + width) / size)))))
+    rows = df.withColumn("block_", F.floor(F.col(time) / size)).withColumn("anchor", F.lit(None).cast("long"))
+    marks = spread.select(F.col("anchor").alias(time), "block_", "anchor").withColumn("mark_", F.lit(True))
+    both = rows.withColumn("mark_", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy("block_").orderBy(time, F.desc("mark_"))
+    return both.withColumn("anchor", F.last("anchor", ignorenulls=True).over(order)).where("not mark_").drop("block_", "mark_")
 
 
 def minmax_bins(df: DataFrame, key: str, idx: str, value: str, per_bin: int) -> DataFrame:
@@ -193,11 +259,19 @@ def taper(df: DataFrame, key: str, idx: str, value: str, share: float = 0.05) ->
 
 def refresh_rows(cached: DataFrame, fetched: DataFrame, spans: DataFrame, key: str = "id") -> DataFrame:
     """Cached rows inside the fetched ``spans(start_us, end_us)`` give way to the fetched; of an id the fetched row counts."""
-    kept = cached.join(F.broadcast(spans), F.col("t_us").between(F.col("start_us"), F.col("end_us")), "left_anti")
+    kept = inside_spans(cached, spans, "left_anti")
     both = kept.withColumn("age_", F.lit(0)).unionByName(fetched.withColumn("age_", F.lit(1)))
     return latest(both, [key], ["age_", "t_us"]).drop("age_")
 
 
+def inside_spans(rows: DataFrame, spans: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``t_us`` a span ``(start_us, end_us)`` holds, ends included, by an equi-join on days."""
+    day = lambda c: F.floor(F.col(c) / 86_400_000_000)
+    days = spans.select("start_us", "end_us").where("start_us <= end_us").withColumn("span_day_", F.explode(F.sequence(day("start_us"), day("end_us"))))
+    on = (F.col("day_") == F.col("span_day_")) & F.col("t_us").between(F.col("start_us"), F.col("end_us"))
+    return rows.withColumn("day_", day("t_us")).join(days, on, how).drop("day_")
+
+
 def fold_picks(assignments: DataFrame, groups: DataFrame) -> DataFrame:
     """Picks of a group's events as the keeper's: the first of each station and phase, the keeper's own before others."""
     rows = assignments.join(groups.select("event_id", "keeper"), "event_id", "left")
@@ -222,27 +296,13 @@ def skip_dup_windows(segments: DataFrame, keys: Sequence[str], order: str, toler
     """Segments in ``order``, without those whose start and end are both less than ``tolerance_us`` from those of a
     kept one of the same keys.
 
-    Exact copies of a window share its fate but for the first, so only distinct windows are compared, and only
-    within chains of starts closer than the tolerance; samples take no part. Rows with a null key, start or end
+    Exact copies of a window share its fate but for the first, so only distinct windows are compared (whole microseconds);
+    samples take no part. Rows with a null key, start or end
     are compared with nothing and dropped.
     """
     names = [*keys, "start_us", "end_us"]
-    first = segments.dropna(subset=names).groupBy(*names).agg(F.min(order).alias("order_"))
-    w = Window.partitionBy(*keys).orderBy("start_us", "end_us")
-    far = F.coalesce((F.col("start_us") - F.lag("start_us").over(w) >= tolerance_us).cast("int"), F.lit(1))
-    rows = first.withColumn("new_", far).withColumn("chain_", F.sum("new_").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("new_")
-    rows = rows.withColumn("size_", F.count("*").over(Window.partitionBy(*keys, "chain_")))
-
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        group, kept = group.sort_values(["order_", "start_us", "end_us"]), []
-        a, b = group["start_us"].to_numpy(), group["end_us"].to_numpy()
-        for i in range(len(group)):
-            if not any(abs(a[i] - a[j]) < tolerance_us and abs(b[i] - b[j]) < tolerance_us for j in kept):
-                kept.append(i)
-        return group.iloc[kept]
-
-    many = rows.where("size_ > 1").groupBy(*keys, "chain_").applyInPandas(keep, rows.schema)
-    kept = rows.where("size_ = 1").unionAll(many).select(*names, F.col("order_").alias(order))
+    first = segments.dropna(subset=names).groupBy(*names).agg(F.min(order).alias(order))
+    kept = greedy_apart(first, keys, "start_us", [F.col(order), F.col("start_us"), F.col("end_us")], tolerance_us - 1, "end_us")
     return segments.join(kept, [*names, order], "left_semi").dropDuplicates([*names, order])
 
 

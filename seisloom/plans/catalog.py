@@ -441,7 +441,7 @@ def wn09_runs(v):
 
 @query()
 def wn11_anchored(v):
-    out = windows.anchored_clusters(v.detections().select("det_id", "t_us"), "t_us", 600_000_000, ["det_id"])
+    out = windows.anchored_clusters(v.detections().select("det_id", "t_us"), "t_us", 600_000_000)
     return out.groupBy("anchor").agg(F.count("*").alias("n"), F.max("t_us").alias("last_us"))
 
 

@@ -116,7 +116,7 @@ def test_guard_runs_and_anchors(spark):
     assert ids(windows.gap_guard(df, "k", "i", "ok", 3).where("not guarded"), "i") == list(range(17, 28))
     assert [(r["first"], r["last"]) for r in windows.zero_runs(df, "k", "i", "v", 3).collect()] == [(20, 24)]
     t = spark.createDataFrame([(i, x) for i, x in enumerate([0, 4, 8, 12, 30, 86_399_999_998, 86_400_000_001, 86_400_000_004])], "id long, t long")
-    out = {r.t: r.anchor for r in windows.anchored_clusters(t, "t", 5, ["id"]).collect()}
+    out = {r.t: r.anchor for r in windows.anchored_clusters(t, "t", 5).collect()}
     assert out == {0: 0, 4: 0, 8: 8, 12: 8, 30: 30, 86_399_999_998: 86_399_999_998, 86_400_000_001: 86_399_999_998, 86_400_000_004: 86_400_000_004}
 
 
@@ -210,3 +210,75 @@ def test_days_and_times(spark):
     t = spark.createDataFrame([("2024-01-01T00:00:00",), ("2024-01-01T00:00:00Z",), ("2024-01-01T01:00:00+01:00",), ("bad",)], "t string")
     out = [r.u for r in t.select(scalars.micros(scalars.parse_utc(F.col("t"))).alias("u")).collect()]
     assert out == [1704067200 * S] * 3 + [None]
+
+
+def greedy_by_hand(rows, least):
+    """Highest first, then earliest; none within ``least`` of a taken one."""
+    kept = []
+    for at, height in sorted(set(rows), key=lambda r: (-r[1], r[0])):
+        if all(abs(at - x) > least for x, _ in kept):
+            kept.append((at, height))
+    return sorted(kept)
+
+
+def test_peaks_of_chains_longer_than_blocks(spark):
+    import random
+
+    draw = random.Random(2)
+    series = {
+        "random": [(draw.randrange(6000), float(draw.randrange(50))) for _ in range(1500)],
+        "falling": [(i * 3, float(5000 - i)) for i in range(1500)],  # every decision waits for the one before
+        "rising": [(i * 3, float(i)) for i in range(1500)],
+        "equal": [(i, 1.0) for i in range(0, 3000, 2)],
+        "copies": [(5, 1.0)] * 40,
+    }
+    df = spark.createDataFrame([(k, a, h) for k, rows in series.items() for a, h in rows], "k string, i long, v double")
+    out = windows.thin_peaks(df, ["k"], "i", "v", 5).collect()
+    for k, rows in series.items():
+        assert sorted((r.i, r.v) for r in out if r.k == k) == greedy_by_hand(rows, 5), k
+
+
+def test_anchors_of_sessions_longer_than_blocks(spark):
+    import random
+
+    draw = random.Random(6)
+    times = sorted({draw.randrange(40_000) for _ in range(9000)} | {90_000 + 7 * i for i in range(400)} | {200_000, 200_005, 200_006})
+    want, anchor = {}, None
+    for t in times:
+        if anchor is None or t - anchor > 10:
+            anchor = t
+        want[t] = anchor
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(times + times[::3])], "t long, id int")
+    for span in (3, 256):
+        out = windows.anchored_clusters(df, "t", 10, span)
+        assert out.columns == ["t", "id", "anchor"] and out.count() == df.count()
+        assert {r.t: r.anchor for r in out.collect()} == want
+
+
+def test_windows_skipped_by_start_and_end(spark):
+    import random
+
+    draw = random.Random(4)
+    rows = [("k", i, a, a + 1000 + draw.randrange(0, 120)) for i, a in enumerate(draw.randrange(30_000) for _ in range(600))]
+    df = spark.createDataFrame(rows, "key string, file int, start_us long, end_us long")
+    kept = []
+    for r in rows:
+        if all(abs(r[2] - x[2]) >= 50 or abs(r[3] - x[3]) >= 50 for x in kept):
+            kept.append(r)
+    assert sorted(map(tuple, windows.skip_dup_windows(df, ["key"], "file", 50).select(*df.columns).collect())) == sorted(kept)
+
+
+def test_times_are_utc_in_any_session(spark):
+    from seisloom.functions import scalars
+
+    texts = ["2024-01-02T03:04:05", "2024-01-02T03:04:05Z", "2024-01-01 20:04:05-07:00", "2024-01-02", "2024-01-02T03:04:05.250", "never", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Denver"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            out = df.select("i", F.unix_micros(scalars.parse_utc(F.col("t"))).alias("us"), scalars.event_id_base(scalars.parse_utc(F.col("t")), F.lit("ep")).alias("id")).orderBy("i").collect()
+            assert [r.us for r in out] == [1704164645000000, 1704164645000000, 1704164645000000, 1704153600000000, 1704164645250000, None, None]
+            assert out[0].id == "ep20240102T030405"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
