@@ -99,17 +99,20 @@ def greedy_apart(df: DataFrame, keys: Sequence[str], at: str, rank: Sequence[Col
     work = every.drop("row_").withColumn("state_", F.lit(0)).where("at_ is not null")
     block = F.floor(F.col("at_") / size)
     around = F.array_distinct(F.array(F.floor((F.col("at_") - least) / size), block, F.floor((F.col("at_") + least) / size)))
-    kept, schema = None, None
+    # rows without a neighbour stay, and are settled without Python
+    order = Window.partitionBy(*[F.col(k) for k in keys], "block_").orderBy("at_")
+    near = F.coalesce(F.col("at_") - F.lag("at_").over(order) <= least, F.lit(False)) | F.coalesce(F.lead("at_").over(order) - F.col("at_") <= least, F.lit(False))
+    met = work.withColumn("block_", F.explode(around)).withColumn("near_", near).where(F.col("block_") == block).drop("block_").checkpoint()
+    kept, work = met.where("not near_").select("id_"), met.where("near_").drop("near_")
     while True:
         rows = work.withColumn("block_", F.explode(around))
-        schema = rows.schema
 
         def decide(group: pd.DataFrame) -> pd.DataFrame:
             return _decide(int(group["block_"].iloc[0]), size, least)(group, ranks, also)
 
-        done = rows.groupBy(*[F.col(k) for k in keys], "block_").applyInPandas(decide, schema).drop("block_").checkpoint()
+        done = rows.groupBy(*[F.col(k) for k in keys], "block_").applyInPandas(decide, rows.schema).drop("block_").checkpoint()
         new = done.where("state_ = 1")
-        kept = new.select("id_") if kept is None else kept.unionAll(new.select("id_"))
+        kept = kept.unionAll(new.select("id_"))
         left = done.where("state_ = 0")
         if left.isEmpty():
             break

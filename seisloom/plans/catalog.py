@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, scalars
 from ..operators import aggregates as agg
 from ..operators import filters, joins, windows
+from . import sql
 from .views import Views, oracle
 
 QUERIES: dict = {}
@@ -176,7 +177,7 @@ def jn06_asof_900(v):
     return out.select("event_id", "regional_id", "regional_mag", "regional_km", "regional_us")
 
 
-@query()
+@query(sql.JN07)
 def jn07_carry_over_600(v):
     return joins.carry_over_ids(v.primary(), v.secondary(), 600)
 
@@ -415,7 +416,7 @@ def wn04_peaks(v):
     return windows.local_peaks(v.series(), "series", "idx", "value", 30000)
 
 
-@query()
+@query(sql.WN05)
 def wn05_thin_peaks(v):
     peaks = windows.local_peaks(v.series(), "series", "idx", "value", 30000)
     return windows.thin_peaks(peaks, ["series"], "idx", "value", 5)
@@ -439,7 +440,7 @@ def wn09_runs(v):
     return windows.zero_runs(rows, "series", "idx", "value", 4)
 
 
-@query()
+@query(sql.WN11)
 def wn11_anchored(v):
     out = windows.anchored_clusters(v.detections().select("det_id", "t_us"), "t_us", 600_000_000)
     return out.groupBy("anchor").agg(F.count("*").alias("n"), F.max("t_us").alias("last_us"))

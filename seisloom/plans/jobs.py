@@ -8,6 +8,7 @@ from ..operators import aggregates as agg
 from ..operators import arrays, filters, jobs, joins, location, windows
 from ..sources import sinks
 from .catalog import CORE, rounded
+from . import sql
 from .views import Views, oracle
 
 QUERIES: dict = {}
@@ -35,29 +36,33 @@ def job09_additions(v):
     return kept.select("event_id", "corroborating_picks")
 
 
-@query()
+@query(sql.JOB10)
 def job10_dedup(v):
-    kept, _, dropped = jobs.dedup_catalog(v.catalog(), v.assignments(), 3600, 50)
-    return kept.select("event_id", F.lit("kept").alias("what")).unionAll(dropped.select("event_id", F.lit("dropped").alias("what")))
+    kept, _, audit = jobs.dedup_catalog(v.catalog(), v.assignments(), 3600, 50)
+    return kept.select("event_id", F.lit("kept").alias("what")).unionAll(audit.where("merged").select("event_id", F.lit("dropped").alias("what")))
 
 
-@query()
+@query(sql.JOB11)
 def job11_candidates(v):
     return jobs.filter_candidates(v.detections(), v.catalog(), 0.5, 2, 0.65, 60, 60)
 
 
-@query()
+@query(sql.JOB12)
 def job12_promote(v):
     c = jobs.filter_candidates(v.detections(), v.catalog(), 0.5, 2, 0.65, 60, 60)
     return jobs.promote(c, v.catalog(), 5).select("event_id", "t_us", "n_templates", "best_template")
 
 
-@query()
+@query(sql.JOB06)
 def job06_merge(v):
-    c = v.catalog().withColumn("source", F.lit("ep"))
-    have = c.where("day < '2024-01-15'").drop("source")
-    ledger = c.where("day < '2024-01-15'").select("source", "day").distinct()
-    return jobs.merge_catalog(have, c.drop("event_id"), ledger, c.where("n % 3 = 0").select("event_id", "t_us")).select("event_id", "t_us")
+    c = v.catalog().withColumns({"source": F.when(F.col("n") % 2 == 0, "ep").otherwise("po"), "event_index": F.col("n")}).checkpoint()
+    have, place = c.where("day < '2024-01-15'"), ["source", "day", "event_index"]
+    a = v.assignments().checkpoint()
+    new_picks = a.join(c.select("event_id", *place), "event_id").drop("event_id")
+    ledger = have.select("source", "day").distinct()
+    merged = jobs.merge_catalog(have.drop(*place), joins.picks_of(a, have), c.drop("event_id"), new_picks, ledger, CORE)
+    n = merged.assignments.groupBy("event_id").agg(F.count("*").alias("picks"))
+    return merged.catalog.join(n, "event_id", "left").select("event_id", "t_us", F.coalesce("picks", F.lit(0)).alias("picks"))
 
 
 @query("SELECT pick_id, session_us AS session, n FROM (SELECT pick_id, session_us, count(*) OVER (PARTITION BY day, session_us) AS n FROM (SELECT pick_id, day, max(s) OVER (PARTITION BY day ORDER BY t_us ROWS UNBOUNDED PRECEDING) AS session_us FROM (SELECT *, CASE WHEN coalesce(t_us - lag(t_us) OVER (PARTITION BY day ORDER BY t_us) > 60000000, true) THEN t_us END AS s FROM v_picks))) WHERE n >= 3")
@@ -104,9 +109,9 @@ def arr02_interpolate(v):
     return out.select(F.col("series").alias("key"), "idx", F.round("filled", 4).alias("filled"))
 
 
-@query()
+@query(sql.ARR03)
 def arr03_split_days(v):
-    return arrays.split_by_day(segments(v).withColumn("start_us", F.col("start_us") * 100 + 0)).select("key", "start_us", F.size("samples").alias("n"))
+    return arrays.split_by_day(segments(v).withColumn("start_us", F.col("start_us") * 100 + 0)).select("key", "start_us", F.size("samples").cast("long").alias("n"))
 
 
 @query("SELECT vec_id AS key, len(list_filter(range(len(samples)), lambda i: i % greatest(len(samples) // 10, 1) = 0))::BIGINT AS n FROM v_traces")
@@ -114,22 +119,22 @@ def arr15_thin(v):
     return arrays.thin(segments(v), 10).select("key", F.size("samples").cast("long").alias("n"))
 
 
-@query()
+@query(sql.ARR10)
 def arr10_windows(v):
     return arrays.cut_windows(segments(v), 30, 20).select("key", "first", F.round(F.array_max("window"), 6).alias("peak"))
 
 
-@query()
+@query(sql.ARR12)
 def arr12_bandpass(v):
     return arrays.bandpass(segments(v), ["key"], 2.0, 20.0).select("key", F.round(F.array_max("samples"), 6).alias("peak"))
 
 
-@query()
+@query(sql.ARR16)
 def arr16_spectrogram(v):
     return arrays.spectrogram(segments(v), ["key"]).groupBy("key").agg(F.count("*").alias("n"), F.round(F.avg("power"), 6).alias("mean"))
 
 
-@query()
+@query(sql.ARR17)
 def arr17_match(v):
     s = v.traces().select(F.floor(F.col("vec_id") / 50).alias("chunk"), F.lit("EHZ").alias("channel"), "vec_id", "samples")
     s = s.groupBy("chunk", "channel").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("vec_id", "samples"))), lambda x: x["samples"])).alias("samples"))
@@ -137,7 +142,7 @@ def arr17_match(v):
     return arrays.match_templates(s, t, 8.0).select("template_id", "chunk", "idx", F.round("cc", 4).alias("cc"))
 
 
-@query()
+@query(sql.JOB13)
 def job13_travel_times(v):
     depths = v.catalog().select("depth_km").distinct()
     distances = v.catalog().select(F.round(F.col("k").cast("double")).alias("distance_km")).distinct()

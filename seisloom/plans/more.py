@@ -8,6 +8,7 @@ from ..operators import aggregates as agg
 from ..operators import arrays, jobs, joins, location, windows
 from ..sources import sinks
 from .jobs import segments
+from . import sql
 from .views import Views, oracle
 
 QUERIES: dict = {}
@@ -73,9 +74,10 @@ def ag27_import_summary(v):
     return agg.import_summary(rows, ["station"])
 
 
-@query()
+@query(sql.AG28)
 def ag28_candidate_funnel(v):
-    return jobs.candidate_funnel(v.detections(), v.catalog(), 0.5, 2, 0.65, 60, 60)
+    out = jobs.candidate_funnel(v.detections(), v.catalog(), 0.5, 2, 0.65, 60, 60)
+    return out.select("step", "n", F.col("parameters")["least"].alias("least"), F.col("parameters")["width_s"].alias("width_s"))
 
 
 @query("""SELECT template_id, count(*) AS n_traces, string_agg(DISTINCT 'S' || (det_id % 25), ',' ORDER BY 'S' || (det_id % 25)) AS stations,
@@ -99,7 +101,7 @@ def jn22_expected_channels(v):
     return joins.expected_channels(s, inventory).select("station", "channel")
 
 
-@query()
+@query(sql.JN21)
 def jn21_template_names(v):
     t = v.catalog().where("event_type = 'quarry_blast'").select(F.concat(F.lit("ep_t"), F.col("n").cast("string")).alias("template_id"), (F.col("t_us") + 4_000_000).alias("t_us"))
     return joins.plan_template_names(t, v.catalog()).select("template_id", "event_id", "name")
@@ -127,23 +129,23 @@ def jn25_restore(v):
     return out.select("event_id", "t_us", "review_status")
 
 
-@query()
+@query(sql.WN07)
 def wn07_seams(v):
     return windows.dedup_seams(v.picks().select("pick_id", "station", "phase", "t_us", "probability"), 3_600_000_000)
 
 
-@query()
+@query(sql.WN10)
 def wn10_normalise(v):
     s = v.series().withColumn("channel", F.lit("EHZ"))
     return windows.sliding_normalise(s, "series", "channel", "idx", "value", 40).select("series", "idx", F.round("normalised", 6).alias("normalised"))
 
 
-@query()
+@query(sql.WN16)
 def wn16_detrigger(v):
     return windows.detrigger(v.detections().select("det_id", "template_id", "t_us", "correlation"), 3_600_000_000)
 
 
-@query()
+@query(sql.WN19)
 def wn19_skip_duplicates(v):
     start = F.floor(F.col("t_us") / 600_000_000) * 600_000_000 + F.col("k") * 10_000
     rows = v.picks().select("station", "phase", F.col("pick_id").alias("file"), start.alias("start_us"), (start + 600_000_000).alias("end_us"))
@@ -192,7 +194,7 @@ def arr04_align_span(v):
     return out.select("key", F.size("samples").alias("n"), F.round(F.aggregate("samples", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
 
 
-@query()
+@query(sql.ARR13)
 def arr13_decimate(v):
     return arrays.decimate(segments(v), ["key"], 50.0).select("key", "rate", F.size("samples").alias("n"), F.round(F.array_max("samples"), 6).alias("peak"))
 
@@ -209,7 +211,7 @@ def arr18_sanitise(v):
     return arrays.sanitise(s).select("key", F.round(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
 
 
-@query()
+@query(sql.ARR20)
 def arr20_extract_picks(v):
     s = segments(v).select("key", "start_us", "rate", F.col("samples").alias("prob"))
     return arrays.extract_picks(s, ["key"], 0.1, 50_000).select("key", "t_us", F.round(F.col("probability").cast("double"), 6).alias("probability"))
@@ -355,6 +357,6 @@ def arr07_components(v):
     return out.select("chunk", at(0).alias("east"), at(2).alias("up"), F.size(F.filter("valid", lambda x: x)).alias("valid"))
 
 
-@query()
+@query(sql.ARR11)
 def arr11_highpass(v):
     return arrays.highpass(segments(v), ["key"], 2.0).select("key", F.round(F.array_max("samples"), 6).alias("peak"))

@@ -37,7 +37,7 @@ v_traces AS (SELECT vec_id, 'S' || lpad(label::VARCHAR, 2, '0') AS station, 1704
 
 
 def oracle(select: str) -> str:
-    return f"WITH {SQL.strip()}\n{select}"
+    return f"WITH RECURSIVE {SQL.strip()}\n{select}"
 
 
 class Views:
