@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, jobs, more
+from . import catalog, jobs, more, stored
 
-QUERIES: dict = {**catalog.QUERIES, **jobs.QUERIES, **more.QUERIES}
-ORACLES: dict[str, str] = {**catalog.ORACLES, **jobs.ORACLES, **more.ORACLES}
+QUERIES: dict = {**catalog.QUERIES, **jobs.QUERIES, **more.QUERIES, **stored.QUERIES}
+ORACLES: dict[str, str] = {**catalog.ORACLES, **jobs.ORACLES, **more.ORACLES, **stored.ORACLES}

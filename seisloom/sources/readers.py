@@ -41,6 +41,19 @@ def read_day_events(spark: SparkSession, root: str, source: str) -> DataFrame:
     return _day_of_file(df).withColumn("source", F.lit(source))
 
 
+def read_day_tree(spark: SparkSession, root: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """Events and assignments ``(source, day, event_index, ...)`` of a source's tree. Files that are named otherwise or cannot be
+    read are left out; ``odd_files`` names the former."""
+    picks = spark.read.schema(schemas.ASSIGNMENTS).options(**_CSV, pathGlobFilter="*.assignments.csv", recursiveFileLookup="true", ignoreCorruptFiles="true").csv(root)
+    return read_day_events(spark, root, source), _codes(_day_of_file(picks)).withColumn("source", F.lit(source))
+
+
+def odd_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(path)`` of CSV files of a tree that are named for no day, to be warned of."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup="true").load(root).select("path")
+    return files.where(~F.element_at(F.split("path", "/"), -1).rlike(r"^\d{4}\.\d{3}\."))
+
+
 def read_assignments(spark: SparkSession, path: str) -> DataFrame:
     return _codes(_csv(spark, path, schemas.ASSIGNMENTS.replace("event_index int", "event_id string")))
 
