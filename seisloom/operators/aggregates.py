@@ -213,6 +213,14 @@ def issues(logs: DataFrame, steps: DataFrame, n: int = 50) -> DataFrame:
     return logs.unionByName(steps, allowMissingColumns=True).orderBy(F.desc("t_us"), "message").limit(n)
 
 
+def days_present(*tables: DataFrame) -> DataFrame:
+    """Days that any of the tables has."""
+    out = tables[0].select("day")
+    for other in tables[1:]:
+        out = out.unionAll(other.select("day"))
+    return out.distinct()
+
+
 def day_span(segments: DataFrame) -> DataFrame:
     return segments.groupBy("day").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"))
 

@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .timejoin import small
 from .windows import thin_peaks
 
 LIMIT = 1 << 23
@@ -184,16 +183,31 @@ def butterworth(order: int, hz: float, rate: float, kind: str) -> np.ndarray:
     return np.array(out)
 
 
-def run_sections(sections: np.ndarray, x: np.ndarray) -> np.ndarray:
-    y = np.asarray(x, np.float64).tolist()
+def run_sections(sections: np.ndarray, x: np.ndarray, block: int = 256) -> np.ndarray:
+    """The recursion of each section, a block at a time: within a block its response is a product with a matrix, and only
+    the two state values pass from block to block."""
+    y = np.asarray(x, np.float64)
+    n = len(y)
+    block = max(1, min(block, n))
     for b0, b1, b2, a1, a2 in sections.tolist():
-        z1 = z2 = 0.0
-        for i, v in enumerate(y):
-            out = b0 * v + z1
-            z1 = b1 * v - a1 * out + z2
-            z2 = b2 * v - a2 * out
-            y[i] = out
-    return np.array(y)
+        step, drive = np.array([[-a1, 1.0], [-a2, 0.0]]), np.array([b1 - a1 * b0, b2 - a2 * b0])
+        powers = [np.eye(2)]
+        for _ in range(block):
+            powers.append(step @ powers[-1])
+        free = np.array([p[0] for p in powers[:block]])  # output after a state, without input
+        response = np.concatenate([[b0], free[: block - 1] @ drive])
+        lag = np.arange(block)[:, None] - np.arange(block)[None, :]
+        within = np.where(lag >= 0, response[np.maximum(lag, 0)], 0.0)
+        into = np.array([powers[block - 1 - j] @ drive for j in range(block)])  # state left by each input
+        rows = np.concatenate([y, np.zeros(-n % block)]).reshape(-1, block)
+        left, states = (rows @ into).tolist(), np.empty((len(rows), 2))
+        (p, q), (r, t) = powers[block].tolist()
+        u = v = 0.0
+        for i, (du, dv) in enumerate(left):
+            states[i] = u, v
+            u, v = p * u + q * v + du, r * u + t * v + dv
+        y = (rows @ within.T + states @ free.T).ravel()[:n]
+    return y
 
 
 def band_filter(x: np.ndarray, rate: float, low: float | None, high: float | None, zero_phase: bool = True, order: int = 4) -> np.ndarray:
@@ -261,35 +275,69 @@ def spectrogram(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, "rate", "samples").mapInPandas(run, f"{kinds}, frame long, hz double, power double")
 
 
-def match_templates(segments: DataFrame, templates: DataFrame, threshold: float = 8.0) -> DataFrame:
+#: Template channels that meet a chunk in one group.
+TEMPLATE_ROWS = 4_000
+
+
+def match_templates(segments: DataFrame, templates: DataFrame, threshold: float = 8.0, kind: str = "mad") -> DataFrame:
     """Matched filter: each template channel's normalised correlation with the continuous channel, shifted by its offset and
-    stacked over channels; samples where the stack reaches ``threshold`` median absolute deviations.
+    stacked over channels, as ``(template_id, chunk, idx, cc, n_chans, mad)`` where the stack reaches the threshold: ``mad`` median absolute
+    deviations of the template's stack in the chunk, an ``absolute`` value, or a mean correlation of its channels (``mean_channel``).
 
-    ``segments(chunk, channel, samples)``, ``templates(template_id, channel, offset, samples)``.
+    ``segments(chunk, channel, samples)``, ``templates(template_id, channel, offset, samples)``. A chunk's channels meet with a part of the
+    templates in one group, which stacks in numpy; only detections leave it. A chunk (an hour, say) bounds what a task holds.
     """
-    pairs = segments.select("chunk", "channel", F.col("samples").alias("x")).join(
-        small(templates.select("template_id", "channel", "offset", F.col("samples").alias("t")), 2_000), "channel"
-    )
-
-    def correlate(batches):
-        for batch in batches:
-            for _, row in batch.iterrows():
-                x, t = np.asarray(row["x"], np.float64), np.asarray(row["t"], np.float64)
-                m = len(t)
-                if len(x) < m:
+    if kind not in ("mad", "absolute", "mean_channel"):
+        raise ValueError(f"no threshold of kind {kind}")
+    parts = max(1, -(-templates.count() // TEMPLATE_ROWS))
+    part = F.pmod(F.xxhash64("template_id"), F.lit(parts)).cast("int")
+    t = templates.select("template_id", "channel", "offset", F.col("samples").cast("array<double>").alias("samples"), part.alias("part"))
+    s = segments.select("chunk", "channel", F.col("samples").cast("array<double>").alias("samples"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    met = s.select(F.col("chunk").alias("in_chunk"), F.col("part").alias("in_part")).distinct()
+    t = t.join(met, F.col("part") == F.col("in_part")).drop("part")
+
+    def stack(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = {c: [] for c in ("template_id", "chunk", "idx", "cc", "n_chans", "mad")}
+        x = {c: np.asarray(v, np.float64) for c, v in zip(left["channel"], left["samples"], strict=True)}
+        ready: dict[tuple, tuple] = {}
+        for name, rows in right.groupby("template_id"):
+            length = max((len(x[c]) for c in rows["channel"] if c in x), default=0)
+            total, count = np.zeros(length), np.zeros(length, np.int64)
+            for channel, offset, want in zip(rows["channel"], rows["offset"], rows["samples"], strict=True):
+                m = len(want)
+                if channel not in x or len(x[channel]) < m:
                     continue
-                t = (t - t.mean()) / (t.std() * m or 1.0)
-                size = len(x) + m - 1
-                c = np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(t[::-1], size), size)[m - 1 : len(x)]
-                s, q = (np.concatenate([[0.0], np.cumsum(v)]) for v in (x, x * x))
-                std = np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
-                yield pd.DataFrame({"template_id": row["template_id"], "chunk": row["chunk"], "idx": np.arange(len(c)) - row["offset"], "cc": c / std})
-
-    kind = segments.schema["chunk"].dataType.simpleString()
-    stack = pairs.mapInPandas(correlate, f"template_id string, chunk {kind}, idx long, cc double").where("idx >= 0")
-    stack = stack.groupBy("template_id", "chunk", "idx").agg(F.sum("cc").alias("cc"), F.count("*").alias("n_chans"))
-    mad = stack.groupBy("template_id", "chunk").agg(F.median(F.abs("cc")).alias("mad"))
-    return stack.join(mad, ["template_id", "chunk"]).where(F.col("cc") >= threshold * F.col("mad"))
+                v = x[channel]
+                if (channel, m) not in ready:
+                    size = 1 << (len(v) + m - 2).bit_length()
+                    s, q = (np.concatenate([[0.0], np.cumsum(w)]) for w in (v, v * v))
+                    std = np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
+                    ready[channel, m] = size, np.fft.rfft(v, size), std
+                size, spectrum, std = ready[channel, m]
+                w = np.asarray(want, np.float64)
+                w = (w - w.mean()) / (w.std() * m or 1.0)
+                c = np.fft.irfft(spectrum * np.fft.rfft(w[::-1], size), size)[m - 1 : len(v)] / std
+                first = max(0, -int(offset))  # where the shifted correlation begins
+                c = c[max(0, int(offset)) :][: length - first]
+                total[first : first + len(c)] += c
+                count[first : first + len(c)] += 1
+            some = count > 0
+            if not some.any():
+                continue
+            mad = float(np.median(np.abs(total[some])))
+            least = threshold * mad if kind == "mad" else threshold if kind == "absolute" else threshold * count
+            at = np.flatnonzero(some & (total >= least))
+            for column, values in zip(out.values(), ([name] * len(at), [left["chunk"].iloc[0]] * len(at), at, total[at], count[at], [mad] * len(at)), strict=True):
+                column.extend(values)
+        return pd.DataFrame(out)
+
+    schema = f"template_id string, chunk {segments.schema['chunk'].dataType.simpleString()}, idx long, cc double, n_chans long, mad double"
+    empty = pd.DataFrame({c: pd.Series(dtype=k) for c, k in (("template_id", "object"), ("chunk", "object"), ("idx", "int64"), ("cc", "float64"), ("n_chans", "int64"), ("mad", "float64"))})
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return stack(left, right) if len(left) and len(right) else empty
+
+    return s.groupBy("chunk", "part").cogroup(t.groupBy("in_chunk", "in_part")).applyInPandas(run, schema)
 
 
 def score_windows(windows: DataFrame, predict_fn, column: str = "window", batch: int = 64) -> DataFrame:

@@ -290,9 +290,18 @@ def plan_event_ids(catalog: DataFrame) -> DataFrame:
     return windows.mint_ids(old, F.substring("old", 1, 2), ["time", "old"], catalog.where(~legacy).select("event_id")).select("old", F.col("event_id").alias("new"))
 
 
-def build_quarries(mines: DataFrame, osm: DataFrame) -> DataFrame:
+def build_quarries(mines: DataFrame, osm: DataFrame, degrees: float = 0.005) -> DataFrame:
     """Registered mines, and map features that no mine is beside."""
-    return mines.unionByName(joins.geo_dedup(mines, osm))
+    return mines.unionByName(joins.geo_dedup(mines, osm, degrees))
+
+
+def catalog_feed(**sources: DataFrame) -> DataFrame:
+    """The events of several detectors as one feed, each with its ``source``; columns that one lacks are null."""
+    out = None
+    for name, events in sources.items():
+        part = events.withColumn("source", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def event_detail(wanted: DataFrame, catalog: DataFrame, assignments: DataFrame, aliases: DataFrame) -> DataFrame:

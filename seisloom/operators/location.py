@@ -150,23 +150,29 @@ def associate(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: flo
     half = F.explode(F.array(F.lit(0.0), F.lit(0.5)))
     binned = votes.withColumn("half", half).withColumn("bin", F.floor(F.col("origin") / window_s + F.col("half")))
     found, round_, where = None, 0, ["x", "y", "z", "half", "bin"]
+    counts = [
+        F.countDistinct("station").alias("stations"), F.countDistinct(F.when(F.col("phase") == "P", F.col("pick_id"))).alias("p"),
+        F.countDistinct(F.when(F.col("phase") == "S", F.col("pick_id"))).alias("s"),
+    ]
+    qualified = (F.col("stations") >= least_stations) & (F.col("p") >= least_p) & (F.col("s") >= least_s)
     while True:
-        score = binned.groupBy("x", "y", "z", "half", "bin").agg(
-            F.countDistinct("station").alias("stations"), F.countDistinct(F.when(F.col("phase") == "P", F.col("pick_id"))).alias("p"),
-            F.countDistinct(F.when(F.col("phase") == "S", F.col("pick_id"))).alias("s"), F.avg("origin").alias("t0"), F.stddev_pop("origin").alias("spread"),
-        ).where((F.col("stations") >= least_stations) & (F.col("p") >= least_p) & (F.col("s") >= least_s)).checkpoint()
+        score = binned.groupBy(*where).agg(*counts, F.avg("origin").alias("t0"), F.stddev_pop("origin").alias("spread")).where(qualified).checkpoint()
         # the best of every stretch of time, and only if no better one is in a stretch beside it
         stretch = F.floor(F.col("t0") / 30.0)
         rank = F.struct(-(F.col("p") + F.col("s")), F.col("spread"), F.col("t0"), F.col("x"), F.col("y"), F.col("z"))
         best = score.groupBy(stretch.alias("st")).agg(F.min(F.struct(rank.alias("rank"), F.struct("t0", "x", "y", "z", "half", "bin").alias("v"))).alias("b"))
         beside = best.select(F.explode(F.array(F.col("st") - 1, F.col("st") + 1)).alias("st"), F.col("b.rank").alias("other"))
         beaten = best.join(beside, "st").where(F.col("other") < F.col("b.rank")).select("st").distinct()
-        won = best.join(beaten, "st", "left_anti").select("st", "b.v.*").checkpoint()
+        won = best.join(beaten, "st", "left_anti").select("st", "b.v.*", "b.rank").checkpoint()
         if won.isEmpty():
             break
-        members = binned.join(won.select(*where, "t0", "st"), where)
-        taken = members.select(F.concat(F.lit(f"{round_}:"), F.col("st").cast("string")).alias("event"), "t0", "x", "y", "z", "pick_id")
-        taken = taken.dropDuplicates(["pick_id"]).checkpoint()
+        members = binned.join(won.select(*where, "t0", "st", "rank"), where).withColumn("claim", F.struct("rank", "st"))
+        first = Window.partitionBy("pick_id").orderBy("claim")
+        # a pick that two events claim is the better one's; the other waits for a later round if it is left with too few
+        members = members.withColumn("place", F.row_number().over(first)).where("place = 1")
+        enough = members.groupBy("st").agg(*counts).where(qualified).select("st")
+        taken = members.join(enough, "st", "left_semi")
+        taken = taken.select(F.concat(F.lit(f"{round_}:"), F.col("st").cast("string")).alias("event"), "t0", "x", "y", "z", "pick_id").checkpoint()
         found = taken if found is None else found.unionAll(taken)
         binned = binned.join(score.select(*where), where, "left_semi").join(taken.select("pick_id"), "pick_id", "left_anti").checkpoint()
         round_ += 1

@@ -44,13 +44,21 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return best.select(*keys, "last_.*")
 
 
-def local_peaks(df: DataFrame, key: str, idx: str, value: str, height: float) -> DataFrame:
-    """Samples that rise to a maximum of ``height`` at least: the first sample of a plateau, never the first or last
-    sample, never beside a missing one."""
+def local_peaks(df: DataFrame, key: str, idx: str, value: str, height: float | None = None, edge: str | None = "rising", valley: bool = False, threshold: float = 0.0) -> DataFrame:
+    """Samples that are maxima of ``height`` at least, never the first or last sample, never beside a missing one.
+
+    Of a plateau the ``rising`` or the ``falling`` edge counts, ``both``, or none (None). With ``valley`` minima of ``height`` at most. Both
+    neighbours lie ``threshold`` lower at least."""
     w = Window.partitionBy(key).orderBy(idx)
-    v = F.when(~F.isnan(value), F.col(value))
+    v = F.when(~F.isnan(value), -F.col(value) if valley else F.col(value))
     rows = df.withColumns({"v_": v, "before_": F.lag(v).over(w), "after_": F.lead(v).over(w)})
-    peak = (F.col("v_") > F.col("before_")) & (F.col("v_") >= F.col("after_")) & (F.col("v_") >= height)
+    v, before, after = F.col("v_"), F.col("before_"), F.col("after_")
+    rising, falling = (v > before) & (v >= after), (v >= before) & (v > after)
+    peak = {"rising": rising, "falling": falling, "both": rising | falling, None: rising & falling}[edge]
+    if height is not None:
+        peak &= v >= (-height if valley else height)
+    if threshold > 0:
+        peak &= F.least(v - before, v - after) >= threshold
     return rows.where(peak).drop("v_", "before_", "after_")
 
 

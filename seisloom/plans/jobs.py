@@ -100,12 +100,10 @@ def arr01_mask(v):
     return arrays.mask_impossible(segments(v), 0.2).select("key", "start_us", F.size("samples").cast("long").alias("n"))
 
 
-@query("SELECT series AS key, idx, round(CASE WHEN idx % 5 IN (2, 3) THEN a + (b - a) * (idx % 5 - 1) / 3.0e0 ELSE value END, 4) AS filled FROM (SELECT *, max(value) FILTER (idx % 5 = 1) OVER (PARTITION BY series, idx // 5) AS a, max(value) FILTER (idx % 5 = 4) OVER (PARTITION BY series, idx // 5) AS b, max(idx) OVER (PARTITION BY series) AS hi FROM v_series) WHERE idx // 5 < hi // 5")
+@query("SELECT series AS key, idx, round(CASE WHEN idx % 5 IN (2, 3) THEN a + (b - a) * (idx % 5 - 1) / 3.0e0 ELSE value END, 4) AS filled FROM (SELECT *, max(value) FILTER (idx % 5 = 1) OVER (PARTITION BY series, idx // 5) AS a, max(value) FILTER (idx % 5 = 4) OVER (PARTITION BY series, idx // 5) AS b FROM v_series)")
 def arr02_interpolate(v):
     s = v.series().withColumn("value", F.when(~(F.col("idx") % 5).isin(2, 3), F.col("value")))
     out = arrays.interpolate_gaps(s, "series", "idx", "value")
-    hi = s.groupBy("series").agg(F.max("idx").alias("hi"))
-    out = out.join(hi, "series").where(F.floor(F.col("idx") / 5) < F.floor(F.col("hi") / 5))
     return out.select(F.col("series").alias("key"), "idx", F.round("filled", 4).alias("filled"))
 
 

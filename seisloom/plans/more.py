@@ -261,16 +261,15 @@ def job17_residuals(v):
     return left.select("event_id", "station", "phase", F.round("residual_s", 4).alias("residual_s"))
 
 
-@query("""SELECT 'ep' || strftime(make_timestamp(t_us), '%Y%m%d') || '-' || lpad((k % 100)::VARCHAR, 4, '0') || '' AS old, 'ep' || strftime(make_timestamp(t_us), '%Y%m%dT%H%M%S') AS new FROM v_catalog
-QUALIFY row_number() OVER (PARTITION BY day, k % 100 ORDER BY t_us) = 1 AND count(*) OVER (PARTITION BY t_us // 1000000) = 1""")
+@query("""SELECT old, 'ep' || second || CASE WHEN r > 1 THEN '-' || r ELSE '' END AS new FROM (SELECT *, row_number() OVER (PARTITION BY second ORDER BY old) AS r FROM (
+SELECT 'ep' || strftime(day, '%Y%m%d') || '-' || lpad((row_number() OVER (PARTITION BY day ORDER BY t_us))::VARCHAR, 4, '0') AS old, strftime(date_trunc('hour', make_timestamp(t_us)), '%Y%m%dT%H%M%S') AS second FROM v_catalog))""")
 def job21_plan_ids(v):
+    """Times cut to the hour, so that ids collide and get their suffixes."""
     from pyspark.sql import Window
 
-    first = F.row_number().over(Window.partitionBy("day", F.col("k") % 100).orderBy("t_us"))
-    alone = F.count("*").over(Window.partitionBy(F.floor(F.col("t_us") / 1_000_000)))
-    c = v.catalog().withColumns({"first": first, "alone": alone}).where("first = 1 and alone = 1")
-    old = F.concat(F.lit("ep"), F.date_format("time", "yyyyMMdd"), F.lit("-"), F.lpad((F.col("k") % 100).cast("string"), 4, "0"))
-    return jobs.plan_event_ids(c.select(old.alias("event_id"), "time"))
+    n = F.row_number().over(Window.partitionBy("day").orderBy("t_us"))
+    old = F.concat(F.lit("ep"), F.date_format("time", "yyyyMMdd"), F.lit("-"), F.lpad(n.cast("string"), 4, "0"))
+    return jobs.plan_event_ids(v.catalog().select(old.alias("event_id"), F.date_trunc("hour", "time").alias("time")))
 
 
 @query("SELECT 'S' || (vec_id // 100) AS key, '2024-01-01' AS day, 1704067200000000 + min(vec_id) * 6400000 AS start_us, count(*) * 64 AS n FROM v_traces GROUP BY vec_id // 100")
@@ -287,7 +286,7 @@ SELECT 1 FROM v_catalog m WHERE m.k % 2 = 0 AND abs(m.latitude - o.latitude - 0.
 def job24_quarries(v):
     c = v.catalog().where("k % 2 = 0").select(F.concat(F.lit("m"), F.col("n").cast("string")).alias("mine_id"), "latitude", "longitude")
     o = v.catalog().where("k % 2 = 1").select(F.concat(F.lit("o"), F.col("n").cast("string")).alias("mine_id"), (F.col("latitude") + 0.001).alias("latitude"), "longitude")
-    return c.unionByName(joins.geo_dedup(c, o, 0.025)).select("mine_id")
+    return jobs.build_quarries(c, o, 0.025).select("mine_id")
 
 
 @query("""SELECT event_id, 'old' || n AS legacy_id, coalesce(m, 0) AS picks, coalesce(st, 0) AS stations FROM v_catalog LEFT JOIN (SELECT event_id, count(*) AS m, count(DISTINCT station) AS st FROM v_assignments GROUP BY 1) USING (event_id)""")
@@ -335,23 +334,21 @@ def jn18_trim_to_epoch(v):
 
 @query("SELECT DISTINCT strftime(day, '%Y-%m-%d') AS day FROM (SELECT day FROM v_picks UNION ALL SELECT day FROM v_catalog)")
 def set02_days(v):
-    days = v.picks().select("day").union(v.catalog().select("day"))
-    return days.distinct().select(F.col("day").cast("string").alias("day"))
+    return agg.days_present(v.picks(), v.catalog()).select(F.col("day").cast("string").alias("day"))
 
 
 @query("SELECT event_id, 'ep' AS source FROM v_primary UNION ALL SELECT event_id, 'po' FROM v_secondary")
 def set07_sources(v):
-    return v.primary().select("event_id", F.lit("ep").alias("source")).unionByName(v.secondary().select("event_id", F.lit("po").alias("source")))
+    return jobs.catalog_feed(ep=v.primary(), po=v.secondary()).select("event_id", "source")
 
 
-@query("""SELECT vec_id // 3 AS chunk, round(coalesce(max(CASE WHEN vec_id % 3 = 0 AND vec_id % 12 <> 3 THEN samples[1] END), max(CASE vec_id % 3 WHEN 2 THEN samples[1] END))::DOUBLE, 6) AS east, round(max(CASE vec_id % 3 WHEN 2 THEN samples[1] END)::DOUBLE, 6) AS up, 64 AS valid
-FROM v_traces GROUP BY 1 HAVING count(*) FILTER (vec_id % 3 = 2) = 1""")
+@query("""SELECT vec_id // 3 AS chunk, round(coalesce(max(CASE WHEN vec_id % 3 = 0 AND vec_id % 12 <> 3 THEN samples[1] END), max(CASE vec_id % 3 WHEN 2 THEN samples[1] END), max(CASE vec_id % 3 WHEN 1 THEN samples[1] END))::DOUBLE, 6) AS east,
+round(coalesce(max(CASE vec_id % 3 WHEN 2 THEN samples[1] END), max(CASE WHEN vec_id % 3 = 0 AND vec_id % 12 <> 3 THEN samples[1] END), max(CASE vec_id % 3 WHEN 1 THEN samples[1] END))::DOUBLE, 6) AS up, 64 AS valid FROM v_traces GROUP BY 1""")
 def arr07_components(v):
     """One station in four has a pressure channel in place of its east component."""
     names = F.array(*[F.lit(c) for c in "ENZ"])
     component = F.when(F.col("key") % 12 == 3, "H").otherwise(names[(F.col("key") % 3).cast("int")])
     s = segments(v).select(F.floor(F.col("key") / 3).alias("chunk"), component.alias("component"), "samples")
-    s = s.join(s.where("component = 'Z'").select("chunk"), "chunk", "left_semi")
     out = arrays.assemble_components(s, ["chunk"])
     at = lambda i: F.round(F.col("components")[i][0].cast("double"), 6)
     return out.select("chunk", at(0).alias("east"), at(2).alias("up"), F.size(F.filter("valid", lambda x: x)).alias("valid"))
