@@ -47,7 +47,7 @@ WORDS_DISTANCE = 6
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and length
 PAIRS = ((0, 1), (0, 2), (1, 2))
 SLICE = 1 << 16  # shingles counted at a time
-ROWS = 1 << 21  # rows of whole buckets searched at a time
+ROWS = 1 << 18  # rows of whole buckets searched at a time: a row has up to SMALL links
 SMALL = 32  # members of a bucket whose pairs are compared directly
 
 
