@@ -38,3 +38,13 @@ def test_copies_count_once(spark):
     df = spark.createDataFrame([("h", "same page")] * 8 + [("h", f"page {i}\nfoot") for i in range(8)], "source string, text string")
     out = [r.text for r in line_dedup.drop_boilerplate(df, ratio=0.3, min_pages=2, distinct_pages=True).collect()]
     assert out.count("same page") == 8 and not any("foot" in t for t in out)
+
+
+def test_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = duckdb.sql(line_dedup.ORACLE)
+    out = line_dedup.op1_line_dedup(spark, sf).select(*want.columns)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want.fetchall()))
