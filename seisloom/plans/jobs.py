@@ -32,7 +32,7 @@ def segments(v):
 @query("SELECT event_id, corroborating_picks FROM (SELECT a.event_id, count(*) FILTER (EXISTS (SELECT 1 FROM v_picks q WHERE q.pick_id % 2 = 0 AND q.station = a.station AND q.phase = a.phase AND abs(q.t_us - a.t_us) <= 60000000)) AS corroborating_picks FROM v_assignments a GROUP BY 1) WHERE corroborating_picks >= 2 AND event_id IN (SELECT event_id FROM v_secondary s WHERE NOT EXISTS (SELECT 1 FROM v_primary p WHERE abs(p.t_us - s.t_us) <= 60000000))".replace("count(*) FILTER (EXISTS (SELECT 1 FROM v_picks q WHERE q.pick_id % 2 = 0 AND q.station = a.station AND q.phase = a.phase AND abs(q.t_us - a.t_us) <= 60000000)) AS corroborating_picks FROM v_assignments a GROUP BY 1", "count(*) AS corroborating_picks FROM v_assignments a WHERE EXISTS (SELECT 1 FROM v_picks q WHERE q.pick_id % 2 = 0 AND q.station = a.station AND q.phase = a.phase AND abs(q.t_us - a.t_us) <= 60000000) GROUP BY 1"))
 def job09_additions(v):
     p = v.picks()
-    kept, _ = jobs.select_additions(v.secondary(), v.assignments(), v.primary(), p.where("pick_id % 2 = 0"), 60, 60, 2)
+    kept, _ = jobs.select_additions(v.secondary(), v.assignments().checkpoint(), v.primary(), p.where("pick_id % 2 = 0"), 60, 60, 2)
     return kept.select("event_id", "corroborating_picks")
 
 

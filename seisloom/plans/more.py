@@ -121,10 +121,14 @@ def jn26_near_duplicates(v):
     return joins.near_duplicates(v.catalog().where("review_status = 'confirmed'"), v.catalog(), 7200, 50)
 
 
-@query()
+@query(sql.JN25)
 def jn25_restore(v):
-    c = v.catalog()
-    snapshot = c.where("review_status is not null").withColumn("t_us", F.col("t_us") + 1_000_000)
+    """Reviewed events under their id, under an unknown id beside their event, and an hour away under a known id."""
+    c, third = v.catalog(), F.col("n") % 3
+    snapshot = c.where("review_status is not null").withColumns({
+        "event_id": F.when(third == 1, F.concat(F.lit("rv"), F.col("n").cast("string"))).otherwise(F.col("event_id")),
+        "t_us": F.col("t_us") + F.when(third == 2, 3_600_000_000).otherwise(1_000_000),
+    })
     out, _ = joins.restore_reviewed(c.withColumn("review_status", F.lit(None).cast("string")), v.assignments(), snapshot, joins.picks_of(v.assignments(), snapshot))
     return out.select("event_id", "t_us", "review_status")
 

@@ -117,3 +117,9 @@ JOB06 = """, n AS (SELECT CASE n % 2 WHEN 0 THEN 'ep' ELSE 'po' END AS source, *
 m AS (SELECT event_id AS was, source || second || CASE WHEN row_number() OVER w > 1 THEN '-' || row_number() OVER w ELSE '' END AS event_id, t_us FROM n WINDOW w AS (PARTITION BY source, second ORDER BY t_us, n)),
 u AS (SELECT event_id AS was, event_id, t_us FROM v_catalog WHERE day < DATE '2024-01-15' UNION ALL SELECT * FROM m)
 SELECT u.event_id, t_us, coalesce(p, 0) AS picks FROM u LEFT JOIN (SELECT event_id AS was, count(*) AS p FROM v_assignments GROUP BY 1) USING (was)"""
+#: Reviewed events by n % 3: renamed and a second later, an hour later under their own id, or a second later.
+JN25 = f""", snap AS (SELECT event_id AS was, CASE WHEN n % 3 = 1 THEN 'rv' || n ELSE event_id END AS old_id, n % 3 > 0 AS lost, t_us + CASE WHEN n % 3 = 2 THEN 3600000000 ELSE 1000000 END AS old_us, n % 3 = 2 AS known, review_status FROM v_catalog WHERE review_status IS NOT NULL),
+free AS (SELECT event_id, t_us FROM v_catalog WHERE event_id NOT IN (SELECT old_id FROM snap WHERE NOT lost)),
+tw AS (SELECT unnest({walk(struct('old_id', 'event_id'), 't_us, old_id, event_id', 'y.old_id = x[1].old_id OR y.event_id = x[1].event_id')}) AS k FROM (SELECT old_id, event_id, f.t_us FROM snap JOIN free f ON abs(old_us - f.t_us) <= 10000000 AND old_id <> event_id WHERE lost)),
+o AS (SELECT CASE WHEN known THEN coalesce(k.event_id, old_id || '-2') ELSE old_id END AS event_id, old_us AS t_us, review_status FROM snap LEFT JOIN tw ON k.old_id = snap.old_id)
+SELECT event_id, t_us, NULL AS review_status FROM free WHERE event_id NOT IN (SELECT k.event_id FROM tw) UNION ALL SELECT * FROM o"""

@@ -24,17 +24,17 @@ def done_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish(df: DataFrame, root: str, name: str) -> str:
-    """A new version of a whole table; readers follow a pointer that is written last."""
+    """A new version of a whole table; readers follow a numbered pointer that is written last. One writer at a time."""
     spark = df.sparkSession
-    version = f"{root}/{name}/v-{uuid.uuid4().hex}"
+    version, pointers = f"{root}/{name}/v-{uuid.uuid4().hex}", f"{root}/{name}/_pointers"
     df.write.parquet(version)
-    stamp = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
-    stamp.write.mode("append").parquet(f"{root}/{name}/_pointers")
+    last = spark.read.parquet(pointers).agg(F.max("n")).first()[0] if exists(spark, pointers) else 0
+    spark.range(1).select(F.lit(version).alias("version"), F.lit(last + 1).cast("long").alias("n")).write.mode("append").parquet(pointers)
     return version
 
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    row = spark.read.parquet(f"{root}/{name}/_pointers").agg(F.max_by("version", "at").alias("v")).first()
+    row = spark.read.parquet(f"{root}/{name}/_pointers").agg(F.max_by("version", "n").alias("v")).first()
     return spark.read.parquet(row["v"])
 
 

@@ -258,3 +258,119 @@ def test_relocation_and_templates_are_registered_whole(spark, monkeypatch):
         assert calls.get("grid") == {}
     ids = {r.vec_id for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id").collect()}
     assert {r.template_id for r in calls["templates"].collect()} == {f"t{i}" for i in ids if i % 50 == 0}
+
+
+def test_mixed_groups_are_only_reported(spark):
+    rows = [("ep1", 0, 31.8, -106.4, None, 5), ("ep2", S, 31.8, -106.4, None, 7), ("ep3", 100 * S, 31.8, -106.4, None, 5), ("tm3", 101 * S, 31.8, -106.4, "confirmed", 3), ("ep9", 900 * S, 31.8, -106.4, None, 1)]
+    c = spark.createDataFrame(rows, "event_id string, t_us long, latitude double, longitude double, review_status string, num_picks int")
+    a = spark.createDataFrame([(e, "AM", "S1", "P", i * S) for i, e in enumerate(("ep1", "ep2", "ep3", "tm3"))], "event_id string, network string, station string, phase string, t_us long")
+    kept, picks, audit = jobs.dedup_catalog(c, a)
+    assert sorted(r.event_id for r in kept.collect()) == ["ep2", "ep3", "ep9", "tm3"]
+    assert sorted((r.event_id, r.keeper, r.merged) for r in audit.collect()) == [("ep1", "ep2", True), ("ep3", "tm3", False)]
+    assert sorted((r.event_id, r.t_us) for r in picks.collect()) == [("ep2", S), ("ep3", 2 * S), ("tm3", 3 * S)]
+    kept, _, audit = jobs.dedup_catalog(c, a, include_mixed=True)
+    assert sorted(r.event_id for r in kept.collect()) == ["ep2", "ep9", "tm3"] and all(r.merged for r in audit.collect())
+
+
+def test_blocked_recursion_is_the_recursion():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 5, 255, 256, 257, 1000):
+        x = draw.normal(size=n)
+        for hz, kind in ((0.5, "high"), (20.0, "low")):
+            sections = arrays.butterworth(4, hz, 100.0, kind)
+            want = x.tolist()
+            for b0, b1, b2, a1, a2 in sections.tolist():
+                z1 = z2 = 0.0
+                for i, v in enumerate(want):
+                    out = b0 * v + z1
+                    z1, z2 = b1 * v - a1 * out + z2, b2 * v - a2 * out
+                    want[i] = out
+            for block in (3, 256):
+                assert np.allclose(arrays.run_sections(sections, x, block), want, rtol=0, atol=1e-10)
+
+
+def test_matched_filter_stacks_channels(spark):
+    draw = np.random.default_rng(7)
+    x = {(c, ch): draw.normal(size=n) for c, n in ((0, 400), (1, 300)) for ch in ("EHZ", "EHN")}
+    t = {("t1", "EHZ"): (0, draw.normal(size=30)), ("t1", "EHN"): (12, draw.normal(size=30)), ("t2", "EHZ"): (-5, draw.normal(size=20)), ("t2", "XXX"): (0, draw.normal(size=20)), ("long", "EHZ"): (0, draw.normal(size=900))}
+    x[0, "EHZ"][100:130] += 4 * t["t1", "EHZ"][1]
+    x[0, "EHN"][112:142] += 4 * t["t1", "EHN"][1]
+    segments = spark.createDataFrame([(c, ch, v.tolist()) for (c, ch), v in x.items()], "chunk int, channel string, samples array<double>")
+    templates = spark.createDataFrame([(n, ch, o, v.tolist()) for (n, ch), (o, v) in t.items()], "template_id string, channel string, offset int, samples array<double>")
+    stacks = {}
+    for (name, ch), (offset, w) in t.items():
+        for c in (0, 1):
+            v = x.get((c, ch), np.zeros(0))
+            for i in range(len(v) - len(w) + 1):
+                part = v[i : i + len(w)]
+                cc = ((part - part.mean()) * (w - w.mean())).mean() / part.std() / w.std()
+                if i - offset >= 0:
+                    s = stacks.setdefault((name, c), {}).setdefault(i - offset, [0.0, 0])
+                    s[0] += cc
+                    s[1] += 1
+    mad = {k: float(np.median([abs(v) for v, _ in s.values()])) for k, s in stacks.items()}
+    for kind, least in (("mad", 6.0), ("absolute", 0.7), ("mean_channel", 0.5)):
+        want = {}
+        for k, s in stacks.items():
+            for i, (v, n) in s.items():
+                if v >= (least * mad[k] if kind == "mad" else least if kind == "absolute" else least * n):
+                    want[(*k, i)] = (round(v, 8), n)
+        out = arrays.match_templates(segments, templates, least, kind).collect()
+        assert {(r.template_id, r.chunk, r.idx): (round(r.cc, 8), r.n_chans) for r in out} == want and ("t1", 0, 100) in want
+        assert all(abs(r.mad - mad[r.template_id, r.chunk]) < 1e-12 for r in out)
+
+
+def test_merge_with_rebuild(spark):
+    """An id is carried over, a reviewed event is laid over its row, two near events are told, days of the ledger are left out."""
+    T = 1_780_000_000 * S
+    day = "2026-05-28"
+    events = [("ep", day, i, T + d * S, 31.8, -106.4, 1.0) for i, d in enumerate((0, 100, 101, 500))] + [("ep", "2026-05-01", 0, T - 9 * DAY, 31.8, -106.4, 1.0)]
+    new = spark.createDataFrame(events, "source string, day string, event_index int, t_us long, latitude double, longitude double, magnitude double").withColumn("time", F.timestamp_micros("t_us"))
+    picks = spark.createDataFrame([("ep", day, i, "AM", f"S0{s}", "P", T + s * S) for i in range(4) for s in range(3)], "source string, day string, event_index int, network string, station string, phase string, t_us long")
+    nothing = new.drop("source", "day", "event_index").withColumns({"event_id": F.lit(""), "review_status": F.lit("")}).where("false")
+    ledger = spark.createDataFrame([("ep", "2026-05-01")], "source string, day string")
+    previous = spark.createDataFrame([("ep20260528-0001", T + 3 * S)], "event_id string, t_us long")
+    base = new.where("event_index = 3").select(F.lit("ep20260528T203500").alias("x"), "t_us").first()
+    named = jobs.windows.mint_ids(new.where(f"t_us = {base.t_us}"), "ep", ["t_us"]).first().event_id
+    snapshot = nothing.unionByName(spark.createDataFrame([(named, base.t_us + S, 31.9, -106.4, 2.0, "confirmed")], "event_id string, t_us long, latitude double, longitude double, magnitude double, review_status string"), allowMissingColumns=True)
+    theirs = spark.createDataFrame([(named, "AM", "S05", "S", base.t_us)], "event_id string, network string, station string, phase string, t_us long")
+    none = theirs.where("false")
+    merged = jobs.merge_catalog(nothing, none, new, picks, ledger, ["S00", "S01", "S02"], previous, (snapshot, theirs))
+    rows = {r.event_id: r for r in merged.catalog.collect()}
+    assert len(rows) == 4 and rows["ep20260528-0001"].t_us == T and rows[named].review_status == "confirmed" and rows[named].magnitude == 2.0
+    assert {r.event_id: r.triage for r in merged.catalog.collect()}["ep20260528-0001"] == "flag"
+    assert sorted(r.station for r in merged.assignments.where(F.col("event_id") == named).collect()) == ["S05"]
+    assert merged.assignments.where("event_id = 'ep20260528-0001'").count() == 3
+    assert merged.warnings.count() == 1 and sorted(r.day for r in merged.ledger.collect()) == ["2026-05-01", day]
+
+
+def test_reviews_are_saved_whole(spark):
+    c = spark.createDataFrame([("ep1", 0, 31.8, -106.4, 5.0, None, "undetermined"), ("ep2", S, 31.8, -106.4, 6.0, None, "undetermined")], "event_id string, t_us long, latitude double, longitude double, depth_km double, review_status string, event_type string")
+    a = spark.createDataFrame([("ep1", "AM", "S1", "P", 1), ("ep2", "AM", "S1", "P", 2)], "event_id string, network string, station string, phase string, t_us long")
+    d = spark.createDataFrame([("ep1", 1, "rejected", None, False, 9.0), ("ep1", 2, "confirmed", "earthquake", True, 7.0), ("gone", 2, "confirmed", None, True, 1.0)], "event_id string, timestamp int, review_status string, event_type string, saved boolean, depth_km double")
+    p = spark.createDataFrame([("ep1", 2, "AM", "S9", "S", 5), ("ep1", 1, "AM", "S8", "S", 5)], "event_id string, timestamp int, network string, station string, phase string, t_us long")
+    out = jobs.save_reviews(c, a, d, p)
+    assert sorted((r.event_id, r.review_status, r.event_type, r.depth_km) for r in out.catalog.collect()) == [("ep1", "confirmed", "earthquake", 7.0), ("ep2", None, "undetermined", 6.0)]
+    assert sorted((r.event_id, r.station) for r in out.assignments.collect()) == [("ep1", "S9"), ("ep2", "S1")]
+    assert [(r.event_id, len(r.picks)) for r in out.records.collect()] == [("ep1", 1)]
+    assert [(r.event_id, r.other_id) for r in out.warnings.collect()] == [("ep1", "ep2")]
+
+
+def test_regional_spans_and_reasons(spark):
+    day = 86_400 * S
+    assert jobs.spans_to_fetch(None, 5, 50 * day) == [(5, 50 * day)]
+    assert jobs.spans_to_fetch((20 * day, 40 * day), 5 * day, 50 * day) == [(5 * day, 20 * day), (33 * day, 50 * day)]
+    c = spark.createDataFrame([("ep1", 100 * S, 1.0), ("ep2", 1000 * S, 1.0)], "event_id string, t_us long, magnitude double")
+    a = spark.createDataFrame([(e, f"S0{s}", "P") for e in ("ep1", "ep2") for s in range(6)], "event_id string, station string, phase string")
+    regional = spark.createDataFrame([("us1", 4.52, 232.4, "31 km S of Whites City", 58 * S), ("us2", 4.0, 200.0, "x", 960 * S)], "id string, mag double, distance_km double, place string, t_us long")
+    covered = spark.createDataFrame([(0, 500 * S)], "start_us long, end_us long")
+    rows = {r.event_id: (r.triage, r.triage_reason) for r in jobs.apply_triage(c, a, [f"S0{s}" for s in range(6)], regional, covered).collect()}
+    assert rows == {"ep1": ("auto_reject", "42 s after regional M4.5, 31 km S of Whites City (232 km, us1)"), "ep2": ("ok", "")}
+    off = jobs.apply_triage(c, a, ["S00"], enabled=False).collect()
+    assert {(r.triage, r.triage_reason) for r in off} == {("", "")}
+
+
+def test_odd_files_are_told(spark, tmp_path):
+    (tmp_path / "2024.001.events.csv").write_text("event_index,time\n")
+    (tmp_path / "notes.csv").write_text("x\n")
+    assert [r.path.rsplit("/", 1)[-1] for r in readers.odd_files(spark, str(tmp_path)).collect()] == ["notes.csv"]
