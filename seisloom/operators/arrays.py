@@ -329,10 +329,11 @@ def match_templates(segments: DataFrame, templates: DataFrame, threshold: float
             at = np.flatnonzero(some & (total >= least))
             for column, values in zip(out.values(), ([name] * len(at), [left["chunk"].iloc[0]] * len(at), at, total[at], count[at], [mad] * len(at)), strict=True):
                 column.extend(values)
-        return pd.DataFrame(out)
+        return pd.DataFrame({c: pd.Series(x, dtype=kinds[c]) for c, x in out.items()})
 
     schema = f"template_id string, chunk {segments.schema['chunk'].dataType.simpleString()}, idx long, cc double, n_chans long, mad double"
-    empty = pd.DataFrame({c: pd.Series(dtype=k) for c, k in (("template_id", "object"), ("chunk", "object"), ("idx", "int64"), ("cc", "float64"), ("n_chans", "int64"), ("mad", "float64"))})
+    kinds = {"template_id": "object", "chunk": "object", "idx": "int64", "cc": "float64", "n_chans": "int64", "mad": "float64"}
+    empty = pd.DataFrame({c: pd.Series(dtype=k) for c, k in kinds.items()})
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return stack(left, right) if len(left) and len(right) else empty
