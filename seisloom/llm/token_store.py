@@ -40,7 +40,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, cut, fresh_path, partitions, read
@@ -211,12 +211,22 @@ def cuts(ids: np.ndarray) -> list[int]:
 
 
 def merkle_root(leaves: list[bytes]) -> bytes:
+    """Of a tree with ``FAN`` nodes to a node; one leaf is its own root."""
     level = leaves or [hashlib.sha256(b"").digest()]
     while len(level) > 1:
-        level = [hashlib.sha256(b"".join(level[i : i + 2])).digest() for i in range(0, len(level), 2)]
+        level = [hashlib.sha256(b"".join(level[i : i + FAN])).digest() for i in range(0, len(level), FAN)]
     return level[0]
 
 
+def merkle_root_of(leaves: Column) -> Column:
+    """``merkle_root`` of an array of ``FAN`` to the third leaves at most (some 30 billion ids)."""
+    for _ in range(3):
+        joined = lambda i, x=leaves: F.aggregate(F.slice(x, i + 1, FAN), F.lit(b""), lambda a, b: F.concat(a, b))
+        above = F.transform(F.sequence(F.lit(0), F.size(leaves) - 1, F.lit(FAN)), lambda i: F.unhex(F.sha2(joined(i), 256)))
+        leaves = F.when(F.size(leaves) > 1, above).otherwise(leaves)
+    return leaves[0]
+
+
 def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, text: str = "text", doc_id: str = "doc_id") -> str:
     """Writes the store under ``path``, a folder that does not exist yet."""
     vocabulary = vocabulary or default_vocabulary()
@@ -267,7 +277,8 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, text:
     objects = f"{path}/objects"
     recipes = spark.read.schema(schema).parquet(objects).where("kind = 'recipe'").select("doc_id", "n_tokens", "parts", "root")
     ranges = recipes.repartitionByRange(partitions(spark), "doc_id", "root").sortWithinPartitions("doc_id", "root")
-    ranges.withColumn("part", F.spark_partition_id()).write.parquet(f"{path}/recipes")
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # the number of the row in its range
+    ranges.withColumns({"part": F.spark_partition_id(), "at": place}).write.parquet(f"{path}/recipes")
     totals = read_recipes(spark, path).groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("n_tokens"))
     width = F.lit(np.dtype(encoder(vocabulary).kind).itemsize).alias("width")
     totals.join(range_roots(read_recipes(spark, path)), "part").select("part", "documents", "n_tokens", width, "root").write.parquet(f"{path}/manifest")
@@ -275,13 +286,12 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, text:
 
 
 def range_roots(recipes: DataFrame) -> DataFrame:
-    """``(part, root)``: the root of the Merkle tree over the recipes of each range, in order."""
-    place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "root")) - 1
-    leaf = F.sha2(F.concat(F.coalesce(F.to_json(F.struct("doc_id")), F.lit("")).cast("binary"), F.lit(b"\0"), "root"), 256)
-    level = recipes.select("part", place.alias("at"), leaf.alias("node"))
-    while True:  # as often as FAN goes into the largest range
+    """``(part, root)``: the root of the Merkle tree over the recipes of each range, in the order of ``at``."""
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("="), F.hex("root"))
+    level = recipes.select("part", "at", named.alias("node"))
+    while True:  # once for the recipes, then as often as FAN goes into the largest range
         nodes = F.transform(F.array_sort(F.collect_list(F.struct("at", "node"))), lambda x: x["node"])
-        joined = F.when(F.count("*") == 1, F.first("node")).otherwise(F.sha2(F.array_join(nodes, ""), 256))  # one alone goes up as it is
+        joined = F.sha2(F.array_join(nodes, ","), 256)
         level = cut(level.groupBy("part", F.floor(F.col("at") / FAN).alias("at")).agg(joined.alias("node")))
         if level.where("at > 0").isEmpty():
             return level.select("part", F.col("node").alias("root"))
@@ -312,19 +322,13 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
     if not (wrong := verify_manifest(spark, path)).isEmpty():
         raise ValueError(f"the recipes of {wrong.count()} ranges are not what the manifest says")
 
-    def checked(batches):
-        for batch in batches:
-            for parts, root in zip(batch.column("parts").to_pylist(), batch.column("root").to_pylist(), strict=True):
-                if merkle_root(parts) != root:
-                    raise ValueError(f"a recipe does not have the root {root.hex()}")
-            yield batch
-
-    rows = read_recipes(spark, path)
-    rows = rows.mapInArrow(checked, rows.schema)
+    wrong_root = F.raise_error(F.concat(F.lit("a recipe does not have the root "), F.hex("root")))
+    checked = F.when(merkle_root_of(F.col("parts")) == F.col("root"), F.col("root")).otherwise(wrong_root.cast("binary"))
+    rows = read_recipes(spark, path).withColumn("root", checked)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     parts = spark.read.parquet(f"{path}/manifest").select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("part").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(parts, "part").withColumn("start", F.col("offset") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.join(parts, "part").withColumn("start", F.col("offset") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).where("root is not null")
 
 
 def _check(key: bytes, data: bytes) -> bytes:

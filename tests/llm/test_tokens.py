@@ -51,15 +51,22 @@ def test_permuted_and_exchanged_recipes_are_found(spark, docs):
         token_store.read_digests(spark, changed(lambda r: r.where("doc_id <> 1").unionByName(r.where("doc_id = 7").withColumn("doc_id", F.lit(1).cast("long"))))).collect()
 
 
+def test_roots_of_documents(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "FAN", 3)
+    rows = [(n, [bytes([i]) * 4 for i in range(n)]) for n in (1, 2, 3, 4, 9, 10, 27)]
+    df = spark.createDataFrame(rows, "n int, parts array<binary>")
+    got = {r.n: bytes(r.root) for r in df.select("n", token_store.merkle_root_of(F.col("parts")).alias("root")).collect()}
+    assert got == {n: token_store.merkle_root(parts) for n, parts in rows} and len(set(got.values())) == len(rows)
+
+
 def test_tree_of_many_recipes(spark, monkeypatch):
     monkeypatch.setattr(token_store, "FAN", 3)
-    rows = spark.range(100).selectExpr("id AS doc_id", "cast(cast(id AS string) AS binary) AS root", "cast(id >= 90 AS int) AS part")
+    rows = spark.range(100).selectExpr("id AS doc_id", "cast(cast(id AS string) AS binary) AS root", "cast(id >= 90 AS int) AS part", "if(id >= 90, id - 90, id) AS at")
     got = {r.part: r.root for r in token_store.range_roots(rows).collect()}
     for part, ids in ((0, sorted(range(90))), (1, range(90, 100))):
-        level = [hashlib.sha256(b'{"doc_id":%d}\0%d' % (i, i)).hexdigest() for i in ids]
-        while len(level) > 1:
-            groups = [level[i : i + 3] for i in range(0, len(level), 3)]
-            level = [hashlib.sha256("".join(g).encode()).hexdigest() if len(g) > 1 else g[0] for g in groups]
+        level = [f"{i}={str(i).encode().hex().upper()}" for i in ids]
+        for _ in range(5):  # as deep as the larger range
+            level = [hashlib.sha256(",".join(level[i : i + 3]).encode()).hexdigest() for i in range(0, len(level), 3)]
         assert got[part] == level[0]
 
 
