@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, cover, divergence, language, license_scan, line_dedup, media, mixing, simhash, token_store, url_filter, whitening
+from . import bpe, cover, divergence, language, license_scan, line_dedup, media, mixing, simhash, suffixes, token_store, url_filter, whitening
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_embedding_dedup": cover.op8_embedding_dedup,
     "op9_media": media.op9_media,
     "op10_language_id": language.op10_language_id,
+    "op11_suffix_dedup": suffixes.op11_suffix_dedup,
     "op12_divergence": divergence.op12_divergence,
     "op13_whitening": whitening.op13_whitening,
     "pipeline": corpus_pipeline.run,
