@@ -17,10 +17,10 @@ from .timejoin import components
 def apply_triage(
     catalog: DataFrame, assignments: DataFrame, core: list[str], regional: DataFrame | None = None, covered: DataFrame | None = None, enabled: bool = True
 ) -> DataFrame:
-    """Every row labelled, with empty labels where triage is not ``enabled``; review_status is left alone."""
-    bare = catalog.drop("triage", "triage_reason")
+    """Every row labelled; review_status is left alone. Where triage is not ``enabled`` labels stay as they are, empty where there are none."""
     if not enabled:
-        return bare.withColumns({"triage": F.lit(""), "triage_reason": F.lit("")})
+        return catalog.withColumns({c: F.lit("") for c in ("triage", "triage_reason") if c not in catalog.columns})
+    bare = catalog.drop("triage", "triage_reason")
     rows = agg.triage_features(bare, assignments, core)
     reason: Column = F.lit(None).cast("string")
     if regional is not None:
@@ -121,21 +121,26 @@ def merge_catalog(
 
     New events get ids of their source's prefix and hand them to their assignments ``(source, day, event_index, ...)``.
     On a rebuild the catalog is empty: ids of ``previous(event_id, t_us)`` are carried over, and the reviewed events
-    and picks of a ``snapshot`` are laid over the result. Then near duplicates are told, every row is labelled, and the
+    and picks of a ``snapshot`` are laid over the result. New ids are none that catalog, ``previous`` or ``snapshot`` has, so that
+    no id names two events; one that does, given or made, is an error. Then near duplicates are told, every row is labelled, and the
     ledger has the days. Catalog and assignments are in time order.
     """
     fresh = joins.new_days(new_events, ledger).checkpoint()
-    minted = windows.mint_ids(fresh, F.col("source"), ["t_us", "event_index"], catalog.select("event_id")).checkpoint()
+    taken = catalog.select("event_id")
+    for more in (previous, snapshot and snapshot[0]):
+        taken = taken.unionAll(more.select("event_id")) if more is not None else taken
+    minted = windows.mint_ids(fresh, F.col("source"), ["t_us", "event_index"], taken).checkpoint()
     picks = joins.attach_event_id(joins.new_days(new_assignments, ledger), minted).where("event_id is not null")
     if previous is not None:
         kept = joins.carry_over_ids(minted, previous).select(F.col("event_id").alias("old"), F.col("old_id").alias("new")).checkpoint()
         minted, picks = (joins.fold_ids(df, kept, "event_id").drop("renamed") for df in (minted, picks))
+        minted = windows.unique_ids(minted.checkpoint(), "the events with carried ids")
     place = ["source", "day", "event_index"]
     events = catalog.unionByName(minted.drop(*place), allowMissingColumns=True)
     every = assignments.unionByName(picks.drop(*place), allowMissingColumns=True)
     if snapshot is not None:
         events, every = joins.restore_reviewed(events, every, *snapshot)
-    events, every = events.checkpoint(), every.checkpoint()
+    events, every = windows.unique_ids(events.checkpoint(), "the merged catalog"), every.checkpoint()
     labelled = apply_triage(events, every, core, regional, covered, triage)
     days = ledger.select("source", "day").unionAll(fresh.select("source", "day")).distinct()
     return MergedCatalog(labelled.orderBy("t_us", "event_id"), every.orderBy("t_us", "event_id"), joins.near_duplicates(events, events).where("event_id < other_id"), days)
@@ -282,9 +287,7 @@ def relocate(picks: DataFrame, stations: DataFrame, tt: DataFrame, depth_step: f
 
 def plan_event_ids(catalog: DataFrame) -> DataFrame:
     """``(old, new)`` for every positional id, in time order; ids that occur twice are an error."""
-    twice = catalog.groupBy("event_id").agg(F.count("*").alias("n")).where("n > 1").select("event_id").first()
-    if twice:
-        raise ValueError(f"event id {twice['event_id']} occurs twice")
+    windows.unique_ids(catalog, "the catalog")
     legacy = scalars.is_legacy_id(F.col("event_id"))
     old = catalog.where(legacy).select(F.col("event_id").alias("old"), "time")
     return windows.mint_ids(old, F.substring("old", 1, 2), ["time", "old"], catalog.where(~legacy).select("event_id")).select("old", F.col("event_id").alias("new"))

@@ -216,7 +216,7 @@ def restore_reviewed(catalog: DataFrame, assignments: DataFrame, snapshot: DataF
 
     An id whose origin still agrees takes the reviewed row. Other reviewed rows take the place of an
     unreviewed event near in time (one to one, in catalog order), and its id where their own now
-    names another event; without such an event they are added, under the next free suffix if the id is taken.
+    names another event; without such an event they are added, under the first free suffix if the id is taken (the one after the day's last for positional ids).
     Their picks come along. ``t_us`` and ``review_status`` are needed on both sides.
     """
     w = int(seconds * SECOND)
@@ -230,19 +230,18 @@ def restore_reviewed(catalog: DataFrame, assignments: DataFrame, snapshot: DataF
     pairs = range_join(lost, free.select("event_id", "now_us"), "old_us", "now_us", -w, w, condition=F.col("event_id") != F.col("old_id"))
     twins = match_one_to_one(pairs, "old_id", "event_id", ["now_us"]).select("old_id", F.col("event_id").alias("twin")).checkpoint()
     plan = met.join(twins, "old_id", "left")
-    taken = catalog.select("event_id").join(twins.select(F.col("twin").alias("event_id")), "event_id", "left_anti").unionAll(snapshot.select("event_id"))
-    suffix = F.regexp_extract("event_id", r"^(.*)-(\d+)$", 2)
-    base = F.when(suffix != "", F.regexp_extract("event_id", r"^(.*)-(\d+)$", 1)).otherwise(F.col("event_id"))
-    highest = taken.select(base.alias("base"), F.when(suffix != "", suffix.cast("int")).otherwise(1).alias("n")).groupBy("base").agg(F.max("n").alias("n"))
-    plan = plan.join(highest.withColumnRenamed("base", "old_id"), "old_id", "left")
+    taken = catalog.select("event_id").unionAll(snapshot.select("event_id"))
+    suffix = F.regexp_extract("event_id", r"^(.*)-(\d{1,9})$", 2).try_cast("int")
+    used = taken.select(F.regexp_extract("event_id", r"^(.*)-(\d{1,9})$", 1).alias("key_"), suffix.alias("n_")).where("n_ is not null").checkpoint()
     legacy = scalars.is_legacy_id(F.col("old_id"))
-    day = F.substring("old_id", 1, 10)
-    by_day = highest.select(F.col("base").alias("day_"), F.col("n").alias("day_n"))
-    plan = plan.withColumn("day_", day).join(by_day, "day_", "left")
-    next_id = F.when(legacy, F.concat("day_", F.lit("-"), F.lpad((F.coalesce("day_n", F.lit(0)) + 1).cast("string"), 4, "0"))).otherwise(
-        F.concat("old_id", F.lit("-"), (F.coalesce("n", F.lit(1)) + 1).cast("string"))
-    )
-    out_id = F.when(F.col("same") | ~F.col("known"), F.col("old_id")).otherwise(F.coalesce("twin", next_id))
+    orphans = plan.where("not same and known and twin is null").select("old_id", "old_us")
+    by_day = orphans.where(legacy).withColumn("key_", F.substring("old_id", 1, 10)).join(used.groupBy("key_").agg(F.max("n_").alias("n_")), "key_", "left")
+    after = F.coalesce("n_", F.lit(-1)) + F.row_number().over(Window.partitionBy("key_").orderBy("old_us", "old_id"))
+    renamed = by_day.select("old_id", F.concat("key_", F.lit("-"), F.lpad(after.cast("string"), 4, "0")).alias("next_id"))
+    own = orphans.where(~legacy).withColumn("key_", F.col("old_id"))
+    own = windows.free_numbers(own, "key_", ["old_us"], used.unionAll(own.select("key_", F.lit(1))), "n_")
+    plan = plan.join(renamed.unionAll(own.select("old_id", F.concat("key_", F.lit("-"), F.col("n_").cast("string")))), "old_id", "left")
+    out_id = F.when(F.col("same") | ~F.col("known"), F.col("old_id")).otherwise(F.coalesce("twin", "next_id"))
     plan = plan.select("old_id", "same", "twin", out_id.alias("out_id")).checkpoint()
     rows = snapshot.join(plan.select(F.col("old_id").alias("event_id"), "out_id"), "event_id").withColumn("event_id", F.col("out_id")).drop("out_id")
     gone = plan.where("same").select(F.col("old_id").alias("event_id")).unionAll(plan.where("twin is not null").select(F.col("twin").alias("event_id")))

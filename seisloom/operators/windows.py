@@ -16,19 +16,42 @@ from pyspark.sql import functions as F
 from ..functions.scalars import event_id_base
 
 
+def free_numbers(rows: DataFrame, key: str, order: Sequence[str], used: DataFrame, number: str) -> DataFrame:
+    """``rows`` with ``number``: in ``order``, each row of a ``key`` takes the first positive number that neither ``used(key, number)``
+    nor a row before it has.
+
+    The k-th free number is k plus the used numbers that have fewer than k free ones below them, so a running count over
+    used numbers and rows together gives all, and nothing of a key is gathered in a row."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(number))
+    below = used.select(key, number).where(F.col(number) >= 1).distinct().select(key, (F.col(number) - place).alias("k_"), F.lit(1).alias("used_"))
+    fresh = rows.withColumns({"k_": F.row_number().over(Window.partitionBy(key).orderBy(*order)), "used_": F.lit(0)})
+    before = Window.partitionBy(key).orderBy("k_", "used_").rowsBetween(Window.unboundedPreceding, 0)
+    every = fresh.unionByName(below, allowMissingColumns=True).withColumn(number, F.col("k_") + F.sum("used_").over(before))
+    return every.where("used_ = 0").drop("k_", "used_")
+
+
 def mint_ids(df: DataFrame, prefix: str | Column, order: Sequence[str], taken: DataFrame | None = None) -> DataFrame:
-    """``event_id`` from the time's second; ``-2``, ``-3``... past those that ``taken(event_id)`` has."""
+    """``event_id`` from the time's second; ``-2``, ``-3``... where a row before it or ``taken(event_id)`` has the ones before."""
     rows = df.withColumn("base_", event_id_base(F.col("time"), prefix if isinstance(prefix, Column) else F.lit(prefix)))
-    n = F.row_number().over(Window.partitionBy("base_").orderBy(*order))
-    if taken is not None:
-        parts = F.regexp_extract("event_id", r"^(.+?)(?:-(\d+))?$", 1), F.regexp_extract("event_id", r"^(.+?)(?:-(\d+))?$", 2)
-        used = taken.select(parts[0].alias("base_"), F.when(parts[1] == "", 1).otherwise(parts[1].cast("int")).alias("n"))
-        used = used.groupBy("base_").agg(F.collect_set("n").alias("used_"))
-        rows = rows.join(used, "base_", "left")
-        free = F.array_except(F.sequence(F.lit(1), n + F.size(F.coalesce("used_", F.array().cast("array<int>")))), F.coalesce("used_", F.array().cast("array<int>")))
-        n = F.element_at(free, n)
-    rows = rows.withColumn("n_", n)
-    return rows.withColumn("event_id", F.when(F.col("n_") == 1, F.col("base_")).otherwise(F.concat("base_", F.lit("-"), F.col("n_").cast("string")))).drop("base_", "n_", "used_")
+    if taken is None:
+        rows = rows.withColumn("n_", F.row_number().over(Window.partitionBy("base_").orderBy(*order)))
+    else:
+        base, n = (F.regexp_extract("event_id", r"^(.+?)(?:-(\d{1,9}))?$", i) for i in (1, 2))
+        used = taken.select(base.alias("base_"), F.when(n == "", 1).otherwise(n.try_cast("int")).alias("n_"))
+        rows = free_numbers(rows, "base_", order, used, "n_")
+    return rows.withColumn("event_id", F.when(F.col("n_") == 1, F.col("base_")).otherwise(F.concat("base_", F.lit("-"), F.col("n_").cast("string")))).drop("base_", "n_")
+
+
+def same_ids(df: DataFrame, column: str = "event_id") -> DataFrame:
+    """Ids that occur more than once, with ``n``."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def unique_ids(df: DataFrame, what: str, column: str = "event_id") -> DataFrame:
+    """``df``; an id that occurs twice is an error."""
+    if twice := same_ids(df, column).first():
+        raise ValueError(f"event id {twice[column]} occurs {twice['n']} times in {what}")
+    return df
 
 
 def keepers(groups: DataFrame) -> DataFrame:
@@ -96,7 +119,7 @@ def _decide(block: int, size: float, least: float):
 def greedy_apart(df: DataFrame, keys: Sequence[str], at: str, rank: Sequence[Column], least: float, also: str | None = None) -> DataFrame:
     """The rows of each key taken in order of ``rank``, without those whose ``at`` (and ``also``) is within ``least`` of a taken row's.
 
-    A key is cut into blocks ``SPAN`` times as wide as ``least``, which see the rows just beyond their edges, and a block decides all
+    Rows without ``at`` go; null is a key like others. A key is cut into blocks ``SPAN`` times as wide as ``least``, which see the rows just beyond their edges, and a block decides all
     of its rows that no undecided row outside comes before; what is left goes into a further round. So no
     key and no chain of close rows meets in one group, and a round takes a chain on by a block at least.
     """
@@ -126,7 +149,8 @@ def greedy_apart(df: DataFrame, keys: Sequence[str], at: str, rank: Sequence[Col
             break
         # kept rows matter to the rest only where they are within reach of it
         edge = left.select(*keys, F.explode(around).alias("block_")).distinct()
-        beside = new.withColumn("block_", F.explode(around)).join(edge, [*keys, "block_"], "left_semi").drop("block_").distinct()
+        beside = new.withColumn("block_", F.explode(around)).alias("n_").join(edge.alias("e_"), [F.col(f"n_.{k}").eqNullSafe(F.col(f"e_.{k}")) for k in (*keys, "block_")], "left_semi")
+        beside = beside.drop("block_").distinct()
         work = left.unionByName(beside).checkpoint()
     return every.join(kept.distinct(), "id_", "left_semi").select("row_.*")
 

@@ -65,6 +65,28 @@ def job06_merge(v):
     return merged.catalog.join(n, "event_id", "left").select("event_id", "t_us", F.coalesce("picks", F.lit(0)).alias("picks"))
 
 
+@query(sql.JOB06_REBUILD)
+def job06_rebuild(v):
+    """A rebuild with colliding seconds: all origins of an hour fall into one; earlier ids are carried over, reviewed events restored."""
+    hour, n, k = F.floor(F.col("t_us") / 3_600_000_000) * 3_600_000_000, F.col("n"), F.col("k")
+    c = v.catalog().withColumns({"source": F.when(n % 2 == 0, "ep").otherwise("po"), "event_index": n, "hour_us": hour, "review_status": F.lit(None).cast("string")}).checkpoint()
+    place = ["source", "day", "event_index"]
+    picks = v.assignments().join(c.select("event_id", *place), "event_id").drop("event_id")
+    fresh = c.drop("event_id").withColumn("t_us", F.col("hour_us") + n % 997 * 1000).withColumn("time", F.timestamp_micros("t_us"))
+    old = c.where(k % 2 == 0).drop("event_id").withColumn("time", F.timestamp_micros("hour_us"))
+    previous = windows.mint_ids(old, F.col("source"), ["n"]).withColumn("t_us", F.col("hour_us") + n * 7919 % 9973 * 1000).checkpoint()
+    reviewed = previous.where(k % 4 == 0).withColumns({
+        "event_id": F.when(k % 12 == 4, F.concat(F.lit("rv"), n.cast("string"))).otherwise(F.col("event_id")),
+        "t_us": F.col("t_us") + F.when(k % 12 == 0, 1_200_000_000).otherwise(0), "review_status": F.lit("confirmed"),
+    }).drop(*place)
+    theirs = reviewed.select("event_id", F.lit("AM").alias("network"), F.lit("S00").alias("station"), F.lit("P").alias("phase"), "t_us")
+    nothing = fresh.drop(*place).withColumn("event_id", F.lit("")).where("false")
+    ledger = fresh.select("source", "day").where("false")
+    merged = jobs.merge_catalog(nothing, theirs.where("false"), fresh, picks, ledger, CORE, previous, (reviewed, theirs))
+    count = merged.assignments.groupBy("event_id").agg(F.count("*").alias("picks"))
+    return merged.catalog.join(count, "event_id", "left").select("event_id", "t_us", F.col("review_status").isNotNull().alias("reviewed"), F.coalesce("picks", F.lit(0)).alias("picks"))
+
+
 @query("SELECT pick_id, session_us AS session, n FROM (SELECT pick_id, session_us, count(*) OVER (PARTITION BY day, session_us) AS n FROM (SELECT pick_id, day, max(s) OVER (PARTITION BY day ORDER BY t_us ROWS UNBOUNDED PRECEDING) AS session_us FROM (SELECT *, CASE WHEN coalesce(t_us - lag(t_us) OVER (PARTITION BY day ORDER BY t_us) > 60000000, true) THEN t_us END AS s FROM v_picks))) WHERE n >= 3")
 def job03_preclusters(v):
     return jobs.precluster(v.picks()).select("pick_id", "session", "n")

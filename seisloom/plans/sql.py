@@ -123,3 +123,33 @@ free AS (SELECT event_id, t_us FROM v_catalog WHERE event_id NOT IN (SELECT old_
 tw AS (SELECT unnest({walk(struct('old_id', 'event_id'), 't_us, old_id, event_id', 'y.old_id = x[1].old_id OR y.event_id = x[1].event_id')}) AS k FROM (SELECT old_id, event_id, f.t_us FROM snap JOIN free f ON abs(old_us - f.t_us) <= 10000000 AND old_id <> event_id WHERE lost)),
 o AS (SELECT CASE WHEN known THEN coalesce(k.event_id, old_id || '-2') ELSE old_id END AS event_id, old_us AS t_us, review_status FROM snap LEFT JOIN tw ON k.old_id = snap.old_id)
 SELECT event_id, t_us, NULL AS review_status FROM free WHERE event_id NOT IN (SELECT k.event_id FROM tw) UNION ALL SELECT * FROM o"""
+
+
+def first_free(rank: str, used: str) -> str:
+    """The number of that ``rank`` among the positive ones that list ``used`` does not have."""
+    return f"list_filter(range(1, {rank} + len({used}) + 1), lambda x: NOT list_contains({used}, x))[{rank}]"
+
+
+#: A rebuild in which all origins of an hour fall into one second, earlier ids carried over, and reviewed events by k % 12 moved (0), renamed (4), or as they were (8).
+JOB06_REBUILD = f""", c AS (SELECT * EXCLUDE (event_id), CASE n % 2 WHEN 0 THEN 'ep' ELSE 'po' END AS source, t_us // 3600000000 * 3600000000 AS hour_us FROM v_catalog),
+f AS (SELECT *, hour_us + n % 997 * 1000 AS now_us, source || strftime(make_timestamp(hour_us), '%Y%m%dT%H%M%S') AS base FROM c),
+prev AS (SELECT n, k, source, hour_us, base, old_us, number, base || CASE WHEN number > 1 THEN '-' || number ELSE '' END AS old_id
+  FROM (SELECT *, hour_us + n * 7919 % 9973 * 1000 AS old_us, row_number() OVER (PARTITION BY base ORDER BY n) AS number FROM f WHERE k % 2 = 0)),
+snap AS (SELECT n, CASE WHEN k % 12 = 4 THEN 'rv' || n ELSE old_id END AS old_id, old_us + CASE WHEN k % 12 = 0 THEN 1200000000 ELSE 0 END AS old_us FROM prev WHERE k % 4 = 0),
+used AS (SELECT base, list(DISTINCT number) AS used FROM prev GROUP BY 1),
+minted AS (SELECT *, base || CASE WHEN number > 1 THEN '-' || number ELSE '' END AS event_id FROM (SELECT *, {first_free('r', 'u')} AS number
+  FROM (SELECT f.*, coalesce(used, []) AS u, row_number() OVER (PARTITION BY base ORDER BY now_us, n) AS r FROM f LEFT JOIN used USING (base)))),
+carried AS (SELECT unnest({walk(struct('event_id', 'old_id', 'gap_us'), 'gap_us, event_id, old_id', 'y.event_id = x[1].event_id OR y.old_id = x[1].old_id')}) AS p
+  FROM (SELECT m.base, event_id, old_id, abs(now_us - old_us) AS gap_us FROM minted m JOIN prev USING (base) WHERE abs(now_us - old_us) <= 10000000) GROUP BY base),
+now AS (SELECT m.event_id AS was, m.n, now_us, coalesce(p.old_id, m.event_id) AS event_id FROM minted m LEFT JOIN carried ON p.event_id = m.event_id),
+met AS (SELECT s.*, now.event_id IS NOT NULL AS known, coalesce(abs(now_us - old_us) <= 10000000, false) AS same FROM snap s LEFT JOIN now ON now.event_id = s.old_id),
+free AS (SELECT * FROM now WHERE event_id NOT IN (SELECT old_id FROM met WHERE same)),
+twins AS (SELECT unnest({walk(struct('old_id', 'event_id'), 'now_us, old_id, event_id', 'y.old_id = x[1].old_id OR y.event_id = x[1].event_id')}) AS p
+  FROM (SELECT old_us // 3600000000 AS h, old_id, event_id, now_us FROM met JOIN free ON abs(old_us - now_us) <= 10000000 AND old_id <> event_id AND old_us // 3600000000 = now_us // 3600000000 WHERE NOT same) GROUP BY h),
+ids AS (SELECT event_id FROM now UNION SELECT old_id FROM snap),
+tail AS (SELECT regexp_extract(event_id, '^(.*)-([0-9]+)$', 1) AS old_id, list(regexp_extract(event_id, '^(.*)-([0-9]+)$', 2)::INT) AS u FROM ids WHERE regexp_matches(event_id, '^(.*)-([0-9]+)$') GROUP BY 1),
+out AS (SELECT m.n, old_us, m.old_id, p.event_id AS twin, CASE WHEN same OR NOT known THEN m.old_id WHEN p.event_id IS NOT NULL THEN p.event_id
+  ELSE m.old_id || '-' || {first_free('1', 'list_append(coalesce(u, []), 1)')} END AS event_id, same FROM met m LEFT JOIN twins ON p.old_id = m.old_id LEFT JOIN tail ON tail.old_id = m.old_id),
+gone AS (SELECT old_id AS event_id FROM out WHERE same UNION ALL SELECT twin FROM out WHERE twin IS NOT NULL),
+a AS (SELECT n, count(*) AS picks FROM v_assignments JOIN v_catalog USING (event_id) GROUP BY 1)
+SELECT event_id, now_us AS t_us, false AS reviewed, coalesce(picks, 0) AS picks FROM now LEFT JOIN a USING (n) WHERE event_id NOT IN (FROM gone) UNION ALL SELECT event_id, old_us, true, 1 FROM out"""

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from ..sources import sinks
 from ..streaming import jobs
+from .sql import struct, walk
 from .stored import folder
 from .views import Views, oracle
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 FAR = 4_000_000_000_000_000  # in 2096
+FIRST, DAY_US, BATCHES = 1_704_067_200_000_000, 86_400_000_000, 3  # the views begin on 2024-01-01 and span 30 days
+HALF_HOUR = 1_800_000_000
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,14 +34,26 @@ def query(text: str | None = None):
     return add
 
 
-def stream(v, rows: DataFrame, last: dict | None = None) -> DataFrame:
-    """``rows(t_us, ...)`` as a stream with ``time``; ``last`` are the fields of the row that closes it."""
+def stream(v, rows: DataFrame, last: dict | None = None, late_us: int = 0) -> DataFrame:
+    """``rows(t_us, ...)`` as a stream with ``time``; ``last`` are the fields of the row that closes it.
+
+    With ``late_us`` the rows come shuffled in ``BATCHES`` batches, each up to so late: a batch has rows from before the latest of the ones before."""
     path = folder(v.spark, "stream")
-    if last is not None:
-        end = v.spark.range(1).select(*[F.lit(last.get(c, FAR if c == "t_us" else None)).cast(t).alias(c) for c, t in rows.dtypes])
-        rows = rows.unionByName(end)
-    rows.write.parquet(path)
-    return v.spark.readStream.schema(rows.schema).parquet(path).withColumn("time", F.timestamp_micros("t_us"))
+    end = v.spark.range(1).select(*[F.lit((last or {}).get(c, FAR if c == "t_us" else None)).cast(t).alias(c) for c, t in rows.dtypes])
+    if late_us:
+        held = F.pmod(F.xxhash64(*rows.columns), F.lit(late_us))
+        batch = F.least(F.greatest(F.floor((F.col("t_us") + held - FIRST) / (30 * DAY_US // BATCHES)), F.lit(0)), F.lit(BATCHES - 1))
+        dealt = rows.withColumn("batch_", batch).withColumn("shuffled_", F.xxhash64(F.lit(1), *rows.columns)).checkpoint()
+        for k in range(BATCHES):
+            part = dealt.where(F.col("batch_") == k).repartition(1).sortWithinPartitions("shuffled_").select(*rows.columns)
+            part.write.parquet(f"{path}/batch-{k}")
+        if last is not None:
+            end.coalesce(1).write.parquet(f"{path}/batch-{BATCHES}")
+        source = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    else:
+        (rows.unionByName(end) if last is not None else rows).write.parquet(path)
+        source = v.spark.readStream.schema(rows.schema)
+    return source.parquet(path).withColumn("time", F.timestamp_micros("t_us"))
 
 
 def finished(v, out: DataFrame) -> DataFrame:
@@ -55,21 +70,21 @@ def finished(v, out: DataFrame) -> DataFrame:
 
 @query("SELECT station, t_us // 3600000000 * 3600000000 AS start_us, count(*) AS n FROM v_picks GROUP BY ALL")
 def str04_rates(v):
-    picks = stream(v, v.picks().select("station", "t_us"), {"station": "end"})
+    picks = stream(v, v.picks().select("station", "t_us"), {"station": "end"}, DAY_US)
     return finished(v, jobs.pick_rate(picks)).where("station <> 'end'").select("station", F.unix_micros("start").alias("start_us"), "n")
 
 
 @query("SELECT start_us, count(*) AS n, count(DISTINCT station) AS stations FROM (SELECT station, t_us // 3600000000 * 3600000000 - h * 3600000000 AS start_us FROM v_picks, range(2) r(h)) GROUP BY 1")
 def str05_sliding(v):
     """Windows of two hours every hour."""
-    picks = stream(v, v.picks().select("station", "t_us"), {"station": "end"})
+    picks = stream(v, v.picks().select("station", "t_us"), {"station": "end"}, HALF_HOUR)
     out = finished(v, jobs.sliding_counts(picks, "2 hours", "1 hour")).select(F.unix_micros("start").alias("start_us"), "n", "stations")
     return out.where(F.col("start_us") < FAR // 2)
 
 
 @query("SELECT min(t_us) AS start_us, count(*) AS n, count(DISTINCT station) AS stations FROM (SELECT *, sum(b) OVER (ORDER BY t_us) AS s FROM (SELECT *, coalesce((t_us - lag(t_us) OVER (ORDER BY t_us) > 600000000)::INT, 1) AS b FROM v_picks)) GROUP BY s HAVING count(*) >= 2")
 def str06_sessions(v):
-    picks = stream(v, v.picks().select("network", "station", "t_us"), {"network": "end", "station": "end"})
+    picks = stream(v, v.picks().select("network", "station", "t_us"), {"network": "end", "station": "end"}, HALF_HOUR)
     out = finished(v, jobs.pick_sessions(picks, "10 minutes", 2)).where("network <> 'end'")
     return out.select(F.unix_micros("start").alias("start_us"), "n", F.col("stations").cast("long").alias("stations"))
 
@@ -79,9 +94,9 @@ UNION ALL SELECT n, 'event' FROM v_secondary s WHERE NOT EXISTS (SELECT 1 FROM v
 def str07_second_detector(v):
     """Corroborated picks within half an hour, and separate events by ten minutes."""
     p = v.picks().select("pick_id", "station", "phase", "t_us")
-    a, b = (stream(v, p.where(f"pick_id % 2 = {i}"), {"station": "end", "pick_id": -1}) for i in (1, 0))
+    a, b = (stream(v, p.where(f"pick_id % 2 = {i}"), {"station": "end", "pick_id": -1}, HALF_HOUR) for i in (1, 0))
     picks = finished(v, jobs.corroborate(a, b, "30 minutes", "1 hour")).where("pick_id >= 0")
-    c, d = (stream(v, df.select("n", "t_us"), {"n": -1}) for df in (v.secondary(), v.primary()))
+    c, d = (stream(v, df.select("n", "t_us"), {"n": -1}, HALF_HOUR) for df in (v.secondary(), v.primary()))
     events = finished(v, jobs.separate(c, d, 600, "1 hour")).where("n >= 0")
     return picks.select(F.col("pick_id").alias("id"), F.lit("pick").alias("what")).unionAll(events.select("n", F.lit("event")))
 
@@ -102,7 +117,7 @@ g AS (SELECT *, (t_us // 86400000000 + 2) * 86400000000 AS due FROM d)
 SELECT key, 'silent' AS alert, due AS at_us FROM g WHERE next_us IS NULL OR next_us >= due UNION ALL SELECT key, 'back', next_us FROM g WHERE next_us >= due""")
 def str09_dark(v):
     """Stations by a tenth of their picks, dark after a day."""
-    data = stream(v, v.picks().where("k % 10 = 0").select("station", "t_us"), {"station": "end"})
+    data = stream(v, v.picks().where("k % 10 = 0").select("station", "t_us"), {"station": "end"}, DAY_US // 2)
     return finished(v, jobs.dark_stations(data, 1)).where("key <> 'end'")
 
 
@@ -112,16 +127,16 @@ UNION ALL SELECT 'back', next_us FROM e WHERE next_us >= t_us + 21600000000""")
 def str10_alerts(v):
     """Strong events once though they come twice, and silences of six hours of a fifth of the events."""
     c = v.catalog().select("event_id", "magnitude", "t_us")
-    strong = finished(v, jobs.significant_events(stream(v, c.unionAll(c)), 4.0)).select(F.col("event_id").alias("what"), F.col("t_us").alias("at_us"))
-    quiet = stream(v, v.catalog().where("k % 5 = 0").select(F.lit("AM").alias("network"), "t_us"), {"network": "end"})
+    strong = finished(v, jobs.significant_events(stream(v, c.unionAll(c), None, DAY_US // 2), 4.0)).select(F.col("event_id").alias("what"), F.col("t_us").alias("at_us"))
+    quiet = stream(v, v.catalog().where("k % 5 = 0").select(F.lit("AM").alias("network"), "t_us"), {"network": "end"}, HALF_HOUR)
     return strong.unionAll(finished(v, jobs.quiet_network(quiet, 6)).where("key <> 'end'").select("alert", "at_us"))
 
 
-@query("""SELECT station, phase, k.t_us AS t_us, k.probability AS probability FROM (SELECT station, phase, unnest(list_reduce(list([{'t_us': t_us, 'probability': probability}] ORDER BY t_us, probability),
-lambda acc, x: CASE WHEN x[1].t_us - acc[len(acc)].t_us > 3600000000 THEN list_concat(acc, x) WHEN x[1].probability > acc[len(acc)].probability THEN list_concat(acc[:len(acc) - 1], x) ELSE acc END)) AS k FROM v_picks GROUP BY station, phase)""")
+@query(f"SELECT station, phase, k.t_us AS t_us, k.probability AS probability FROM (SELECT station, phase, unnest({walk(struct('t_us', 'probability'), 'probability DESC, t_us', 'abs(y.t_us - x[1].t_us) <= 3600000000')}) AS k FROM v_picks GROUP BY station, phase)")
 def str11_seams(v):
-    picks = stream(v, v.picks().select("station", "phase", "t_us", "probability"), {"station": "end", "phase": "P", "probability": 0.0})
-    return finished(v, jobs.seam_dedup(picks, 3_600_000_000)).where("station <> 'end'")
+    """Spacing of an hour, up to half an hour out of order."""
+    picks = stream(v, v.picks().select("station", "phase", "t_us", "probability"), {"station": "end", "phase": "P", "probability": 0.0}, HALF_HOUR)
+    return finished(v, jobs.seam_dedup(picks, 3_600_000_000, "1 hour")).where("station <> 'end'")
 
 
 @query("SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n, true AS done FROM v_picks WHERE day <= DATE '2024-01-20' GROUP BY 1")
@@ -147,7 +162,7 @@ def str02_late_chunks(v):
     rows = v.picks().groupBy("station", start.alias("start_us")).agg(F.count("*").alias("n"))
     rows = rows.select("station", "start_us", (F.col("start_us") + 3_600_000_000).alias("end_us"), (F.col("start_us") + 3_700_000_000).alias("t_us"), F.lit("success").alias("status"), F.least(F.col("n") / 2, F.lit(1.0)).alias("coverage"))
     last = {"station": "end", "start_us": FAR, "end_us": FAR, "status": "success", "coverage": 1.0}
-    return finished(v, jobs.follow_chunks(stream(v, rows, last))).where("station <> 'end'")
+    return finished(v, jobs.follow_chunks(stream(v, rows, last, HALF_HOUR))).where("station <> 'end'")
 
 
 @query("SELECT strftime(day, '%Y-%m-%d') AS day, station, max(t_us) AS at_us, arg_max(pick_id, t_us) AS pick_id FROM v_picks GROUP BY ALL")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
@@ -107,9 +108,20 @@ def process_days(stream: DataFrame, path: str, checkpoint: str, now: Callable[[]
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _wait_until(handle: StatefulProcessorHandle, due_us: list[int]) -> None:
+    """One timer, for the first of the times."""
+    for timer in list(handle.listTimers()):
+        handle.deleteTimer(timer)
+    if due_us:
+        handle.registerTimer(min(due_us) // 1000 + 1)
+
+
 class SilenceAlert(StatefulProcessor):
     """``silent`` once when a key has had nothing for ``gap_us`` after its last data, ``back`` once when it has data again. With
-    ``by_day`` data counts for its whole day, so the gap is of days without any. A key of the initial state is expected from its time on."""
+    ``by_day`` data counts for its whole day, so the gap is of days without any. A key of the initial state is expected from its time on.
+
+    Rows wait until the watermark has passed them, so that rows in any order within it give the same alerts; of a
+    day (``by_day``) only the first and the last are held."""
 
     def __init__(self, gap_us: int, by_day: bool):
         self.gap_us, self.by_day = gap_us, by_day
@@ -117,41 +129,53 @@ class SilenceAlert(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("state", "last_us long, silent boolean")
+        self.waiting = handle.getListState("waiting", "t_us long")
 
     def _due(self, last_us: int) -> int:
         start = (last_us // DAY_US + 1) * DAY_US if self.by_day else last_us
         return start + self.gap_us
 
-    def _keep(self, last_us: int, silent: bool) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.state.update((last_us, silent))
-        if not silent:
-            self.handle.registerTimer(self._due(last_us) // 1000)
-
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self._keep(int(initialState["last_us"].iloc[0]), False)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        times = sorted(t for part in rows for t in part["t_us"].tolist())
-        last, silent = self.state.get() if self.state.exists() else (times[0], False)
-        out = []
+        last = int(initialState["last_us"].iloc[0])
+        self.state.update((last, False))
+        _wait_until(self.handle, [self._due(last)])
+
+    def _settle(self, key, times: list[int], now_us: int) -> pd.DataFrame:
+        """Alerts of what the watermark has passed; the rest waits."""
+        last, silent = self.state.get() if self.state.exists() else (None, False)
+        out, times = [], sorted(times)
         for t in times:
-            if silent or t >= self._due(last):
+            if t >= now_us:
+                break
+            if last is not None and (silent or t >= self._due(last)):
                 out += [] if silent else [("silent", self._due(last))]
                 out.append(("back", t))
                 silent = False
-            last = max(last, t)
-        self._keep(last, silent)
-        yield self._frame(key, out)
+            last = t if last is None else max(last, t)
+        rest = [t for t in times if t >= now_us]
+        if self.by_day:
+            rest = sorted({f([t for t in rest if t // DAY_US == day]) for day in {t // DAY_US for t in rest} for f in (min, max)})
+        if last is not None and not silent and self._due(last) < now_us:
+            silent = True
+            out.append(("silent", self._due(last)))
+        if last is not None:
+            self.state.update((last, silent))
+        if rest:
+            self.waiting.put([(t,) for t in rest])
+        else:
+            self.waiting.clear()
+        _wait_until(self.handle, rest[:1] + ([] if silent or last is None else [self._due(last)]))
+        return self._frame(key, out)
+
+    def _held(self) -> list[int]:
+        return [r[0] for r in self.waiting.get()] if self.waiting.exists() else []
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        times = self._held() + [t for part in rows for t in part["t_us"].tolist()]
+        yield self._settle(key, times, timerValues.getCurrentWatermarkInMs() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last, silent = self.state.get()
-        if silent or timerValues.getCurrentWatermarkInMs() * 1000 < self._due(last):
-            yield self._frame(key, [])
-        else:
-            self._keep(last, True)
-            yield self._frame(key, [("silent", self._due(last))])
+        yield self._settle(key, self._held(), timerValues.getCurrentWatermarkInMs() * 1000)
 
     def close(self) -> None:
         pass
@@ -185,36 +209,42 @@ def quiet_network(events: DataFrame, hours: int = 48, late: str = "1 hour") -> D
 
 class ChunkFollowUp(StatefulProcessor):
     """``again`` for each answer that leaves a chunk short, ``complete`` for the one that fills it, ``accepted`` when a
-    short one is ``days`` old; one whose last attempt failed goes on being asked for (``again``)."""
+    short one is ``days`` old; one whose last attempt failed goes on being asked for (``again``).
+
+    A complete or accepted chunk is settled: answers that come later, of attempts before or after, change nothing. Its state
+    goes when the watermark passes ``days``."""
 
     def __init__(self, days: int, least: float):
         self.window_us, self.least = days * DAY_US, least
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", "end_us long, status string")
+        self.state = handle.getValueState("state", "end_us long, at_us long, status string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         answers, out = pd.concat(list(rows)).sort_values("t_us"), []
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        last = None
-        for end, at, status, coverage in zip(*(answers[c].tolist() for c in ("end_us", "t_us", "status", "coverage")), strict=True):
-            full = status == "success" and (coverage != coverage or coverage is None or coverage >= self.least)
-            young = at <= end + self.window_us
-            last = None if full or not (young or status == "failed") else (int(end), status)
-            out.append("complete" if full else "again" if last else "accepted")
-        if last is None:
-            self.state.clear()
-        else:
-            self.state.update(last)
-            if last[1] != "failed":
-                self.handle.registerTimer((last[0] + self.window_us) // 1000)
+        end, last, state = self.state.get() if self.state.exists() else (None, None, None)
+        for end_us, at, status, coverage in zip(*(answers[c].tolist() for c in ("end_us", "t_us", "status", "coverage")), strict=True):
+            end = int(end_us)
+            if state in ("complete", "accepted"):
+                continue
+            if status == "success" and (coverage != coverage or coverage is None or coverage >= self.least):
+                state = "complete"
+            elif last is not None and at < last:
+                out.append("again")  # an attempt of before: the last one decides how it goes on
+                continue
+            else:
+                state = status if status == "failed" or at <= end + self.window_us else "accepted"
+            last = int(at)
+            out.append(state if state in ("complete", "accepted") else "again")
+        self.state.update((end, last, state))
+        _wait_until(self.handle, [end + self.window_us] if state != "failed" else [])
         yield self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self.state.get()[2]
         self.state.clear()
-        yield self._frame(key, ["accepted"])
+        yield self._frame(key, [] if state in ("complete", "accepted") else ["accepted"])
 
     def close(self) -> None:
         pass
@@ -234,36 +264,57 @@ def follow_chunks(answers: DataFrame, days: int = 7, least: float = 0.99, late:
 
 
 class SeamDedup(StatefulProcessor):
-    """Of picks of one station and phase at most ``gap_us`` apart the more probable stays. A pick is held until
-    event time has passed it by ``gap_us``."""
+    """Of picks of one station and phase at most ``gap_us`` apart the more probable (then the earlier) stays: a pick that no taken
+    one is so close to is taken, the most probable first.
+
+    A pick is decided once the watermark has passed it by ``gap_us``, since then all its neighbours are there, and no better
+    neighbour is undecided. So the picks may come in any order within the watermark. The state has the undecided
+    picks and those taken that a pick to come could still be close to; picks behind the watermark are given up."""
 
     def __init__(self, gap_us: int):
         self.gap_us = gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "t_us long, probability double")
+        self.held = handle.getListState("held", "t_us long, probability double, taken boolean")
+
+    def _held(self) -> list[tuple[int, float, bool]]:
+        return [(int(t), float(p), bool(k)) for t, p, k in self.held.get()] if self.held.exists() else []
+
+    def _settle(self, key, picks: list[tuple[int, float, bool]], now_us: int) -> pd.DataFrame:
+        picks = sorted(picks)
+        times = [t for t, _, _ in picks]
+        # undecided None, taken True, dropped False
+        state = [True if k else None for _, _, k in picks]
+        near = [range(bisect_left(times, t - self.gap_us), bisect_right(times, t + self.gap_us)) for t in times]
+        out = []
+        for i in sorted(range(len(picks)), key=lambda i: (-picks[i][1], picks[i][0], i)):
+            if state[i] is not None:
+                continue
+            if any(state[j] for j in near[i]):
+                state[i] = False
+            # better neighbours were looked at before it; one that is still open keeps it open
+            elif times[i] + self.gap_us < now_us and not any(state[j] is None and (-picks[j][1], picks[j][0], j) < (-picks[i][1], picks[i][0], i) for j in near[i]):
+                state[i] = True
+                out.append(picks[i][:2])
+        opened = [times[i] for i, k in enumerate(state) if k is None]
+        reach = min([now_us, *opened]) - self.gap_us  # a taken pick before it is close to nothing any more
+        kept = [(t, p, bool(k)) for (t, p, _), k in zip(picks, state, strict=True) if k is None or (k and t >= reach)]
+        if kept:
+            self.held.put(kept)
+        else:
+            self.held.clear()
+        waits = [t + self.gap_us for t in opened if t + self.gap_us >= now_us] or [t + self.gap_us for t, _, k in kept if k]
+        _wait_until(self.handle, waits)
+        return self._frame(key, out)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        picks = pd.concat(list(rows)).sort_values(["t_us", "probability"])
-        held, out = self.held.get() if self.held.exists() else None, []
-        for t, p in zip(picks["t_us"].tolist(), picks["probability"].tolist(), strict=True):
-            if held is not None and t - held[0] <= self.gap_us:
-                held = (t, p) if p > held[1] else held
-            else:
-                if held is not None:
-                    out.append(held)
-                held = (t, p)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.held.update(held)
-        self.handle.registerTimer((held[0] + self.gap_us) // 1000 + 1)
-        yield self._frame(key, out)
+        now_us = timerValues.getCurrentWatermarkInMs() * 1000
+        new = [(int(t), float(p), False) for part in rows for t, p in zip(part["t_us"].tolist(), part["probability"].tolist(), strict=True) if t >= now_us]
+        yield self._settle(key, self._held() + new, now_us)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.held.get() if self.held.exists() else None
-        self.held.clear()
-        yield self._frame(key, [held] if held is not None else [])
+        yield self._settle(key, self._held(), timerValues.getCurrentWatermarkInMs() * 1000)
 
     def close(self) -> None:
         pass

@@ -368,9 +368,29 @@ def test_regional_spans_and_reasons(spark):
     assert rows == {"ep1": ("auto_reject", "42 s after regional M4.5, 31 km S of Whites City (232 km, us1)"), "ep2": ("ok", "")}
     off = jobs.apply_triage(c, a, ["S00"], enabled=False).collect()
     assert {(r.triage, r.triage_reason) for r in off} == {("", "")}
+    kept = jobs.apply_triage(c.withColumns({"triage": F.lit("flag"), "triage_reason": F.lit("why")}), a, ["S00"], enabled=False).collect()
+    assert {(r.triage, r.triage_reason) for r in kept} == {("flag", "why")}
 
 
 def test_odd_files_are_told(spark, tmp_path):
     (tmp_path / "2024.001.events.csv").write_text("event_index,time\n")
     (tmp_path / "notes.csv").write_text("x\n")
     assert [r.path.rsplit("/", 1)[-1] for r in readers.odd_files(spark, str(tmp_path)).collect()] == ["notes.csv"]
+
+
+def test_rebuild_gives_no_id_twice(spark):
+    """An earlier event a second on has the id that two new origins would take; ids given twice are an error."""
+    T = 1_704_067_200 * S
+    new = spark.createDataFrame([("ep", "2024-01-01", i, T + us) for i, us in enumerate((10_900_000, 11_500_000))], "source string, day string, event_index int, t_us long").withColumn("time", F.timestamp_micros("t_us"))
+    for c in ("latitude", "longitude", "magnitude"):
+        new = new.withColumn(c, F.lit(1.0))
+    picks = new.select("source", "day", "event_index", F.lit("AM").alias("network"), F.lit("S00").alias("station"), F.lit("P").alias("phase"), "t_us")
+    nothing = new.drop("source", "day", "event_index").withColumn("event_id", F.lit("")).where("false")
+    none, ledger = picks.drop("source", "day", "event_index").withColumn("event_id", F.lit("")).where("false"), new.select("source", "day").where("false")
+    previous = spark.createDataFrame([("ep20240101T000011", T + 11 * S)], "event_id string, t_us long")
+    merged = jobs.merge_catalog(nothing, none, new, picks, ledger, ["S00"], previous)
+    assert {r.event_id: r.t_us - T for r in merged.catalog.collect()} == {"ep20240101T000011": 10_900_000, "ep20240101T000011-2": 11_500_000}
+    assert sorted(r.event_id for r in merged.assignments.collect()) == ["ep20240101T000011", "ep20240101T000011-2"]
+    twice = nothing.unionByName(spark.createDataFrame([("ep1", T), ("ep1", T + S)], "event_id string, t_us long"), allowMissingColumns=True)
+    with pytest.raises(ValueError, match="ep1 occurs 2 times"):
+        jobs.merge_catalog(twice, none, new, picks, ledger, ["S00"])

@@ -103,6 +103,44 @@ def test_mint_ids(spark):
     assert ids(windows.mint_ids(rows, "ep", ["t_us"], taken)) == ["ep20251128T185804-2", "ep20251128T185804-4"]
 
 
+def test_free_numbers(spark):
+    draw = np.random.default_rng(4)
+    used = [(f"k{draw.integers(4)}", int(n)) for n in draw.integers(1, 30, 60)] + [("k9", 1)]
+    rows = [(f"k{draw.integers(5)}", i) for i in range(80)]
+    want, taken = {}, set(used)
+    for key, i in rows:
+        n = 1
+        while (key, n) in taken:
+            n += 1
+        taken.add((key, n))
+        want[i] = n
+    df = windows.free_numbers(spark.createDataFrame(rows, "key string, i long"), "key", ["i"], spark.createDataFrame(used, "key string, n long"), "n")
+    assert {r.i: r.n for r in df.collect()} == want
+
+
+def test_restored_ids_are_free_and_unlike(spark):
+    """Two positional orphans of a day, and an id whose first suffix is taken."""
+    more = ", review_status string"
+    cat = events(spark, [("ep20260608-0001", 0, None), ("ep20260608-0004", 100 * S, None), ("ep1", 200 * S, None), ("ep1-2", 300 * S, None), ("ep1-4", 400 * S, None)], more)
+    snap = events(spark, [("ep20260608-0001", 5000 * S, "confirmed"), ("ep20260608-0004", 6000 * S, "confirmed"), ("ep1", 7000 * S, "confirmed")], more)
+    none = spark.createDataFrame([], "event_id string, station string")
+    rows, _ = joins.restore_reviewed(cat, none, snap, none)
+    assert {r.event_id for r in rows.where("review_status is not null").collect()} == {"ep20260608-0005", "ep20260608-0006", "ep1-3"}
+    assert rows.count() == 8
+
+
+def test_null_keys_are_thinned_alike(spark):
+    rows = [(k, t, 1.0) for k in (None, "A") for t in (625, 635, 644)]
+    df = spark.createDataFrame([*rows, ("A", None, 1.0)], "station string, t long, v double")
+    out = windows.greedy_apart(df, ["station"], "t", [-F.col("v"), F.col("t")], 10)
+    assert sorted((r.station or "", r.t) for r in out.collect()) == [("", 625), ("", 644), ("A", 625), ("A", 644)]
+    # a chain that takes several rounds: blocks of 640, each row a better one than the last
+    rise = [(k, 9 * i, float(i)) for k in (None, "A") for i in range(300)]
+    out = windows.greedy_apart(spark.createDataFrame(rise, "station string, t long, v double"), ["station"], "t", [-F.col("v")], 10).collect()
+    want = sorted(9 * i for i in range(299, -1, -2))
+    assert sorted(r.t for r in out if r.station is None) == want == sorted(r.t for r in out if r.station == "A")
+
+
 def test_peaks_and_thinning(spark):
     v = [0, 5, 0, 3, 3, 1, float("nan"), 9, 1, 2]
     df = spark.createDataFrame([("a", i, float(x)) for i, x in enumerate(v)], "k string, i long, v double")

@@ -153,7 +153,7 @@ def test_dark_stations(spark, tmp_path):
 
 def test_quiet_network(spark, tmp_path):
     hours = [0, 20, 60, 120, 121, 400]
-    source = timed(feed(spark, tmp_path / "in", [[("AM", h * HOUR)] for h in hours], "network string, t_us long"))
+    source = timed(feed(spark, tmp_path / "in", [[("AM", h * HOUR)] for h in (*hours, 402)], "network string, t_us long"))  # alerts wait for the watermark
     got = sorted((r.at_us / HOUR, r.alert) for r in run(spark, jobs.quiet_network(source), "quiet").collect())
     want = []
     for x, y in zip(hours, hours[1:], strict=False):
@@ -204,3 +204,65 @@ def test_seam_dedup(spark, tmp_path):
     every = spark.createDataFrame([r for b in rows for r in b], "station string, phase string, t_us long, probability double")
     want = dedup_seams(every, S).where("station <> 'z'").collect()
     assert sorted(map(tuple, out.where("station <> 'z'").collect())) == sorted((r.station, r.phase, r.t_us, r.probability) for r in want)
+
+
+def shuffled(rows, late, batches, seed):
+    """Rows ``(..., t_us, ...)`` with the time first, in batches, in any order, none later than ``late`` behind the latest before."""
+    import random
+
+    draw = random.Random(seed)
+    first, width = min(r[0] for r in rows), (max(r[0] for r in rows) - min(r[0] for r in rows)) // batches + 1
+    out = [[] for _ in range(batches)]
+    for r in rows:
+        out[min((r[0] + draw.randrange(late) - first) // width, batches - 1)].append(r)
+    for part in out:
+        draw.shuffle(part)
+    return [part for part in out if part]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_seams_in_any_order(spark, tmp_path, seed):
+    """Chains, ties and repeats that arrive up to the watermark's minute out of order give what the batch operator gives."""
+    import random
+
+    from seisloom.operators.windows import dedup_seams
+
+    S, draw = 1_000_000, random.Random(seed)
+    rows = [(draw.randrange(0, 600 * S, S // 10), draw.choice("ab"), draw.choice("PS"), draw.randrange(5) / 4) for _ in range(900)]
+    rows += [(700 * S, "a", "P", 0.7), (700 * S + 800_000, "a", "P", 0.8), (701 * S + 600_000, "a", "P", 0.9)] + rows[:5]
+    schema = "t_us long, station string, phase string, probability double"
+    source = timed(feed(spark, tmp_path / "in", [*shuffled(rows, 55 * S, 4, seed), [(FAR, "z", "P", 0.1)]], schema))
+    out = run(spark, jobs.seam_dedup(source, S, "1 minute"), f"seams{seed}").where("station <> 'z'")
+    want = dedup_seams(spark.createDataFrame(rows, schema), S).collect()
+    assert sorted((r.station, r.phase, r.t_us, r.probability) for r in out.collect()) == sorted((r.station, r.phase, r.t_us, r.probability) for r in want)
+    assert {(700 * S, 0.7), (701 * S + 600_000, 0.9)} <= {(r.t_us, r.probability) for r in want}
+
+
+def test_seam_behind_the_held_pick(spark, tmp_path):
+    S = 1_000_000
+    rows = [[(100 * S, "a", "P", 0.9)], [(70 * S, "a", "P", 0.6)], [(FAR, "z", "P", 0.1)]]
+    source = timed(feed(spark, tmp_path / "in", rows, "t_us long, station string, phase string, probability double"))
+    out = run(spark, jobs.seam_dedup(source, S), "behind").where("station <> 'z'")
+    assert sorted((r.t_us // S, r.probability) for r in out.collect()) == [(70, 0.6), (100, 0.9)]
+
+
+def test_settled_chunks_stay_so(spark, tmp_path):
+    """An older answer after the complete one, and answers after a short one was accepted."""
+    end = HOUR
+    rows = [
+        [("a", 0, end, end + HOUR, "success", 1.0), ("b", 0, end, end + HOUR, "success", 0.5)],
+        [("a", 0, end, end + HOUR // 2, "success", 0.5), ("b", 0, end, end + HOUR // 2, "failed", None)],
+        [("y", 9 * DAY, 9 * DAY, 9 * DAY, "success", 1.0)],
+        [("z", FAR, FAR, FAR, "success", 1.0)],
+    ]
+    source = timed(feed(spark, tmp_path / "in", rows, "station string, start_us long, end_us long, t_us long, status string, coverage double"))
+    got = sorted((r.station, r.action) for r in run(spark, jobs.follow_chunks(source), "settled").collect())
+    assert got == [("a", "complete"), ("b", "accepted"), ("b", "again"), ("b", "again"), ("y", "complete"), ("z", "complete")]
+
+
+def test_silence_in_any_order(spark, tmp_path):
+    """A row within the watermark that comes after a later one ends no silence twice and begins none."""
+    batches = [[0], [100], [99, 60], [30], [101], [500]]
+    source = timed(feed(spark, tmp_path / "in", [[("AM", h * HOUR) for h in b] for b in batches], "network string, t_us long"))
+    got = sorted((r.at_us / HOUR, r.alert) for r in run(spark, jobs.quiet_network(source, 48, "90 hours"), "disorder").collect())
+    assert got == [(149, "silent")]
