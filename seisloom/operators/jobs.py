@@ -274,15 +274,12 @@ def relocate(picks: DataFrame, stations: DataFrame, tt: DataFrame, depth_step: f
         "event_id", "network", "station", "phase", "t_us", "amplitude", "first_us", sx.alias("sx"), sy.alias("sy"),
         ((F.col("t_us") - F.col("first_us")) / scalars.SECOND).alias("t_s"), F.when(F.col("phase") == "S", SIGMA_S).otherwise(SIGMA_P).alias("sigma"),
     ).checkpoint()
-    best = location.locate(rows.select("event_id", "phase", "sx", "sy", "t_s", "sigma"), tt, depth_step, distance_step, **grid)
-    step = grid.get("passes", location.PASSES)[-1][0]
-    around = location.grid_nodes(best.select("event_id", F.col("x").alias("cx"), F.col("y").alias("cy")), 2 * step, step / 2, 0.0, grid.get("depth_max", 20.0), depth_step)
-    spread = location.uncertainty(location.score_nodes(rows, around, tt, depth_step, distance_step))
+    best = location.locate(rows.select("event_id", "phase", "sx", "sy", "t_s", "sigma"), tt, depth_step, distance_step, spread=True, **grid).checkpoint()
     left = location.residuals(rows, best, tt, depth_step, distance_step).select("event_id", "station", "phase", (F.col("t_s") - F.col("t0")).alias("observed_s"), "residual_s")
     rms = left.groupBy("event_id").agg(F.sqrt(F.avg(F.col("residual_s") * F.col("residual_s"))).alias("sigma_time"))
     origin = F.col("first_us") + F.round(F.col("t0") * scalars.SECOND).cast("long")
     located = best.join(first, "event_id").join(rms, "event_id").select("event_id", origin.alias("t_us"), "x", "y", "z", "sigma_time")
-    return format_events(located, rows, stations).join(spread.select("event_id", "sigma_z", "h_major", "h_minor", "h_azimuth"), "event_id", "left"), left
+    return format_events(located, rows, stations).join(best.select("event_id", "sigma_z", "h_major", "h_minor", "h_azimuth"), "event_id", "left"), left
 
 
 def plan_event_ids(catalog: DataFrame) -> DataFrame:

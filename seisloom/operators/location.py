@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import LAYERS
-from .timejoin import small
+from . import search
 
 SLOWNESSES, SAFETY = 800, 0.9999
 #: Rows of a travel-time table up to which it is broadcast.
@@ -87,24 +87,20 @@ def score_nodes(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: f
     return sums.where(F.col("n") >= max(min_picks, 4)).select("event_id", "x", "y", "z", (F.col("wr") / F.col("w")).alias("t0"), chi2.alias("chi2"), "n")
 
 
-def locate(picks: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, half_km: float = 40.0, passes=PASSES, depth_max: float = 20.0) -> DataFrame:
+def locate(picks: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, half_km: float = 40.0, passes=PASSES, depth_max: float = 20.0, spread: bool = False) -> DataFrame:
     """Coarse to fine: each pass searches around the best node of the one before, from the mean
-    of the picking stations. Returns the best node with ``rms`` of its residuals."""
-    centre = picks.groupBy("event_id").agg(F.avg("sx").alias("cx"), F.avg("sy").alias("cy"))
-    best, half = None, half_km
-    for step, dz in passes:
-        nodes = grid_nodes(centre, half, step, 0.0, depth_max, dz)
-        scored = score_nodes(picks, nodes, tt, depth_step, distance_step)
-        best = scored.groupBy("event_id").agg(F.min_by(F.struct("x", "y", "z", "t0", "chi2", "n"), F.struct("chi2", "z", "x", "y")).alias("b"))
-        best = best.select("event_id", "b.*").checkpoint()
-        centre, half = best.select("event_id", F.col("x").alias("cx"), F.col("y").alias("cy")), 2 * step
-    return best
+    of the picking stations. Returns ``(event_id, x, y, z, t0, chi2, n)``, the best node of each event, with ``spread`` also its
+    ``sigma_z, h_major, h_minor, h_azimuth``.
+
+    The nodes are never rows: the table goes to the tasks as one array, an event's picks meet in a task, and nodes that a bound rules out are skipped."""
+    return search.locate(picks, search.PackedTimes.of(tt, depth_step, distance_step), half_km, passes, depth_max, 4, spread)
 
 
 def residuals(picks: DataFrame, located: DataFrame, tt: DataFrame, depth_step: float, distance_step: float) -> DataFrame:
     rows = picks.join(located.select("event_id", "x", "y", "z", "t0"), "event_id")
     d = F.hypot(F.col("x") - F.col("sx"), F.col("y") - F.col("sy"))
-    rows = tt_lookup(rows.withColumns({"distance_km": d, "depth_km": F.col("z")}), tt, depth_step, distance_step).where("t is not null")
+    rows = rows.withColumns({"distance_km": d, "depth_km": F.col("z")})
+    rows = search.with_times(rows, search.PackedTimes.of(tt, depth_step, distance_step)).where("t is not null")
     return rows.withColumn("residual_s", F.col("t_s") - F.col("t0") - F.col("t")).drop("depth_km", "distance_km", "t")
 
 
@@ -137,45 +133,13 @@ def compare_locations(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def associate(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, window_s: float = 1.5, least_stations: int = 3, least_p: int = 3, least_s: int = 1) -> DataFrame:
-    """``(event, t0, x, y, z, pick_id)``: back-projection votes in place of a mixture model.
+    """``(event, t0, x, y, z, pick_id)``: back-projection votes in place of a mixture model; ``event`` is its least pick id.
 
-    Every pick votes at every node (``x, y, z``) for the origin time ``t_s - t``, in two half-shifted bins; the node and bin with
-    most stations wins over all that overlap it in time, its picks are taken and the rest vote again, until no
-    node and bin has votes enough. Votes only go, so a bin that falls short once is left out of later rounds.
-    """
-    pairs = picks.join(small(nodes))
-    d = F.hypot(F.col("x") - F.col("sx"), F.col("y") - F.col("sy"))
-    votes = tt_lookup(pairs.withColumns({"distance_km": d, "depth_km": F.col("z")}), tt, depth_step, distance_step).where("t is not null")
-    votes = votes.select("pick_id", "station", "phase", "x", "y", "z", (F.col("t_s") - F.col("t")).alias("origin")).checkpoint()
-    half = F.explode(F.array(F.lit(0.0), F.lit(0.5)))
-    binned = votes.withColumn("half", half).withColumn("bin", F.floor(F.col("origin") / window_s + F.col("half")))
-    found, round_, where = None, 0, ["x", "y", "z", "half", "bin"]
-    counts = [
-        F.countDistinct("station").alias("stations"), F.countDistinct(F.when(F.col("phase") == "P", F.col("pick_id"))).alias("p"),
-        F.countDistinct(F.when(F.col("phase") == "S", F.col("pick_id"))).alias("s"),
-    ]
-    qualified = (F.col("stations") >= least_stations) & (F.col("p") >= least_p) & (F.col("s") >= least_s)
-    while True:
-        score = binned.groupBy(*where).agg(*counts, F.avg("origin").alias("t0"), F.stddev_pop("origin").alias("spread")).where(qualified).checkpoint()
-        # the best of every stretch of time, and only if no better one is in a stretch beside it
-        stretch = F.floor(F.col("t0") / 30.0)
-        rank = F.struct(-(F.col("p") + F.col("s")), F.col("spread"), F.col("t0"), F.col("x"), F.col("y"), F.col("z"))
-        best = score.groupBy(stretch.alias("st")).agg(F.min(F.struct(rank.alias("rank"), F.struct("t0", "x", "y", "z", "half", "bin").alias("v"))).alias("b"))
-        beside = best.select(F.explode(F.array(F.col("st") - 1, F.col("st") + 1)).alias("st"), F.col("b.rank").alias("other"))
-        beaten = best.join(beside, "st").where(F.col("other") < F.col("b.rank")).select("st").distinct()
-        won = best.join(beaten, "st", "left_anti").select("st", "b.v.*", "b.rank").checkpoint()
-        if won.isEmpty():
-            break
-        members = binned.join(won.select(*where, "t0", "st", "rank"), where).withColumn("claim", F.struct("rank", "st"))
-        first = Window.partitionBy("pick_id").orderBy("claim")
-        # a pick that two events claim is the better one's; the other waits for a later round if it is left with too few
-        members = members.withColumn("place", F.row_number().over(first)).where("place = 1")
-        enough = members.groupBy("st").agg(*counts).where(qualified).select("st")
-        taken = members.join(enough, "st", "left_semi")
-        taken = taken.select(F.concat(F.lit(f"{round_}:"), F.col("st").cast("string")).alias("event"), "t0", "x", "y", "z", "pick_id").checkpoint()
-        found = taken if found is None else found.unionAll(taken)
-        binned = binned.join(score.select(*where), where, "left_semi").join(taken.select("pick_id"), "pick_id", "left_anti").checkpoint()
-        round_ += 1
-    if found is None:
-        return votes.select(F.lit("").alias("event"), F.col("origin").alias("t0"), "x", "y", "z", "pick_id").where("false")
-    return found
+    Every pick votes at every node (``x, y, z``) for the origin time ``t_s - t``, in two half-shifted bins. The node and bin with
+    most picks (then the least spread, the earliest time, the first node) is an event and takes its picks, the rest vote again, until no
+    node and bin has votes enough. Picks without a time go.
+
+    Time is cut into blocks, which see the picks beyond their edges that could matter, and a block decides all of its events that no
+    undecided one of another block could take a pick from; what is left goes into a further round. Within a block nodes are
+    halved into cells, and a cell where no bin can have enough votes is left out whole."""
+    return search.associate(picks, nodes, search.PackedTimes.of(tt, depth_step, distance_step), search.Rule(window_s, least_stations, least_p, least_s))
