@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,15 +110,54 @@ def magnitude_frequency(catalog: DataFrame, width: float = 0.1) -> DataFrame:
     return rows.join(F.broadcast(fit))
 
 
+#: Ranges counted in a pass of a selection.
+RANGES = 4096
+
+
+def order_statistic(df: DataFrame, column: str, rank: int) -> float | None:
+    """The value of ``rank`` (from 0) among the sorted values of ``column``, nulls left out, nan last; None beyond them.
+
+    Exact, and without a sort: a pass counts equal ranges between the least and the greatest value, and the next one goes on between the
+    least and the greatest value in the range of the rank, until these are equal. A pass ends in some ``RANGES`` rows, summed before they are
+    shuffled, and makes the span as many times narrower (of the logarithms at first), so doubles take eight or so, however many there are."""
+    rows = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
+    low, high, n, nans = rows.agg(F.min(F.when(~F.isnan("x"), F.col("x"))), F.max(F.when(~F.isnan("x"), F.col("x"))), F.count_if(~F.isnan("x")), F.count_if(F.isnan("x"))).first()
+    if rank < 0 or rank >= n + nans:
+        return None
+    if rank >= n:
+        return float("nan")
+    rows = rows.where(~F.isnan("x"))
+    infinite = [v for v in (low, high) if abs(v) == float("inf")]
+    if infinite:  # ranges need finite ends
+        below, above = rows.where("x = double('-infinity')").count(), rows.where("x = double('infinity')").count()
+        if rank < below or rank >= n - above:
+            return float("-inf") if rank < below else float("inf")
+        rank, rows = rank - below, rows.where("abs(x) < double('infinity')")
+        low, high = rows.agg(F.min("x"), F.max("x")).first()
+    while low < high:
+        x = F.col("x")
+        if low <= 0 <= high:
+            at = F.signum(x)
+        else:
+            # even ranges of the logarithm until the ends are within a factor of two, then of the value; both never fall with x
+            side, scale = (1 if low > 0 else -1), max(abs(low), abs(high)) > 2 * min(abs(low), abs(high))
+            y, ends = (side * F.log(F.abs(x)), sorted(side * math.log(abs(v)) for v in (low, high))) if scale else (x, [low, high])
+            at = F.floor((y - ends[0]) * (RANGES / (ends[1] - ends[0]))) if ends[1] - ends[0] > 1e-300 else (x > low).cast("int")
+        counts = rows.where(F.col("x").between(low, high)).groupBy(at.alias("at")).agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        for r in sorted(counts.collect()):
+            if rank < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            rank -= r["n"]
+    return low
+
+
 def depth_distribution(catalog: DataFrame, width: float = 1.0) -> DataFrame:
     """Depth bins with the mean and the upper median (element n // 2 of the sorted depths)."""
     depths = catalog.where("depth_km is not null")
-    per = depths.groupBy("depth_km").agg(F.count("*").alias("n"))
-    order = Window.orderBy("depth_km").rowsBetween(Window.unboundedPreceding, 0)  # a row for each depth
-    total = depths.agg(F.count("*").alias("total"), F.avg("depth_km").alias("mean_depth"))
-    ranked = per.withColumn("upto", F.sum("n").over(order)).join(F.broadcast(total))
-    median = ranked.where(F.col("upto") > F.floor(F.col("total") / 2)).agg(F.min("depth_km").alias("median_depth"))
-    return histogram(depths, "depth_km", width).join(F.broadcast(median)).join(F.broadcast(total.select("mean_depth")))
+    total, mean = depths.agg(F.count("*"), F.avg("depth_km")).first()
+    median = order_statistic(depths, "depth_km", total // 2)
+    return histogram(depths, "depth_km", width).withColumns({"median_depth": F.lit(median).cast("double"), "mean_depth": F.lit(mean).cast("double")})
 
 
 def pick_quality(picks: DataFrame) -> DataFrame:

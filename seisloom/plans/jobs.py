@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
-from ..operators import arrays, filters, jobs, joins, location, windows
+from ..operators import arrays, continuous, filters, jobs, joins, location, windows
 from ..sources import sinks
 from .catalog import CORE, rounded
 from . import sql
@@ -162,6 +162,45 @@ def arr17_match(v):
     return arrays.match_templates(s, t, 8.0).select("template_id", "chunk", "idx", F.round("cc", 4).alias("cc"))
 
 
+def ways(samples: str) -> list:
+    """Three channels made of a trace."""
+    x = F.col(samples)
+    return [F.struct(F.lit(c).alias("channel"), F.lit(o).alias("offset"), y.cast("array<double>").alias("samples")) for c, o, y in (
+        ("E", 0, x), ("N", 3, F.reverse(x)), ("Z", -2, F.transform(x, lambda v: v.cast("double") * v.cast("double"))),
+    )]
+
+
+@query(sql.ARR17_DAYS)
+def arr17_days(v):
+    """Three channels with offsets over days of five chunks, templates over their edges included."""
+    each = v.traces().select("vec_id", F.explode(F.array(*ways("samples"))).alias("x")).select("vec_id", "x.*")
+    rows = each.groupBy(F.floor(F.col("vec_id") / 250).alias("day"), F.floor(F.col("vec_id") % 250 / 50).alias("c"), "channel")
+    rows = rows.agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("vec_id", "samples"))), lambda x: x["samples"])).alias("samples"))
+    rows = rows.select("day", (F.col("c") * 3200).cast("long").alias("first"), "channel", "samples")
+    t = each.where("vec_id % 50 = 0").select(F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("template_id"), "channel", "offset", "samples")
+    return continuous.match_days(rows, t, 7.0).select("template_id", "day", "idx", "n_chans", F.round("cc", 4).alias("cc"), F.round("mad", 5).alias("mad"))
+
+
+@query(sql.ARR12_CHUNKS)
+def arr12_chunks(v):
+    """Each trace filtered as a part of the ten that adjoin."""
+    s = v.traces().select(F.floor(F.col("vec_id") / 10).alias("key"), F.col("vec_id"), (F.lit(1704067200000000) + F.col("vec_id") * 640000).alias("start_us"), F.lit(100.0).alias("rate"), "samples")
+    out = continuous.filter_continuous(s, ["key"], 2.0, 20.0)
+    return out.select(((F.col("start_us") - 1704067200000000) / 640000).cast("long").alias("key"), F.round(F.array_max("samples"), 6).alias("peak"))
+
+
+@query(sql.ARR09_PADDED)
+def arr09_padded(v):
+    s = v.traces().select(F.floor(F.col("vec_id") / 100).alias("key"), "start_us", F.lit(100.0).alias("rate"), "samples")
+    first = F.floor((F.col("start_us") - 1704067200000000) / 3_200_000)
+    chunks = s.select(F.explode(F.array(first, F.floor((F.col("start_us") + 630_000 - 1704067200000000) / 3_200_000))).alias("c")).distinct()
+    chunks = chunks.select((F.lit(1704067200000000) + F.col("c") * 3_200_000).alias("start_us")).withColumn("end_us", F.col("start_us") + 3_200_000)
+    padded = continuous.padded_chunks(s, chunks, ["key"], 100.0, 500_000)
+    own = continuous.trimmed(padded, 100.0, "valid").select("key", "start_us", F.size(F.filter("valid", lambda x: x)).cast("long").alias("own"))
+    total = F.round(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x), 5)
+    return padded.select("key", "start_us", F.size(F.filter("valid", lambda x: x)).cast("long").alias("valid"), total.alias("total")).join(own, ["key", "start_us"])
+
+
 @query(sql.JOB13)
 def job13_travel_times(v):
     depths = v.catalog().select("depth_km").distinct()

@@ -153,3 +153,23 @@ out AS (SELECT m.n, old_us, m.old_id, p.event_id AS twin, CASE WHEN same OR NOT
 gone AS (SELECT old_id AS event_id FROM out WHERE same UNION ALL SELECT twin FROM out WHERE twin IS NOT NULL),
 a AS (SELECT n, count(*) AS picks FROM v_assignments JOIN v_catalog USING (event_id) GROUP BY 1)
 SELECT event_id, now_us AS t_us, false AS reviewed, coalesce(picks, 0) AS picks FROM now LEFT JOIN a USING (n) WHERE event_id NOT IN (FROM gone) UNION ALL SELECT event_id, old_us, true, 1 FROM out"""
+
+#: Ten adjoining traces filtered as one.
+JOIN10 = "SELECT vec_id // 10 AS g, flatten(list(samples ORDER BY vec_id)) AS samples FROM v_traces GROUP BY 1"
+ARR12_CHUNKS = f"""SELECT vec_id AS key, round(list_max(y[(vec_id % 10) * 64 + 1:(vec_id % 10) * 64 + 64]), 6) AS peak FROM v_traces JOIN (SELECT g, {both_ways('h', 'low', 20.0, 100.0)} AS y
+FROM (SELECT g, {both_ways('x', 'high', 2.0, 100.0)} AS h FROM (SELECT g, {LEVEL} AS x FROM ({JOIN10})))) ON g = vec_id // 10"""
+#: Chunks of 320 samples with 50 of context, of keys of a hundred traces.
+ARR09_PADDED = """, x AS (SELECT vec_id // 100 AS key, vec_id * 64 + i AS g, samples[i + 1]::DOUBLE AS v FROM v_traces, range(64) r(i)),
+c AS (SELECT DISTINCT g // 320 AS c FROM x)
+SELECT key, 1704067200000000 + c * 3200000 AS start_us, count(*) AS valid, round(sum(v), 5) AS total, count(*) FILTER (g // 320 = c) AS own FROM x JOIN c ON g BETWEEN c * 320 - 50 AND c * 320 + 369 GROUP BY key, c"""
+#: Three channels with offsets, days of 250 traces in chunks of 50; the median is the day's.
+ARR17_DAYS = """, x AS (SELECT vec_id // 250 AS day, channel, vec_id % 250 * 64 + i AS g, CASE channel WHEN 'E' THEN samples[i + 1]::DOUBLE WHEN 'N' THEN samples[64 - i]::DOUBLE ELSE samples[i + 1]::DOUBLE * samples[i + 1]::DOUBLE END AS v
+  FROM v_traces, range(64) r(i), (VALUES ('E'), ('N'), ('Z')) c(channel)),
+u AS (SELECT 't' || vec_id AS template_id, channel, shift, i, CASE channel WHEN 'E' THEN samples[i + 1]::DOUBLE WHEN 'N' THEN samples[64 - i]::DOUBLE ELSE samples[i + 1]::DOUBLE * samples[i + 1]::DOUBLE END AS v
+  FROM v_traces, range(64) r(i), (VALUES ('E', 0), ('N', 3), ('Z', -2)) c(channel, shift) WHERE vec_id % 50 = 0),
+t AS (SELECT *, (v - avg(v) OVER w) / (stddev_pop(v) OVER w * 64) AS t FROM u WINDOW w AS (PARTITION BY template_id, channel)),
+d AS (SELECT day, channel, g, stddev_pop(v) OVER w AS sd, count(*) OVER w AS n FROM x WINDOW w AS (PARTITION BY day, channel ORDER BY g ROWS BETWEEN CURRENT ROW AND 63 FOLLOWING)),
+c AS (SELECT template_id, day, channel, shift, g - i AS g, sum(x.v * t) AS cc FROM x JOIN t USING (channel) WHERE g >= i GROUP BY ALL),
+s AS (SELECT template_id, day, g - shift AS idx, sum(cc / sd) AS cc, count(*) AS n_chans FROM c JOIN d USING (day, channel, g) WHERE n = 64 AND g >= shift GROUP BY ALL),
+m AS (SELECT template_id, day, median(abs(cc)) AS mad FROM s GROUP BY ALL)
+SELECT template_id, day, idx, n_chans, round(cc, 4) AS cc, round(mad, 5) AS mad FROM s JOIN m USING (template_id, day) WHERE cc >= 7.0 * mad"""

@@ -141,6 +141,21 @@ def test_null_keys_are_thinned_alike(spark):
     assert sorted(r.t for r in out if r.station is None) == want == sorted(r.t for r in out if r.station == "A")
 
 
+def test_order_statistics(spark):
+    from seisloom.operators.aggregates import order_statistic
+
+    draw = np.random.default_rng(2)
+    some = [*draw.lognormal(0, 30, 500).tolist(), *[3.25] * 200, *(-draw.lognormal(0, 30, 300)).tolist(), 0.0, -0.0, 5e-324, -1.7e308, 1.7e308, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in some], "x double").repartition(4)
+    want = sorted(v for v in some if v is not None and v == v)
+    for rank in (0, 1, 2, 300, 301, 302, 400, len(want) // 2, len(want) - 2, len(want) - 1):
+        assert order_statistic(df, "x", rank) == want[rank]
+    assert math.isnan(order_statistic(df, "x", len(want))) and order_statistic(df, "x", len(want) + 1) is None and order_statistic(df.where("false"), "x", 0) is None
+    many = spark.range(300_000).select(F.pmod(F.xxhash64("id"), F.lit(10**12)).cast("double").alias("x")).checkpoint()
+    values = sorted(r.x for r in many.collect())
+    assert order_statistic(many, "x", 150_000) == values[150_000]
+
+
 def test_peaks_and_thinning(spark):
     v = [0, 5, 0, 3, 3, 1, float("nan"), 9, 1, 2]
     df = spark.createDataFrame([("a", i, float(x)) for i, x in enumerate(v)], "k string, i long, v double")
