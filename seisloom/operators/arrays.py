@@ -341,19 +341,50 @@ def match_templates(segments: DataFrame, templates: DataFrame, threshold: float
     return s.groupBy("chunk", "part").cogroup(t.groupBy("in_chunk", "in_part")).applyInPandas(run, schema)
 
 
-def score_windows(windows: DataFrame, predict_fn, column: str = "window", batch: int = 64) -> DataFrame:
-    """Any model over windows: ``predict_fn()`` returns a function of a batch array, once for each Python worker."""
+def score_windows(windows: DataFrame, predict_fn, column: str = "window", batch: int = 64, size: int = 3000) -> DataFrame:
+    """Any model over windows of ``size`` samples, shorter ones filled up with 0: ``predict_fn()`` returns a function of a batch array, once for each Python worker."""
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, FloatType
 
-    score = predict_batch_udf(predict_fn, return_type=ArrayType(FloatType()), batch_size=batch)
-    return windows.withColumn("score", score(F.col(column)))
+    score = predict_batch_udf(predict_fn, return_type=ArrayType(FloatType()), batch_size=batch, input_tensor_shapes=[[size]])
+    missing = F.greatest(F.lit(size) - F.size(column), F.lit(0))
+    return windows.withColumn("score", score(F.concat(F.col(column), F.array_repeat(F.lit(0.0), missing))))
 
 
-def extract_picks(scores: DataFrame, keys: Sequence[str], threshold: float, least_us: int) -> DataFrame:
-    """Picks of probability traces ``(keys, start_us, rate, prob)``: maxima of ``threshold`` at least, the higher of those at most ``least_us`` apart."""
+def overlap_scores(scored: DataFrame, keys: Sequence[str], classes: Sequence[str]) -> DataFrame:
+    """Windows ``(keys, first, score)`` as traces ``(keys, class, prob)``: the mean of each sample over the windows that hold it, null where no score is a number.
+
+    A ``score`` has the samples of each of ``classes`` one after another; the windows of a trace meet in a row."""
+    names, kinds = list(keys), {f.name: f.dataType.simpleString() for f in scored.schema.fields}
+    rows = scored.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("first", "score"))).alias("parts_"))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for parts in batch["parts_"]:
+                each = [(int(p["first"]), np.asarray(p["score"], np.float64).reshape(len(classes), -1)) for p in parts]
+                n = max(a + y.shape[1] for a, y in each)
+                total, count = np.zeros((len(classes), n)), np.zeros((len(classes), n))
+                for a, y in each:
+                    good = ~np.isnan(y)
+                    total[:, a : a + y.shape[1]] += np.where(good, y, 0.0)
+                    count[:, a : a + y.shape[1]] += good
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    out.append((total / count).tolist())
+            for k, name in enumerate(classes):
+                yield batch[names].assign(**{"class": name, "prob": [x[k] for x in out]})
+
+    return rows.mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", class string, prob array<double>")
+
+
+def peaks_of(scores: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+    """Maxima ``(keys, t_us, probability)`` of ``threshold`` at least in probability traces ``(keys, start_us, rate, prob)``."""
     p = F.col("prob")
     at = F.filter(F.sequence(F.lit(1), F.size(p) - 2), lambda i: (p[i] >= threshold) & (p[i] > p[i - 1]) & (p[i] >= p[i + 1]))
     rows = scores.where(F.size(p) > 2).select(*keys, "start_us", "rate", "prob", F.explode(at).alias("idx"))
-    rows = rows.select(*keys, sample_time(F.col("start_us"), F.col("rate"), F.col("idx")).alias("t_us"), p[F.col("idx")].alias("probability"))
-    return thin_peaks(rows, list(keys), "t_us", "probability", least_us)
+    return rows.select(*keys, sample_time(F.col("start_us"), F.col("rate"), F.col("idx")).alias("t_us"), p[F.col("idx")].alias("probability"))
+
+
+def extract_picks(scores: DataFrame, keys: Sequence[str], threshold: float, least_us: int) -> DataFrame:
+    """Picks of probability traces ``(keys, start_us, rate, prob)``: maxima of ``threshold`` at least, the higher of those at most ``least_us`` apart."""
+    return thin_peaks(peaks_of(scores, keys, threshold), list(keys), "t_us", "probability", least_us)

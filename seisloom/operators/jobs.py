@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, scalars
 from . import aggregates as agg
-from . import arrays, joins, location, windows
+from . import arrays, continuous, joins, location, windows
 from .timejoin import components
 
 
@@ -234,6 +234,24 @@ def condition(segments: DataFrame, epochs: DataFrame, sensitivity: DataFrame, li
     return out.withColumn("samples", F.col("samples").cast("array<float>"))
 
 
+def detect(
+    segments: DataFrame, chunks: DataFrame, keys: list[str], predict_fn, phases: list[str], rate: float = 100.0, pad_s: float = 40.0, size: int = 3000, step: int = 2000,
+    threshold: float = 0.3, least_s: float = 1.0, batch: int = 64,
+) -> DataFrame:
+    """Picks ``(keys, phase, t_us, probability)`` of any model over ``segments(keys, start_us, rate, samples)``, chunk by chunk of ``chunks(start_us, end_us)``.
+
+    Chunks are cut with context, their overlapping windows scored where they are (``predict_fn()`` makes the function of a batch of windows,
+    once for each Python worker; its result has the samples of each phase one after another), scores of a sample averaged, and the
+    maxima inside the chunk itself are picks; of those of a phase at most ``least_s`` apart, across the seams of chunks too, the most probable stays."""
+    padded = continuous.padded_chunks(segments, chunks, keys, rate, int(pad_s * scalars.SECOND))
+    place = [*keys, "start_us", "end_us", "first_us"]
+    cut = arrays.cut_windows(padded.select(*place, "samples"), size, step)
+    traces = arrays.overlap_scores(arrays.score_windows(cut, predict_fn, "window", batch, size), place, phases).withColumnRenamed("class", "phase")
+    traces = traces.withColumns({"lo_": F.col("start_us"), "hi_": F.col("end_us"), "start_us": F.col("first_us"), "rate": F.lit(float(rate))})
+    picks = arrays.peaks_of(traces, [*keys, "phase", "lo_", "hi_"], threshold).where((F.col("t_us") >= F.col("lo_")) & (F.col("t_us") < F.col("hi_")))
+    return windows.thin_peaks(picks.drop("lo_", "hi_"), [*keys, "phase"], "t_us", "probability", int(least_s * scalars.SECOND))
+
+
 def import_segments(raw: DataFrame, keys: list[str], target: float | None = None) -> DataFrame:
     """Campaign segments ``(keys, file, start_us, rate, samples)`` as day segments: windows that an earlier file brought are
     skipped, near-nominal rates snapped, decimated to ``target`` Hz, cut at midnight, merged by channel and day."""

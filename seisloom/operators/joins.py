@@ -66,7 +66,7 @@ def carry_over_ids(fresh: DataFrame, previous: DataFrame, seconds: float = 10.0)
     a = fresh.select("event_id", F.col("t_us").alias("a_us"), F.substring("event_id", 1, 2).alias("prefix"))
     b = previous.select(F.col("event_id").alias("old_id"), F.col("t_us").alias("b_us"), F.substring("event_id", 1, 2).alias("prefix"))
     pairs = range_join(a, b, "a_us", "b_us", -w, w, ("prefix",)).withColumn("gap_us", F.abs(F.col("a_us") - F.col("b_us")))
-    return match_one_to_one(pairs, "event_id", "old_id", ["gap_us"]).select("event_id", "old_id", "gap_us")
+    return match_one_to_one(pairs, "event_id", "old_id", ["gap_us"], "a_us", w).select("event_id", "old_id", "gap_us")
 
 
 def dup_pairs(catalog: DataFrame, seconds: float = 2.0, km: float = 5.0) -> DataFrame:
@@ -228,7 +228,7 @@ def restore_reviewed(catalog: DataFrame, assignments: DataFrame, snapshot: DataF
     lost = met.where("not same")
     free = now.where("state = ''").join(met.where("same").select(F.col("old_id").alias("event_id")), "event_id", "left_anti")
     pairs = range_join(lost, free.select("event_id", "now_us"), "old_us", "now_us", -w, w, condition=F.col("event_id") != F.col("old_id"))
-    twins = match_one_to_one(pairs, "old_id", "event_id", ["now_us"]).select("old_id", F.col("event_id").alias("twin")).checkpoint()
+    twins = match_one_to_one(pairs, "old_id", "event_id", ["now_us"], "old_us", w).select("old_id", F.col("event_id").alias("twin")).checkpoint()
     plan = met.join(twins, "old_id", "left")
     taken = catalog.select("event_id").unionAll(snapshot.select("event_id"))
     suffix = F.regexp_extract("event_id", r"^(.*)-(\d{1,9})$", 2).try_cast("int")

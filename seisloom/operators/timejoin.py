@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,21 +48,62 @@ def nearest(pairs: DataFrame, left_key: str, gap: Column, tie: str, columns: Seq
     return pairs.groupBy(left_key).agg(best).select(left_key, *[F.col(f"best_.{c}").alias(c) for c in columns])
 
 
-def match_one_to_one(pairs: DataFrame, left: str, right: str, order: Sequence[str]) -> DataFrame:
+#: Blocks of a matching are this many times as wide as the reach of a pair.
+SPAN = 64
+
+
+def _match_block(left: str, right: str, ranks: list[str]):
+    """Decides the pairs of one block: taken (1), dropped (2), or left open (0) where a pair of another block may come first."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(ranks, kind="stable")
+        used, contested = set(), set()
+        state = []
+        for own, a, b in zip(rows["own_"], rows[left], rows[right], strict=True):
+            ends = ((0, a), (1, b))
+            if not used.isdisjoint(ends):
+                state.append(2)
+            elif not own or not contested.isdisjoint(ends):
+                contested.update(ends)
+                state.append(0)
+            else:
+                used.update(ends)
+                state.append(1)
+        return rows.assign(state_=state)[rows["own_"]]
+
+    return run
+
+
+def match_one_to_one(pairs: DataFrame, left: str, right: str, order: Sequence[str], at: str | None = None, reach: int = 0) -> DataFrame:
     """What a greedy pass over pairs in ``order`` (then left, right) accepts.
 
-    Each round takes the pairs that come first for both of their rows and drops
-    the pairs that touch them; the order is total, so this is the sequential result.
-    """
-    rank = F.struct(*order, left, right)
-    rest, taken, rounds = pairs.select(left, right, *order).checkpoint(), [], 0
-    while not rest.isEmpty():
-        a, b = Window.partitionBy(left).orderBy(rank), Window.partitionBy(right).orderBy(rank)
-        ranked = rest.withColumn("a_", F.row_number().over(a)).withColumn("b_", F.row_number().over(b))
-        now = ranked.where("a_ = 1 and b_ = 1").select(left, right, *order).checkpoint()
-        taken.append(now)
-        rest = rest.join(now.select(left), left, "left_anti").join(now.select(right), right, "left_anti").checkpoint()
-        rounds += 1
+    With ``at``, the left row's time, and ``reach``, how far a right row may be from it, time is cut into blocks that see the pairs within
+    twice the reach around them, and a block decides all of its pairs that no open pair of another block comes before; what is left goes
+    into a further round, where blocks are four times as wide, since few pairs are left. So a chain over n blocks is decided in some log n rounds.
+    Without ``at`` each round takes the pairs that come first for both of their rows and drops the pairs that touch them.
+    The order is total, so both are the sequential result."""
+    rest, taken = pairs.select(left, right, *order, *([at] if at and at not in order else [])).checkpoint(), []
+    if at:
+        size = int(max(reach, 1) * SPAN)
+        ranks = [*order, *[c for c in (left, right) if c not in order]]
+        while not rest.isEmpty():
+            block = F.floor(F.col(at) / size)
+            near = F.array_distinct(F.array(F.floor((F.col(at) - 2 * reach) / size), block, F.floor((F.col(at) + 2 * reach) / size)))
+            rows = rest.withColumn("block_", F.explode(near)).withColumn("own_", F.col("block_") == block)
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", state_ long"
+            done = rows.groupBy("block_").applyInPandas(_match_block(left, right, ranks), schema).drop("block_", "own_").checkpoint()
+            now = done.where("state_ = 1").drop("state_")
+            taken.append(now.select(left, right, *order))
+            rest = done.where("state_ = 0").drop("state_").join(now.select(left), left, "left_anti").join(now.select(right), right, "left_anti").checkpoint()
+            size *= 4
+    else:
+        rank = F.struct(*order, left, right)
+        while not rest.isEmpty():
+            a, b = Window.partitionBy(left).orderBy(rank), Window.partitionBy(right).orderBy(rank)
+            ranked = rest.withColumn("a_", F.row_number().over(a)).withColumn("b_", F.row_number().over(b))
+            now = ranked.where("a_ = 1 and b_ = 1").select(left, right, *order).checkpoint()
+            taken.append(now)
+            rest = rest.join(now.select(left), left, "left_anti").join(now.select(right), right, "left_anti").checkpoint()
     out = pairs.select(left, right, *order).where("false")
     for part in taken:
         out = out.unionAll(part)

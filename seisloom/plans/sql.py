@@ -173,3 +173,16 @@ c AS (SELECT template_id, day, channel, shift, g - i AS g, sum(x.v * t) AS cc FR
 s AS (SELECT template_id, day, g - shift AS idx, sum(cc / sd) AS cc, count(*) AS n_chans FROM c JOIN d USING (day, channel, g) WHERE n = 64 AND g >= shift GROUP BY ALL),
 m AS (SELECT template_id, day, median(abs(cc)) AS mad FROM s GROUP BY ALL)
 SELECT template_id, day, idx, n_chans, round(cc, 4) AS cc, round(mad, 5) AS mad FROM s JOIN m USING (template_id, day) WHERE cc >= 7.0 * mad"""
+
+#: Chunks of 320 samples with 50 of context, windows of 120 every 80 (the last at the end), a fixed score in steps of 1/64 for two phases, their mean, maxima
+#: inside the chunk, and of those within 50 ms the most probable.
+UDF01 = f""", x AS (SELECT vec_id // 100 AS key, vec_id * 64 + i AS g, samples[i + 1]::DOUBLE AS v FROM v_traces, range(64) r(i)),
+c AS (SELECT DISTINCT key, g // 320 AS c FROM (SELECT key, g + d AS g FROM x, (VALUES (-50), (50), (0)) y(d)) JOIN (SELECT DISTINCT g // 320 AS c FROM x) ON g // 320 = c),
+p AS (SELECT c.key, c, i, coalesce(v, 0) AS v FROM c CROSS JOIN range(420) r(i) LEFT JOIN x ON x.key = c.key AND x.g = c * 320 - 50 + i),
+w AS (SELECT key, c, first, i - first AS j, v, avg(v) OVER q AS m, stddev_pop(v) OVER q AS sd FROM p JOIN (VALUES (0), (80), (160), (240), (300)) f(first) ON i >= first AND i < first + 120 WINDOW q AS (PARTITION BY key, c, first)),
+s AS (SELECT key, c, first + j AS i, phase, CASE phase WHEN 'P' THEN floor(least(abs(z) * 3, 1) * 64) / 64 ELSE floor(least(greatest(-z, 0) * 4, 1) * 64) / 64 END AS v
+  FROM (SELECT *, (v - m) / CASE WHEN sd > 0 THEN sd ELSE 1 END / 10 AS z FROM w), (VALUES ('P'), ('S')) h(phase)),
+a AS (SELECT key, c, i, phase, sum(v) / count(*) AS v FROM s GROUP BY ALL),
+t AS (SELECT *, lag(v) OVER q AS before, lead(v) OVER q AS after FROM a WINDOW q AS (PARTITION BY key, c, phase ORDER BY i)),
+k AS (SELECT key, phase, 1704067200000000 + (c * 320 - 50 + i) * 10000 AS t_us, v AS probability FROM t WHERE v >= 0.7e0 AND v > before AND v >= after AND i >= 50 AND i < 370)
+SELECT key, phase, k.t_us AS t_us, round(k.probability, 6) AS probability FROM (SELECT key, phase, unnest({walk(struct('t_us', 'probability'), 'probability DESC, t_us', 'abs(y.t_us - x[1].t_us) <= 50000')}) AS k FROM k GROUP BY key, phase)"""

@@ -127,3 +127,44 @@ def test_thresholds_of_other_kinds(spark):
     with pytest.raises(ValueError):
         continuous.match_days(s, t, 1.0, "other")
     assert continuous.match_days(s.where("false"), t).count() == 0 and continuous.match_days(s, t.where("false")).count() == 0
+
+
+def test_scores_of_windows(spark):
+    def model():  # twice each sample, then its negative, of windows of six
+        def predict(x):
+            assert x.shape[1] == 6
+            return np.concatenate([2 * x, -x], axis=1).astype(np.float32)
+
+        return predict
+
+    rows = [(i, [float(i + j) for j in range(6)]) for i in range(7)] + [(7, [1.0, 2.0])]
+    out = arrays.score_windows(spark.createDataFrame(rows, "n long, window array<double>"), model, batch=3, size=6).collect()
+    for r in out:
+        w = r.window + [0.0] * (6 - len(r.window))
+        assert r.score == [2 * v for v in w] + [-v for v in w]
+
+
+def test_overlapping_scores(spark):
+    rows = [("a", 0, [1.0, 2.0, 3.0, 9.0, 8.0, 7.0]), ("a", 2, [5.0, 4.0, float("nan"), 1.0, 1.0, 1.0]), ("b", 0, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "key string, first int, score array<float>")
+    got = {(r.key, r["class"]): r.prob for r in arrays.overlap_scores(df, ["key"], ["P", "S"]).collect()}
+    assert got["a", "P"][:4] == [1.0, 2.0, 4.0, 4.0] and got["a", "P"][4] is None and got["a", "S"] == [9.0, 8.0, 4.0, 1.0, 1.0]
+    assert got["b", "P"] == [1.0] and got["b", "S"] == [1.0]
+
+
+def test_detection_across_seams(spark):
+    """A peak at the very seam of two chunks is found once, and of two within the spacing across it the higher."""
+    x = np.zeros(400)
+    x[[100, 197, 201, 300]] = 5, 6, 7, 4
+    rows = [("k", *r) for r in cut(x, [200, 200], 0, 100.0)]
+    chunks = spark.createDataFrame([(0, 2 * S), (2 * S, 4 * S)], "start_us long, end_us long")
+
+    def model():
+        return lambda w: np.concatenate([(w > 0.3).astype(np.float32) * w.astype(np.float32), np.zeros_like(w, np.float32)], axis=1)
+
+    from seisloom.operators import jobs
+
+    out = jobs.detect(spark.createDataFrame(rows, SEG), chunks, ["key"], model, ["P", "S"], 100.0, 0.5, 100, 60, 0.3, 0.1).collect()
+    assert sorted(round(r.t_us / 10_000) for r in out) == [100, 201, 300] and {r.phase for r in out} == {"P"}
+    out = jobs.detect(spark.createDataFrame(rows, SEG), chunks, ["key"], model, ["P", "S"], 100.0, 0.5, 100, 60, 0.3, 0.02).collect()
+    assert sorted(round(r.t_us / 10_000) for r in out) == [100, 197, 201, 300]

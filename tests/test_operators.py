@@ -79,6 +79,30 @@ def test_one_to_one_is_the_greedy_pass(spark):
     assert {(x.l, x.r) for x in timejoin.match_one_to_one(df, "l", "r", ["gap"]).collect()} == want
 
 
+def test_one_to_one_in_blocks(spark, monkeypatch):
+    """Random pairs over many blocks, and a chain of 2,000 links whose gaps grow, so that the last link decides all, in a few rounds."""
+    draw = np.random.default_rng(6)
+    times = {("l", i): int(t) for i, t in enumerate(draw.integers(0, 40_000, 300))} | {("r", i): int(t) for i, t in enumerate(draw.integers(0, 40_000, 300))}
+    pairs = [(i, j, abs(times["l", i] - times["r", j]), times["l", i]) for i in range(300) for j in range(300) if abs(times["l", i] - times["r", j]) <= 400]
+    pairs = [(a, b, g // 50, t) for a, b, g, t in pairs]  # ties
+    at, links = 100_000, []
+    for k in range(2000):  # left, right, left ...: each link a little wider than the one before, the widest last
+        links.append(at)
+        at += 3_000 - k
+    n = 1000
+    pairs += [(n + k // 2 + k % 2, n + k // 2, links[k + 1] - links[k], links[k + k % 2]) for k in range(1999)]
+    want, used = set(), set()
+    for g, a, b in sorted((g, a, b) for a, b, g, _ in pairs):
+        if ("l", a) not in used and ("r", b) not in used:
+            want.add((a, b))
+            used |= {("l", a), ("r", b)}
+    rounds, decide = [], timejoin._match_block
+    monkeypatch.setattr(timejoin, "_match_block", lambda *x: rounds.append(1) or decide(*x))
+    df = spark.createDataFrame(pairs, "l long, r long, gap long, t long").repartition(3)
+    assert {(x.l, x.r) for x in timejoin.match_one_to_one(df, "l", "r", ["gap"], "t", 3_000).collect()} == want
+    assert len(rounds) < 10 and len(want) > 1100
+
+
 def test_components(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(20, 40)] + [(1, 2)], "a long, b long")
     assert {(r.node, r.root) for r in timejoin.components(df, "a", "b").collect()} == {(i, 20) for i in range(20, 41)} | {(1, 1), (2, 1)}
