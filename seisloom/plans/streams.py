@@ -147,9 +147,9 @@ def str01_days(v):
     stored = folder(v.spark, "stream")
     rows.repartition(4).write.parquet(stored)
     jobs.process_days(source.parquet(stored), path, folder(v.spark, "progress"), lambda: datetime(2024, 1, 22, 3, tzinfo=UTC)).awaitTermination()
-    n = v.spark.read.parquet(f"{path}/data").groupBy("day").agg(F.count("*").alias("n"))
-    done = sinks.done_days(v.spark, path).withColumn("done", F.lit(True))
-    return n.join(done, "day", "left").where("day <= '2024-01-20'").select(F.col("day").cast("string").alias("day"), "n", F.coalesce("done", F.lit(False)).alias("done"))
+    n = sinks.read_versions(v.spark, path, rows.schema).groupBy("day").agg(F.count("*").alias("n"))
+    done = v.spark.createDataFrame([(d, True) for d in sinks.day_versions(v.spark, path)], "day string, done boolean")
+    return n.select(F.col("day").cast("string").alias("day"), "n").join(done, "day", "left").where("day <= '2024-01-20'").select("day", "n", F.coalesce("done", F.lit(False)).alias("done"))
 
 
 CHUNKS = "SELECT station, t_us // 3600000000 * 3600000000 AS start_us, count(*) AS n FROM v_picks GROUP BY ALL"
@@ -175,4 +175,4 @@ def str03_upserts(v):
     source = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(stored)
     merge = jobs.upsert_chunks(path, ["day", "station"], "at_us")
     source.writeStream.foreachBatch(merge).option("checkpointLocation", folder(v.spark, "progress")).trigger(availableNow=True).start().awaitTermination()
-    return v.spark.read.schema(rows.schema).parquet(path).select("day", "station", "at_us", "pick_id")
+    return sinks.read_versions(v.spark, path, rows.schema).select("day", "station", "at_us", "pick_id")

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -23,6 +24,58 @@ def done_days(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("day date").parquet(f"{path}/days_done").distinct()
 
 
+# --- days in versions: a pointer file tells which version of each day counts ---
+def _list(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(where) if x.isDirectory()) if fs.exists(where) else []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def day_versions(spark: SparkSession, path: str) -> dict[str, int]:
+    """The version of each day that readers see."""
+    for name in reversed(_list(spark, f"{path}/pointers")):
+        if exists(spark, f"{path}/pointers/{name}/_SUCCESS"):  # an unfinished one does not count
+            return {r["day"]: r["version"] for r in spark.read.schema("day string, version long").parquet(f"{path}/pointers/{name}").collect()}
+    return {}
+
+
+def write_versions(df: DataFrame, path: str, version: int, days: list[str], kept: int = 2) -> None:
+    """The ``days`` of ``df(day, ...)``, also those without rows, as ``version``; then, last, a new pointer file, so that a crash leaves the
+    versions before in sight. ``version`` only grows; a day that has it already is left alone. Of a day and of the pointers, ``kept`` versions stay."""
+    spark, now = df.sparkSession, day_versions(df.sparkSession, path)
+    days = [d for d in days if now.get(d, -1) < version]
+    if not days:
+        return
+    rows = df.where(F.col("day").cast("string").isin(days)).withColumn("version", F.lit(version).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "version").parquet(f"{path}/data")
+    after = now | dict.fromkeys(days, version)
+    pointers = spark.createDataFrame(sorted(after.items()), "day string, version long").coalesce(1)
+    pointers.write.mode("overwrite").parquet(f"{path}/pointers/{version:020d}")
+    for name in _list(spark, f"{path}/pointers")[:-kept]:
+        _remove(spark, f"{path}/pointers/{name}")
+    for d in days:
+        for name in sorted(_list(spark, f"{path}/data/day={d}"), key=lambda x: int(x.split("=")[1]))[:-kept]:
+            _remove(spark, f"{path}/data/day={d}/{name}")
+
+
+def read_versions(spark: SparkSession, path: str, schema: StructType, days: list[str] | None = None) -> DataFrame:
+    """The days, or those of ``days``, each in the version that counts. Only their own files are listed and read."""
+    now = day_versions(spark, path)
+    folders = [f"{path}/data/day={d}/version={v}" for d, v in now.items() if days is None or d in days]
+    folders = [f for f in folders if exists(spark, f)]  # a day may be without rows
+    if not folders:
+        return spark.createDataFrame([], schema)
+    shape = StructType([*(f for f in schema.fields if f.name not in ("day", "version")), StructField("day", StringType()), StructField("version", LongType())])
+    rows = spark.read.schema(shape).option("basePath", f"{path}/data").parquet(*folders)
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def publish(df: DataFrame, root: str, name: str) -> str:
     """A new version of a whole table; readers follow a numbered pointer that is written last. One writer at a time."""
     spark = df.sparkSession

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import joins
 
@@ -71,41 +72,53 @@ def significant_events(events: DataFrame, magnitude: float = 4.0, within: str =
 
 
 def upsert_chunks(path: str, keys: list[str], order: str):
-    """A ``foreachBatch`` function that keeps the latest row of each key in a table by ``day``: only days that the batch
-    touches are read and written again, so a repeated batch changes nothing."""
-    from ..operators.timejoin import small
+    """A ``foreachBatch`` function that keeps the latest row of each key in versions of days (``sinks.read_versions``): only the files of days
+    that the batch touches are read, and these days are written again under the batch's number, so a repeated batch changes nothing."""
     from ..operators.windows import latest
     from ..sources import sinks
 
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = batch.checkpoint()
-        if sinks.exists(rows.sparkSession, path):
-            old = rows.sparkSession.read.schema(rows.schema).parquet(path)
-            rows = old.join(small(rows.select("day").distinct()), "day", "left_semi").unionByName(rows)
-        kept = latest(rows, keys, [order]).checkpoint()  # read whole before its days are replaced
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    def merge(batch: DataFrame, number: int) -> None:
+        spark, rows = batch.sparkSession, batch.checkpoint()
+        days = [r["day"] for r in rows.select(F.col("day").cast("string").alias("day")).distinct().collect()]
+        old = sinks.read_versions(spark, path, rows.schema, days)
+        sinks.write_versions(latest(old.unionByName(rows), keys, [order]), path, number, days)
 
     return merge
 
 
-def process_days(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], datetime] | None = None, age_hours: int = 26):
-    """Each UTC ``day`` once it is ``age_hours`` old, whole: rows are staged by batch, and a day that is old enough is written
-    from all that is staged of it and then marked. Rows that come later have their day written again, whole. A repeated batch
-    replaces its own staging; the checkpoint is the resume point."""
-    from ..sources.sinks import done_days, exists, write_day
+def day_batches(path: str, now: Callable[[], datetime] | None = None, age_hours: int = 26) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of ``process_days``.
+
+    Rows are staged by day and batch. A day that is old enough is its version so far with all that is staged of it, written as the version of the
+    batch's number; then its staged rows go. So a batch lists and reads the days that wait and its own, however many there have been."""
+    from ..sources import sinks
 
     def batch(df: DataFrame, number: int) -> None:
         spark, staged = df.sparkSession, f"{path}/staged"
-        df.write.mode("overwrite").partitionBy("day").parquet(f"{staged}/batch={number}")
-        rows = spark.read.schema(df.schema.add("batch", "long")).option("basePath", staged).parquet(staged)
-        at = F.lit(now()) if now else F.current_timestamp()
-        old_enough = F.col("day").cast("timestamp") + F.expr(f"INTERVAL {age_hours} HOURS") <= at
-        days = rows.where(old_enough).groupBy("day").agg(F.max(F.col("batch") == number).alias("touched"))
-        known = done_days(spark, path) if exists(spark, f"{path}/days_done") else days.select("day").where("false")
-        days = days.join(known.withColumn("done", F.lit(True)), "day", "left").where("touched or done is null").checkpoint()
-        write_day(rows.join(days.select("day"), "day", "left_semi").drop("batch"), path, days.where("done is null"))
-
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        df.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(staged)
+        at = (now() if now else datetime.now(UTC)).astimezone(UTC)
+        waiting = [d.removeprefix("day=") for d in sinks._list(spark, staged) if d.startswith("day=")]
+        ready = [d for d in waiting if datetime.fromisoformat(d).replace(tzinfo=UTC) + timedelta(hours=age_hours) <= at]
+        if not ready:
+            return
+        done = {d for d, v in sinks.day_versions(spark, path).items() if v >= number}  # by this batch, before a crash
+        new = [d for d in ready if d not in done]
+        if new:
+            shape = StructType([*(f for f in df.schema.fields if f.name != "day"), StructField("day", StringType()), StructField("batch", LongType())])
+            fresh = spark.read.schema(shape).option("basePath", staged).parquet(*[f"{staged}/day={d}" for d in new])
+            fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields])
+            sinks.write_versions(sinks.read_versions(spark, path, df.schema, new).unionByName(fresh), path, number, new)
+        for d in ready:
+            sinks._remove(spark, f"{staged}/day={d}")
+
+    return batch
+
+
+def process_days(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], datetime] | None = None, age_hours: int = 26):
+    """Each UTC ``day`` once it is ``age_hours`` old, whole: rows wait until then, and a day that is old enough is written and in sight
+    at once (``sinks.read_versions``). Rows that come later have their day written again, whole. A repeated batch changes nothing;
+    the checkpoint is the resume point."""
+    return stream.writeStream.foreachBatch(day_batches(path, now, age_hours)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _wait_until(handle: StatefulProcessorHandle, due_us: list[int]) -> None:

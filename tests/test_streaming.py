@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from seisloom.sources import sinks
 from seisloom.streaming import jobs
 
 DATA = "/root/testdata/sf0.001"
@@ -113,7 +114,8 @@ def test_days_are_written_whole(spark, tmp_path):
     d = lambda n: datetime(2024, 1, n).date()
     batches = [[(d(1), "a", 1), (d(2), "a", 2)], [(d(1), "b", 3)], [(d(2), "b", 4), (d(3), "a", 5)]]
     out = str(tmp_path / "out")
-    rows = lambda: sorted(tuple(r) for r in spark.read.parquet(f"{out}/data").select("day", "station", "n").collect())
+    shape = spark.createDataFrame([], schema).schema
+    rows = lambda: sorted(tuple(r) for r in sinks.read_versions(spark, out, shape).collect())
 
     def go(at, checkpoint="c"):
         q = jobs.process_days(source, out, str(tmp_path / checkpoint), lambda: at)
@@ -125,9 +127,41 @@ def test_days_are_written_whole(spark, tmp_path):
     spark.createDataFrame([(d(1), "late", 6)], schema).write.parquet(str(tmp_path / "in" / "part-100"))
     go(datetime(2024, 1, 4, 2, 0, tzinfo=UTC))
     assert rows() == [(d(1), "a", 1), (d(1), "b", 3), (d(1), "late", 6), (d(2), "a", 2), (d(2), "b", 4), (d(3), "a", 5)]
-    from seisloom.sources.sinks import done_days
+    assert sorted(sinks.day_versions(spark, out)) == ["2024-01-01", "2024-01-02", "2024-01-03"]
 
-    assert sorted(r.day for r in done_days(spark, out).collect()) == [d(1), d(2), d(3)]
+
+def test_batches_of_days_stay_small(spark, tmp_path, monkeypatch):
+    """Files that a batch reads do not grow with the batches before; a repeated batch and a crash before the pointer change nothing."""
+    from datetime import UTC, datetime, timedelta
+
+    schema = "day string, n long"
+    out, first = str(tmp_path / "out"), datetime(2024, 1, 1, tzinfo=UTC)
+    clock, read, shape = [first], [], spark.createDataFrame([], schema).schema
+    batch = jobs.day_batches(out, lambda: clock[0])
+    union = sinks.write_versions
+
+    def counted(df, *args, **more):
+        read.append(len(df.inputFiles()))
+        return union(df, *args, **more)
+
+    monkeypatch.setattr(sinks, "write_versions", counted)
+    want = []
+    for k in range(24):  # four batches a day, a late row now and then
+        day = first + timedelta(days=k // 4)
+        clock[0] = day + timedelta(hours=6 * (k % 4) + 5)
+        rows = [(f"{day:%Y-%m-%d}", k)] + ([(f"{first + timedelta(days=k // 4 - 3):%Y-%m-%d}", 100 + k)] if k % 5 == 4 and k > 12 else [])
+        want += rows
+        batch(spark.createDataFrame(rows, schema).coalesce(1), k)
+        if k in (9, 14):
+            batch(spark.createDataFrame(rows, schema).coalesce(1), k)
+    ready = [r for r in want if datetime.fromisoformat(r[0]).replace(tzinfo=UTC) + timedelta(hours=26) <= clock[0]]
+    see = lambda: sorted(tuple(r) for r in sinks.read_versions(spark, out, shape).collect())
+    assert see() == sorted(ready) and len(ready) > 16
+    assert max(read) <= 6 and len(sinks._list(spark, f"{out}/staged")) <= 2 and len(sinks._list(spark, f"{out}/pointers")) <= 2
+    assert all(len(sinks._list(spark, f"{out}/data/day={d}")) <= 2 for d in sinks.day_versions(spark, out))
+    # data of a next version without its pointer is not in sight
+    spark.createDataFrame([("2024-01-01", 999, 50)], "day string, n long, version long").write.mode("append").partitionBy("day", "version").parquet(f"{out}/data")
+    assert see() == sorted(ready)
 
 
 def test_chunks_are_upserted_by_day(spark, tmp_path):
@@ -137,7 +171,9 @@ def test_chunks_are_upserted_by_day(spark, tmp_path):
     second = [("1", "a", 0, "success", 2), ("1", "b", 0, "older", 0), ("3", "c", 5, "success", 2)]
     for n, rows in enumerate((first, second, second)):  # a repeated batch changes nothing
         merge(spark.createDataFrame(rows, schema), n)
-    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("day", "station", "status").collect())
+    shape = spark.createDataFrame([], schema).schema
+    got = sorted(tuple(r) for r in sinks.read_versions(spark, path, shape).select("day", "station", "status").collect())
+    assert len(sinks.read_versions(spark, path, shape, ["2"]).inputFiles()) == 1
     assert got == [("1", "a", "success"), ("1", "b", "short"), ("2", "a", "success"), ("3", "c", "success")]
 
 
