@@ -99,10 +99,12 @@ def job20_reviews(v):
     return jobs.apply_reviews(v.catalog(), d).select("event_id", "review_status", "event_type")
 
 
-@query("SELECT event_id, round(sqrt((0.01e0 * 111.32e0 * cos(radians(latitude))) ** 2), 5) AS offset_km, 1.0e0 AS depth_offset_km FROM v_catalog")
+@query("""SELECT event_id, round(sqrt((k % 7 * 0.01e0 * 111.32e0 * cos(radians(latitude - k % 5 * 0.01e0))) ** 2 + (k % 5 * 0.02e0 * 111.32e0) ** 2), 5) AS offset_km, (k % 4 - 1)::DOUBLE AS depth_offset_km
+FROM v_catalog WHERE k % 9 <> 0""")
 def job19_compare(v):
-    c = v.catalog()
-    moved = c.withColumns({"longitude": F.col("longitude") + 0.01, "depth_km": F.col("depth_km") + 1})
+    """Shifts that differ from event to event; events that only one list has are left out."""
+    c, k = v.catalog(), F.col("k")
+    moved = c.where(k % 9 != 0).withColumns({"longitude": F.col("longitude") + k % 7 * 0.01, "latitude": F.col("latitude") - k % 5 * 0.02, "depth_km": F.col("depth_km") + k % 4 - 1})
     return rounded(location.compare_locations(c, moved), "offset_km", digits=5)
 
 

@@ -293,19 +293,32 @@ def job24_quarries(v):
     return jobs.build_quarries(c, o, 0.025).select("mine_id")
 
 
-@query("""SELECT event_id, 'old' || n AS legacy_id, coalesce(m, 0) AS picks, coalesce(st, 0) AS stations FROM v_catalog LEFT JOIN (SELECT event_id, count(*) AS m, count(DISTINCT station) AS st FROM v_assignments GROUP BY 1) USING (event_id)""")
+@query("""SELECT event_id, 'old' || n AS legacy_id, coalesce(picks, '') AS picks, coalesce(stations, '') AS stations FROM v_catalog
+LEFT JOIN (SELECT event_id, string_agg(t_us || ' ' || station || ' ' || phase, ',' ORDER BY t_us, station, phase) AS picks FROM v_assignments GROUP BY 1) USING (event_id)
+LEFT JOIN (SELECT event_id, string_agg(station || ' ' || p || ' ' || s, ',' ORDER BY station) AS stations FROM (SELECT event_id, station, count(*) FILTER (phase = 'P') AS p, count(*) FILTER (phase = 'S') AS s
+  FROM v_assignments GROUP BY ALL) GROUP BY 1) USING (event_id)""")
 def job25_detail(v):
+    """Each event by its old id, with its picks in time order and the counts of its stations."""
     c = v.catalog()
     aliases = c.select("event_id", F.concat(F.lit("old"), F.col("n").cast("string")).alias("legacy_id"))
     out = jobs.event_detail(aliases.select(F.col("legacy_id").alias("event_id")), c, v.assignments(), aliases)
-    n = lambda x: F.coalesce(F.when(F.col(x).isNotNull(), F.size(x)), F.lit(0)).cast("long")
-    return out.select("event_id", "legacy_id", n("picks").alias("picks"), n("contributions").alias("stations"))
+    text = lambda x, *names: F.coalesce(F.array_join(F.transform(x, lambda p: F.concat_ws(" ", *[p[n].cast("string") for n in names])), ","), F.lit("")).alias(x)
+    return out.select("event_id", "legacy_id", text("picks", "t_us", "station", "phase"), text("contributions", "station", "p", "s").alias("stations"))
 
 
-@query("""SELECT event_id, round(latitude, 5) AS latitude, round(depth_km, 2) AS depth_km, num_picks, coalesce(m, 0) AS n FROM v_catalog LEFT JOIN (SELECT event_id, count(*) AS m FROM v_assignments GROUP BY 1) USING (event_id) WHERE review_status = 'confirmed'""")
+@query("""SELECT c.event_id, round(c.latitude, 5) AS latitude, round(c.depth_km, 2) AS depth_km, num_picks, coalesce(picks, '') AS picks, coalesce(traces, '') AS traces FROM v_catalog c
+LEFT JOIN (SELECT event_id, string_agg(station || ' ' || round((a.t_us - c.t_us) / 1e6, 3)::DECIMAL(18, 3) || ' ' || phase, ',' ORDER BY station, a.t_us, phase) AS picks FROM v_assignments a JOIN v_catalog c USING (event_id) GROUP BY 1) USING (event_id)
+LEFT JOIN (SELECT event_id, string_agg(km::DECIMAL(18, 1) || ' ' || station, ',' ORDER BY km, station) AS traces FROM (SELECT DISTINCT event_id, station, round(2 * 6371 * atan2(sqrt(h), sqrt(1 - h)), 1) AS km FROM (
+  SELECT a.event_id, a.station, sin(radians(s.latitude - c.latitude) / 2) ** 2 + cos(radians(c.latitude)) * cos(radians(s.latitude)) * sin(radians(s.longitude - c.longitude) / 2) ** 2 AS h
+  FROM v_assignments a JOIN v_catalog c USING (event_id) JOIN v_stations s ON s.station = a.station)) GROUP BY 1) USING (event_id) WHERE review_status = 'confirmed'""")
 def snk07_public(v):
-    out = sinks.export_public(v.catalog(), v.assignments(), v.stations(), segments(v), 20, longest_us=640_000)
-    return out.select("event_id", "latitude", "depth_km", "num_picks", F.coalesce(F.when(F.col("picks").isNotNull(), F.size("picks")), F.lit(0)).cast("long").alias("n"))
+    """Picks as offsets, and the picked stations' traces, nearest first, from day segments of a sample in ten seconds."""
+    days = v.spark.range(31).select((F.lit(1704067200000000) + F.col("id") * 86_400_000_000).alias("start_us"))
+    day = v.stations().select("station").join(days).withColumns({"rate": F.lit(0.1), "samples": F.transform(F.sequence(F.lit(0), F.lit(8639)), lambda i: (i % 7).cast("double"))})
+    out = sinks.export_public(v.catalog(), v.assignments(), v.stations(), day, 20)
+    text = lambda x, *parts: F.coalesce(F.array_join(F.transform(x, lambda p: F.concat_ws(" ", *[p[n].cast(t) for n, t in parts])), ","), F.lit("")).alias(x)
+    picks, traces = text("picks", ("station", "string"), ("t", "decimal(18,3)"), ("phase", "string")), text("traces", ("distance_km", "decimal(18,1)"), ("station", "string"))
+    return out.select("event_id", "latitude", "depth_km", "num_picks", picks, traces)
 
 
 @query("""SELECT station, hour, round(least(n / 2.0e0, 1.0e0), 4) AS coverage, CASE WHEN n IS NULL OR n < 2 THEN true ELSE false END AS short

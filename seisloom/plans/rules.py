@@ -69,10 +69,11 @@ def sc07_box(v):
     return v.catalog().select("event_id", x.alias("half_x"), y.alias("half_y"))
 
 
-@query("SELECT event_id, strftime(day, '%Y-%m-%d') AS day FROM v_catalog")
+@query("SELECT event_id, strftime(make_date((2023 + k % 3)::INT, 1, 1) + (k * 11 % 366)::INT, '%Y-%m-%d') AS day, strftime(t, '%Y')::BIGINT AS year, strftime(t, '%j')::BIGINT AS jday FROM (SELECT *, make_timestamp(t_us) AS t FROM v_catalog)")
 def sc08_day_of_year(v):
-    day = scalars.jday_to_date(F.year("day"), F.dayofyear("day"))
-    return v.catalog().select("event_id", day.cast("string").alias("day"))
+    """Days from years, leap years among them, and numbers; and the other way."""
+    day = scalars.jday_to_date((2023 + F.col("k") % 3).cast("int"), (1 + F.col("k") * 11 % 366).cast("int"))
+    return v.catalog().select("event_id", day.cast("string").alias("day"), F.year("day").cast("long").alias("year"), F.dayofyear("day").cast("long").alias("jday"))
 
 
 @query("SELECT event_id, CASE k % 6 WHEN 5 THEN NULL WHEN 4 THEN epoch_us(date_trunc('day', make_timestamp(t_us))) WHEN 3 THEN t_us // 1000000 * 1000000 ELSE t_us END AS parsed_us FROM v_catalog")
