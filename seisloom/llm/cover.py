@@ -17,8 +17,8 @@ times the blocks near theirs. A group sends link counts and a spanning forest of
 never the pairs. Exact at every size; the work is quadratic in the blocks that the
 bounds cannot part, as for any exact search among vectors without structure.
 
-Cases: null or zero vectors, those with null or non-finite components, and those
-of another length than the others (the most frequent one counts) link with nothing and keep themselves; rows
+Cases: null or zero vectors and those with null or non-finite components link with nothing and keep themselves; vectors
+link with those of their own length, a traversal for each length; rows
 with a null id have a null component and are not kept unless linked; repeated rows are copies, and
 so are vectors that differ in the sign of a zero.
 """
@@ -257,17 +257,31 @@ def similar_vectors(rows: DataFrame, cosine: float = COSINE, vector: str = "embe
     """``(vec_id, n_links, component_id, kept)`` for every row."""
     width = width_of(rows, vector)
     vectors = cut(raw_vectors(rows, vector, vec_id))
-    lengths = vectors.where("v is not null").groupBy(F.length("v").alias("bytes")).agg(F.count("*").alias("n"))
-    first = lengths.orderBy(F.desc("n"), "bytes").first()
-    length = first["bytes"] if first else 0
     # equal vectors are one class, numbered by a hash; should two classes get one number, by another hash
-    classes, seed = cut(vectors.where(F.length("v") == length).groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"))), 0
+    classes, seed = cut(vectors.where("v is not null").groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"))), 0
     while True:
         number = F.xxhash64(F.lit(seed), "v")
         if classes.groupBy(number).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             break
         seed += 1
-    classes, total = classes.withColumn("class", number), classes.count()
+    classes = classes.withColumn("class", number)
+    sizes = {r["bytes"]: r["n"] for r in classes.groupBy(F.length("v").alias("bytes")).agg(F.count("*").alias("n")).collect()}
+    of_class = None
+    for length in sorted(sizes):  # a row for each length; vectors of two lengths have no cosine
+        part = _linked_classes(classes.where(F.length("v") == length), sizes[length], length, width, cosine)
+        of_class = part if of_class is None else of_class.unionAll(part)
+    if of_class is None:
+        of_class = classes.select("class", F.col("first").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    out = vectors.withColumn("class", F.when(F.col("v").isNotNull(), number)).join(of_class, "class", "left")
+    component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    return out.select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
+    )
+
+
+def _linked_classes(classes: DataFrame, total: int, length: int, width: str, cosine: float) -> DataFrame:
+    """``(class, component_id, n_links)`` of the ``total`` distinct vectors ``classes(class, v, weight, first)`` of ``length`` bytes."""
     size = max(64, BLOCK // max(8 * length // np.dtype(width).itemsize, 8))
     size = min(size, max(64, -(-total // LEAST_BLOCKS)))
     most = min(MOST_CENTRES, max(CENTRES, 2 * total // size))
@@ -349,15 +363,9 @@ def similar_vectors(rows: DataFrame, cosine: float = COSINE, vector: str = "embe
     rooted = classes.select("class", "first", "weight").join(parts.withColumnRenamed("node", "class"), "class", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "class"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = rooted.join(lowest, "root").join(counts, "class", "left").select(
+    return rooted.join(lowest, "root").join(counts, "class", "left").select(
         "class", "component_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    out = vectors.withColumn("class", F.when(F.length("v") == length, number)).join(of_class, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
-    )
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

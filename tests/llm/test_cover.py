@@ -32,7 +32,7 @@ def test_against_brute_force(spark, monkeypatch):
     x = np.concatenate([centres[draw.integers(0, 8, 300)] + draw.normal(size=(300, 16)) * draw.choice([0.02, 0.3, 0.5], (300, 1)), draw.normal(size=(100, 16))])
     x = np.concatenate([x, x[:40], x[:5] * 2]).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    rows += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [None] * 16), (904, []), (905, [1.0, 2.0]), (None, x[0].tolist()), (7, x[7].tolist())]
+    rows += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [None] * 16), (904, []), (905, [1.0, 2.0]), (906, [1.0, 2.0]), (907, [2.0, 4.1]), (908, [-1.0, 0.5]), (909, [3.0]), (910, [0.5]), (911, [-0.5]), (None, x[0].tolist()), (7, x[7].tolist())]
     monkeypatch.setattr(cover, "BLOCK", 64)
     assert run(spark, rows) == brute(rows, 0.9)
 
