@@ -28,8 +28,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five words a shingle; 12 differing bits of 64 hold nearly all pairs of a similarity of 0.8 or more."""
-    return simhash.keep_one(docs, width=5, distance=12, by_words=True).select(*COLUMNS)
+    """Five words a shingle; 14 differing bits of 64 hold nearly all pairs of a similarity of 0.8 or more."""
+    return simhash.keep_one(docs, width=5, distance=14, by_words=True).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,10 @@ fingerprints share a key, and each pair that shares one is verified.
 Near copies by similarity (``by_words``): fingerprints of shingles drift fast, since a changed word changes
 ``width`` of them: at a Jaccard similarity of 0.8 some 10 bits, beyond what the keys find. The keys
 are then of the fingerprint of a text's distinct words, which drifts slowly, and a link needs
-``WORDS_DISTANCE`` differing bits of those at most and ``distance`` of the shingles'.
+``WORDS_DISTANCE`` differing bits of those at most and ``distance`` of the shingles'. As chance moves such a fingerprint
+by a few bits, there are ``TABLES`` of them, of differently scrambled hashes, and one that is near suffices. The exact bits
+of each segment are keys, too: 6 differing bits leave some pair with 2 or fewer in each, or three in two segments and
+none in the third.
 
 Scale: only distinct fingerprints are hashed, so exact copies weigh as one. The
 keys are shuffled once (about 84 small rows a fingerprint, whose buckets hold few of
@@ -33,6 +36,7 @@ repeat; empty input gives empty output.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +47,7 @@ from . import golay
 from .common import as_bytes, connected_components, cut, read, unused
 
 WIDTH, DISTANCE, SEED = 4, 4, 42
-WORDS_DISTANCE = 6
+WORDS_DISTANCE, TABLES = 6, 3
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and length
 PAIRS = ((0, 1), (0, 2), (1, 2))
 SLICE = 1 << 16  # shingles counted at a time
@@ -71,39 +75,51 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def word_fingerprint(text: bytes) -> int:
-    """As ``fingerprint``, of the distinct words."""
+def word_fingerprints(text: bytes) -> list[int]:
+    """As ``fingerprint``, of the distinct words, by each of ``TABLES`` scrambles of their hashes."""
     from xxhash import xxh64_intdigest
 
     words = list(set(text.lower().split()))
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros((TABLES, 64), np.int64)
     for at in range(0, len(words), SLICE):
-        h = np.array([xxh64_intdigest(w, SEED) for w in words[at : at + SLICE]], "<u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(words), bitorder="little").view("<u8")[0])
+        h = np.array([xxh64_intdigest(w, SEED) for w in words[at : at + SLICE]], np.uint64)
+        for k in range(TABLES):
+            if k:  # the finaliser of SplitMix64
+                x = h + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                h_ = x ^ (x >> np.uint64(31))
+            else:
+                h_ = h
+            ones[k] += np.unpackbits(h_.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(words), axis=1, bitorder="little").view("<u8")[:, 0].tolist()
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, by_words: bool = False) -> DataFrame:
-    """``(doc_id, fp)`` of every document, fp as a signed long; with ``by_words`` also ``words``, that of its words."""
+    """``(doc_id, fp)`` of every document, fp as a signed long; with ``by_words`` also ``words0``, ``words1``..., those of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
-            kinds = [lambda t: fingerprint(t, width), *([word_fingerprint] if by_words else [])]
-            found = [pa.array(np.fromiter(map(of, texts), np.uint64, len(texts)).view(np.int64)) for of in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["doc_id", "fp", "words"][: 1 + len(found)])
+            found = [np.fromiter((fingerprint(t, width) for t in texts), np.uint64, len(texts))]
+            if by_words:
+                found += list(np.array([word_fingerprints(t) for t in texts], np.uint64).reshape(-1, TABLES).T.copy())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x.view(np.int64)) for x in found)], names)
 
+    names = ["doc_id", "fp", *(f"words{k}" for k in range(TABLES if by_words else 0))]
     rows = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(F.col(text)).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long" + (", words long" if by_words else ""))
+    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:]))
 
 
-def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every key of every fingerprint."""
-    near = []
-    for first, bits in SEGMENTS:
+def fuzzy_keys(fps: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of every key of every fingerprint, with ``exact`` also the bits of each segment."""
+    near, rows, keys = [], [], []
+    for number, (first, bits) in enumerate(SEGMENTS):
         part = ((fps >> np.uint64(first)) & np.uint64((1 << bits) - 1)).astype(np.int64)
         near.append(golay.near_indices(part, bits))
-    rows, keys = [], []
+        if exact:
+            rows.append(np.arange(len(fps)))
+            keys.append(part | (len(PAIRS) + number) << 24)
     for number, (a, b) in enumerate(PAIRS):
         key = (number << 24) | (near[a][0][:, :, None] << 12) | near[b][0][:, None, :]
         on = near[a][1][:, :, None] & near[b][1][:, None, :]
@@ -169,7 +185,7 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, word
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``(a, b)`` links of fingerprints, distinct rows ``fps(fp)`` or ``fps(fp, words)``: a spanning forest, and
     maybe more, of the graph that joins those at ``distance``. Without ``words`` every link is found, up to a
-    distance of 4; with them every link of 4 differing bits of the words' fingerprints or fewer, and most up to 6."""
+    distance of 4; with them every link of ``WORDS_DISTANCE`` differing bits of the words' fingerprints or fewer."""
     names = fps.columns  # the last one gives the keys
     if len(names) == 1 and distance > 4:
         raise ValueError("the keys find pairs at 4 differing bits or fewer")
@@ -179,7 +195,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             every = [c.to_numpy().view(np.uint64) for c in batch.columns]
             for at in range(0, batch.num_rows, 2048):
                 part = [c[at : at + 2048] for c in every]
-                row, key = fuzzy_keys(part[-1])
+                row, key = fuzzy_keys(part[-1], len(names) > 1)
                 yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[row].view(np.int64)) for c in part)], ["key", *names])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +227,12 @@ def near_duplicates(
     """``(doc_id, fingerprint, component_id)`` of every document."""
     rows = cut(fingerprints(docs, doc_id, text, width, by_words))
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    linked = connected_components(links(rows.select("fp", "words").distinct() if by_words else classes.select("fp"), distance)).withColumnRenamed("node", "fp")
+    if by_words:
+        tables = [links(rows.select("fp", F.col(f"words{k}").alias("words")).distinct(), distance) for k in range(TABLES)]
+        edges = reduce(DataFrame.unionAll, tables)
+    else:
+        edges = links(classes.select("fp"), distance)
+    linked = connected_components(edges).withColumnRenamed("node", "fp")
     linked = linked.join(classes, "fp")
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = cut(  # a plain side, so that Spark can split the join of a hot fingerprint

@@ -130,7 +130,7 @@ def test_near_copies_by_words(spark):
     for _ in range(200):
         rows.append((len(rows), " ".join(draw.choices(vocabulary, k=300))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in simhash.keep_one(df, width=5, distance=12, by_words=True).collect()}
+    kept = {r.doc_id for r in simhash.keep_one(df, width=5, distance=14, by_words=True).collect()}
     assert kept >= set(range(240, 440)) and {origin[i] for i in kept if i in origin} == set(range(60))
 
     def shingles(i):
@@ -141,6 +141,17 @@ def test_near_copies_by_words(spark):
     assert len(near) > 100 and sum(i not in kept for i in near) >= 0.9 * len(near)
 
 
+def test_keys_find_six_bits():
+    draw = random.Random(6)
+    for _ in range(3000):
+        a = draw.getrandbits(64)
+        b = a
+        for bit in draw.sample(range(64), draw.randrange(7)):
+            b ^= 1 << bit
+        row, key = simhash.fuzzy_keys(np.array([a, b], np.uint64), exact=True)
+        assert set(key[row == 0]) & set(key[row == 1])
+
+
 def test_words_in_buckets_of_any_size():
     draw = random.Random(4)
     for n in (5, 200):
