@@ -221,7 +221,7 @@ def arr20_extract_picks(v):
     return arrays.extract_picks(s, ["key"], 0.1, 50_000).select("key", "t_us", F.round(F.col("probability").cast("double"), 6).alias("probability"))
 
 
-@query()
+@query(sql.JOB02)
 def job02_condition(v):
     s = segments(v).withColumn("day", F.to_date(F.timestamp_micros("start_us")))
     epochs = s.select("key", (F.col("start_us") + F.when(F.col("key") % 3 == 0, 100_000).otherwise(-1)).alias("epoch_us"), F.lit(None).cast("long").alias("end_us"))

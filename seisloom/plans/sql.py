@@ -186,3 +186,15 @@ a AS (SELECT key, c, i, phase, sum(v) / count(*) AS v FROM s GROUP BY ALL),
 t AS (SELECT *, lag(v) OVER q AS before, lead(v) OVER q AS after FROM a WINDOW q AS (PARTITION BY key, c, phase ORDER BY i)),
 k AS (SELECT key, phase, 1704067200000000 + (c * 320 - 50 + i) * 10000 AS t_us, v AS probability FROM t WHERE v >= 0.7e0 AND v > before AND v >= after AND i >= 50 AND i < 370)
 SELECT key, phase, k.t_us AS t_us, round(k.probability, 6) AS probability FROM (SELECT key, phase, unnest({walk(struct('t_us', 'probability'), 'probability DESC, t_us', 'abs(y.t_us - x[1].t_us) <= 50000')}) AS k FROM k GROUP BY key, phase)"""
+
+#: Samples beyond 0.3 bridged, trend off, five percent tapered, trimmed to epochs that begin ten samples in for every third key, halved.
+JOB02 = """, x AS (SELECT vec_id AS key, start_us, i, CASE WHEN abs(samples[i + 1]::DOUBLE) <= 0.3e0 THEN samples[i + 1]::DOUBLE END AS ok FROM v_traces, range(64) r(i)),
+g AS (SELECT *, CASE WHEN ok IS NOT NULL THEN i END AS here FROM x),
+b AS (SELECT *, min(here) OVER (PARTITION BY key) AS a, max(here) OVER (PARTITION BY key) AS z FROM g),
+f AS (SELECT *, last_value(ok IGNORE NULLS) OVER p AS v0, last_value(here IGNORE NULLS) OVER p AS i0, first_value(ok IGNORE NULLS) OVER q AS v1, first_value(here IGNORE NULLS) OVER q AS i1 FROM b WHERE i BETWEEN a AND z
+  WINDOW p AS (PARTITION BY key ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), q AS (PARTITION BY key ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+y AS (SELECT key, start_us, a, i - a AS j, z - a + 1 AS n, CASE WHEN ok IS NOT NULL THEN ok ELSE v0 + (v1 - v0) * (i - i0) / (i1 - i0) END AS y FROM f),
+d AS (SELECT y.*, y - c0 - c1 * j AS r, floor(n * 0.05e0) AS m, CASE WHEN y.key % 3 = 0 AND a < 10 THEN 10 - a ELSE 0 END AS skip
+  FROM y JOIN (SELECT key, regr_intercept(y, j) AS c0, regr_slope(y, j) AS c1 FROM y GROUP BY key) USING (key) WHERE n >= 10),
+t AS (SELECT *, r * CASE WHEN j < m THEN 0.5e0 - 0.5e0 * cos(pi() * j / m) WHEN j >= n - m THEN 0.5e0 - 0.5e0 * cos(pi() * (n - 1 - j) / m) ELSE 1 END AS v FROM d WHERE n - skip >= 10 AND j >= skip)
+SELECT key, min(start_us + (a + j) * 10000) AS start_us, count(*)::INT AS n, round(max((v / 2)::FLOAT::DOUBLE), 5) AS peak FROM t GROUP BY key"""
