@@ -36,7 +36,6 @@ repeat; empty input gives empty output.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -221,6 +220,20 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long")
 
 
+def _joined(tables: list[DataFrame]) -> DataFrame:
+    """``(node, root)`` of the graph of all tables' links: each table adds only the links between what the ones before left apart."""
+    known = connected_components(tables[0])
+    for edges in tables[1:]:
+        known = cut(known)
+        for end in ("a", "b"):
+            edges = edges.join(known.select(F.col("node").alias(end), "root"), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        found = cut(connected_components(edges.where("a <> b")))
+        top = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        new = found.join(known.select(F.col("root").alias("node")), "node", "left_anti")  # in no link before
+        known = known.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionAll(new.select("node", "root"))
+    return known
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, distance: int = DISTANCE, by_words: bool = False
 ) -> DataFrame:
@@ -228,11 +241,10 @@ def near_duplicates(
     rows = cut(fingerprints(docs, doc_id, text, width, by_words))
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     if by_words:
-        tables = [links(rows.select("fp", F.col(f"words{k}").alias("words")).distinct(), distance) for k in range(TABLES)]
-        edges = reduce(DataFrame.unionAll, tables)
+        linked = _joined([links(rows.select("fp", F.col(f"words{k}").alias("words")).distinct(), distance) for k in range(TABLES)])
     else:
-        edges = links(classes.select("fp"), distance)
-    linked = connected_components(edges).withColumnRenamed("node", "fp")
+        linked = connected_components(links(classes.select("fp"), distance))
+    linked = linked.withColumnRenamed("node", "fp")
     linked = linked.join(classes, "fp")
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = cut(  # a plain side, so that Spark can split the join of a hot fingerprint
