@@ -37,8 +37,9 @@ from .common import as_bytes, cut, fresh_path, read
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCUMENTS, TOP, SMOOTH, SCALE = 30, 50, 5, 1_000_000_000
-BLOCK, BLOCK_BYTES = 1 << 14, 1 << 24  # documents of a block and about their bytes
+BLOCK, BLOCK_BYTES = 1 << 14, 1 << 25  # documents of a block and about their bytes
 SIDE = 256  # sources of a block
+SALTS = 64
 AT_ONCE = 1 << 20  # entries of a dense matrix
 
 
@@ -106,11 +107,17 @@ def chunk_postings(docs: DataFrame, text: str = "text", lang: str = "lang", sour
     return rows.mapInArrow(run, "block long, lang string, chunk string, docs binary, by_source array<struct<source: string, n: long>>")
 
 
-def tokenized(chunks: DataFrame) -> DataFrame:
-    """``(chunk, term, times)`` of the distinct chunks of ``chunks``, each tokenized once."""
+def tokenized(postings: DataFrame) -> DataFrame:
+    """``(lang, chunk, documents, term, times)`` of the chunks of ``postings``, each distinct one tokenized once.
+
+    A chunk has a row for each block and language at most, so its rows go to one task uncombined."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rows = postings.select("chunk", "lang", (F.octet_length("docs") / 2).cast("long").alias("n")).repartition("chunk")
+    in_lang = rows.groupBy("chunk", "lang").agg(F.sum("n").alias("documents"))
+    once = in_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "documents")).alias("langs"))
     terms = F.regexp_extract_all(F.translate("chunk", upper, upper.lower()), F.lit(TERM), F.lit(0))
-    return chunks.select("chunk").distinct().select("chunk", F.explode(terms).alias("term")).groupBy("chunk", "term").agg(F.count("*").alias("times"))
+    times = once.select("chunk", "langs", F.explode(terms).alias("term")).groupBy("chunk", "term").agg(F.first("langs").alias("langs"), F.count("*").alias("times"))
+    return times.select("chunk", "term", "times", F.explode("langs").alias("x")).select("x.lang", "chunk", "x.documents", "term", "times")
 
 
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,19 +138,20 @@ def term_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, **columns) -> tup
         return spark.read.parquet(f"{at}/{name}")
 
     postings = stored(chunk_postings(docs, **columns), "postings")
-    in_lang = stored(postings.groupBy("lang", "chunk").agg(F.sum(F.octet_length("docs") / 2).cast("long").alias("documents")), "chunks")
-    terms = stored(in_lang.join(tokenized(in_lang), "chunk"), "terms")
+    terms = stored(tokenized(postings), "terms")
     # a term is in as many documents as the most frequent of its chunks at least, and in the sum of all at most
     bounds = terms.groupBy("lang", "term").agg(F.max("documents").alias("lower"), F.sum("documents").alias("upper")).where(F.col("upper") >= least)
     bounds = stored(bounds, "bounds")
-    open_chunks = terms.join(bounds.where(F.col("lower") < least), ["lang", "term"]).select("lang", "chunk", "term")
-    in_block = postings.select("block", "lang", "chunk", "docs").join(open_chunks, ["lang", "chunk"]).groupBy("block", "lang", "term").agg(F.collect_list("docs").alias("docs"))
+    asked = terms.join(bounds, ["lang", "term"]).select("lang", "chunk", "term", "times", (F.col("lower") < least).alias("open"))
+    found = postings.join(asked, ["lang", "chunk"]).select("block", "lang", "term", "times", "by_source", F.when(F.col("open"), F.col("docs")).alias("docs"))
+    found = stored(found, "found")
+    in_block = found.where(F.col("docs").isNotNull()).groupBy("block", "lang", "term").agg(F.collect_list("docs").alias("docs"))
     united = in_block.select("lang", "term", "docs").mapInArrow(_united, "lang string, term string, documents long")
     settled = united.groupBy("lang", "term").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= least)
     kept = stored(bounds.where(F.col("lower") >= least).select("lang", "term").unionAll(settled.select("lang", "term")), "kept")
-    kept_chunks = terms.join(kept, ["lang", "term"]).select("lang", "chunk", "term", "times")
-    found = postings.select("lang", "chunk", "by_source").join(kept_chunks, ["lang", "chunk"]).select("lang", "term", "times", F.explode("by_source").alias("x"))
-    return kept, found.groupBy("lang", F.col("x.source").alias("source"), "term").agg(F.sum(F.col("x.n") * F.col("times")).alias("n"))
+    each = found.select("lang", "term", "times", F.explode("by_source").alias("x"))
+    counts = each.groupBy("lang", F.col("x.source").alias("source"), "term").agg(F.sum(F.col("x.n") * F.col("times")).alias("n"))
+    return kept, counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n")
 
 
 def _p(n: Column | str, total: str, size: str) -> Column:
@@ -216,10 +224,10 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     number = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("int")
     of_group = (
         groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "size"])
-        .withColumn("idx", number).withColumn("zero", F.when(F.col("size") > 0, _p(F.lit(0), "total", "size")).otherwise(0))
+        .withColumn("idx", number).withColumn("last", F.floor(F.max("idx").over(Window.partitionBy("lang")) / side).cast("int")).withColumn("zero", F.when(F.col("size") > 0, _p(F.lit(0), "total", "size")).otherwise(0))
     )
     of_group = cut(of_group)
-    shares = cut(counts.join(of_group, ["lang", "source"]).select("lang", "source", "idx", "term", "n", _p("n", "total", "size").alias("p")))
+    shares = cut(counts.join(of_group, ["lang", "source"]).select("lang", "source", "idx", "last", "term", "n", _p("n", "total", "size").alias("p")))
 
     in_all = counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(
         of_group.groupBy("lang").agg(F.sum("total").alias("total"), F.max("size").alias("size")), "lang"
@@ -232,12 +240,14 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     block = F.floor(F.col("idx") / side).cast("int")
     listed = F.transform(F.array_sort(F.collect_list(F.struct("idx", "zero"))), lambda x: x["zero"])
     blocks = of_group.groupBy("lang", block.alias("block")).agg(listed.alias("zeros"))
-    last = of_group.groupBy("lang").agg(F.floor(F.max("idx") / side).cast("int").alias("last"))
-    dealt = shares.join(last, "lang").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    salt = F.pmod(F.hash("term"), F.lit(SALTS))  # a language's terms are many, its blocks few
+    salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = shares.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
     by_term = (
         dealt.groupBy("lang", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "term").agg(F.collect_list(F.struct("idx", "p")).alias("found"))
-        .join(blocks.select("lang", F.col("block").alias("lo"), F.col("zeros").alias("zero_lo")), ["lang", "lo"])
-        .join(blocks.select("lang", F.col("block").alias("hi"), F.col("zeros").alias("zero_hi")), ["lang", "hi"])
+        .withColumn("salt", salt)
+        .join(salted.select("lang", "salt", F.col("block").alias("lo"), F.col("zeros").alias("zero_lo")), ["lang", "salt", "lo"])
+        .join(salted.select("lang", "salt", F.col("block").alias("hi"), F.col("zeros").alias("zero_hi")), ["lang", "salt", "hi"])
     )
     parts = cut(by_term.select("lang", "lo", "hi", "found", "zero_lo", "zero_hi").mapInArrow(_differences(side), "lang string, lo int, hi int, a int, b int, value long, n long"))
     summed = parts.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("n").alias("met"))
