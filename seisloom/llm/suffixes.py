@@ -343,8 +343,9 @@ def repeated_runs(docs: DataFrame, text: str = "text", length: int = LENGTH, gra
     for level, gram in enumerate(grams):
         rows = cut_rows.where("gram is not null").select("number", "base", "at", "run", "off", "gram", "seg", "n")
         twice = rows.groupBy("gram").agg(F.sum("n").alias("all"), F.min("seg").alias("least"), F.max("seg").alias("largest")).where(F.col("all") >= 2)
-        same = (F.col("least") == F.col("largest")).cast("int").alias("same")
-        hits = rows.join(twice.select("gram", same), "gram")
+        # stored, so that the join has plain sides and Spark can split a hot gram
+        twice = stored(twice.select("gram", (F.col("least") == F.col("largest")).cast("int").alias("same")), f"twice-{level}")
+        hits = rows.join(twice, "gram")
         hits.write.partitionBy("same").option("compression", "zstd").parquet(f"{path}/hits-{level}")
         hits = spark.read.schema(hits.schema).parquet(f"{path}/hits-{level}")
         found.append(hits.where("same = 1").select("number", "at", "run"))
@@ -356,7 +357,8 @@ def repeated_runs(docs: DataFrame, text: str = "text", length: int = LENGTH, gra
         open_ = segs.groupBy("gram").agg(F.count("*").alias("size"), F.min("n").alias("least")).where((F.col("least") == 1) & (F.col("size") > 1))
         if gram == length:
             break
-        wanted = segs.join(open_.select("gram", (F.col("size") > most).alias("hot")), "gram").select("gram", "n", "hot", "rep.*")
+        open_ = stored(open_.select("gram", (F.col("size") > most).alias("hot")), f"open-{level}")
+        wanted = segs.join(open_, "gram").select("gram", "n", "hot", "rep.*")
         part = F.substring("text", (F.col("at") - F.col("base") + 1).cast("int"), F.col("run") + length - 1)
         contexts = stored(wanted.join(source, ["number", "base"]).select("gram", "number", "at", "run", "off", "n", "hot", part.alias("text")), f"contexts-{level}")
         cold = contexts.where(~F.col("hot")).select("gram", "number", "at", "run", "off", "n", "text").repartition("gram").sortWithinPartitions("gram")
