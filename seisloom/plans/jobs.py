@@ -32,7 +32,7 @@ def segments(v):
 @query("SELECT event_id, corroborating_picks FROM (SELECT a.event_id, count(*) FILTER (EXISTS (SELECT 1 FROM v_picks q WHERE q.pick_id % 2 = 0 AND q.station = a.station AND q.phase = a.phase AND abs(q.t_us - a.t_us) <= 60000000)) AS corroborating_picks FROM v_assignments a GROUP BY 1) WHERE corroborating_picks >= 2 AND event_id IN (SELECT event_id FROM v_secondary s WHERE NOT EXISTS (SELECT 1 FROM v_primary p WHERE abs(p.t_us - s.t_us) <= 60000000))".replace("count(*) FILTER (EXISTS (SELECT 1 FROM v_picks q WHERE q.pick_id % 2 = 0 AND q.station = a.station AND q.phase = a.phase AND abs(q.t_us - a.t_us) <= 60000000)) AS corroborating_picks FROM v_assignments a GROUP BY 1", "count(*) AS corroborating_picks FROM v_assignments a WHERE EXISTS (SELECT 1 FROM v_picks q WHERE q.pick_id % 2 = 0 AND q.station = a.station AND q.phase = a.phase AND abs(q.t_us - a.t_us) <= 60000000) GROUP BY 1"))
 def job09_additions(v):
     p = v.picks()
-    kept, _ = jobs.select_additions(v.secondary(), v.assignments().checkpoint(), v.primary(), p.where("pick_id % 2 = 0"), 60, 60, 2)
+    kept, _ = jobs.select_additions(v.secondary(), v.assignments(), v.primary(), p.where("pick_id % 2 = 0"), 60, 60, 2)
     return kept.select("event_id", "corroborating_picks")
 
 
@@ -57,10 +57,10 @@ def job12_promote(v):
 def job06_merge(v):
     c = v.catalog().withColumns({"source": F.when(F.col("n") % 2 == 0, "ep").otherwise("po"), "event_index": F.col("n")}).checkpoint()
     have, place = c.where("day < '2024-01-15'"), ["source", "day", "event_index"]
-    a = v.assignments().checkpoint()
-    new_picks = a.join(c.select("event_id", *place), "event_id").drop("event_id")
+    source = F.when(F.col("n") % 2 == 0, "ep").otherwise("po")
+    new_picks = v.assignments("n", "day").withColumns({"source": source, "event_index": F.col("n")}).drop("event_id", "n")
     ledger = have.select("source", "day").distinct()
-    merged = jobs.merge_catalog(have.drop(*place), joins.picks_of(a, have), c.drop("event_id"), new_picks, ledger, CORE)
+    merged = jobs.merge_catalog(have.drop(*place), joins.picks_of(v.assignments(), have), c.drop("event_id"), new_picks, ledger, CORE)
     n = merged.assignments.groupBy("event_id").agg(F.count("*").alias("picks"))
     return merged.catalog.join(n, "event_id", "left").select("event_id", "t_us", F.coalesce("picks", F.lit(0)).alias("picks"))
 
@@ -71,7 +71,7 @@ def job06_rebuild(v):
     hour, n, k = F.floor(F.col("t_us") / 3_600_000_000) * 3_600_000_000, F.col("n"), F.col("k")
     c = v.catalog().withColumns({"source": F.when(n % 2 == 0, "ep").otherwise("po"), "event_index": n, "hour_us": hour, "review_status": F.lit(None).cast("string")}).checkpoint()
     place = ["source", "day", "event_index"]
-    picks = v.assignments().join(c.select("event_id", *place), "event_id").drop("event_id")
+    picks = v.assignments("n", "day").withColumns({"source": F.when(n % 2 == 0, "ep").otherwise("po"), "event_index": n}).drop("event_id", "n")
     fresh = c.drop("event_id").withColumn("t_us", F.col("hour_us") + n % 997 * 1000).withColumn("time", F.timestamp_micros("t_us"))
     old = c.where(k % 2 == 0).drop("event_id").withColumn("time", F.timestamp_micros("hour_us"))
     previous = windows.mint_ids(old, F.col("source"), ["n"]).withColumn("t_us", F.col("hour_us") + n * 7919 % 9973 * 1000).checkpoint()

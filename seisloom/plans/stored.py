@@ -84,7 +84,7 @@ def src02_day_events(v):
     header = "event_index,time,magnitude,magnitude_type,ml_err,latitude,longitude,depth_km,sigma_time,sigma_amp,num_picks,num_ml_sta"
     none = F.lit("")
     line = text("n", iso("time"), "magnitude", none, none, "latitude", "longitude", "depth_km", none, none, "num_picks", none)
-    a = v.assignments().join(c.select("event_id", "n", "day"), "event_id").withColumn("time", F.timestamp_micros("t_us"))
+    a = v.assignments("n", "day").withColumn("time", F.timestamp_micros("t_us"))
     a_line = text("n", "network", "station", none, F.lit("EHZ"), "phase", iso("time"), "probability", "amplitude", F.lit("EHZ"))
     a_header = "event_index,network,station,location,channel,phase,time,probability,amplitude,amplitude_channel"
     odd = v.spark.createDataFrame([("notes.events.csv", header + "\n1,2024-01-01T00:00:00,1,,,,,,,,,")], "name string, body string")
