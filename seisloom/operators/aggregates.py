@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, scalars
 from ..functions.scalars import SECOND
-from .joins import corroborated, missing_station_days, with_station
+from .joins import PLACE, missing_station_days, with_corroborated, with_station
 
 
 def qc_stations(events: DataFrame, assignments: DataFrame, least: int = 3) -> DataFrame:
-    good = assignments.groupBy("event_id").agg(F.countDistinct("network", "station").alias("n_")).where(F.col("n_") >= least)
+    rows = assignments.where("network is not null and station is not null").select("event_id", "network", "station").repartition("event_id")
+    good = rows.distinct().groupBy("event_id").agg(F.count("*").alias("n_")).where(F.col("n_") >= least)
     return events.join(good.select("event_id"), "event_id", "left_semi")
 
 
@@ -53,15 +54,14 @@ def run_outcome(chunks: DataFrame, unreachable: int, stations: int) -> DataFrame
 
 
 def corroboration_counts(assignments: DataFrame, primary_picks: DataFrame, seconds: float = 1.0) -> DataFrame:
-    hits = corroborated(assignments, primary_picks, seconds).groupBy("event_id").agg(F.count("*").alias("n_"))
-    every = assignments.select("event_id").distinct()
-    return every.join(hits, "event_id", "left").select("event_id", F.coalesce("n_", F.lit(0)).alias("corroborating_picks"))
+    rows = with_corroborated(assignments.select("event_id", *PLACE, "t_us"), primary_picks, seconds)
+    return rows.groupBy("event_id").agg(F.count_if("corroborated").alias("corroborating_picks"))
 
 
 def triage_features(events: DataFrame, assignments: DataFrame, core: list[str]) -> DataFrame:
-    n = assignments.groupBy("event_id").agg(
-        F.count("*").alias("n_picks"), F.countDistinct("station").alias("n_stations"), F.countDistinct(F.when(F.col("station").isin(core), F.col("station"))).alias("n_core")
-    )
+    # one shuffle serves the stations of an event and the event; distinct counts in one step would shuffle each row three times
+    each = assignments.select("event_id", "station").repartition("event_id").groupBy("event_id", "station").agg(F.count("*").alias("n_"))
+    n = each.groupBy("event_id").agg(F.sum("n_").alias("n_picks"), F.count("station").alias("n_stations"), F.count_if(F.col("station").isin(core)).alias("n_core"))
     rows = events.join(n, "event_id", "left")
     return rows.fillna(0, ["n_picks", "n_stations", "n_core"])
 

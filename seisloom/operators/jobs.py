@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, scalars
 from . import aggregates as agg
 from . import arrays, continuous, joins, location, windows
-from .timejoin import components
+from .timejoin import stored
 
 
 def apply_triage(
@@ -60,8 +60,7 @@ def select_additions(secondary: DataFrame, secondary_picks: DataFrame, primary:
 def dedup_catalog(catalog: DataFrame, assignments: DataFrame, seconds: float = 2.0, km: float = 5.0, include_mixed: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Duplicates in time and place folded into their keeper: the catalog, the picks, and an audit row for each event other than
     its group's keeper. Groups of ids of several detectors are only reported (``merged`` false) unless ``include_mixed``."""
-    pairs = joins.dup_pairs(catalog, seconds, km)
-    groups = components(pairs, "a", "b").withColumnRenamed("node", "event_id")
+    groups = joins.dup_groups(catalog, seconds, km)
     kinds = groups.groupBy("root").agg(F.countDistinct(F.substring("event_id", 1, 2)).alias("kinds_"))
     merged = F.lit(True) if include_mixed else F.col("kinds_") == 1
     kept = windows.keepers(catalog.join(groups, "event_id")).select("event_id", "keeper", "root").join(kinds, "root").select("event_id", "keeper", merged.alias("merged")).checkpoint()
@@ -140,7 +139,7 @@ def merge_catalog(
     every = assignments.unionByName(picks.drop(*place), allowMissingColumns=True)
     if snapshot is not None:
         events, every = joins.restore_reviewed(events, every, *snapshot)
-    events, every = windows.unique_ids(events.checkpoint(), "the merged catalog"), every.checkpoint()
+    events, every = windows.unique_ids(events.checkpoint(), "the merged catalog"), stored(every)
     labelled = apply_triage(events, every, core, regional, covered, triage)
     days = ledger.select("source", "day").unionAll(fresh.select("source", "day")).distinct()
     return MergedCatalog(labelled.orderBy("t_us", "event_id"), every.orderBy("t_us", "event_id"), joins.near_duplicates(events, events).where("event_id < other_id"), days)
@@ -201,7 +200,7 @@ def save_reviews(catalog: DataFrame, assignments: DataFrame, decisions: DataFram
     rows = rows.select(*catalog.columns).checkpoint()
     saved = last.where("saved").select("event_id", "timestamp")
     theirs = picks.join(saved, ["event_id", "timestamp"], "left_semi").select(*[c for c in assignments.columns if c in picks.columns])
-    every = assignments.join(saved, "event_id", "left_anti").unionByName(theirs, allowMissingColumns=True).checkpoint()
+    every = stored(assignments.join(saved, "event_id", "left_anti").unionByName(theirs, allowMissingColumns=True))
     decided = rows.join(last.select("event_id"), "event_id", "left_semi")
     from ..sources import sinks
 

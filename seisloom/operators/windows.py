@@ -57,8 +57,10 @@ def unique_ids(df: DataFrame, what: str, column: str = "event_id") -> DataFrame:
 def keepers(groups: DataFrame) -> DataFrame:
     """The event of each ``root`` to keep: confirmed, then reviewed, then most picks, then the least id."""
     status = F.coalesce("review_status", F.lit(""))
-    order = Window.partitionBy("root").orderBy((status == "confirmed").desc(), (status != "").desc(), F.desc("num_picks"), "event_id")
-    return groups.withColumn("rn_", F.row_number().over(order)).withColumn("keeper", F.first("event_id").over(order)).drop("rn_")
+    picks = F.col("num_picks").cast("double")
+    rank = F.struct(status != "confirmed", status == "", picks.isNull(), -picks, "event_id")
+    best = groups.groupBy("root").agg(F.min_by("event_id", rank).alias("keeper"))  # no group meets in one place
+    return groups.join(best, "root")
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
