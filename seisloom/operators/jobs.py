@@ -299,9 +299,10 @@ def relocate(picks: DataFrame, stations: DataFrame, tt: DataFrame, depth_step: f
     return format_events(located, rows, stations).join(best.select("event_id", "sigma_z", "h_major", "h_minor", "h_azimuth"), "event_id", "left"), left
 
 
-def plan_event_ids(catalog: DataFrame) -> DataFrame:
-    """``(old, new)`` for every positional id, in time order; ids that occur twice are an error."""
-    windows.unique_ids(catalog, "the catalog")
+def plan_event_ids(catalog: DataFrame, repeats: bool = False) -> DataFrame:
+    """``(old, new)`` for every positional id, in time order; ids that occur twice are an error, or with ``repeats`` get a row and a new id for each event."""
+    if not repeats:
+        windows.unique_ids(catalog, "the catalog")
     legacy = scalars.is_legacy_id(F.col("event_id"))
     old = catalog.where(legacy).select(F.col("event_id").alias("old"), "time")
     return windows.mint_ids(old, F.substring("old", 1, 2), ["time", "old"], catalog.where(~legacy).select("event_id")).select("old", F.col("event_id").alias("new"))
