@@ -147,6 +147,20 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return out
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of edges, each node of a component with the least one of it."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    top, p, q = np.arange(len(nodes)), at[: len(a)], at[len(a) :]
+    while len(p):
+        np.minimum.at(top, np.maximum(top[p], top[q]), np.minimum(top[p], top[q]))
+        while (top[top] != top).any():
+            top = top[top]
+        apart = top[p] != top[q]
+        p, q = p[apart], q[apart]
+    leaf = top != np.arange(len(nodes))
+    return nodes[leaf], nodes[top[leaf]]
+
+
 def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect, within each bucket of sorted ``key``, what is connected
     by pairs of ``distance`` bits or fewer, and of ``WORDS_DISTANCE`` in ``words`` if given."""
@@ -181,10 +195,11 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, word
     return fp[np.concatenate([x[0] for x in found])], fp[np.concatenate([x[1] for x in found])]
 
 
-def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, stars: bool = False) -> DataFrame:
     """``(a, b)`` links of fingerprints, distinct rows ``fps(fp)`` or ``fps(fp, words)``: a spanning forest, and
     maybe more, of the graph that joins those at ``distance``. Without ``words`` every link is found, up to a
-    distance of 4; with them every link of ``WORDS_DISTANCE`` differing bits of the words' fingerprints or fewer."""
+    distance of 4; with them every link of ``WORDS_DISTANCE`` differing bits of the words' fingerprints or fewer.
+    With ``stars`` edges of the same components instead, to the least of what a task joins: see ``thinned``."""
     names = fps.columns  # the last one gives the keys
     if len(names) == 1 and distance > 4:
         raise ValueError("the keys find pairs at 4 differing bits or fewer")
@@ -200,7 +215,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def linked(key, fp, words=None):
             a, b = bucket_links(key, fp.view(np.uint64), distance, None if words is None else words.view(np.uint64))
-            a, b = _forest(a.view(np.int64), b.view(np.int64))
+            a, b = (_stars if stars else _forest)(a.view(np.int64), b.view(np.int64))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         held, n = [], 0
@@ -220,6 +235,16 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long")
 
 
+def thinned(edges: DataFrame) -> DataFrame:
+    """``(a, b)`` of the same components: of each node's edges to lesser ones that to the least stays, and the others lead there.
+
+    Every task that sees a group of near copies has a tree of it, so there are edges as many as tasks times members. When
+    these are stars, they go to few centres, and what is left is about an edge a member. A node has an edge a task at most here."""
+    up = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    up = up.withColumn("b", F.min("v").over(Window.partitionBy("u")))
+    return up.select(F.when(F.col("v") == F.col("b"), F.col("u")).otherwise(F.col("v")).alias("a"), "b").distinct()
+
+
 def _joined(tables: list[DataFrame]) -> DataFrame:
     """``(node, root)`` of the graph of all tables' links: each table adds only the links between what the ones before left apart."""
     known = connected_components(tables[0])
@@ -241,7 +266,7 @@ def near_duplicates(
     rows = cut(fingerprints(docs, doc_id, text, width, by_words))
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     if by_words:
-        linked = _joined([links(rows.select("fp", F.col(f"words{k}").alias("words")).distinct(), distance) for k in range(TABLES)])
+        linked = _joined([thinned(links(rows.select("fp", F.col(f"words{k}").alias("words")).distinct(), distance, True)) for k in range(TABLES)])
     else:
         linked = connected_components(links(classes.select("fp"), distance))
     linked = linked.withColumnRenamed("node", "fp")

@@ -177,3 +177,31 @@ def components(edges):
         p, q = find(x), find(y)
         top[max(p, q)] = min(p, q)
     return {x: find(x) for x in top if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_edges_of_a_hot_group_do_not_grow_with_the_tasks(spark):
+    """Near copies that meet in many buckets: an edge a member or so is joined, not one a member and task."""
+    from seisloom.llm.common import connected_components
+
+    base = random.Random(11).getrandbits(64)
+    fps = [base, *(base ^ (1 << i) ^ (1 << j) for i in range(40) for j in range(i)), *(random.Random(i).getrandbits(64) for i in range(200))]
+    df = spark.createDataFrame([(int(x), int(x)) for x in np.array(fps, np.uint64).view(np.int64)], "fp long, words long")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plain, few = simhash.links(df, 14).cache(), simhash.thinned(simhash.links(df, 14, stars=True)).cache()
+        many, left = plain.count(), few.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert many > 3 * len(fps) and left < 1.5 * len(fps)
+    assert sorted(connected_components(few).collect()) == sorted(connected_components(plain).collect())
+
+
+def test_stars_join_what_the_edges_join():
+    draw = np.random.default_rng(3)
+    for n in (0, 1, 50, 400):
+        a, b = draw.integers(-200, 200, (2, n))
+        star = simhash._stars(a, b)
+        assert components(list(zip(*(x.tolist() for x in star), strict=True))) == components([e for e in zip(a.tolist(), b.tolist(), strict=True) if e[0] != e[1]])
+        assert (star[0] > star[1]).all() and len(star[0]) == len(set(star[0].tolist()))
