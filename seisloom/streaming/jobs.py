@@ -37,11 +37,15 @@ def pick_sessions(picks: DataFrame, gap: str = "60 seconds", least: int = 3, lat
 
 def corroborate(secondary: DataFrame, primary: DataFrame, tolerance: str = "1 second", late: str = "10 minutes") -> DataFrame:
     """Stream to stream: picks of the second detector with a primary pick of the same station and phase near in time, each once.
-    State is given up with the watermark."""
-    a = secondary.withWatermark("time", late).alias("a")
+    State is given up with the watermark. Time is cut into buckets of the tolerance, so a pick is compared with those near in time,
+    not with all of its station and phase that the state holds, and the join ends at the first that fits."""
+    width = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {tolerance})")
+    bucket = lambda c: F.floor(F.unix_micros(c) / F.greatest(width, F.lit(1)))
+    a = secondary.withWatermark("time", late).withColumn("bucket_", bucket(F.col("time")))
     b = primary.select(F.col("station").alias("b_station"), F.col("phase").alias("b_phase"), F.col("time").alias("b_time")).withWatermark("b_time", late)
-    near = F.expr(f"station = b_station AND phase = b_phase AND b_time BETWEEN time - INTERVAL {tolerance} AND time + INTERVAL {tolerance}")
-    return a.join(b, near).drop("b_station", "b_phase", "b_time").dropDuplicatesWithinWatermark(["pick_id"])
+    b = b.withColumn("near_", F.explode(F.array(*[bucket(F.col("b_time")) + i for i in (-1, 0, 1)])))
+    near = F.expr(f"station = b_station AND phase = b_phase AND bucket_ = near_ AND b_time BETWEEN time - INTERVAL {tolerance} AND time + INTERVAL {tolerance}")
+    return a.join(b, near, "left_semi").drop("bucket_").dropDuplicatesWithinWatermark(["pick_id"])
 
 
 def separate(secondary: DataFrame, primary: DataFrame, seconds: int = 10, late: str = "10 minutes") -> DataFrame:

@@ -107,6 +107,20 @@ def test_corroboration_and_separation(spark, tmp_path):
     assert sorted(r.event_id for r in out.collect() if r.event_id != 9) == [2, 3, 4]
 
 
+def test_corroboration_compares_picks_near_in_time(spark, tmp_path):
+    """The state is looked up by station, phase and bucket of time, and a pick's search ends with the first that fits."""
+    S = 1_000_000
+    schema = "pick_id long, station string, phase string, t_us long"
+    second = [[(1, "S1", "P", 100 * S), (1, "S1", "P", 100 * S), (2, "S1", "P", 1000 * S), (4, "S1", "P", 2000 * S - 1)], [(9, "end", "P", FAR)]]
+    first = [[(0, "S1", "P", 99 * S), (0, "S1", "P", 101 * S), (0, "S1", "P", 100 * S), (0, "S1", "P", 1002 * S), (0, "S1", "P", 2000 * S)], [(0, "end", "P", FAR)]]
+    a, b = (timed(feed(spark, tmp_path / n, x, schema)) for n, x in (("a", second), ("b", first)))
+    out = jobs.corroborate(a, b)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "LeftSemi" in plan and "bucket_" in plan and "near_" in plan
+    out = run(spark, out, "corroborated_near")
+    assert sorted(r.pick_id for r in out.where("station <> 'end'").collect()) == [1, 4]
+
+
 def test_days_are_written_whole(spark, tmp_path):
     from datetime import UTC, datetime
 
