@@ -290,8 +290,10 @@ def relocate(picks: DataFrame, stations: DataFrame, tt: DataFrame, depth_step: f
     rows = rows.join(first.drop("n_"), "event_id").select(
         "event_id", "network", "station", "phase", "t_us", "amplitude", "first_us", sx.alias("sx"), sy.alias("sy"),
         ((F.col("t_us") - F.col("first_us")) / scalars.SECOND).alias("t_s"), F.when(F.col("phase") == "S", SIGMA_S).otherwise(SIGMA_P).alias("sigma"),
-    ).checkpoint()
-    best = location.locate(rows.select("event_id", "phase", "sx", "sy", "t_s", "sigma"), tt, depth_step, distance_step, spread=True, **grid).checkpoint()
+    )
+    rows = stored(rows)
+    # a checkpoint would search twice: once to count, once to write
+    best = stored(location.locate(rows.select("event_id", "phase", "sx", "sy", "t_s", "sigma"), tt, depth_step, distance_step, spread=True, **grid))
     left = location.residuals(rows, best, tt, depth_step, distance_step).select("event_id", "station", "phase", (F.col("t_s") - F.col("t0")).alias("observed_s"), "residual_s")
     rms = left.groupBy("event_id").agg(F.sqrt(F.avg(F.col("residual_s") * F.col("residual_s"))).alias("sigma_time"))
     origin = F.col("first_us") + F.round(F.col("t0") * scalars.SECOND).cast("long")

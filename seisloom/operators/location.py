@@ -92,7 +92,7 @@ def locate(picks: DataFrame, tt: DataFrame, depth_step: float, distance_step: fl
     of the picking stations. Returns ``(event_id, x, y, z, t0, chi2, n)``, the best node of each event, with ``spread`` also its
     ``sigma_z, h_major, h_minor, h_azimuth``.
 
-    The nodes are never rows: the table goes to the tasks as one array, an event's picks meet in a task, and nodes that a bound rules out are skipped."""
+    The nodes are never rows: the table goes to the tasks as one array, an event's picks meet in a task, and what a node's picks sum up to comes from sums at the depths of the table."""
     return search.locate(picks, search.PackedTimes.of(tt, depth_step, distance_step), half_km, passes, depth_max, 4, spread)
 
 

@@ -1,4 +1,4 @@
-"""Searches over nodes in tasks: travel times as one packed array, location and association with bounds that skip nodes."""
+"""Searches over nodes in tasks: travel times as one packed array, location by sums over columns of nodes, association with bounds that skip nodes."""
 
 from __future__ import annotations
 
@@ -61,21 +61,6 @@ class PackedTimes:
         t = (self.t[phase, iz, ix] * (1 - fx) + self.t[phase, iz, nx1] * fx) * (1 - fz) + (self.t[phase, nz1, ix] * (1 - fx) + self.t[phase, nz1, nx1] * fx) * fz
         return np.where(off, np.nan, t)
 
-    def __post_init__(self) -> None:
-        # of each phase and depth: greatest changes with a km of distance and (to the next depth) of depth, and where the times end
-        most = lambda axis: np.nan_to_num(np.abs(np.diff(self.t, axis=axis))).max(axis=2, initial=0)
-        self.across, self.down = most(2) / self.distance_step, np.pad(most(1), ((0, 0), (0, 1))) / self.depth_step
-        gaps = np.isnan(self.t)
-        self.ends = np.where(gaps.any(axis=2), gaps.argmax(axis=2), self.t.shape[2])
-
-    def between(self, low: float, high: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Over the depths from ``low`` to ``high``, for each phase: the most that a time changes with a km of distance and with one of
-        depth, and the distance in km up to which there are times at all of them."""
-        a, b = (int(np.clip(f(z / self.depth_step) - self.first_depth, 0, self.t.shape[1] - 1)) for f, z in ((np.floor, low), (np.ceil, high)))
-        if a == b and a > 0:
-            a -= 1
-        return self.across[:, a : b + 1].max(1), self.down[:, a : max(b, a + 1)].max(1), (self.first_distance + self.ends[:, a : b + 1].min(1) - 1) * self.distance_step
-
 
 @dataclass
 class Picks:
@@ -105,51 +90,69 @@ def grid(cx: float, cy: float, half: float, step: float, depth_max: float, dz: f
     return np.stack([cx + i.ravel() * step, cy + j.ravel() * step, k.ravel() * dz], 1)
 
 
-STRIDES = (8, 4, 2, 1)
+COLUMNS = 2_000_000  # of columns of nodes, picks and depths of the table held at a time
+
+
+def column_sums(tt: PackedTimes, p: Picks, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``chi2``, a bound of its rounding and number of picks of the nodes (x, y) by z, as arrays of columns and depths.
+
+    Between two depths of the table a time is a line in depth, so the sums over the picks are polynomials in
+    depth: they are taken at the depths of the table, not at those of the nodes."""
+    _, nz, nx = tt.t.shape
+    chi2, bound, count = np.full((len(x), len(z)), np.nan), np.zeros((len(x), len(z))), np.zeros((len(x), len(z)), np.int64)
+    known = p.phase >= 0
+    phase, sx, sy, t_s, w = p.phase[known], p.sx[known], p.sy[known], p.t_s[known], 1 / (p.sigma[known] * p.sigma[known])
+    deep = np.clip(z / tt.depth_step, tt.first_depth, tt.first_depth + nz - 1) - tt.first_depth
+    low = np.minimum(np.floor(deep), nz - 2).astype(np.int64)
+    if nz < 2 or not len(phase):
+        return chi2, bound, count
+    d = np.hypot(x[:, None] - sx, y[:, None] - sy) / tt.distance_step - tt.first_distance
+    ix = np.floor(d).astype(np.int64)
+    off, f = (ix < 0) | (ix > nx - 2), d - ix
+    ix = np.clip(ix, 0, max(nx - 2, 0))
+    right = np.minimum(ix + 1, nx - 1)
+    flat, place = tt.t.transpose(1, 0, 2).reshape(nz, -1), phase * nx + ix
+    place_right, gaps = phase * nx + right, off.any()
+    at, weighed = {}, {}
+    for k in np.unique(np.concatenate([low, low + 1])).tolist():
+        at[k] = t_s - (flat[k].take(place) * (1 - f) + flat[k].take(place_right) * f)
+        if gaps:
+            at[k][off] = np.nan
+        weighed[k] = at[k] * w
+    for k in np.unique(low).tolist():
+        a, b, wa, wb, here = at[k], at[k + 1], weighed[k], weighed[k + 1], np.flatnonzero(low == k)
+        sa, sb, sw, n = wa.sum(1)[:, None], wb.sum(1)[:, None], w.sum(), len(w)
+        if np.isnan(sa).any() or np.isnan(sb).any():  # picks without a time
+            on = ~(np.isnan(a) | np.isnan(b))
+            a, b, wa, wb = (np.where(on, v, 0.0) for v in (a, b, wa, wb))
+            sa, sb, sw, n = wa.sum(1)[:, None], wb.sum(1)[:, None], np.where(on, w, 0.0).sum(1)[:, None], on.sum(1)[:, None]
+        aa, ab, bb = (np.einsum("ij,ij->i", u, v)[:, None] for u, v in ((wa, a), (wa, b), (wb, b)))
+        h = deep[here] - k
+        wr, wrr = sa * (1 - h) + sb * h, aa * (1 - h) ** 2 + 2 * ab * h * (1 - h) + bb * h**2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            chi2[:, here] = np.maximum(wrr - wr * wr / sw, 0.0)
+        bound[:, here] = np.maximum(aa, bb)
+        count[:, here] = n
+    return chi2, bound * (64 * (len(t_s) + 8) * np.finfo(float).eps), count
 
 
 def best_node(tt: PackedTimes, p: Picks, cx: float, cy: float, half: float, step: float, depth_max: float, dz: float, least: int) -> tuple[np.ndarray | None, int]:
-    """The node (x, y, z, t0, chi2, n) of least ``chi2``, then z, x, y, and how many nodes were looked at.
+    """The node (x, y, z, t0, chi2, n) of least ``chi2``, then z, x, y, and how many nodes were scored one by one.
 
-    Every eighth node of each axis is scored, then the ones halfway, and so on. The root of ``chi2`` is a norm of the residuals, so between
-    two nodes it changes by no more than the norm of the greatest changes of the times; the nodes around one from which this cannot reach
-    the best so far are left out."""
+    ``column_sums`` gives ``chi2`` of all of them up to rounding; those that rounding leaves beside the least are scored pick by pick."""
     nodes = grid(cx, cy, half, step, depth_max, dz)
-    n, m = round(half / step), round(depth_max / dz)
-    side, deep = 2 * n + 1, m + 1
-    t0, chi2, count = (np.full(len(nodes), np.nan) for _ in range(3))
-    seen, best, looked = np.zeros(len(nodes), bool), np.inf, 0
-    axes = [np.arange(0, size, STRIDES[0]) for size in (side, side, deep)]
-    i, j, k = (a.ravel() for a in np.meshgrid(*axes, indexing="ij"))
-    for stride, after in zip(STRIDES, (*STRIDES[1:], 0), strict=True):
-        at = (i * side + j) * deep + k
-        new = at[~seen[at]]
-        t0[new], chi2[new], count[new] = scores(tt, p, nodes[new])
-        seen[new] = True
-        looked += len(new)
-        best = min(best, np.min(chi2[new][count[new] >= least], initial=np.inf))
-        if not after:
-            break
-        far = stride - 1  # steps to the last node that stands for this one
-        distance = np.hypot(nodes[at, :1] - p.sx, nodes[at, 1:2] - p.sy) + np.sqrt(2) * far * step
-        sure, change = count[at] == len(p.phase), np.zeros(len(at))
-        for z in np.unique(nodes[at, 2]):
-            level = nodes[at, 2] == z
-            across, down, reach = (x[p.phase] for x in tt.between(z, z + far * dz))
-            sure[level] &= (distance[level] <= reach).all(1)  # all picks have times at all nodes around
-            change[level] = np.sqrt((((across * np.sqrt(2) * far * step + down * far * dz) / p.sigma) ** 2).sum())
-        on = ~(sure & (np.sqrt(chi2[at]) - change > np.sqrt(best) * (1 + 1e-9) + 1e-9))
-        # a node stands for those up to the next one on each axis: of these, the ones of the next stride
-        step_on = np.array([[a, b, c] for a in (0, after) for b in (0, after) for c in (0, after)])
-        i, j, k = ((x[on][:, None] + step_on[:, axis]).ravel() for axis, x in enumerate((i, j, k)))
-        inside = (i < side) & (j < side) & (k < deep)
-        i, j, k = i[inside], j[inside], k[inside]
-    ok = np.flatnonzero(count >= least)
-    if not len(ok):
-        return None, looked
-    first = ok[chi2[ok] == chi2[ok].min()]
-    first = first[np.lexsort((nodes[first, 1], nodes[first, 0], nodes[first, 2]))[0]]
-    return np.array([*nodes[first], t0[first], chi2[first], count[first]]), looked
+    deep = round(depth_max / dz) + 1
+    x, y, z = nodes[::deep, 0], nodes[::deep, 1], nodes[:deep, 2]
+    size = max(1, COLUMNS // max(1, len(p.phase) * (tt.t.shape[1] + 6)))
+    chi2, bound, count = (np.concatenate(c) for c in zip(*(column_sums(tt, p, x[i : i + size], y[i : i + size], z) for i in range(0, len(x), size)), strict=True))
+    chi2, bound, ok = chi2.ravel(), bound.ravel(), (count >= max(least, 1)).ravel()
+    if not ok.any():
+        return None, 0
+    at = np.flatnonzero(ok & (chi2 - bound <= (chi2 + bound)[ok].min()))
+    t0, exact, n = scores(tt, p, nodes[at])
+    first = np.flatnonzero(exact == exact.min())
+    best = first[np.lexsort((nodes[at[first], 1], nodes[at[first], 0], nodes[at[first], 2]))[0]]
+    return np.array([*nodes[at[best]], t0[best], exact[best], n[best]]), len(at)
 
 
 def posterior(tt: PackedTimes, p: Picks, x: float, y: float, step: float, depth_max: float, dz: float, least: int) -> list[float | None]:
@@ -217,7 +220,9 @@ def locate(picks: DataFrame, tt: PackedTimes, half_km: float, passes: tuple, dep
     if kind not in ("bigint", "string"):
         raise ValueError(f"event ids are longs or strings, not {kind}")
     schema = ", ".join(f"{n} {'bigint' if n == 'n' else kind if n == 'event_id' else 'double'}" for n in names)
-    return wanted.repartition("event_id").sortWithinPartitions("event_id", "t_s", "sx", "sy", "phase").mapInArrow(by_event(task, names, types), schema)
+    # a number, so that few bytes are not put together into few tasks: an event's search costs more than its bytes tell
+    many = int(picks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.repartition(many, "event_id").sortWithinPartitions("event_id", "t_s", "sx", "sy", "phase").mapInArrow(by_event(task, names, types), schema)
 
 
 def with_times(rows: DataFrame, tt: PackedTimes) -> DataFrame:

@@ -92,6 +92,29 @@ def test_bounds_skip_nodes_and_change_nothing(spark, tt):
     assert fewer == 5
 
 
+def test_least_node_of_a_table_with_gaps():
+    """Picks of any times, a table with a hole and an end: the node is that of an exhaustive search."""
+    draw = np.random.default_rng(1)
+    d, z = np.arange(61) * 5.0, np.arange(5) * 5.0
+    t = np.stack([np.hypot(d[None, :], z[:, None] + 0.5) / v + 0.01 * np.sin(d)[None, :] for v in (6.0, 3.4)])
+    t[:, :, 57:] = np.nan
+    t[1, 3, 20] = np.nan
+    packed = search.PackedTimes(t, 5.0, 5.0, 0, 0)
+    scored = 0
+    for k in range(20):
+        n = 50 if k % 4 else 12
+        sx, sy, phase = draw.integers(-2, 3, n) * 20.0, draw.integers(-2, 3, n) * 20.0, draw.integers(0, 2, n) - (k % 5 == 1) * (np.arange(n) == 3)
+        p = search.Picks(np.maximum(phase, -1), sx, sy, draw.uniform(0, 600, n), np.where(phase == 0, 0.05, 0.1))
+        best, looked = search.best_node(packed, p, 3.0, 43.0, 16.0, 2.0, 20.0, 2.0, 4)
+        nodes = search.grid(3.0, 43.0, 16.0, 2.0, 20.0, 2.0)
+        t0, chi2, count = search.scores(packed, p, nodes)
+        chi2[count < 4] = np.inf
+        at = np.lexsort((nodes[:, 1], nodes[:, 0], nodes[:, 2], chi2))[0]
+        assert best.tolist() == [*nodes[at], t0[at], chi2[at], count[at]]
+        scored += looked
+    assert scored < 20 * len(nodes) / 100
+
+
 def _greedy_by_hand(picks, nodes, packed, rule):
     """Events one after another from all nodes and bins, counted anew each time."""
     times = [(i, s, p, t, packed(np.full(len(nodes), packed.number([p])[0]), nodes[:, 2], np.hypot(nodes[:, 0] - sx, nodes[:, 1] - sy))) for i, s, p, sx, sy, t in picks]
