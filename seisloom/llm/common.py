@@ -57,7 +57,7 @@ def as_bytes(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """Smallest node reachable from each node of an undirected graph.
 
     ``edges(a, b)`` of one orderable type; loops, repeats and rows with a null
@@ -65,20 +65,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     another one, the roots included. Alternates the large-star and small-star
     steps (Kiveris et al., 2014) until the edges are stars; each round is two
     aggregations with a join back and ends in a checkpoint, so no node's
-    neighbours meet in one place.
+    neighbours meet in one place. With ``rows`` a task writes that many edges or so, as the many shuffles
+    of a small graph otherwise leave a file for each pair of tasks, which are larger than the edges.
     """
     now = cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    seen = None
+    seen, few = None, lambda df: df
     while (state := _checksum(now)) != seen:
         seen = state
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        if rows:
+            few = lambda df, n=1 + state[0] // rows: df.coalesce(n)  # noqa: E731  no more than there are
+        both = few(now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = few(few(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
+        now = cut(few(few(small.unionAll(low.select("u", F.col("m").alias("v")))).distinct()))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots)
 

@@ -51,6 +51,7 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and length
 PAIRS = ((0, 1), (0, 2), (1, 2))
 SLICE = 1 << 16  # shingles counted at a time
 ROWS = 1 << 18  # rows of whole buckets searched at a time: a row has up to SMALL links
+EDGES = 50_000  # edges a task of the components
 SMALL = 32  # members of a bucket whose pairs are compared directly
 
 
@@ -110,15 +111,12 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:]))
 
 
-def fuzzy_keys(fps: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every key of every fingerprint, with ``exact`` also the bits of each segment."""
+def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of every key of every fingerprint."""
     near, rows, keys = [], [], []
-    for number, (first, bits) in enumerate(SEGMENTS):
-        part = ((fps >> np.uint64(first)) & np.uint64((1 << bits) - 1)).astype(np.int64)
-        near.append(golay.near_indices(part, bits))
-        if exact:
-            rows.append(np.arange(len(fps)))
-            keys.append(part | (len(PAIRS) + number) << 24)
+    for first, bits in SEGMENTS:
+        part = (fps >> np.uint64(first)) & np.uint64((1 << bits) - 1)
+        near.append(golay.near_indices(part.astype(np.int64), bits))
     for number, (a, b) in enumerate(PAIRS):
         key = (number << 24) | (near[a][0][:, :, None] << 12) | near[b][0][:, None, :]
         on = near[a][1][:, :, None] & near[b][1][:, None, :]
@@ -127,6 +125,12 @@ def fuzzy_keys(fps: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.nda
     return np.concatenate(rows), np.concatenate(keys).astype(np.int32)
 
 
+def segment_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the bits of each segment, of other keys than ``fuzzy_keys`` has."""
+    keys = [(fps >> np.uint64(first)) & np.uint64((1 << bits) - 1) | np.uint64((len(PAIRS) + k) << 24) for k, (first, bits) in enumerate(SEGMENTS)]
+    return np.tile(np.arange(len(fps)), len(keys)), np.concatenate(keys).astype(np.int32)
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     """Of edges, those that join what the earlier ones do not."""
     top: dict[int, int] = {}
@@ -161,9 +165,12 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[leaf], nodes[top[leaf]]
 
 
-def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(
+    key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, words: np.ndarray | None = None, root: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect, within each bucket of sorted ``key``, what is connected
-    by pairs of ``distance`` bits or fewer, and of ``WORDS_DISTANCE`` in ``words`` if given."""
+    by pairs of ``distance`` bits or fewer, and of ``WORDS_DISTANCE`` in ``words`` if given.
+    With ``root``, those between different roots, named by them."""
 
     def near(a, b):
         hit = np.bitwise_count(fp[a] ^ fp[b]) <= distance
@@ -190,31 +197,40 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, distance: int = DISTANCE, word
                 found.append((np.full(hit.sum(), x), rest[hit]))
                 queue.extend(rest[hit])
                 rest = rest[~hit]
+    ends = fp if root is None else root
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return fp[np.concatenate([x[0] for x in found])], fp[np.concatenate([x[1] for x in found])]
+        return np.zeros(0, ends.dtype), np.zeros(0, ends.dtype)
+    a, b = ends[np.concatenate([x[0] for x in found])], ends[np.concatenate([x[1] for x in found])]
+    return (a, b) if root is None else (a[a != b], b[a != b])
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, stars: bool = False) -> DataFrame:
-    """``(a, b)`` links of fingerprints, distinct rows ``fps(fp)`` or ``fps(fp, words)``: a spanning forest, and
+def links(fps: DataFrame, distance: int = DISTANCE, stars: bool = False, coders: tuple | None = None) -> DataFrame:
+    """``(a, b)`` links of fingerprints, distinct rows ``fps(fp)`` or ``fps(fp, words...)``: a spanning forest, and
     maybe more, of the graph that joins those at ``distance``. Without ``words`` every link is found, up to a
-    distance of 4; with them every link of ``WORDS_DISTANCE`` differing bits of the words' fingerprints or fewer.
-    With ``stars`` edges of the same components instead, to the least of what a task joins: see ``thinned``."""
-    names = fps.columns  # the last one gives the keys
-    if len(names) == 1 and distance > 4:
+    distance of 4; with them every link of ``WORDS_DISTANCE`` differing bits or fewer of some column of the words' fingerprints.
+    With ``stars`` edges of the same components instead, to the least of what a task joins: see ``thinned``.
+    With a last column ``root`` only links between different roots, as ``(a, b)`` of roots. ``coders`` give the keys; all by default."""
+    names = fps.columns
+    tables = [k for k, c in enumerate(names) if c.startswith("words")]
+    coders = coders or ((segment_keys, fuzzy_keys) if tables else (fuzzy_keys,))
+    if not tables and distance > 4:
         raise ValueError("the keys find pairs at 4 differing bits or fewer")
+    carry = ["fp", *(["words"] if tables else []), *(["root"] if "root" in names else [])]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = [c.to_numpy().view(np.uint64) for c in batch.columns]
             for at in range(0, batch.num_rows, 2048):
                 part = [c[at : at + 2048] for c in every]
-                row, key = fuzzy_keys(part[-1], len(names) > 1)
-                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[row].view(np.int64)) for c in part)], ["key", *names])
+                for number, k in enumerate(tables or [0]):
+                    carried = [part[0], *([part[k]] if tables else []), *([part[-1]] if "root" in names else [])]
+                    for coder in coders:
+                        row, key = coder(part[k])
+                        yield pa.RecordBatch.from_arrays([pa.array(key | np.int32(number << 27)), *(pa.array(c[row].view(np.int64)) for c in carried)], ["key", *carry])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(key, fp, words=None):
-            a, b = bucket_links(key, fp.view(np.uint64), distance, None if words is None else words.view(np.uint64))
+        def linked(key, fp, words=None, root=None):
+            a, b = bucket_links(key, fp.view(np.uint64), distance, None if words is None else words.view(np.uint64), root)
             a, b = (_stars if stars else _forest)(a.view(np.int64), b.view(np.int64))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -231,7 +247,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, stars: bool = False) -> Data
         if held:
             yield linked(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    keyed = fps.mapInArrow(keys, "key int, " + ", ".join(f"{c} long" for c in names))
+    keyed = fps.mapInArrow(keys, "key int, " + ", ".join(f"{c} long" for c in carry))
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long")
 
 
@@ -245,18 +261,23 @@ def thinned(edges: DataFrame) -> DataFrame:
     return up.select(F.when(F.col("v") == F.col("b"), F.col("u")).otherwise(F.col("v")).alias("a"), "b").distinct()
 
 
-def _joined(tables: list[DataFrame]) -> DataFrame:
-    """``(node, root)`` of the graph of all tables' links: each table adds only the links between what the ones before left apart."""
-    known = connected_components(tables[0])
-    for edges in tables[1:]:
-        known = cut(known)
-        for end in ("a", "b"):
-            edges = edges.join(known.select(F.col("node").alias(end), "root"), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
-        found = cut(connected_components(edges.where("a <> b")))
-        top = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        new = found.join(known.select(F.col("root").alias("node")), "node", "left_anti")  # in no link before
-        known = known.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionAll(new.select("node", "root"))
-    return known
+def _joined(fps: DataFrame, distance: int) -> DataFrame:
+    """``(node, root)`` of the links of ``fps(fp, words0, words1...)``.
+
+    Near copies meet in nearly all of their keys, and each task that sees them would give an edge a member. So equal segments come first, a few
+    keys each, which join most of a large group; the search by all other keys gives only links between what they left apart."""
+    rows = cut(fps.distinct())
+    known = cut(connected_components(thinned(links(rows, distance, True, (segment_keys,))), EDGES))
+    rows = cut(rows.join(known.withColumnRenamed("node", "fp"), "fp", "left").select(*rows.columns, F.coalesce("root", "fp").alias("root")))
+    between = None
+    for k in range(TABLES):  # one after the other: the keys of one table at a time are on disk
+        table = rows.select("fp", F.col(f"words{k}").alias("words"), "root").distinct()
+        edges = cut(thinned(links(table, distance, True, (fuzzy_keys,))))
+        between = edges if between is None else between.unionAll(edges)
+    found = cut(connected_components(between, EDGES))
+    top = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    new = found.join(known.select(F.col("root").alias("node")), "node", "left_anti")  # in no link before
+    return known.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionAll(new.select("node", "root"))
 
 
 def near_duplicates(
@@ -266,7 +287,7 @@ def near_duplicates(
     rows = cut(fingerprints(docs, doc_id, text, width, by_words))
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     if by_words:
-        linked = _joined([thinned(links(rows.select("fp", F.col(f"words{k}").alias("words")).distinct(), distance, True)) for k in range(TABLES)])
+        linked = _joined(rows.drop("doc_id"), distance)
     else:
         linked = connected_components(links(classes.select("fp"), distance))
     linked = linked.withColumnRenamed("node", "fp")

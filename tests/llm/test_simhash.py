@@ -205,3 +205,35 @@ def test_stars_join_what_the_edges_join():
         star = simhash._stars(a, b)
         assert components(list(zip(*(x.tolist() for x in star), strict=True))) == components([e for e in zip(a.tolist(), b.tolist(), strict=True) if e[0] != e[1]])
         assert (star[0] > star[1]).all() and len(star[0]) == len(set(star[0].tolist()))
+
+
+def test_the_search_does_not_give_an_edge_a_key_of_each_near_copy(spark, monkeypatch):
+    """What the searches make of a group of near copies is a few rows a member, however many tasks see it, with the same components."""
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(f"x{n}" if i == n else w for i, w in enumerate(words)) for n in range(300)]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate([*texts, "something else altogether"])], "doc_id long, text string")
+    made, real = [], simhash.links
+
+    def counted(*args, **options):
+        edges = real(*args, **options).cache()
+        made.append(edges.count())
+        return edges
+
+    monkeypatch.setattr(simhash, "links", counted)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, width=5, distance=14, by_words=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert out == {n: 0 for n in range(300)} | {300: 300}
+    assert sum(made) < 12 * 300
+
+
+def test_components_in_few_tasks(spark):
+    from seisloom.llm.common import connected_components
+
+    draw = random.Random(5)
+    df = spark.createDataFrame([(draw.randrange(400), draw.randrange(400)) for _ in range(300)], "a long, b long")
+    assert sorted(connected_components(df, 100).collect()) == sorted(connected_components(df).collect())
