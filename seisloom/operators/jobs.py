@@ -330,7 +330,9 @@ def event_detail(wanted: DataFrame, catalog: DataFrame, assignments: DataFrame,
     events = catalog.join(ids, "event_id", "left_semi")
     mine = assignments.join(ids, "event_id", "left_semi")
     picks = mine.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("t_us", "network", "station", "phase", "probability", "amplitude"))).alias("picks"))
-    counts = mine.groupBy("event_id", "station").agg(F.count_if(F.col("phase") == "P").alias("p"), F.count_if(F.col("phase") == "S").alias("s"))
-    counts = counts.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("station", "p", "s"))).alias("contributions"))
+    # counted in the event's own list, so that assignments are made and shuffled once
+    n = lambda s, phase: F.size(F.filter("picks", lambda x: x["station"].eqNullSafe(s) & (x["phase"] == phase))).cast("long")
+    each = F.transform(F.array_distinct(F.transform("picks", lambda x: x["station"])), lambda s: F.struct(s.alias("station"), n(s, "P").alias("p"), n(s, "S").alias("s")))
+    picks = picks.withColumn("contributions", F.array_sort(each))
     legacy = aliases.groupBy(F.col("event_id")).agg(F.min("legacy_id").alias("legacy_id"))
-    return events.join(picks, "event_id", "left").join(counts, "event_id", "left").join(legacy, "event_id", "left")
+    return events.join(picks, "event_id", "left").join(legacy, "event_id", "left")

@@ -394,3 +394,17 @@ def test_rebuild_gives_no_id_twice(spark):
     twice = nothing.unionByName(spark.createDataFrame([("ep1", T), ("ep1", T + S)], "event_id string, t_us long"), allowMissingColumns=True)
     with pytest.raises(ValueError, match="ep1 occurs 2 times"):
         jobs.merge_catalog(twice, none, new, picks, ledger, ["S00"])
+
+
+def test_event_detail_makes_assignments_once(spark):
+    """Counts by station come from the event's list of picks: null stations and phases count as in a grouping."""
+    c = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "event_id string, n long")
+    rows = [("a", 5, "AM", "S2", "P", 0.5, 1.0), ("a", 6, "AM", "S2", "S", 0.5, None), ("a", 4, "AM", "S1", "P", 0.5, 1.0), ("a", 7, "AM", None, "P", 0.5, 1.0), ("b", 8, "AM", "S3", None, 0.5, 1.0)]
+    a = spark.createDataFrame(rows, "event_id string, t_us long, network string, station string, phase string, probability double, amplitude double").where("probability > 0.123")
+    aliases = c.select(F.concat(F.lit("old"), "n").alias("legacy_id"), "event_id")
+    out = jobs.event_detail(aliases.select(F.col("legacy_id").alias("event_id")), c, a, aliases)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("0.123") == 1
+    got = {r.event_id: r for r in out.collect()}
+    assert {(x.station, x.p, x.s) for x in got["a"].contributions} == {(None, 1, 0), ("S1", 1, 0), ("S2", 1, 1)}
+    assert [tuple(x) for x in got["b"].contributions] == [("S3", 0, 0)] and got["c"].contributions is None
+    assert [x.t_us for x in got["a"].picks] == [4, 5, 6, 7] and got["b"].legacy_id == "old2"
