@@ -111,9 +111,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:]))
 
 
-def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every key of every fingerprint."""
-    near, rows, keys = [], [], []
+def fuzzy_keys(fps: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of every key of every fingerprint, with ``exact`` also the bits of each segment."""
+    near, (rows, keys) = [], ([x] for x in segment_keys(fps)) if exact else ([], [])
     for first, bits in SEGMENTS:
         part = (fps >> np.uint64(first)) & np.uint64((1 << bits) - 1)
         near.append(golay.near_indices(part.astype(np.int64), bits))
