@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import TEMPLATE_ROWS, butterworth, run_sections
+from .timejoin import stored
 
 
 # --- recursive filters: the state at the end of a chunk is linear in the state at its beginning ---
@@ -188,35 +189,67 @@ def trimmed(padded: DataFrame, rate: float, column: str = "samples") -> DataFram
 
 
 # --- matched filter over days ---
-def _stack(channels: dict, templates: dict, n: int) -> Iterator[tuple]:
+HELD = 1 << 18  # values of transforms, and of stacks, held at a time
+
+
+def _correlate(v: np.ndarray, wants: np.ndarray) -> np.ndarray:
+    """Normalised correlations with each row of ``wants``, a row of places each."""
+    m = wants.shape[1]
+    level = v - v.mean()
+    s, q = (np.concatenate([[0.0], np.cumsum(w)]) for w in (level, level * level))
+    std = np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
+    scale = wants.std(axis=1, keepdims=True) * m
+    w = (wants - wants.mean(axis=1, keepdims=True)) / np.where(scale == 0, 1.0, scale)
+    size = 1 << (len(v) + m - 2).bit_length()
+    spectrum, step, out = np.fft.rfft(level, size), max(1, HELD // size), np.empty((len(w), len(v) - m + 1))
+    for a in range(0, len(w), step):
+        out[a : a + step] = np.fft.irfft(spectrum * np.fft.rfft(w[a : a + step, ::-1], size), size)[:, m - 1 : len(v)]
+    return out / std
+
+
+def _stack(channels: dict, templates: list, n: int) -> Iterator[tuple]:
     """``(template, stack, channels counted)`` over ``n`` places, from ``channels[name]`` (its first place, samples) of the chunk and what follows and precedes it."""
-    ready: dict[tuple, tuple] = {}
-    for name, rows in templates.items():
-        total, count = np.zeros(n), np.zeros(n, np.int64)
-        for channel, offset, want in rows:
-            m = len(want)
-            if channel not in channels or len(channels[channel][1]) < m:
-                continue
+    step = min(64, max(1, HELD // max(n, 1)))
+    for k in range(0, len(templates), step):
+        some = templates[k : k + step]
+        total, count = np.zeros((len(some), n)), np.zeros((len(some), n), np.int64)
+        alike: dict[tuple, list] = {}
+        for i, (_, rows) in enumerate(some):
+            for channel, offset, want in rows:
+                if channel in channels and 0 < len(want) <= len(channels[channel][1]):
+                    alike.setdefault((channel, len(want)), []).append((i, offset, want))
+        for (channel, _), rows in alike.items():
             first, v = channels[channel]
-            if (channel, m) not in ready:
-                size = 1 << (len(v) + m - 2).bit_length()
-                level = v - v.mean()
-                s, q = (np.concatenate([[0.0], np.cumsum(w)]) for w in (level, level * level))
-                std = np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
-                ready[channel, m] = size, np.fft.rfft(level, size), std
-            size, spectrum, std = ready[channel, m]
-            w = (want - want.mean()) / (want.std() * m or 1.0)
-            c = np.fft.irfft(spectrum * np.fft.rfft(w[::-1], size), size)[m - 1 : len(v)] / std
-            # c[i] is the correlation at place first + i, and counts for place first + i - offset
-            a, b = max(0, first - offset), min(n, first - offset + len(c))
-            if a < b:
-                total[a:b] += c[a - first + offset : b - first + offset]
-                count[a:b] += 1
-        yield name, total, count
+            for (i, offset, _), c in zip(rows, _correlate(v, np.stack([w for *_, w in rows])), strict=True):
+                # c[j] is the correlation at place first + j, and counts for place first + j - offset
+                a, b = max(0, first - offset), min(n, first - offset + len(c))
+                if a < b:
+                    total[i, a:b] += c[a - first + offset : b - first + offset]
+                    count[i, a:b] += 1
+        yield from ((name, total[i], count[i]) for i, (name, _) in enumerate(some))
 
 
 KINDS = ("mad", "absolute", "mean_channel")
-BITS = np.int64(44)  # of a double that the first histogram leaves out
+BITS = np.int64(32)  # of a double that the marks of the first pass leave out
+BATCH = 250_000  # samples of chunks that meet a part of the templates in one group, or one chunk
+
+
+def _marks(leading: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted values, the first and the last included and some ``2 sqrt(n)`` in all, and the values there."""
+    at = np.unique(np.linspace(0, len(leading) - 1, int(2 * len(leading) ** 0.5) + 2).astype(np.int64))
+    return at, np.sort(leading)[at]
+
+
+def _between(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[int, int]:
+    """Two values that the middle ones of all lists together lie between, from ``_marks`` of each list."""
+    n = sum(int(at[-1]) + 1 for at, _ in parts)
+    values = np.concatenate([v for _, v in parts])
+    order = np.argsort(values, kind="stable")
+    # up to a mark there are surely as many values as its place tells, and as many from a mark on
+    upto = np.cumsum(np.concatenate([np.diff(at, prepend=-1) for at, _ in parts])[order])
+    on = np.cumsum(np.concatenate([np.diff(at, append=at[-1] + 1) for at, _ in parts])[order][::-1])
+    low = values[order][::-1][np.searchsorted(on, n - (n - 1) // 2)]
+    return int(low), int(values[order][np.searchsorted(upto, n // 2 + 1)])
 
 
 def match_days(segments: DataFrame, templates: DataFrame, threshold: float = 8.0, kind: str = "mad") -> DataFrame:
@@ -224,22 +257,23 @@ def match_days(segments: DataFrame, templates: DataFrame, threshold: float = 8.0
     whatever chunks it comes in. ``segments(day, first, channel, samples)``, ``first`` the place of the chunk's first sample.
 
     Each chunk is lent what its templates reach beyond it by the chunks around, so that a template over the edge is found
-    once, by the chunk where it begins. ``mad`` is the median over the day of the absolute stack: a first pass counts the leading
-    bits of its values, a second the values of the bits where the median lies, each distinct value once a chunk, and the last finds what reaches
-    the threshold. A task holds a chunk with its halo and a part of the templates; a channel's chunks do not overlap."""
+    once, by the chunk where it begins. ``mad`` is the exact median over the day of the absolute stack: a first pass takes evenly spaced values of a
+    chunk's sorted stack, which tell two values that the median lies between; a second takes what is between them (some ``2 sqrt(n)`` values
+    of ``n`` in each pass), and the last finds what reaches the threshold. A task holds a few chunks with their halo (``BATCH``) and a part of the
+    templates, which so go to each batch once; a channel's chunks do not overlap."""
     if kind not in KINDS:
         raise ValueError(f"no threshold of kind {kind}")
     reach = templates.agg(F.max(F.greatest(F.size("samples") + F.col("offset"), F.lit(0))), F.min(F.least("offset", F.lit(0)))).first()
     after, before = max(int(reach[0] or 1) - 1, 0), -int(reach[1] or 0)
     parts = max(1, -(-templates.count() // TEMPLATE_ROWS))
-    part = F.pmod(F.xxhash64("template_id"), F.lit(parts)).cast("int")
-    t = templates.select("template_id", "channel", F.col("offset").cast("int").alias("offset"), F.col("samples").cast("array<double>").alias("samples"), part.alias("part"))
+    part = F.pmod(F.xxhash64("template_id"), F.lit(parts)).cast("int").alias("p_")
+    t = templates.select("template_id", part, "channel", F.col("offset").cast("int").alias("offset"), F.col("samples").cast("array<double>").alias("samples"))
     day = segments.schema["day"].dataType.simpleString()
     s = segments.select("day", "channel", F.col("first").cast("long").alias("first"), F.col("samples").cast("array<double>").alias("samples")).where(F.size("samples") > 0)
-    chunks = s.groupBy("day", "first").agg(F.max(F.size("samples")).cast("long").alias("n"))
+    chunks = s.groupBy("day", "first").agg(F.max(F.size("samples")).cast("long").alias("n"), F.sum(F.size("samples")).alias("all"))
     # what a chunk sees: every part of a segment from `before` ahead of it to `after` behind its end
-    longest = chunks.agg(F.max("n")).first()[0] or 1
-    width = int(longest + before + after)
+    longest, values = chunks.agg(F.max("n"), F.sum("all")).first()
+    width = int((longest or 1) + before + after)
     bucket = lambda a, b: F.explode(F.sequence(F.floor(a / width), F.floor(b / width)))
     low, high = F.col("chunk") - before, F.col("chunk") + F.col("n") + after
     want = chunks.select("day", F.col("first").alias("chunk"), "n").withColumn("b_", bucket(low, high - 1))
@@ -247,73 +281,89 @@ def match_days(segments: DataFrame, templates: DataFrame, threshold: float = 8.0
     a = F.greatest(low - F.col("first"), F.lit(0))
     n = F.least(high - F.col("first"), F.size("samples").cast("long")) - a
     lent = want.join(have, ["day", "b_"]).select("day", "chunk", "n", "channel", (F.col("first") + a).alias("at"), F.slice("samples", (a + 1).cast("int"), F.greatest(n, F.lit(0)).cast("int")).alias("samples"))
-    lent = lent.where(F.size("samples") > 0).dropDuplicates(["day", "chunk", "channel", "at"])
-    lent = lent.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).checkpoint()
-    met = lent.select(F.col("day").alias("d_"), F.col("chunk").alias("c_"), F.col("part").alias("p_")).distinct()
-    dealt = t.join(met, F.col("part") == F.col("p_")).drop("part")
+    batch = F.pmod(F.xxhash64("day", "chunk"), F.lit(max(1, -(-int(values or 0) // BATCH)))).alias("batch")
+    lent = stored(lent.where(F.size("samples") > 0).dropDuplicates(["day", "chunk", "channel", "at"]).select("*", batch))
+    met = lent.select(F.col("batch").alias("b_"), F.col("day").alias("d_")).distinct()
+    no_bounds = [F.lit(None).cast(k).alias(c) for c, k in (("d_", day), ("low_", "double"), ("high_", "double"))]
+    dealt = t.crossJoin(F.broadcast(met.select("b_").distinct())).select("b_", "p_", "template_id", "channel", "offset", "samples", *no_bounds)
+    lent = lent.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def stacks(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple]:
-        chunk, n = int(left["chunk"].iloc[0]), int(left["n"].iloc[0])
-        channels = {}
-        for channel, rows in left.groupby("channel"):
-            rows = rows.sort_values("at")
-            pieces, at = [], int(rows["at"].iloc[0])
-            first = at
-            for start, x in zip(rows["at"], rows["samples"], strict=True):
-                pieces += [np.zeros(max(0, int(start) - at)), np.asarray(x, np.float64)]  # gaps are zeros, as in a merged day
-                at = int(start) + len(x)
-            channels[channel] = first - chunk, np.concatenate(pieces)
-        templates_ = {name: [(c, int(o), np.asarray(w, np.float64)) for c, o, w in zip(rows["channel"], rows["offset"], rows["samples"], strict=True)] for name, rows in right.groupby("template_id")}
-        yield from ((name, total, count, chunk) for name, total, count in _stack(channels, templates_, n))
-
-    def each(fn: Callable, schema: str) -> DataFrame:
+        told = right[right["samples"].isna()]
+        bounds = {(name, day_): x for name, day_, *x in zip(told["template_id"], told["d_"], told["low_"], told["high_"], strict=True)}
+        rows = right[right["samples"].notna()]
+        templates_ = [(name, [(c, int(o), np.asarray(w, np.float64)) for c, o, w in zip(g["channel"], g["offset"], g["samples"], strict=True)]) for name, g in rows.groupby("template_id")]
+        for (day_, chunk), here in left.groupby(["day", "chunk"]):
+            channels = {}
+            for channel, g in here.groupby("channel"):
+                g = g.sort_values("at")
+                pieces, at = [], int(g["at"].iloc[0])
+                first = at
+                for start, x in zip(g["at"], g["samples"], strict=True):
+                    pieces += [np.zeros(max(0, int(start) - at)), np.asarray(x, np.float64)]  # gaps are zeros, as in a merged day
+                    at = int(start) + len(x)
+                channels[channel] = first - int(chunk), np.concatenate(pieces)
+            for name, total, count in _stack(channels, templates_, int(here["n"].iloc[0])):
+                yield name, day_, int(chunk), total, count, bounds.get((name, day_))
+
+    def each(fn: Callable, schema: str, bounds: DataFrame | None = None) -> DataFrame:
+        """``fn`` of each stack; ``bounds(template_id, day, low_, high_)`` go to the batches that have the day."""
         names = [c.split()[0] for c in schema.split(", ")]
 
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            found = [fn(*x, left["day"].iloc[0], right) for x in stacks(left, right)] if len(left) and len(right) else []
-            found = [f for f in found if len(f)]
-            return pd.concat(found, ignore_index=True)[names] if found else pd.DataFrame({c: pd.Series(dtype=object) for c in names})
+            found = [x for x in (fn(*x) for x in stacks(left, right)) if x] if len(left) and len(right) else []
+            return pd.DataFrame(dict(zip(names, zip(*found, strict=True), strict=True)) if found else {c: pd.Series(dtype=object) for c in names})
 
-        return lent.groupBy("day", "chunk", "part").cogroup(dealt.groupBy("d_", "c_", "p_")).applyInPandas(run, schema)
+        right = dealt
+        if bounds is not None:
+            told = bounds.join(met, F.col("day") == F.col("d_")).select("b_", part, "template_id", "d_", F.col("low_").cast("double").alias("low_"), F.col("high_").cast("double").alias("high_"))
+            right = dealt.unionByName(told, allowMissingColumns=True)
+        return lent.groupBy("batch", "part").cogroup(right.groupBy("b_", "p_")).applyInPandas(run, schema)
 
-    def counted(key, values, name, day_):
-        v, n_ = np.unique(values, return_counts=True)
-        return pd.DataFrame({"template_id": name, "day": day_, key: v, "n": n_})
+    def marked(name, day_, chunk, total, count, bounds):
+        some = np.abs(total[count > 0]).view(np.int64) >> BITS
+        return (name, day_, *(x.astype(np.int32) for x in _marks(some))) if len(some) else None
 
-    def leading(name, total, count, chunk, day_, right):
-        return counted("bits", np.abs(total[count > 0]).view(np.int64) >> BITS, name, day_)
-
-    def inside(name, total, count, chunk, day_, right):
-        low_, high_ = right.loc[right["template_id"] == name, ["low_", "high_"]].iloc[0]
+    def inside(name, day_, chunk, total, count, bounds):
         v = np.abs(total[count > 0])
+        if bounds is None or not len(v):
+            return None
         bits = v.view(np.int64) >> BITS
-        return counted("value", v[(bits >= low_) & (bits <= high_)], name, day_)
-
-    which = ["template_id", "day"]
-    running = lambda c: F.sum("n").over(Window.partitionBy(*which).orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
+        values_, n_ = np.unique(v[(bits >= bounds[0]) & (bits <= bounds[1])], return_counts=True)
+        return name, day_, len(v), int((bits < bounds[0]).sum()), values_, n_.astype(np.int32)
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_between([(np.array(x["at"]), np.array(x["v"])) for x in xs]) for xs in b.column("x").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("template_id"), b.column("day"), *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))], ["template_id", "day", "low_", "high_"])
+
+    def median(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mads = []
+            for xs in b.column("x").to_pylist():
+                values_, n_ = (np.concatenate([x[c] for x in xs]) for c in ("values", "n"))
+                order = np.argsort(values_, kind="stable")
+                upto, n = sum(x["below"] for x in xs) + np.cumsum(n_[order]), sum(x["all"] for x in xs)
+                mids = [values_[order][np.searchsorted(upto, r, "right")] for r in ((n - 1) // 2, n // 2)]
+                mads.append(float((mids[0] + mids[1]) / 2))
+            yield pa.RecordBatch.from_arrays([b.column("template_id"), b.column("day"), pa.array(mads, pa.float64())], ["template_id", "day", "mad"])
+
+    mads = None
     if kind == "mad":
-        hist = each(leading, f"template_id string, day {day}, bits long, n long").groupBy(*which, "bits").agg(F.sum("n").alias("n")).checkpoint()
-        upto = hist.withColumn("upto", running("bits")).withColumn("all", F.sum("n").over(Window.partitionBy(*which)))
-        lower, upper = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)  # ranks of the two middle values, from 0
-        holds = lambda rank: (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-        place = upto.groupBy(*which).agg(
-            F.min(F.when(holds(lower), F.col("bits"))).alias("low_"), F.min(F.when(holds(upper), F.col("bits"))).alias("high_"), F.min("all").alias("all"),
-            F.min(F.when(holds(lower), F.col("upto") - F.col("n"))).alias("before"),
-        ).checkpoint()
-        dealt = dealt.join(place.select("template_id", F.col("day").alias("d_"), "low_", "high_"), ["template_id", "d_"])
-        values = each(inside, f"template_id string, day {day}, value double, n long").groupBy(*which, "value").agg(F.sum("n").alias("n"))
-        ranked = values.join(place, which).withColumn("upto", F.col("before") + running("value"))
-        mid = [F.min(F.when(holds(r), F.col("value"))) for r in (lower, upper)]
-        mads = ranked.groupBy(*which).agg(((mid[0] + mid[1]) / 2).alias("mad"))
-        dealt = dealt.drop("low_", "high_").join(mads.select("template_id", F.col("day").alias("d_"), "mad"), ["template_id", "d_"])
-    else:
-        dealt = dealt.withColumn("mad", F.lit(None).cast("double"))
-    dealt = dealt.checkpoint()
-
-    def detected(name, total, count, chunk, day_, right):
-        mad = right.loc[right["template_id"] == name, "mad"].iloc[0]
+        of_day = lambda rows, *c: rows.groupBy("template_id", "day").agg(F.collect_list(F.struct(*c)).alias("x"))
+        marks = each(marked, f"template_id string, day {day}, at array<int>, v array<int>")
+        place = stored(of_day(marks, "at", "v").mapInArrow(between, f"template_id string, day {day}, low_ long, high_ long"))
+        held = each(inside, f"template_id string, day {day}, all long, below long, values array<double>, n array<int>", place)
+        found = of_day(held, "all", "below", "values", "n").mapInArrow(median, f"template_id string, day {day}, mad double")
+        mads = stored(found).select("template_id", "day", F.col("mad").alias("low_"), F.lit(None).alias("high_"))
+
+    def detected(name, day_, chunk, total, count, bounds):
+        if kind == "mad" and bounds is None:
+            return None
+        mad = bounds[0] if kind == "mad" else None
         least = threshold * mad if kind == "mad" else threshold if kind == "absolute" else threshold * count
         at = np.flatnonzero((count > 0) & (total >= least))
-        return pd.DataFrame({"template_id": name, "day": day_, "idx": at + chunk, "cc": total[at], "n_chans": count[at], "mad": mad})
+        return (name, day_, at + chunk, total[at], count[at], mad) if len(at) else None
 
-    return each(detected, f"template_id string, day {day}, idx long, cc double, n_chans long, mad double")
+    out = each(detected, f"template_id string, day {day}, idx array<long>, cc array<double>, n_chans array<long>, mad double", mads)
+    return out.select("template_id", "day", F.explode(F.arrays_zip("idx", "cc", "n_chans")).alias("x"), "mad").select("template_id", "day", "x.idx", "x.cc", "x.n_chans", "mad")

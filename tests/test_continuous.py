@@ -168,3 +168,18 @@ def test_detection_across_seams(spark):
     assert sorted(round(r.t_us / 10_000) for r in out) == [100, 201, 300] and {r.phase for r in out} == {"P"}
     out = jobs.detect(spark.createDataFrame(rows, SEG), chunks, ["key"], model, ["P", "S"], 100.0, 0.5, 100, 60, 0.3, 0.02).collect()
     assert sorted(round(r.t_us / 10_000) for r in out) == [100, 197, 201, 300]
+
+
+def test_medians_from_marks():
+    """The middle values of lists lie between two marks, which leave few values of each list; a pass takes some 2 sqrt(n)."""
+    draw = np.random.default_rng(3)
+    lists = [np.sort(draw.integers(0, 10**6, n)) for n in (1, 2, 900, 2500, 10_000)]
+    parts = [continuous._marks(v[::-1]) for v in lists]
+    assert all(len(at) <= 2 * len(v) ** 0.5 + 2 and np.array_equal(v[at], m) for v, (at, m) in zip(lists, parts, strict=True))
+    for k in range(1, 6):
+        low, high = continuous._between(parts[:k])
+        every = np.sort(np.concatenate(lists[:k]))
+        assert low <= every[(len(every) - 1) // 2] and every[len(every) // 2] <= high
+        assert sum(((v >= low) & (v <= high)).sum() for v in lists[:k]) <= 4 + 3 * sum(len(v) ** 0.5 for v in lists[:k])
+    same = continuous._marks(np.zeros(100, np.int64))
+    assert continuous._between([same, same]) == (0, 0)
