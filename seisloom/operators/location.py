@@ -77,14 +77,10 @@ def grid_nodes(events: DataFrame, half_km: float, step_km: float, depth_min: flo
 
 def score_nodes(picks: DataFrame, nodes: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, min_picks: int = 4) -> DataFrame:
     """``(event_id, x, y, z, t0, chi2, n)`` of every node with enough picks: the origin time is solved in closed
-    form, so one pass of sums scores a node. ``picks(event_id, phase, sx, sy, t_s, sigma)``."""
-    pairs = nodes.join(picks, "event_id")
-    d = F.hypot(F.col("x") - F.col("sx"), F.col("y") - F.col("sy"))
-    pairs = tt_lookup(pairs.withColumns({"distance_km": d, "depth_km": F.col("z")}), tt, depth_step, distance_step).where("t is not null")
-    w, r = 1 / (F.col("sigma") * F.col("sigma")), F.col("t_s") - F.col("t")
-    sums = pairs.groupBy("event_id", "x", "y", "z").agg(F.sum(w).alias("w"), F.sum(w * r).alias("wr"), F.sum(w * r * r).alias("wrr"), F.count("*").alias("n"))
-    chi2 = F.greatest(F.col("wrr") - F.col("wr") * F.col("wr") / F.col("w"), F.lit(0.0))
-    return sums.where(F.col("n") >= max(min_picks, 4)).select("event_id", "x", "y", "z", (F.col("wr") / F.col("w")).alias("t0"), chi2.alias("chi2"), "n")
+    form, so one pass of sums scores a node. ``picks(event_id, phase, sx, sy, t_s, sigma)``; those without a time go.
+
+    Pairs of nodes and picks are never rows: an event's nodes and picks are a row each, which meet, and the table goes to the tasks as one array."""
+    return search.score_nodes(picks, nodes, search.PackedTimes.of(tt, depth_step, distance_step), max(min_picks, 4))
 
 
 def locate(picks: DataFrame, tt: DataFrame, depth_step: float, distance_step: float, half_km: float = 40.0, passes=PASSES, depth_max: float = 20.0, spread: bool = False) -> DataFrame:
@@ -106,8 +102,8 @@ def residuals(picks: DataFrame, located: DataFrame, tt: DataFrame, depth_step: f
 
 def uncertainty(scored: DataFrame) -> DataFrame:
     """Posterior covariance, depth sigma and the 95 % horizontal ellipse of each event from its scored nodes."""
-    best = scored.groupBy("event_id").agg(F.min("chi2").alias("best"))
-    rows = scored.join(best, "event_id").withColumn("w", F.exp(-(F.col("chi2") - F.col("best")) / 2))
+    best = F.min("chi2").over(Window.partitionBy("event_id"))
+    rows = scored.select("event_id", "x", "y", "z", "chi2").withColumn("w", F.exp(-(F.col("chi2") - best) / 2))
     m = {c: (F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(f"m{c}") for c in "xyz"}
     two = {a + b: (F.sum(F.col("w") * F.col(a) * F.col(b)) / F.sum("w")).alias(f"m{a}{b}") for a, b in ("xx", "yy", "zz", "xy", "xz", "yz")}
     s = rows.groupBy("event_id").agg(*m.values(), *two.values())

@@ -225,6 +225,35 @@ def locate(picks: DataFrame, tt: PackedTimes, half_km: float, passes: tuple, dep
     return wanted.repartition(many, "event_id").sortWithinPartitions("event_id", "t_s", "sx", "sy", "phase").mapInArrow(by_event(task, names, types), schema)
 
 
+def score_nodes(picks: DataFrame, nodes: DataFrame, tt: PackedTimes, least: int) -> DataFrame:
+    """``(event_id, x, y, z, t0, chi2, n)``, see ``location.score_nodes``."""
+    # a number, as in ``locate``: an event's nodes cost more than its bytes tell
+    many = int(picks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = picks.where("t_s is not null and sigma is not null").repartition(many, "event_id").groupBy("event_id").agg(F.collect_list(F.struct("phase", "sx", "sy", "t_s", "sigma")).alias("picks"))
+    where = nodes.repartition(many, "event_id").groupBy("event_id").agg(F.collect_list(F.struct("x", "y", "z")).alias("nodes"))
+    of = nodes.schema["event_id"]
+    schema = f"event_id {of.dataType.simpleString()}, x double, y double, z double, t0 double, chi2 double, n long"
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, at = batch.column("picks"), batch.column("nodes")
+            phase = tt.number(p.flatten().field("phase").to_pylist())
+            sx, sy, t_s, sigma = (p.flatten().field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("sx", "sy", "t_s", "sigma"))
+            xyz = np.stack([at.flatten().field(c).to_numpy(zero_copy_only=False).astype(float) for c in "xyz"], 1)
+            begin, first = (x.offsets.to_numpy() - x.offsets[0].as_py() for x in (p, at))
+            t0, chi2, n = np.full(len(xyz), np.nan), np.full(len(xyz), np.nan), np.zeros(len(xyz), np.int64)
+            for a, b, c, d in zip(begin[:-1].tolist(), begin[1:].tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                step = max(1, COLUMNS // max(1, b - a))
+                for k in range(c, d, step):
+                    k = slice(k, min(k + step, d))
+                    t0[k], chi2[k], n[k] = scores(tt, Picks(phase[a:b], sx[a:b], sy[a:b], t_s[a:b], sigma[a:b]), xyz[k])
+            on = np.flatnonzero(n >= least)
+            event = batch.column("event_id").take(pa.array(np.repeat(np.arange(len(p)), np.diff(first))[on]))
+            yield pa.RecordBatch.from_arrays([event, *(pa.array(v[on]) for v in (*xyz.T, t0, chi2, n))], ["event_id", "x", "y", "z", "t0", "chi2", "n"])
+
+    return where.join(wanted, "event_id").select("event_id", "picks", "nodes").mapInArrow(task, schema)
+
+
 def with_times(rows: DataFrame, tt: PackedTimes) -> DataFrame:
     """``rows(phase, depth_km, distance_km, ...)`` with ``t`` (null where the table has none)."""
 

@@ -73,6 +73,24 @@ def test_location_is_the_exhaustive_one(spark, tt):
         assert all(abs(r[c] - spread[e][c]) < 1e-5 * max(1, abs(spread[e][c])) for c in ("sigma_z", "h_major", "h_minor", "h_azimuth"))
 
 
+def test_scored_nodes_are_those_of_arrays(spark, tt):
+    """Picks without a time count for no node, those beyond the table for none that is too far, and each event has its own nodes."""
+    picks = _events(spark, tt, 3)
+    none = picks.where("event_id = 0").limit(1).withColumn("t_s", F.lit(None).cast("double"))
+    centre = spark.createDataFrame([(0, 2.0, 3.0), (1, 60.0, -50.0), (2, -4.0, 0.0), (9, 0.0, 0.0)], "event_id long, cx double, cy double")
+    got = {(r.event_id, r.x, r.y, r.z): r for r in location.score_nodes(picks.unionByName(none), location.grid_nodes(centre, 40.0, 20.0, 0.0, 20.0, 10.0), tt, 2, 2).collect()}
+    packed, want = search.PackedTimes.of(tt, 2, 2), 0
+    for event, cx, cy in centre.where("event_id < 3").collect():
+        rows = picks.where(f"event_id = {event}").toPandas()
+        p = search.Picks(packed.number(rows["phase"]), *(rows[c].to_numpy(float) for c in ("sx", "sy", "t_s", "sigma")))
+        nodes = search.grid(cx, cy, 40.0, 20.0, 20.0, 10.0)
+        for node, t0, chi2, n in zip(nodes.tolist(), *search.scores(packed, p, nodes), strict=True):
+            r = got.get((event, *node))
+            assert (r is not None) == (n >= 4) and (r is None or (r.n == n and abs(r.t0 - t0) < 1e-9 and abs(r.chi2 - chi2) < 1e-6 * max(1, chi2)))
+            want += n >= 4
+    assert len(got) == want
+
+
 def test_bounds_skip_nodes_and_change_nothing(spark, tt):
     packed = search.PackedTimes.of(tt, 2, 2)
     draw = np.random.default_rng(8)
