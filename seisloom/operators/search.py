@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -380,38 +381,54 @@ def settle(cells: Cells, picks: pd.DataFrame, start: float, stop: float, rule: R
     place[np.lexsort((cells.nodes[:, 2], cells.nodes[:, 1], cells.nodes[:, 0]))] = np.arange(len(cells.nodes))
     free, contested, events = np.ones(len(picks), bool), np.zeros(len(picks), bool), []
     size = int(cand[-1]) + 1
-    waiting = np.ones(size, bool)
-    undecided = False
-    dirty = True
-    while True:
-        if dirty:  # picks have gone: count again
-            on = free[pick] & waiting[cand]
-            c, st, p_, o = cand[on], station[pick[on]], is_p[pick[on]], origin[on]
-            count = np.bincount(c, minlength=size)
-            p = np.bincount(c, weights=p_, minlength=size).astype(np.int64)
-            new = np.append(True, (np.diff(c) != 0) | (np.diff(st) != 0)) if len(c) else np.zeros(0, bool)
-            distinct = np.bincount(c[new], minlength=size)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                mean = np.bincount(c, weights=o, minlength=size) / count
-                spread = np.sqrt(np.bincount(c, weights=(o - mean[c]) ** 2, minlength=size) / count)
-            waiting &= (distinct >= rule.stations) & (p >= rule.p) & (count - p >= rule.s)
-            rank = np.lexsort((place[of_node], np.round(mean, 6), np.round(spread, 6), -count))
-            queue, dirty = rank[waiting[rank]], False
-            at = 0
-        if at >= len(queue):
-            return events, undecided
-        best = queue[at]
-        at += 1
-        members = np.unique(pick[(cand == best) & free[pick]])
-        own = start <= mean[best] < stop
+    begin = np.searchsorted(cand, np.arange(size + 1))
+    by_pick = np.argsort(pick, kind="stable")
+    of_pick = np.searchsorted(pick[by_pick], np.arange(len(picks) + 1))
+    waiting, version, means = np.ones(size, bool), np.zeros(size, np.int64), np.zeros(size)
+
+    def ranked(these: np.ndarray) -> list[tuple]:
+        """The candidates of ``these`` that still qualify, counted anew from their free picks, in order of rank."""
+        n = begin[these + 1] - begin[these]
+        at = np.arange(n.sum()) + np.repeat(begin[these] - np.append(0, np.cumsum(n)[:-1]), n)
+        c = np.repeat(np.arange(len(these)), n)
+        on = free[pick[at]]
+        c, at = c[on], at[on]
+        st, o, k = station[pick[at]], origin[at], len(these)
+        count = np.bincount(c, minlength=k)
+        p = np.bincount(c, weights=is_p[pick[at]], minlength=k).astype(np.int64)
+        new = np.append(True, (np.diff(c) != 0) | (np.diff(st) != 0)) if len(c) else np.zeros(0, bool)
+        distinct = np.bincount(c[new], minlength=k)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            mean = np.bincount(c, weights=o, minlength=k) / count
+            spread = np.sqrt(np.bincount(c, weights=(o - mean[c]) ** 2, minlength=k) / count)
+        version[these] += 1
+        means[these] = mean
+        waiting[these] = ok = (distinct >= rule.stations) & (p >= rule.p) & (count - p >= rule.s)
+        these, mean, spread, count = these[ok], np.round(mean[ok], 6), np.round(spread[ok], 6), count[ok]
+        where = place[of_node[these]]
+        rank = np.lexsort((where, mean, spread, -count))
+        return list(zip(*(x[rank].tolist() for x in (-count, spread, mean, where, these, version[these])), strict=True))
+
+    undecided, queue = False, ranked(np.arange(size))
+    while queue:
+        *_, best, told = heappop(queue)
+        if not waiting[best] or told != version[best]:
+            continue
+        waiting[best] = False
+        members = pick[begin[best] : begin[best + 1]]
+        members = np.unique(members[free[members]])
+        own = start <= means[best] < stop
         if contested[members].any() or not own:
             contested[members] = True
-            waiting[best] = False
             undecided |= own
             continue
-        events.append((float(mean[best]), int(of_node[best]), members))
+        events.append((float(means[best]), int(of_node[best]), members))
         free[members] = False
-        dirty = True
+        # only candidates that lost a pick are counted and ranked again
+        touched = np.unique(cand[np.concatenate([by_pick[of_pick[m] : of_pick[m + 1]] for m in members.tolist()])])
+        for again in ranked(touched[waiting[touched]]):
+            heappush(queue, again)
+    return events, undecided
 
 
 def associate(picks: DataFrame, nodes: DataFrame, tt: PackedTimes, rule: Rule, blocks: int = 16) -> DataFrame:

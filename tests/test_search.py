@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,23 @@ def test_cells_without_votes_are_left_out(spark, tt):
     *_, looked = search.qualified_votes(cells, keys, np.repeat(np.arange(5), 2), np.tile([True, False], 5), t, rule)
     assert 0 < looked < len(nodes) / 2
     assert search.qualified_votes(cells, keys[:4], np.repeat(np.arange(2), 2), np.tile([True, False], 2), t[:4], rule)[-1] == 0
+
+
+def test_settling_counts_only_what_lost_picks(monkeypatch):
+    """A block of many events: what is counted in all is a few times the votes, not the votes times the events."""
+    d, z = np.arange(61) * 5.0, np.arange(5) * 5.0
+    packed = search.PackedTimes(np.stack([np.hypot(d[None, :], z[:, None] + 0.5) / v for v in (6.0, 3.4)]), 5.0, 5.0, 0, 0)
+    cells = search.Cells(np.array([(x, y, 5.0) for x in (-20.0, 0.0, 20.0) for y in (-20.0, 0.0, 20.0)]), packed)
+    draw, counted, count = np.random.default_rng(1), [0], np.bincount
+    n = 300
+    st = draw.integers(0, 9, n)
+    picks = pd.DataFrame({"pick_id": np.arange(n), "station": [f"S{k}" for k in st], "phase": draw.choice(["P", "S"], n), "sx": (st % 3 - 1) * 19.0, "sy": (st // 3 - 1) * 22.0, "t_s": np.sort(draw.uniform(0, 900, n))})
+
+    def bincount(x, *a, **b):
+        counted[0] += len(x)
+        return count(x, *a, **b)
+
+    monkeypatch.setattr(np, "bincount", bincount)
+    events, undecided = search.settle(cells, picks, -1e9, 1e9, search.Rule(30.0, 3, 2, 1))
+    assert len(events) > 20 and not undecided
+    assert counted[0] < 20 * n * 9 * 2
