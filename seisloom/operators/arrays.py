@@ -6,7 +6,7 @@ context, never a whole network or archive.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -275,8 +275,147 @@ def spectrogram(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, "rate", "samples").mapInPandas(run, f"{kinds}, frame long, hz double, power double")
 
 
-#: Template channels that meet a chunk in one group.
-TEMPLATE_ROWS = 4_000
+#: Template channels that meet chunks in one group, and samples of chunks that do, or one chunk.
+TEMPLATE_ROWS, BATCH = 4_000, 250_000
+KINDS = ("mad", "absolute", "mean_channel")
+HELD = 1 << 18  # values of transforms, windows and short stacks held at a time
+#: Samples of a template up to which, and templates from which on, windows are multiplied with templates; else transforms are.
+DIRECT, ENOUGH = 256, 4
+
+
+def correlate(v: np.ndarray, wants: np.ndarray, kept: dict | None = None, space: np.ndarray | None = None) -> np.ndarray:
+    """Normalised correlations with each row of ``wants``, a row of places each, in ``space`` if given. ``kept``, of one ``v`` and length, holds what rows share from call to call."""
+    whole, m = kept is not None, wants.shape[1]
+    kept = kept if whole else {}
+    if "level" not in kept:
+        level = v - v.mean()
+        s, q = (np.concatenate([[0.0], np.cumsum(w)]) for w in (level, level * level))
+        kept["level"] = level, np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
+    level, std = kept["level"]
+    scale = wants.std(axis=1, keepdims=True) * m
+    w = (wants - wants.mean(axis=1, keepdims=True)) / np.where(scale == 0, 1.0, scale)
+    shape = len(w), len(v) - m + 1
+    out = np.empty(shape) if space is None else space[: shape[0] * shape[1]].reshape(shape)
+    if m <= DIRECT and len(w) >= ENOUGH:
+        some, here = max(1, HELD // m), np.lib.stride_tricks.sliding_window_view(level, m)
+        for a in range(0, out.shape[1], some):
+            windows = kept.get(a)
+            if windows is None:
+                windows = np.ascontiguousarray(here[a : a + some].T) / std[a : a + some]
+                if whole:
+                    kept[a] = windows
+            np.matmul(w, windows, out=out[:, a : a + some])
+        return out
+    size = 1 << (len(v) + m - 2).bit_length()
+    if "spectrum" not in kept:
+        kept["spectrum"] = np.fft.rfft(level, size)
+    spectrum, step = kept["spectrum"], max(1, HELD // size)
+    for a in range(0, len(w), step):
+        out[a : a + step] = np.fft.irfft(spectrum * np.fft.rfft(w[a : a + step, ::-1], size), size)[:, m - 1 : len(v)]
+    return np.divide(out, std, out=out)
+
+
+def stacks(channels: dict, templates: list, n: int, held: int = HELD) -> Iterator[tuple]:
+    """``(names, stacks, channels counted)`` over ``n`` places, some templates ``(name, [(channel, offset, samples)])`` at a time, a row each, from
+    ``channels[name]`` (its first place, samples) of the chunk and what follows and precedes it. Templates of the same channels, offsets and lengths share
+    one row of counts. The arrays are written again with the next ones."""
+    step, kept, room = min(64, max(1, held // max(n, 1))), {}, 16 * HELD
+    usable = [[(c, o, w) for c, o, w in rows if c in channels and 0 < len(w) <= len(channels[c][1])] for _, rows in templates]
+    space, sums = np.empty(step * max((len(v) for _, v in channels.values()), default=0)), np.empty((step, n))
+    for k in range(0, len(templates), step):
+        some = usable[k : k + step]
+        one = all([x[:2] + (len(x[2]),) for x in rows] == [x[:2] + (len(x[2]),) for x in some[0]] for rows in some)
+        total, count = sums[: len(some)], np.zeros((1 if one else len(some), n), np.int64)
+        total[:] = 0
+        alike: dict[tuple, list] = {}
+        for i, rows in enumerate(some):
+            for channel, offset, want in rows:
+                alike.setdefault((channel, len(want)), []).append((i, offset, want))
+        for key, rows in alike.items():
+            first, v = channels[key[0]]
+            if key not in kept:  # windows or transforms, as far as there is room
+                need = len(v) * (4 + key[1] if key[1] <= DIRECT else 8)
+                kept[key], room = ({}, room - need) if need <= room else (None, room)
+            begin = [0, *(j for j in range(1, len(rows)) if rows[j][:2] != (rows[j - 1][0] + 1, rows[j - 1][1])), len(rows)]
+            for g in range(0, len(rows), step):  # a template may have a channel more than once
+                found = correlate(v, np.stack([w for *_, w in rows[g : g + step]]), kept[key], space)
+                for x, y in zip(begin[:-1], begin[1:], strict=True):  # rows that follow each other, of one offset
+                    x, y = max(x, g), min(y, g + step)
+                    i, offset = rows[x][:2] if x < y else (0, 0)
+                    # found[j] is the correlation at place first + j, and counts for place first + j - offset
+                    a, b = max(0, first - offset), min(n, first - offset + found.shape[1])
+                    if x < y and a < b:
+                        total[i : i + y - x, a:b] += found[x - g : y - g, a - first + offset : b - first + offset]
+                        if not one:
+                            count[i : i + y - x, a:b] += 1
+                        elif i == 0:
+                            count[0, a:b] += 1
+        yield [name for name, _ in templates[k : k + step]], total, count
+
+
+def detections(total: np.ndarray, count: np.ndarray, threshold: float, kind: str) -> Iterator[tuple]:
+    """``(row, places, channels counted there, mad)`` of each stack that reaches its threshold somewhere; ``mad`` is the exact median of its absolute values.
+
+    A median is worked out only where it can be low enough: if more than half of the values exceed the greatest one over the threshold, nothing is detected."""
+    on, likely = count > 0, np.arange(len(total))
+    if len(count) == 1 and kind == "mad" and threshold > 0:
+        at = np.flatnonzero(on[0])
+        if not len(at):
+            return
+        rows = total[:, at[0] : at[-1] + 1] if len(at) == at[-1] + 1 - at[0] else total[:, at]
+        most = rows.max(1) / threshold * (1 + 1e-9)
+        few = [np.count_nonzero(np.abs(row) <= top) for row, top in zip(rows, most, strict=True)]
+        likely = np.flatnonzero(np.array(few) > (len(at) - 1) // 2)
+    for i in likely.tolist():
+        here, n = (on[0], count[0]) if len(count) == 1 else (on[i], count[i])
+        if not here.any():
+            continue
+        mad = float(np.median(np.abs(total[i, here])))
+        at = np.flatnonzero(here & (total[i] >= (threshold * mad if kind == "mad" else threshold if kind == "absolute" else threshold * n)))
+        if len(at):
+            yield i, at, n[at], mad
+
+
+def match_whole(segments: DataFrame, templates: DataFrame, threshold: float, kind: str, values: int, own_ends: bool = False) -> DataFrame:
+    """``(template_id, chunk, idx, cc, n_chans, mad)`` of chunks that come whole: ``segments(chunk, channel, first, samples)``, the pieces of a channel
+    without a gap between them, of ``values`` samples in all. With ``own_ends`` a stack ends with the longest of the template's channels.
+
+    A batch of chunks (``BATCH``) meets a part of the templates (``TEMPLATE_ROWS``) in one group, so a template goes once to each batch; only detections leave it."""
+    parts, batches = max(1, -(-templates.count() // TEMPLATE_ROWS)), max(1, -(-values // BATCH))
+    # a number, so that few bytes are not put together into few tasks: a group costs the product of its sides
+    many = max(int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(parts * batches, 2_000))
+    place = [F.col("batch"), F.col("part")]
+    part = F.pmod(F.xxhash64("template_id"), F.lit(parts)).cast("int").alias("part")
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).alias("batch")
+    t = templates.select("template_id", "channel", F.col("offset").cast("int").alias("offset"), F.col("samples").cast("array<double>").alias("samples"), part).select("*", numbers)
+    batch = F.pmod(F.xxhash64("chunk"), F.lit(batches)).cast("int").alias("batch")
+    # aliases, since both sides may come from one table
+    s = segments.select("chunk", F.col("channel").alias("channel"), F.col("first").cast("long").alias("first"), F.col("samples").cast("array<double>").alias("samples"), batch)
+    s = s.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    names = ("template_id", "chunk", "idx", "cc", "n_chans", "mad")
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        ready = [(name, [(c, int(o), np.asarray(w, np.float64)) for c, o, w in zip(g["channel"], g["offset"], g["samples"], strict=True)]) for name, g in right.groupby("template_id")]
+        out = []
+        for chunk, here in left.groupby("chunk") if ready else ():
+            channels = {}
+            for channel, g in here.groupby("channel"):
+                g = g.sort_values("first", kind="stable")
+                channels[channel] = int(g["first"].iloc[0]), np.concatenate([np.asarray(x, np.float64) for x in g["samples"]])
+            n = max((first + len(v) for first, v in channels.values()), default=0)
+            at = 0
+            for ids, total, count in stacks(channels, ready, n, 4 * HELD):
+                if own_ends:
+                    ends = [max((len(channels[c][1]) for c, *_ in rows if c in channels), default=0) for _, rows in ready[at : at + len(ids)]]
+                    if min(ends) < n:
+                        count = np.where(np.arange(n) < np.array(ends)[:, None], count, 0)
+                at += len(ids)
+                out += [(ids[i], chunk, idx, total[i, idx], channels_, mad) for i, idx, channels_, mad in detections(total, count, threshold, kind)]
+        return pd.DataFrame(out, columns=names)
+
+    schema = f"template_id string, chunk {segments.schema['chunk'].dataType.simpleString()}, idx array<long>, cc array<double>, n_chans array<long>, mad double"
+    met = s.repartition(many, *place).groupBy("batch", "part").cogroup(t.repartition(many, *place).groupBy("batch", "part")).applyInPandas(run, schema)
+    return met.select("template_id", "chunk", F.explode(F.arrays_zip("idx", "cc", "n_chans")).alias("x"), "mad").select("template_id", "chunk", "x.idx", "x.cc", "x.n_chans", "mad")
 
 
 def match_templates(segments: DataFrame, templates: DataFrame, threshold: float = 8.0, kind: str = "mad") -> DataFrame:
@@ -284,61 +423,13 @@ def match_templates(segments: DataFrame, templates: DataFrame, threshold: float
     stacked over channels, as ``(template_id, chunk, idx, cc, n_chans, mad)`` where the stack reaches the threshold: ``mad`` median absolute
     deviations of the template's stack in the chunk, an ``absolute`` value, or a mean correlation of its channels (``mean_channel``).
 
-    ``segments(chunk, channel, samples)``, ``templates(template_id, channel, offset, samples)``. A chunk's channels meet with a part of the
+    ``segments(chunk, channel, samples)``, ``templates(template_id, channel, offset, samples)``. A batch of chunks meets a part of the
     templates in one group, which stacks in numpy; only detections leave it. A chunk (an hour, say) bounds what a task holds.
     """
-    if kind not in ("mad", "absolute", "mean_channel"):
+    if kind not in KINDS:
         raise ValueError(f"no threshold of kind {kind}")
-    parts = max(1, -(-templates.count() // TEMPLATE_ROWS))
-    part = F.pmod(F.xxhash64("template_id"), F.lit(parts)).cast("int")
-    t = templates.select("template_id", "channel", "offset", F.col("samples").cast("array<double>").alias("samples"), part.alias("part"))
-    s = segments.select("chunk", "channel", F.col("samples").cast("array<double>").alias("samples"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    met = s.select(F.col("chunk").alias("in_chunk"), F.col("part").alias("in_part")).distinct()
-    t = t.join(met, F.col("part") == F.col("in_part")).drop("part")
-
-    def stack(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {c: [] for c in ("template_id", "chunk", "idx", "cc", "n_chans", "mad")}
-        x = {c: np.asarray(v, np.float64) for c, v in zip(left["channel"], left["samples"], strict=True)}
-        ready: dict[tuple, tuple] = {}
-        for name, rows in right.groupby("template_id"):
-            length = max((len(x[c]) for c in rows["channel"] if c in x), default=0)
-            total, count = np.zeros(length), np.zeros(length, np.int64)
-            for channel, offset, want in zip(rows["channel"], rows["offset"], rows["samples"], strict=True):
-                m = len(want)
-                if channel not in x or len(x[channel]) < m:
-                    continue
-                v = x[channel]
-                if (channel, m) not in ready:
-                    size = 1 << (len(v) + m - 2).bit_length()
-                    s, q = (np.concatenate([[0.0], np.cumsum(w)]) for w in (v, v * v))
-                    std = np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
-                    ready[channel, m] = size, np.fft.rfft(v, size), std
-                size, spectrum, std = ready[channel, m]
-                w = np.asarray(want, np.float64)
-                w = (w - w.mean()) / (w.std() * m or 1.0)
-                c = np.fft.irfft(spectrum * np.fft.rfft(w[::-1], size), size)[m - 1 : len(v)] / std
-                first = max(0, -int(offset))  # where the shifted correlation begins
-                c = c[max(0, int(offset)) :][: length - first]
-                total[first : first + len(c)] += c
-                count[first : first + len(c)] += 1
-            some = count > 0
-            if not some.any():
-                continue
-            mad = float(np.median(np.abs(total[some])))
-            least = threshold * mad if kind == "mad" else threshold if kind == "absolute" else threshold * count
-            at = np.flatnonzero(some & (total >= least))
-            for column, values in zip(out.values(), ([name] * len(at), [left["chunk"].iloc[0]] * len(at), at, total[at], count[at], [mad] * len(at)), strict=True):
-                column.extend(values)
-        return pd.DataFrame({c: pd.Series(x, dtype=kinds[c]) for c, x in out.items()})
-
-    schema = f"template_id string, chunk {segments.schema['chunk'].dataType.simpleString()}, idx long, cc double, n_chans long, mad double"
-    kinds = {"template_id": "object", "chunk": "object", "idx": "int64", "cc": "float64", "n_chans": "int64", "mad": "float64"}
-    empty = pd.DataFrame({c: pd.Series(dtype=k) for c, k in kinds.items()})
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return stack(left, right) if len(left) and len(right) else empty
-
-    return s.groupBy("chunk", "part").cogroup(t.groupBy("in_chunk", "in_part")).applyInPandas(run, schema)
+    values = segments.agg(F.sum(F.size("samples"))).first()[0] or 0
+    return match_whole(segments.withColumn("first", F.lit(0)), templates, threshold, kind, int(values), own_ends=True)
 
 
 def score_windows(windows: DataFrame, predict_fn, column: str = "window", batch: int = 64, size: int = 3000) -> DataFrame:

@@ -183,3 +183,20 @@ def test_medians_from_marks():
         assert sum(((v >= low) & (v <= high)).sum() for v in lists[:k]) <= 4 + 3 * sum(len(v) ** 0.5 for v in lists[:k])
     same = continuous._marks(np.zeros(100, np.int64))
     assert continuous._between([same, same]) == (0, 0)
+
+
+def test_chunks_share_their_templates(spark):
+    """A template goes to each batch of chunks once, not to each chunk, and its median is worked out only where it can matter."""
+    s = spark.createDataFrame([(i, "Z", np.random.default_rng(i).normal(size=200).tolist()) for i in range(40)], "chunk int, channel string, samples array<double>")
+    t = spark.createDataFrame([(f"t{i}", "Z", 0, np.random.default_rng(90 + i).normal(size=16).tolist()) for i in range(6)], "template_id string, channel string, offset int, samples array<double>")
+    plan = arrays.match_templates(s, t, 8.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join " not in plan
+    want, draw = [], np.random.default_rng(2)
+    total = draw.normal(size=(30, 500))
+    total[3, 100] = 40.0
+    found = list(arrays.detections(total, np.ones((1, 500), np.int64), 8.0, "mad"))
+    assert [(i, at.tolist(), n.tolist()) for i, at, n, _ in found] == [(3, [100], [1])] and found[0][3] == np.median(np.abs(total[3]))
+    for row in range(30):
+        least = 1.5 * np.median(np.abs(total[row]))
+        want.append(np.flatnonzero(total[row] >= least).tolist())
+    assert [at.tolist() for _, at, *_ in arrays.detections(total, np.ones((1, 500), np.int64), 1.5, "mad")] == want
