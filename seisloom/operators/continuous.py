@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import TEMPLATE_ROWS, butterworth, run_sections
+from .arrays import BATCH, KINDS, TEMPLATE_ROWS, butterworth, match_whole, run_sections, stacks
 from .timejoin import stored
 
 
@@ -189,49 +189,7 @@ def trimmed(padded: DataFrame, rate: float, column: str = "samples") -> DataFram
 
 
 # --- matched filter over days ---
-HELD = 1 << 18  # values of transforms, and of stacks, held at a time
-
-
-def _correlate(v: np.ndarray, wants: np.ndarray) -> np.ndarray:
-    """Normalised correlations with each row of ``wants``, a row of places each."""
-    m = wants.shape[1]
-    level = v - v.mean()
-    s, q = (np.concatenate([[0.0], np.cumsum(w)]) for w in (level, level * level))
-    std = np.sqrt(np.maximum((q[m:] - q[:-m]) / m - ((s[m:] - s[:-m]) / m) ** 2, 1e-24))
-    scale = wants.std(axis=1, keepdims=True) * m
-    w = (wants - wants.mean(axis=1, keepdims=True)) / np.where(scale == 0, 1.0, scale)
-    size = 1 << (len(v) + m - 2).bit_length()
-    spectrum, step, out = np.fft.rfft(level, size), max(1, HELD // size), np.empty((len(w), len(v) - m + 1))
-    for a in range(0, len(w), step):
-        out[a : a + step] = np.fft.irfft(spectrum * np.fft.rfft(w[a : a + step, ::-1], size), size)[:, m - 1 : len(v)]
-    return out / std
-
-
-def _stack(channels: dict, templates: list, n: int) -> Iterator[tuple]:
-    """``(template, stack, channels counted)`` over ``n`` places, from ``channels[name]`` (its first place, samples) of the chunk and what follows and precedes it."""
-    step = min(64, max(1, HELD // max(n, 1)))
-    for k in range(0, len(templates), step):
-        some = templates[k : k + step]
-        total, count = np.zeros((len(some), n)), np.zeros((len(some), n), np.int64)
-        alike: dict[tuple, list] = {}
-        for i, (_, rows) in enumerate(some):
-            for channel, offset, want in rows:
-                if channel in channels and 0 < len(want) <= len(channels[channel][1]):
-                    alike.setdefault((channel, len(want)), []).append((i, offset, want))
-        for (channel, _), rows in alike.items():
-            first, v = channels[channel]
-            for (i, offset, _), c in zip(rows, _correlate(v, np.stack([w for *_, w in rows])), strict=True):
-                # c[j] is the correlation at place first + j, and counts for place first + j - offset
-                a, b = max(0, first - offset), min(n, first - offset + len(c))
-                if a < b:
-                    total[i, a:b] += c[a - first + offset : b - first + offset]
-                    count[i, a:b] += 1
-        yield from ((name, total[i], count[i]) for i, (name, _) in enumerate(some))
-
-
-KINDS = ("mad", "absolute", "mean_channel")
 BITS = np.int64(32)  # of a double that the marks of the first pass leave out
-BATCH = 250_000  # samples of chunks that meet a part of the templates in one group, or one chunk
 
 
 def _marks(leading: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,9 +218,25 @@ def match_days(segments: DataFrame, templates: DataFrame, threshold: float = 8.0
     once, by the chunk where it begins. ``mad`` is the exact median over the day of the absolute stack: a first pass takes evenly spaced values of a
     chunk's sorted stack, which tell two values that the median lies between; a second takes what is between them (some ``2 sqrt(n)`` values
     of ``n`` in each pass), and the last finds what reaches the threshold. A task holds a few chunks with their halo (``BATCH``) and a part of the
-    templates, which so go to each batch once; a channel's chunks do not overlap."""
+    templates, which so go to each batch once; a channel's chunks do not overlap. Days of ``BATCH`` samples at most without a gap need
+    neither halo nor passes: a task holds them whole (``arrays.match_whole``)."""
     if kind not in KINDS:
         raise ValueError(f"no threshold of kind {kind}")
+    size, end = F.size("samples"), F.col("first") + F.size("samples")
+    spans = segments.where(size > 0).groupBy("day", "channel").agg(F.sum(size).alias("n_"), (F.max(end) - F.min("first") - F.sum(size)).alias("gap_"), F.min("first").alias("a_"), F.max(end).alias("b_"))
+    days = spans.groupBy("day").agg(F.sum("n_").alias("n_"), ((F.sum("n_") <= BATCH) & (F.max(F.abs("gap_")) == 0) & (F.max("b_") - F.min("a_") == F.max("n_")) & (F.min("a_") == 0)).alias("whole_"))
+    days = days.checkpoint()
+    values, others = days.agg(F.sum(F.when(F.col("whole_"), F.col("n_"))), F.count_if(~F.col("whole_"))).first()
+    whole = match_whole(segments.where(size > 0).join(days.where("whole_").select("day"), "day", "left_semi").withColumnRenamed("day", "chunk"), templates, threshold, kind, int(values or 0))
+    whole = whole.select("template_id", F.col("chunk").alias("day"), "idx", "cc", "n_chans", F.col("mad") if kind == "mad" else F.lit(None).cast("double").alias("mad"))
+    if not others:
+        return whole
+    parted = _match_parts(segments.join(days.where("not whole_").select("day"), "day", "left_semi"), templates, threshold, kind)
+    return whole.unionByName(parted) if values else parted
+
+
+def _match_parts(segments: DataFrame, templates: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """``match_days`` of days that no task holds whole."""
     reach = templates.agg(F.max(F.greatest(F.size("samples") + F.col("offset"), F.lit(0))), F.min(F.least("offset", F.lit(0)))).first()
     after, before = max(int(reach[0] or 1) - 1, 0), -int(reach[1] or 0)
     parts = max(1, -(-templates.count() // TEMPLATE_ROWS))
@@ -288,7 +262,7 @@ def match_days(segments: DataFrame, templates: DataFrame, threshold: float = 8.0
     dealt = t.crossJoin(F.broadcast(met.select("b_").distinct())).select("b_", "p_", "template_id", "channel", "offset", "samples", *no_bounds)
     lent = lent.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    def stacks(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple]:
+    def each_stack(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple]:
         told = right[right["samples"].isna()]
         bounds = {(name, day_): x for name, day_, *x in zip(told["template_id"], told["d_"], told["low_"], told["high_"], strict=True)}
         rows = right[right["samples"].notna()]
@@ -303,15 +277,16 @@ def match_days(segments: DataFrame, templates: DataFrame, threshold: float = 8.0
                     pieces += [np.zeros(max(0, int(start) - at)), np.asarray(x, np.float64)]  # gaps are zeros, as in a merged day
                     at = int(start) + len(x)
                 channels[channel] = first - int(chunk), np.concatenate(pieces)
-            for name, total, count in _stack(channels, templates_, int(here["n"].iloc[0])):
-                yield name, day_, int(chunk), total, count, bounds.get((name, day_))
+            for names, total, count in stacks(channels, templates_, int(here["n"].iloc[0])):
+                for i, name in enumerate(names):
+                    yield name, day_, int(chunk), total[i], count[i % len(count)], bounds.get((name, day_))
 
     def each(fn: Callable, schema: str, bounds: DataFrame | None = None) -> DataFrame:
         """``fn`` of each stack; ``bounds(template_id, day, low_, high_)`` go to the batches that have the day."""
         names = [c.split()[0] for c in schema.split(", ")]
 
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            found = [x for x in (fn(*x) for x in stacks(left, right)) if x] if len(left) and len(right) else []
+            found = [x for x in (fn(*x) for x in each_stack(left, right)) if x] if len(left) and len(right) else []
             return pd.DataFrame(dict(zip(names, zip(*found, strict=True), strict=True)) if found else {c: pd.Series(dtype=object) for c in names})
 
         right = dealt

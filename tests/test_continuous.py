@@ -185,6 +185,26 @@ def test_medians_from_marks():
     assert continuous._between([same, same]) == (0, 0)
 
 
+def test_days_held_whole_are_those_in_parts(spark, monkeypatch):
+    """Small days without a gap need no passes over parts; templates of other offsets, lengths and channels, one channel twice, and a day with a gap give the same both ways."""
+    draw = np.random.default_rng(9)
+    x = {c: draw.normal(2, 1, 900) for c in ("E", "N")}
+    w = [draw.normal(0, 1, 30) for _ in range(9)]
+    x["E"][395:425] += 5 * w[0]
+    templates = {f"t{i}": [("E", 0, v), ("N", 4, v[:20])] for i, v in enumerate(w)} | {"u": [("N", -3, w[1]), ("N", 2, w[1]), ("gone", 0, w[2])], "long": [("E", 0, np.ones(1000))]}
+    rows = [(day, a, c, v[a : a + 300].tolist()) for day in (1, 2, 3) for c, v in x.items() for a in (0, 300, 600) if (day, a) != (3, 300)]
+    s = spark.createDataFrame(rows, "day int, first long, channel string, samples array<double>")
+    t = spark.createDataFrame([(n, c, o, v.tolist()) for n, r in templates.items() for c, o, v in r], "template_id string, channel string, offset int, samples array<double>")
+    parted = []
+    monkeypatch.setattr(continuous, "_match_parts", lambda rows, *a, f=continuous._match_parts: parted.append({r.day for r in rows.collect()}) or f(rows, *a))
+    rounded = lambda df: sorted((r.template_id, r.day, r.idx, r.n_chans, round(r.cc, 9), r.mad and round(r.mad, 9)) for r in df.collect())
+    for kind, least in (("mad", 5.0), ("absolute", 0.8), ("mean_channel", 0.5)):
+        parted.clear()
+        mixed = rounded(continuous.match_days(s, t, least, kind))
+        assert parted == [{3}]
+        assert mixed == rounded(continuous._match_parts(s, t, least, kind)) and {("t0", d, 395) for d in (1, 2)} <= {r[:3] for r in mixed}
+
+
 def test_chunks_share_their_templates(spark):
     """A template goes to each batch of chunks once, not to each chunk, and its median is worked out only where it can matter."""
     s = spark.createDataFrame([(i, "Z", np.random.default_rng(i).normal(size=200).tolist()) for i in range(40)], "chunk int, channel string, samples array<double>")
