@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -44,9 +45,45 @@ class PackedTimes:
         t[table["phase"].map(phases.index), table["iz"] - z0, table["ix"] - x0] = table["t"].astype(float)
         return cls(t, depth_step, distance_step, z0, x0, phases)
 
+    @cached_property
+    def planes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Times at each depth, a row of phases and distances each, and what they grow by to the next distance."""
+        grows = np.full_like(self.t, np.nan)
+        grows[:, :, :-1] = np.diff(self.t, axis=2)
+        return tuple(np.ascontiguousarray(v.transpose(1, 0, 2).reshape(self.t.shape[1], -1)) for v in (self.t, grows))
+
+    def reached(self, z: np.ndarray) -> np.ndarray:
+        """Those of depths ``z`` that some distance has a time at: the table may have none at a depth but for a ray straight up."""
+        none, nz = np.isnan(self.planes[1]).all(1), self.t.shape[1]
+        low = np.floor(np.clip(z / self.depth_step, self.first_depth, self.first_depth + nz - 1) - self.first_depth)
+        low = np.minimum(low, nz - 2).astype(np.int64)
+        return z[~(none[low] | none[low + 1])] if nz > 1 else z[:0]
+
+    @cached_property
+    def mixes(self) -> dict:
+        return {}
+
+    def mix(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The depths of the table around ``z``, and what makes values at ``z`` of values there and their products: of each depth, and of it and the next."""
+        key = z.tobytes()
+        if key not in self.mixes:
+            nz = self.t.shape[1]
+            deep = np.clip(z / self.depth_step, self.first_depth, self.first_depth + nz - 1) - self.first_depth
+            low = np.minimum(np.floor(deep), nz - 2).astype(np.int64)
+            at, h, column = np.unique(np.concatenate([low, low + 1])), deep - low, np.arange(len(z))
+            line, products = np.zeros((len(at), len(z))), np.zeros((2 * len(at), len(z)))
+            i = np.searchsorted(at, low)
+            line[i, column], line[i + 1, column] = 1 - h, h
+            products[i, column], products[i + 1, column], products[len(at) + i, column] = (1 - h) ** 2, h**2, 2 * h * (1 - h)
+            if len(self.mixes) > 64:
+                self.mixes.clear()
+            self.mixes[key] = at, line, products
+        return self.mixes[key]
+
     def number(self, phases) -> np.ndarray:
         """-1 for a phase without times."""
-        return np.array([self.phases.index(p) if p in self.phases else -1 for p in phases], np.int64)
+        place = {p: i for i, p in enumerate(self.phases)}
+        return np.array([place.get(p, -1) for p in phases], np.int64)
 
     def __call__(self, phase: np.ndarray, depth: np.ndarray, distance: np.ndarray) -> np.ndarray:
         """Between the four corners, the depth clamped; nan where a corner is missing."""
@@ -85,6 +122,14 @@ def scores(tt: PackedTimes, p: Picks, nodes: np.ndarray) -> tuple[np.ndarray, np
         return swr / sw, np.maximum(swrr - swr * swr / sw, 0.0), on.sum(1)
 
 
+@lru_cache(maxsize=64)
+def offsets(half: float, step: float, depth_max: float, dz: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``grid``'s columns of nodes from its centre, and their depths."""
+    n, m = round(half / step), round(depth_max / dz)
+    side = np.arange(-n, n + 1) * step
+    return np.repeat(side, 2 * n + 1), np.tile(side, 2 * n + 1), np.arange(m + 1) * dz
+
+
 def grid(cx: float, cy: float, half: float, step: float, depth_max: float, dz: float) -> np.ndarray:
     n, m = round(half / step), round(depth_max / dz)
     i, j, k = np.meshgrid(np.arange(-n, n + 1), np.arange(-n, n + 1), np.arange(m + 1), indexing="ij")
@@ -94,6 +139,56 @@ def grid(cx: float, cy: float, half: float, step: float, depth_max: float, dz: f
 COLUMNS = 2_000_000  # of columns of nodes, picks and depths of the table held at a time
 
 
+def whole_sums(tt: PackedTimes, p: Picks, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``column_sums`` for events of equally many picks, a row each of ``p``, ``x`` and ``y``: ``chi2`` and a bound of its rounding by event, column and
+    depth (the bound alike at all depths), and for which events they hold: those whose picks all have a time at all columns and depths.
+
+    Sums of squares of ``t_s - t`` come apart into sums of the picks' times, products with the table's times, which are matrix products, and squares of those."""
+    nx, n = tt.t.shape[2], p.phase.shape[1]
+    d, dy = x[:, :, None] - p.sx[:, None], y[:, :, None] - p.sy[:, None]
+    d *= d
+    dy *= dy
+    d += dy
+    np.sqrt(d, out=d)
+    d /= tt.distance_step
+    d -= tt.first_distance
+    ok = (d.min((1, 2)) >= 0) & (d.max((1, 2)) <= nx - 1 - 1e-6) & (p.phase.min(1) >= 0)
+    if not ok.all():
+        d = np.where(ok[:, None, None], d, 0.0)
+    place = d.astype(np.int64)
+    d -= place
+    place += np.maximum(p.phase, 0)[:, None] * nx
+    (base, grows), (at, line, products) = tt.planes, tt.mix(z)
+    w = 1 / (p.sigma * p.sigma)
+    sw, root = w.sum(1, keepdims=True), np.sqrt(w)[:, None]
+    t_s = p.t_s - (w * p.t_s).sum(1, keepdims=True) / sw  # the sums are the same for picks that are all moved
+    wtt, weights = (w * t_s * t_s).sum(1), np.stack([w, w * t_s], 1)
+    linear, square = np.empty((len(x), 2, len(at), x.shape[1])), np.zeros((len(x), 2 * len(at), x.shape[1]))
+    part, t, before = dy, None, None
+    for i, k in enumerate(at.tolist()):
+        last, t = t, base[k].take(place)
+        grows[k].take(place, out=part, mode="clip")
+        part *= d
+        t += part
+        np.matmul(weights, t.transpose(0, 2, 1), out=linear[:, :, i])
+        t *= root
+        np.einsum("eij,eij->ei", t, t, out=square[:, i])
+        if before == k - 1:
+            np.einsum("eij,eij->ei", last, t, out=square[:, len(at) + i - 1])
+        before = k
+    r = linear[:, 0].transpose(0, 2, 1) @ line  # up to the sum of the picks' times, which is 0
+    ok &= ~np.isnan(r.sum((1, 2)))
+    chi2 = square.transpose(0, 2, 1) @ products
+    linear[:, 1] *= -2
+    chi2 += linear[:, 1].transpose(0, 2, 1) @ line
+    chi2 += wtt[:, None, None]
+    r *= r
+    r /= sw[:, :, None]
+    chi2 -= r
+    bound = wtt[:, None] + square[:, : len(at)].max(1)
+    return np.maximum(chi2, 0.0, out=chi2), bound[:, :, None] * (64 * (n + 8) * np.finfo(float).eps), ok
+
+
 def column_sums(tt: PackedTimes, p: Picks, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``chi2``, a bound of its rounding and number of picks of the nodes (x, y) by z, as arrays of columns and depths.
 
@@ -137,49 +232,131 @@ def column_sums(tt: PackedTimes, p: Picks, x: np.ndarray, y: np.ndarray, z: np.n
     return chi2, bound * (64 * (len(t_s) + 8) * np.finfo(float).eps), count
 
 
+def _columns(tt: PackedTimes, p: Picks, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = max(1, COLUMNS // max(1, len(p.phase) * (tt.t.shape[1] + 6)))
+    parts = [column_sums(tt, p, x[i : i + size], y[i : i + size], z) for i in range(0, len(x), size)]
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
 def best_node(tt: PackedTimes, p: Picks, cx: float, cy: float, half: float, step: float, depth_max: float, dz: float, least: int) -> tuple[np.ndarray | None, int]:
     """The node (x, y, z, t0, chi2, n) of least ``chi2``, then z, x, y, and how many nodes were scored one by one.
 
     ``column_sums`` gives ``chi2`` of all of them up to rounding; those that rounding leaves beside the least are scored pick by pick."""
-    nodes = grid(cx, cy, half, step, depth_max, dz)
-    deep = round(depth_max / dz) + 1
-    x, y, z = nodes[::deep, 0], nodes[::deep, 1], nodes[:deep, 2]
-    size = max(1, COLUMNS // max(1, len(p.phase) * (tt.t.shape[1] + 6)))
-    chi2, bound, count = (np.concatenate(c) for c in zip(*(column_sums(tt, p, x[i : i + size], y[i : i + size], z) for i in range(0, len(x), size)), strict=True))
-    chi2, bound, ok = chi2.ravel(), bound.ravel(), (count >= max(least, 1)).ravel()
+    dx, dy, z = offsets(half, step, depth_max, dz)
+    x, y = cx + dx, cy + dy
+    chi2, bound, count = (v.ravel() for v in _columns(tt, p, x, y, z))
+    ok = count >= max(least, 1)
     if not ok.any():
         return None, 0
     at = np.flatnonzero(ok & (chi2 - bound <= (chi2 + bound)[ok].min()))
-    t0, exact, n = scores(tt, p, nodes[at])
-    first = np.flatnonzero(exact == exact.min())
-    best = first[np.lexsort((nodes[at[first], 1], nodes[at[first], 0], nodes[at[first], 2]))[0]]
-    return np.array([*nodes[at[best]], t0[best], exact[best], n[best]]), len(at)
+    column, deep = np.divmod(at, len(z))
+    nodes = np.stack([x[column], y[column], z[deep]], 1)
+    t0, exact, n = scores(tt, p, nodes)
+    best = np.lexsort((nodes[:, 1], nodes[:, 0], nodes[:, 2], exact))[0]
+    return np.array([*nodes[best], t0[best], exact[best], n[best]]), len(at)
+
+
+def spreads(chi2: np.ndarray, on: np.ndarray, dx: np.ndarray, dy: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """``sigma_z, h_major, h_minor, h_azimuth`` of each event from ``chi2`` by event, column and depth, of the nodes that are ``on``."""
+    chi2 = np.where(on, chi2, np.inf)
+    w = np.exp(-(chi2 - chi2.min((1, 2), keepdims=True)) / 2)
+    column, deep = w.sum(2), w.sum(1)
+    total = column.sum(1, keepdims=True)
+    dx, dy, z = (v - (u * v).sum(1, keepdims=True) / total for u, v in ((column, dx), (column, dy), (deep, z)))
+    xx, yy, xy, zz = ((u * v).sum(1) / total[:, 0] for u, v in ((column, dx * dx), (column, dy * dy), (column, dx * dy), (deep, z * z)))
+    half, diff = (xx + yy) / 2, (xx - yy) / 2
+    root = np.sqrt(diff * diff + xy * xy)
+    azimuth = (90 - np.degrees(0.5 * np.arctan2(2 * xy, xx - yy))) % 180
+    return np.stack([np.sqrt(zz), np.sqrt(np.maximum(half + root, 0.0) * CHI), np.sqrt(np.maximum(half - root, 0.0) * CHI), azimuth], 1)
 
 
 def posterior(tt: PackedTimes, p: Picks, x: float, y: float, step: float, depth_max: float, dz: float, least: int) -> list[float | None]:
     """``sigma_z, h_major, h_minor, h_azimuth`` from the nodes around."""
-    nodes = grid(x, y, 4 * step, step, depth_max, dz)
-    _, chi2, n = scores(tt, p, nodes)
-    nodes, chi2 = nodes[n >= least], chi2[n >= least]
-    if not len(nodes):
-        return [None] * 4
-    w = np.exp(-(chi2 - chi2.min()) / 2)
-    mean = (w[:, None] * nodes).sum(0) / w.sum()
-    cov = (w[:, None, None] * nodes[:, :, None] * nodes[:, None, :]).sum(0) / w.sum() - np.outer(mean, mean)
-    half, diff = (cov[0, 0] + cov[1, 1]) / 2, (cov[0, 0] - cov[1, 1]) / 2
-    root = np.sqrt(diff * diff + cov[0, 1] * cov[0, 1])
-    azimuth = (90 - np.degrees(0.5 * np.arctan2(2 * cov[0, 1], cov[0, 0] - cov[1, 1]))) % 180
-    return [float(v) for v in (np.sqrt(max(cov[2, 2], 0.0)), np.sqrt(max(half + root, 0.0) * CHI), np.sqrt(max(half - root, 0.0) * CHI), azimuth)]
-
-
-def by_event(task: Callable[[object, pd.DataFrame], list | None], names: list[str], types: list[pa.DataType]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Runs ``task(event_id, picks)`` over rows sorted by ``event_id``, a batch of events at a time; one event at most waits for its end."""
+    dx, dy, z = offsets(4 * step, step, depth_max, dz)
+    chi2, _, n = _columns(tt, p, x + dx, y + dy, z)
+    on = n >= max(least, 1)
+    return spreads(chi2[None], on[None], dx, dy, z)[0].tolist() if on.any() else [None] * 4
+
+
+TOGETHER = 30_000  # of columns and picks of events that are summed together
+
+
+def best_nodes(tt: PackedTimes, p: Picks, half: float, passes: tuple, depth_max: float, least: int, spread: bool) -> list[list | None]:
+    """For events of equally many picks, a row each of ``p``: x, y, z, t0, chi2 and n of ``best_node`` pass after pass, from the mean of the stations, with
+    ``spread`` also ``posterior``'s; none where no node has picks enough. Events with picks that lack a time somewhere go through these one by one."""
+    n, of = p.phase.shape[1], lambda rows: Picks(*(getattr(p, c)[rows] for c in ("phase", "sx", "sy", "t_s", "sigma")))
+    if n < max(least, 1):
+        return [None] * len(p.phase)
+    ok, cx, cy, first = np.ones(len(p.phase), bool), p.sx.mean(1), p.sy.mean(1), half
+    best = np.zeros((len(ok), 6))
+    for number, (step, dz) in enumerate(passes, 1):
+        dx, dy, z = offsets(half, step, depth_max, dz)
+        z = tt.reached(z)
+        ok &= len(z) > 0
+        size = max(1, TOGETHER // (n * len(dx)))
+        event, nodes = [], []
+        rows = np.flatnonzero(ok)
+        for k in range(0, len(rows), size):
+            some = rows[k : k + size]
+            x, y = cx[some, None] + dx, cy[some, None] + dy
+            chi2, bound, good = whole_sums(tt, of(some), x, y, z)
+            ok[some[~good]] = False
+            i, column, deep = np.nonzero(chi2 - bound <= (chi2 + bound).min((1, 2), keepdims=True))
+            event.append(some[i])
+            nodes.append(np.stack([x[i, column], y[i, column], z[deep]], 1))
+        if not ok.any():
+            break
+        event, nodes = np.concatenate(event), np.concatenate(nodes)
+        on = ok[event]
+        event, nodes = event[on], nodes[on]
+        exact, t0, count = np.zeros(len(event)), np.zeros(len(event)), np.full(len(event), n)
+        # a node alone beside the least needs no score but in the end
+        score = np.flatnonzero(np.bincount(event)[event] > 1) if number < len(passes) else np.arange(len(event))
+        for k in range(0, len(score), 1_000):
+            k = score[k : k + 1_000]
+            t0[k], exact[k], count[k] = scores(tt, of(event[k]), nodes[k])
+        order = np.lexsort((nodes[:, 1], nodes[:, 0], nodes[:, 2], exact, event))
+        order = order[np.flatnonzero(np.diff(event[order], prepend=-1))]
+        best[event[order]] = np.column_stack([nodes[order], t0[order], exact[order], count[order]])
+        cx, cy, half = best[:, 0], best[:, 1], 2 * step
+    more, step = np.zeros((len(ok), 4 if spread else 0)), passes[-1][0] / 2
+    rows, (dx, dy, z) = np.flatnonzero(ok), offsets(4 * step, step, depth_max, tt.depth_step)
+    z = tt.reached(z)
+    ok &= len(z) > 0 or not spread
+    size = max(1, TOGETHER // (n * len(dx)))
+    for k in range(0, len(rows) if spread and len(z) else 0, size):
+        some = rows[k : k + size]
+        chi2, _, good = whole_sums(tt, of(some), cx[some, None] + dx, cy[some, None] + dy, z)
+        ok[some[~good]] = False
+        if good.any():
+            more[some[good]] = spreads(chi2[good], np.ones_like(chi2[good], bool), dx, dy, z)
+    out = [[*b[:5], n, *m] for b, m in zip(best.tolist(), more.tolist(), strict=True)]
+    for k in np.flatnonzero(~ok).tolist():
+        one, half = of(k), first
+        x, y = one.sx.mean(), one.sy.mean()
+        for step, dz in passes:
+            found, _ = best_node(tt, one, x, y, half, step, depth_max, dz, least)
+            if found is None:
+                break
+            x, y, half = found[0], found[1], 2 * step
+        out[k] = None if found is None else [*found[:5].tolist(), int(found[5]), *(posterior(tt, one, x, y, passes[-1][0] / 2, depth_max, tt.depth_step, least) if spread else [])]
+    return out
+
+
+def by_event(task: Callable[[dict[str, np.ndarray]], list[list | None]], names: list[str], types: list[pa.DataType]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs ``task`` over rows sorted by ``event_id``, with the columns of events of equally many rows, a row for each event, and gives what it
+    returns for each, none for none. One event at most waits for the end of its batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
 
         def done(rows: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-            out = [r for event, part in rows.groupby("event_id", sort=False, dropna=False) if (r := task(event, part)) is not None]
+            begin = np.flatnonzero(np.diff(pd.factorize(rows["event_id"], use_na_sentinel=False)[0], prepend=-1))
+            size, columns, out = np.diff(begin, append=len(rows)), {c: rows[c].to_numpy() for c in rows.columns}, []
+            for n in np.unique(size).tolist():
+                at = begin[size == n, None] + np.arange(n)
+                found = task({c: v[at] for c, v in columns.items() if c != "event_id"})
+                out += [(event, *r) for event, r in zip(columns["event_id"][at[:, 0]].tolist(), found, strict=True) if r is not None]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
@@ -188,7 +365,7 @@ def by_event(task: Callable[[object, pd.DataFrame], list | None], names: list[st
             rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
             if rows.empty:
                 continue
-            last = rows["event_id"] == rows["event_id"].iloc[-1]
+            last = rows["event_id"].isna() if pd.isna(rows["event_id"].iloc[-1]) else rows["event_id"] == rows["event_id"].iloc[-1]
             held, whole = rows[last], rows[~last]
             if len(whole):
                 yield from done(whole)
@@ -202,17 +379,10 @@ def locate(picks: DataFrame, tt: PackedTimes, half_km: float, passes: tuple, dep
     """``(event_id, x, y, z, t0, chi2, n)``, coarse to fine around the best node of the pass before, from the mean of the stations;
     with ``spread`` also ``sigma_z, h_major, h_minor, h_azimuth``. ``picks(event_id, phase, sx, sy, t_s, sigma)``; those without a time go.
 
-    An event's picks meet in one task, with the packed table; what is held is a pass's nodes times the picks of one event."""
-    def task(event, rows: pd.DataFrame) -> list | None:
-        p = Picks(tt.number(rows["phase"]), *(rows[c].to_numpy(float) for c in ("sx", "sy", "t_s", "sigma")))
-        cx, cy, half, best = p.sx.mean(), p.sy.mean(), half_km, None
-        for step, dz in passes:
-            best, _ = best_node(tt, p, cx, cy, half, step, depth_max, dz, least)
-            if best is None:
-                return None
-            cx, cy, half = best[0], best[1], 2 * step
-        more = posterior(tt, p, best[0], best[1], passes[-1][0] / 2, depth_max, tt.depth_step, least) if spread else []
-        return [event, *best[:5].tolist(), int(best[5]), *more]
+    An event's picks meet in one task, with the packed table; what is held is a pass's nodes times the picks of one event, or of a few small ones."""
+    def task(rows: dict[str, np.ndarray]) -> list[list | None]:
+        phase = tt.number(rows["phase"].ravel()).reshape(rows["phase"].shape)
+        return best_nodes(tt, Picks(phase, *(rows[c].astype(float) for c in ("sx", "sy", "t_s", "sigma"))), half_km, passes, depth_max, least, spread)
 
     wanted = picks.select("event_id", "phase", "sx", "sy", "t_s", "sigma").where("t_s is not null and not isnan(t_s)")
     names = ["event_id", "x", "y", "z", "t0", "chi2", "n"] + (["sigma_z", "h_major", "h_minor", "h_azimuth"] if spread else [])

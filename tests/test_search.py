@@ -134,6 +134,38 @@ def test_least_node_of_a_table_with_gaps():
     assert scored < 20 * len(nodes) / 100
 
 
+def test_events_together_are_those_one_by_one(monkeypatch):
+    """Events of equally many picks share their sums, which skip the picks' own passes; those with picks that lack a time go one by one, and all are as alone."""
+    draw = np.random.default_rng(4)
+    d, z = np.arange(61) * 5.0, np.arange(5) * 5.0
+    t = np.stack([np.hypot(d[None, :], z[:, None] + 0.5) / v + 0.01 * np.sin(d)[None, :] for v in (6.0, 3.4)])
+    t[:, :, 57:] = np.nan
+    t[:, 0, 1:] = np.nan  # at the surface there is a ray straight up only
+    packed, n, many = search.PackedTimes(t, 5.0, 5.0, 0, 0), 12, 40
+    sx, sy, phase = draw.integers(-2, 3, (many, n)) * 20.0, draw.integers(-2, 3, (many, n)) * 20.0, draw.integers(0, 2, (many, n))
+    t_s = np.where(np.arange(many)[:, None] % 3, draw.uniform(0, 600, (many, n)), 40 + np.hypot(sx - 4, sy + 3) / 5)
+    phase[5, 3], sx[7, 2], sx[8, 1] = -1, 290.0, 400.0
+    p = search.Picks(phase, sx, sy, t_s, np.where(phase == 0, 0.05, 0.1))
+    passes, alone, columns = ((8.0, 4.0), (2.0, 2.0), (0.5, 0.5)), [0], search.column_sums
+
+    def sums(*a):
+        alone[0] += 1
+        return columns(*a)
+
+    monkeypatch.setattr(search, "column_sums", sums)
+    got = search.best_nodes(packed, p, 24.0, passes, 20.0, 4, True)
+    assert 0 < alone[0] <= 4 * 4
+    for k, r in enumerate(got):
+        one, half = search.Picks(*(getattr(p, c)[k] for c in ("phase", "sx", "sy", "t_s", "sigma"))), 24.0
+        x, y = one.sx.mean(), one.sy.mean()
+        for step, dz in passes:
+            best, _ = search.best_node(packed, one, x, y, half, step, 20.0, dz, 4)
+            x, y, half = best[0], best[1], 2 * step
+        spread = search.posterior(packed, one, x, y, 0.25, 20.0, 5.0, 4)
+        assert r[:6] == best.tolist() and np.allclose(r[6:9], spread[:3], atol=1e-4, rtol=1e-5), k
+    assert search.best_nodes(packed, p, 24.0, passes, 20.0, 13, True) == [None] * many
+
+
 def _greedy_by_hand(picks, nodes, packed, rule):
     """Events one after another from all nodes and bins, counted anew each time."""
     times = [(i, s, p, t, packed(np.full(len(nodes), packed.number([p])[0]), nodes[:, 2], np.hypot(nodes[:, 0] - sx, nodes[:, 1] - sy))) for i, s, p, sx, sy, t in picks]
