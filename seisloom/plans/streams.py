@@ -94,7 +94,7 @@ UNION ALL SELECT n, 'event' FROM v_secondary s WHERE NOT EXISTS (SELECT 1 FROM v
 def str07_second_detector(v):
     """Corroborated picks within half an hour, and separate events by ten minutes."""
     p = v.picks().select("pick_id", "station", "phase", "t_us")
-    a, b = (stream(v, p.where(f"pick_id % 2 = {i}"), {"station": "end", "pick_id": -1}, HALF_HOUR) for i in (1, 0))
+    a, b = (stream(v, p.where(f"pick_id % 2 = {i}"), {"station": "end", "phase": "P", "pick_id": -1}, HALF_HOUR) for i in (1, 0))
     picks = finished(v, jobs.corroborate(a, b, "30 minutes", "1 hour")).where("pick_id >= 0")
     c, d = (stream(v, df.select("n", "t_us"), {"n": -1}, HALF_HOUR) for df in (v.secondary(), v.primary()))
     events = finished(v, jobs.separate(c, d, 600, "1 hour")).where("n >= 0")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from datetime import UTC, datetime, timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -35,28 +35,37 @@ def pick_sessions(picks: DataFrame, gap: str = "60 seconds", least: int = 3, lat
     return s.where(F.col("n") >= least).select("network", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", F.size("stations").alias("stations"))
 
 
+def _beside(primary: DataFrame, keys: dict[str, str], tolerance: str, late: str) -> tuple[Callable[[Column], Column], DataFrame, Column]:
+    """The bucket of a time, as wide as ``tolerance``; of each bucket of ``primary`` a row for itself and the two beside it, with its first and last time; and
+    whether one of its rows is within ``tolerance`` of a row's ``time`` there.
+
+    Any row of the same bucket is, and of a bucket beside it the last or the first decides: however dense the primary rows are, the state has two times of them a bucket."""
+    width = int(primary.sparkSession.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {tolerance})").first()[0])
+    bucket = lambda c: F.floor(F.unix_micros(c) / width)
+    rows = primary.select(*[F.col(k).alias(x) for k, x in keys.items()], F.col("time").alias("b_time")).withWatermark("b_time", late)
+    ends = rows.groupBy(F.window("b_time", tolerance), *keys.values()).agg(F.min("b_time").alias("lo_"), F.max("b_time").alias("hi_"))
+    ends = ends.select(*keys.values(), F.window_time("window").alias("b_at"), bucket(F.col("window.start")).alias("b_bucket_"), "lo_", "hi_")
+    ends = ends.withColumn("near_", F.explode(F.array(*[F.col("b_bucket_") + i for i in (-1, 0, 1)])))
+    reach = f"b_at BETWEEN time - INTERVAL {3 * width} MICROSECONDS AND time + INTERVAL {3 * width} MICROSECONDS"  # tells when state can go
+    near = f"(near_ = b_bucket_ OR time BETWEEN lo_ - INTERVAL {tolerance} AND hi_ + INTERVAL {tolerance})"
+    return bucket, ends, F.expr(" AND ".join(["bucket_ = near_", *[f"{k} = {x}" for k, x in keys.items()], reach, near]))
+
+
 def corroborate(secondary: DataFrame, primary: DataFrame, tolerance: str = "1 second", late: str = "10 minutes") -> DataFrame:
     """Stream to stream: picks of the second detector with a primary pick of the same station and phase near in time, each once.
-    State is given up with the watermark. Time is cut into buckets of the tolerance, so a pick is compared with those near in time,
-    not with all of its station and phase that the state holds, and the join ends at the first that fits."""
-    width = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {tolerance})")
-    bucket = lambda c: F.floor(F.unix_micros(c) / F.greatest(width, F.lit(1)))
+    State is given up with the watermark. Time is cut into buckets of the tolerance, so a pick is compared with three buckets' first and last
+    primary pick, not with all of its station and phase that the state holds; it comes out when the watermark has passed such a bucket."""
+    bucket, ends, near = _beside(primary, {"station": "b_station", "phase": "b_phase"}, tolerance, late)
     a = secondary.withWatermark("time", late).withColumn("bucket_", bucket(F.col("time")))
-    b = primary.select(F.col("station").alias("b_station"), F.col("phase").alias("b_phase"), F.col("time").alias("b_time")).withWatermark("b_time", late)
-    b = b.withColumn("near_", F.explode(F.array(*[bucket(F.col("b_time")) + i for i in (-1, 0, 1)])))
-    near = F.expr(f"station = b_station AND phase = b_phase AND bucket_ = near_ AND b_time BETWEEN time - INTERVAL {tolerance} AND time + INTERVAL {tolerance}")
-    return a.join(b, near, "left_semi").drop("bucket_").dropDuplicatesWithinWatermark(["pick_id"])
+    return a.join(ends, near, "left_semi").drop("bucket_").dropDuplicatesWithinWatermark(["pick_id"])
 
 
 def separate(secondary: DataFrame, primary: DataFrame, seconds: int = 10, late: str = "10 minutes") -> DataFrame:
     """Stream to stream: events of the second detector without a primary origin within ``seconds``, edges included; each comes
-    out when the watermark tells that none can come any more."""
-    bucket = lambda c: F.floor(F.unix_seconds(c) / seconds)
+    out when the watermark tells that none can come any more. It is compared with three buckets' first and last origin."""
+    bucket, ends, near = _beside(primary, {}, f"{seconds} SECONDS", late)
     a = secondary.withWatermark("time", late).withColumn("bucket_", bucket(F.col("time")))
-    b = primary.select(F.col("time").alias("b_time")).withWatermark("b_time", late)
-    b = b.withColumn("near_", F.explode(F.array(*[bucket(F.col("b_time")) + i for i in (-1, 0, 1)])))
-    near = F.expr(f"bucket_ = near_ AND b_time BETWEEN time - INTERVAL {seconds} SECONDS AND time + INTERVAL {seconds} SECONDS")
-    return a.join(b, near, "left_outer").where("b_time is null").drop("b_time", "bucket_", "near_")
+    return a.join(ends, near, "left_outer").where("b_at is null").select(*secondary.columns)
 
 
 def regional_tagger(regional: Callable[[], DataFrame], covered: Callable[[], DataFrame | None], write: Callable[[DataFrame, int], None], lag_min: float = 5, lag_max: float = 90):

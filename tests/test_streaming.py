@@ -1,6 +1,7 @@
 """Streams against the batch result on the same input."""
 
 import os
+import random
 import time
 
 import pytest
@@ -121,6 +122,42 @@ def test_corroboration_compares_picks_near_in_time(spark, tmp_path):
     assert sorted(r.pick_id for r in out.where("station <> 'end'").collect()) == [1, 4]
 
 
+def test_dense_primary_rows_are_two_times_a_bucket(spark, tmp_path):
+    """Many primary rows a bucket of time, in late batches: the join sees three rows a bucket, and what comes out is what all pairs tell."""
+    dice, S = random.Random(6), 1_000_000
+    picks = lambda first, n, span: [(first + i, dice.choice(["S1", "S2"]), dice.choice(["P", "S"]), dice.choice([dice.randrange(1000 * S, (1000 + span) * S), (1000 + dice.randrange(span)) * S])) for i in range(n)]
+    mine, other = picks(0, 120, 120), picks(1000, 90, 60)
+    schema, end = "pick_id long, station string, phase string, t_us long", [(-1, "end", "P", FAR)]
+    feeds = lambda *tables: [timed(feed(spark, tmp_path / n, [x[::2], x[1::2], [e]], sch)) for n, x, e, sch in tables]
+    a, b = feeds(("a", mine, end[0], schema), ("b", other, end[0], schema))
+    out = run(spark, jobs.corroborate(a, b), "corroborated_dense")
+    want = {x[0] for x in mine for y in other if x[1:3] == y[1:3] and abs(x[3] - y[3]) <= S}
+    assert sorted(r.pick_id for r in out.where("pick_id >= 0").collect()) == sorted(want) and 10 < len(want) < 110
+    events, origins = [(i, t) for i, _, _, t in mine], [(i, t) for i, _, _, t in other[:12]]
+    c, d = feeds(("c", events, (-1, FAR), "event_id long, t_us long"), ("d", origins, (-1, FAR), "event_id long, t_us long"))
+    out = run(spark, jobs.separate(c, d, 2), "separated_dense")
+    want = {i for i, t in events if all(abs(t - u) > 2 * S for _, u in origins)}
+    assert sorted(r.event_id for r in out.where("event_id >= 0").collect()) == sorted(want) and 10 < len(want) < 110
+    for df in (jobs.corroborate(a, b), jobs.separate(c, d, 2)):  # what meets the second detector's rows is counted by buckets
+        plan = df._jdf.queryExecution().analyzed().toString()
+        assert "Aggregate" in plan[plan.index("Join") :] and "min(b_time" in plan
+
+
+def test_state_lasts_until_the_buckets_around_have_come_out(spark, tmp_path):
+    """Batches in order of time, with watermarks inside buckets: a row waits for the bucket after its own, and the last ones come out at the end."""
+    dice, S = random.Random(8), 1_000_000
+    rows = lambda first, n: sorted((first + i, "S1", "P", dice.randrange(1000 * S, 1600 * S)) for i in range(n))
+    mine, other = (sorted(x, key=lambda r: r[3]) for x in (rows(0, 90), rows(1000, 60)))
+    cut = lambda x: [[r for r in x if 1000 + 75 * k <= r[3] / S < 1075 + 75 * k] for k in range(8)] + [[(-1, "end", "P", FAR)]]
+    a, b = (timed(feed(spark, tmp_path / n, cut(x), "pick_id long, station string, phase string, t_us long")) for n, x in (("a", mine), ("b", other)))
+    near = {x[0] for x in mine if any(abs(x[3] - y[3]) <= 10 * S for y in other)}
+    assert 10 < len(near) < 90
+    out = run(spark, jobs.corroborate(a, b, "10 seconds", "5 seconds"), "corroborated_in_order")
+    assert sorted(r.pick_id for r in out.where("pick_id >= 0").collect()) == sorted(near)
+    out = run(spark, jobs.separate(a.drop("station", "phase"), b, 10, "5 seconds"), "separated_in_order")
+    assert sorted(r.pick_id for r in out.where("pick_id >= 0").collect()) == sorted({x[0] for x in mine} - near)
+
+
 def test_days_are_written_whole(spark, tmp_path):
     from datetime import UTC, datetime
 
