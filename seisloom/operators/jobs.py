@@ -5,7 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, scalars
@@ -286,12 +286,13 @@ def relocate(picks: DataFrame, stations: DataFrame, tt: DataFrame, depth_step: f
     ellipse, and a residual for each pick. Events of fewer than ``least`` picks at known stations are left out."""
     rows = joins.with_station(picks, stations)
     sx, sy = geo.stere_forward(F.col("latitude"), F.col("longitude"))
-    first = rows.groupBy("event_id").agg(F.min("t_us").alias("first_us"), F.count("*").alias("n_")).where(F.col("n_") >= least)
-    rows = rows.join(first.drop("n_"), "event_id").select(
+    event = Window.partitionBy("event_id")
+    rows = rows.where("event_id is not null").withColumns({"first_us": F.min("t_us").over(event), "n_": F.count("*").over(event)}).where(F.col("n_") >= least).select(
         "event_id", "network", "station", "phase", "t_us", "amplitude", "first_us", sx.alias("sx"), sy.alias("sy"),
         ((F.col("t_us") - F.col("first_us")) / scalars.SECOND).alias("t_s"), F.when(F.col("phase") == "S", SIGMA_S).otherwise(SIGMA_P).alias("sigma"),
     )
     rows = stored(rows)
+    first = rows.groupBy("event_id").agg(F.min("first_us").alias("first_us"))
     # a checkpoint would search twice: once to count, once to write
     best = stored(location.locate(rows.select("event_id", "phase", "sx", "sy", "t_s", "sigma"), tt, depth_step, distance_step, spread=True, **grid))
     left = location.residuals(rows, best, tt, depth_step, distance_step).select("event_id", "station", "phase", (F.col("t_s") - F.col("t0")).alias("observed_s"), "residual_s")

@@ -106,7 +106,15 @@ def test_relocate(spark):
     rows = location.tt_lookup(rows, tt, 2, 2)
     picks = rows.select(F.lit("e").alias("event_id"), "network", "station", "phase", F.round((F.col("t") + 100) * S).cast("long").alias("t_us"), F.lit(1e-6).alias("amplitude")).checkpoint()
     picks = picks.unionAll(picks.where("phase = 'P' and station < 'D'").withColumn("event_id", F.lit("few")))
-    out, left = jobs.relocate(picks, stations, tt, 2, 2)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    out, left = jobs.relocate(picks.mapInPandas(counted, picks.schema), stations, tt, 2, 2)
+    assert read.value == 15  # the picks are made once
     row = out.collect()
     assert [r.event_id for r in row] == ["e"]
     r = row[0]
